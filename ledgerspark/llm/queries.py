@@ -8,29 +8,66 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.packing import pack_documents
-from ledgerspark.llm.token_counts import token_counts
+from ledgerspark.llm import exact_dedup, mixing, packing, sharding, token_counts, toxicity, url_filter
+
+#: Production targets in thousandths: the largest source is held to 16 %.
+TARGETS = {"src0": 164} | {f"src{i}": 44 for i in range(1, 20)}
+BLOCK_BYTES = 1 << 16
+#: (host, path, verdict)
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), TARGETS, block_bytes=BLOCK_BYTES)
+    return mixed.select("doc_id", "pool", "block", "slot", "release", "deadline", "block_offset", "balanced")
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op2_token_counts": op2_token_counts,
-        "op6_packing": op6_packing,
-    }
+    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op4_exact_dedup, op5_toxicity, op6_packing, op7_mixing, op9_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_exact_dedup": exact_dedup.ORACLE,
+        "op7_mixing": mixing.mixing_oracle(TARGETS, BLOCK_BYTES),
+        "op9_url_filter": url_filter.url_oracle(URL_RULES),
+    }
