@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import exact_dedup, mixing, packing, sharding, token_counts, toxicity, url_filter
+from ledgerspark.llm import exact_dedup, html_text, mixing, ngram_join, packing, sharding, token_counts, toxicity, url_filter, vector_dedup
 
 #: Production targets in thousandths: the largest source is held to 16 %.
 TARGETS = {"src0": 164} | {f"src{i}": 44 for i in range(1, 20)}
@@ -38,6 +38,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -57,12 +61,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "pool", "block", "slot", "release", "deadline", "block_offset", "balanced")
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_counts, op4_exact_dedup, op5_toxicity, op6_packing, op7_mixing, op9_url_filter)}
+    every = (
+        op1_sharding, op2_token_counts, op3_html_extraction, op4_exact_dedup, op5_toxicity,
+        op6_packing, op7_mixing, op8_vector_dedup, op9_url_filter, op10_ngram_join,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
