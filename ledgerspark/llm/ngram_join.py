@@ -279,7 +279,8 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     n_docs = docs.count()
     ranges = 16
-    while ranges * RANGE_POSTINGS < n_docs * 80 * len(ORDERS):
+    expected = n_docs * prefix_size(600, percent) * len(ORDERS)  # for texts of about 600 words; only the ranges' size depends on it
+    while ranges * RANGE_POSTINGS < expected:
         ranges *= 2
     schema = "ord int, range long, id long, key long, size long, tokens binary, owners binary"
     made = stage(src.mapInArrow(_sets(words, percent, ranges), schema), "shingles")
@@ -337,7 +338,7 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group: the smallest id; all columns as they are."""
     gone = ngram_groups(docs, words, percent, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
     return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
