@@ -15,28 +15,41 @@ def _strip(x: Column, patterns) -> Column:
     return reduce(lambda v, p: F.regexp_replace(v, p, ""), patterns, x)
 
 
+def bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def canonical_project(name: Column | str, rules: ProjectRules = PROJECTS) -> Column:
     """Project name for a raw name or path; NULL where the rules call it noise."""
     raw = col(name)
-    x = _strip(raw, rules.homes)
-    x = F.regexp_replace(x, rf"(?i)-({'|'.join(rules.branches)})(-.*)?$", "")
-    x = F.replace(_strip(x, [f"^{p}-" for p in rules.prefixes]), F.lit("-"), F.lit("/"))
-    flat = F.replace(_strip(x, [*rules.flat_homes, *(f"^{p}_" for p in rules.prefixes)]), F.lit("_"), F.lit("/"))
-    x = F.when(x.startswith("/") | x.startswith(rules.flat_root), flat).otherwise(x)
-    y = F.regexp_replace(x, r"^[A-Za-z0-9_]{8,}/repo/?", "")
-    inner = y
-    for p in reversed(rules.containers):
-        inner = F.when(y.startswith(p), F.substr(y, F.lit(len(p) + 1))).otherwise(inner)
-    first = F.get(F.split(inner, "/"), F.lit(0))
-    out = F.when((first == "") | first.rlike("^[0-9]+$") | first.isin(*rules.noise), F.lit(None)).otherwise(first)
-    for start, value in reversed(rules.overrides):
-        out = F.when(y.startswith(start), F.lit(value)).otherwise(out)
-    out = F.when(y == "", F.lit(None)).otherwise(out)
-    out = F.when(x.isin(*rules.noise) | x.rlike("^[0-9a-f]{12,}$"), F.lit(None)).otherwise(out)
-    for token, value in rules.remaps:
-        out = F.when(x == token, F.lit(value)).otherwise(out)
+    plain = _strip(raw, rules.homes)
+    plain = F.regexp_replace(plain, rf"(?i)-({'|'.join(rules.branches)})(-.*)?$", "")
+    plain = F.replace(_strip(plain, [f"^{p}-" for p in rules.prefixes]), F.lit("-"), F.lit("/"))
+
+    def flattened(x: Column) -> Column:
+        flat = F.replace(_strip(x, [*rules.flat_homes, *(f"^{p}_" for p in rules.prefixes)]), F.lit("_"), F.lit("/"))
+        return F.when(x.startswith("/") | x.startswith(rules.flat_root), flat).otherwise(x)
+
+    def segment(y: Column) -> Column:
+        inner = y
+        for p in reversed(rules.containers):
+            inner = F.when(y.startswith(p), F.substr(y, F.lit(len(p) + 1))).otherwise(inner)
+        return F.substring_index(inner, "/", 1)
+
+    def judged(x: Column, y: Column) -> Column:
+        out = bind(segment(y), lambda s: F.when((s != "") & ~s.rlike("^[0-9]+$") & ~s.isin(*rules.noise), s))
+        for start, value in reversed(rules.overrides):
+            out = F.when(y.startswith(start), F.lit(value)).otherwise(out)
+        out = F.when((y != "") & ~x.isin(*rules.noise) & ~x.rlike("^[0-9a-f]{12,}$"), out)
+        for token, value in rules.remaps:
+            out = F.when(x == token, F.lit(value)).otherwise(out)
+        return out
+
+    tail = lambda x: F.regexp_replace(x, r"^[A-Za-z0-9_]{8,}/repo/?", "")
+    out = bind(bind(plain, flattened), lambda x: bind(tail(x), lambda y: judged(x, y)))
     dropped = raw.isNull() | (raw == "") | raw.isin(*[n for n in rules.noise if "-" in n]) | any_regex(raw, rules.worktrees)
-    return F.when(dropped, F.lit(None)).otherwise(out).cast("string")
+    return F.when(~dropped, out)
 
 
 def project_of_directory(cwd: Column | str, root: str = "/code/", rules: ProjectRules = PROJECTS) -> Column:

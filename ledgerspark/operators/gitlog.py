@@ -71,9 +71,9 @@ def hotspots(files: DataFrame, months: int, top: int) -> DataFrame:
     return recent.groupBy("file").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "file").limit(top)
 
 
-def debt_markers(lines: DataFrame, path: str, text: str, top: int = 20) -> DataFrame:
-    """Lines with TODO, FIXME, HACK or XXX by file."""
-    return lines.where(F.col(text).rlike(r"(TODO|FIXME|HACK|XXX)")).groupBy(path).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), path).limit(top)
+def debt_markers(lines: DataFrame, path: str, text: str, top: int = 20, markers: tuple[str, ...] = ("TODO", "FIXME", "HACK", "XXX")) -> DataFrame:
+    """Lines that hold a marker, by file."""
+    return lines.where(F.col(text).rlike(f"({'|'.join(markers)})")).groupBy(path).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), path).limit(top)
 
 
 def commits_by_project(commits: DataFrame) -> DataFrame:

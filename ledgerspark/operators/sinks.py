@@ -24,10 +24,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _current(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, f"{path}/_current")
+    fs, p = _fs(spark, f"{path}/CURRENT")
     if not fs.exists(p):
         return None
-    return spark.read.text(f"{path}/_current").first()[0]
+    return spark.read.text(f"{path}/CURRENT").first()[0]
 
 
 def read_table(spark: SparkSession, path: str, ddl: str, defaults: dict | None = None) -> DataFrame:
@@ -49,11 +49,11 @@ def write_table(df: DataFrame, path: str, allow_shrink: bool = True) -> int:
     n, old = spark.read.parquet(f"{path}/{version}").count(), _current(spark, path)
     if not allow_shrink and old is not None and n < spark.read.parquet(f"{path}/{old}").count():
         raise GateError(f"{path}: {n} rows would be fewer than before")
-    fs, p = _fs(spark, f"{path}/_next-{version}")
+    fs, p = _fs(spark, f"{path}/NEXT-{version}")
     out = fs.create(p, True)
     out.write(bytearray(version.encode()))
     out.close()
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_current")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
     fs.delete(target, False)
     if not fs.rename(p, target):
         raise GateError(f"{path}: the new version could not be switched to")

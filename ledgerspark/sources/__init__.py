@@ -1 +1 @@
-
+"""Readers that turn raw files into typed tables."""
