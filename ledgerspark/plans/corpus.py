@@ -1 +1,137 @@
-"""Queries."""
+"""Corpus and recurring-finding queries: A-66..A-68, U-12, U-13, J-13, J-14."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerspark.functions.columns import finding_hash, micros
+from ledgerspark.operators import corpus as K
+from ledgerspark.operators import joins as J
+from ledgerspark.operators import loops as L
+from ledgerspark.plans.conform import _TOKENS
+from ledgerspark.plans.registry import query
+
+# the corpus has no wiki links: words in capital letters at a sentence's start stand for their targets
+_LINK = r"(?:^|\. )([A-ZÉ][a-zé]+)"
+_SRC, _MARK = "(?m)^Th", "tion"
+
+
+def _pages(t):
+    return K.measured(t("documents"), links=_LINK, sources=_SRC, marker=_MARK)
+
+
+_M = f"""m AS (SELECT doc_id, source, text, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS words, length(text) - length(replace(text, chr(10), '')) AS lines, strlen(text) AS bytes,
+ regexp_matches(text, '{_SRC}') AS has_sources, len(regexp_extract_all(text, '{_MARK}')) AS markers, regexp_extract_all(text, '{_LINK}', 1) AS links FROM documents)"""
+
+
+@query("a66_corpus_summary", f"""
+WITH {_M} SELECT count(*) AS pages, sum(words) AS words, sum(lines) AS lines, count(*) FILTER (has_sources) AS with_sources, 100 * count(*) FILTER (has_sources) // count(*) AS provenance_pct,
+ count(*) FILTER (markers > 0) AS marked_pages, sum(markers) AS markers, sum(len(links)) AS links, count(*) FILTER (len(links) = 0) AS isolated, count(*) FILTER (has_sources AND markers = 0) AS fully_sourced,
+ count(*) FILTER (has_sources AND markers > 0) AS partial, count(*) FILTER (NOT has_sources) AS unsourced, (SELECT count(DISTINCT l) FROM (SELECT unnest(links) AS l FROM m)) AS links_unique FROM m""")
+def _(t):
+    return K.corpus_summary(_pages(t))
+
+
+@query("a66_link_edges", f"WITH {_M} SELECT doc_id AS source, unnest(links) AS target FROM m")
+def _(t):
+    return K.link_edges(_pages(t), "doc_id")
+
+
+@query("a66_longest_pages", f"WITH {_M} SELECT doc_id, words FROM m ORDER BY words DESC, doc_id LIMIT 10")
+def _(t):
+    return K.longest(_pages(t), "doc_id")
+
+
+@query("a66_stale_pages", "SELECT count(*) AS n_stale FROM events WHERE ts < TIMESTAMP '2024-02-10' - INTERVAL 30 DAY")
+def _(t):
+    return K.stale(t("events"), "ts", "2024-02-10 00:00:00")
+
+
+@query("a67_config_summary", f"""
+WITH {_M} SELECT source, count(*) AS files, sum(lines) AS lines, sum(bytes) AS bytes, floor(sum(bytes) / 4) AS tokens, floor(sum(lines) / count(*)) AS avg_lines, count(*) FILTER (lines > 20) AS long_files,
+ count(*) FILTER (regexp_matches(text, '(?m)^The')) AS with_front_matter FROM m GROUP BY source""")
+def _(t):
+    return K.config_summary(_pages(t), "source", front="(?m)^The", limit=20)
+
+
+@query("a67_largest_configs", f"WITH {_M} SELECT source, doc_id, lines FROM m QUALIFY row_number() OVER (PARTITION BY source ORDER BY lines DESC, doc_id) <= 10")
+def _(t):
+    return K.largest_per_category(_pages(t), "source", "doc_id")
+
+
+_ITEMS = "(SELECT CASE WHEN p_partkey % 3 = 0 THEN 'hook' ELSE 'skill' END AS item_type, concat(p_name, CAST(p_partkey AS STRING)) AS name, CASE p_size % 3 WHEN 0 THEN 'never_used' WHEN 1 THEN 'stale' ELSE 'active' END AS staleness_status FROM part)"
+
+
+def _items(t):
+    return t("part").select(F.when(F.col("p_partkey") % 3 == 0, "hook").otherwise("skill").alias("item_type"), F.concat("p_name", F.col("p_partkey").cast("string")).alias("name"), F.when(F.col("p_size") % 3 == 0, "never_used").when(F.col("p_size") % 3 == 1, "stale").otherwise("active").alias("staleness_status"))
+
+
+@query("a68_staleness_view", f"SELECT item_type, name, CASE WHEN item_type = 'hook' AND staleness_status = 'never_used' THEN 'not instrumented' ELSE staleness_status END AS staleness_status FROM {_ITEMS}")
+def _(t):
+    return K.staleness_view(_items(t))
+
+
+@query("a68_staleness_counts", f"SELECT CASE WHEN staleness_status = 'never_used' THEN 'not instrumented' ELSE staleness_status END AS staleness_status, count(*) AS n FROM {_ITEMS} WHERE item_type = 'hook' GROUP BY 1")
+def _(t):
+    return K.staleness_counts(K.staleness_view(_items(t), "hook"))
+
+
+# recurring findings ---------------------------------------------------------
+
+_F2 = "(SELECT job_id, severity, substr(project, 1, 4) AS primary_file, substr(problem_text, 1, 60) AS problem_text, reviewed_at FROM findings WHERE reviewed_at >= (SELECT max(reviewed_at) FROM findings) - INTERVAL 30 DAY)"
+_HASH = r"md5(concat(severity, chr(31), primary_file, chr(31), array_to_string(string_split(trim(regexp_replace(problem_text, '[\t\n\v\f\r ]+', ' ', 'g')), ' ')[1:12], ' ')))"
+_COLLAPSE = f"""f AS (SELECT *, {_HASH} AS h FROM {_F2}), tk AS (SELECT *, {_TOKENS.replace("text", "problem_text")} AS tok FROM f),
+e AS (SELECT DISTINCT a.h AS a, b.h AS b FROM tk a JOIN tk b ON a.severity = b.severity AND a.primary_file = b.primary_file
+ WHERE CASE WHEN len(a.tok) = 0 OR len(b.tok) = 0 THEN len(a.tok) = len(b.tok) ELSE len(list_intersect(a.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(a.tok, b.tok))) >= 0.6 END),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),
+seen AS (SELECT h, min(reviewed_at) AS at FROM f GROUP BY h),
+canon AS (SELECT r.a AS h, arg_min(r.b, (s.at, r.b)) AS c FROM reach r JOIN seen s ON s.h = r.b GROUP BY r.a),
+col AS (SELECT f.*, canon.c AS content_hash FROM f JOIN canon USING (h))"""
+
+
+def _findings(t):
+    last = F.broadcast(t("findings").agg(F.max("reviewed_at").alias("l")))
+    f = t("findings").join(last, F.col("reviewed_at") >= F.col("l") - F.expr("INTERVAL 30 DAYS"), "left_semi")
+    return f.select("job_id", "severity", F.substring("project", 1, 4).alias("primary_file"), F.substring("problem_text", 1, 60).alias("problem_text"), "reviewed_at")
+
+
+@query("u13_near_duplicate_collapse", f"WITH RECURSIVE {_COLLAPSE} SELECT job_id, content_hash FROM col")
+def _(t):
+    f = _findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
+    return L.collapse(f).select("job_id", "content_hash")
+
+
+_RUNS = "runs AS (SELECT ts AS started_at, concat('c', CAST(event_id % 50 AS STRING)) AS commit_sha, value AS cost FROM events WHERE event_type IN ('error', 'purchase'))"
+_CYCLES = f"""p AS (SELECT content_hash, reviewed_at AS a, lead(reviewed_at) OVER w AS b, row_number() OVER w AS i FROM col WINDOW w AS (PARTITION BY content_hash ORDER BY reviewed_at, job_id)),
+cy AS (SELECT content_hash, count(DISTINCT i) AS cycles, string_agg(DISTINCT commit_sha, ',' ORDER BY commit_sha) AS fix_commit_shas, round(sum(cost), 6) AS wasted FROM p JOIN runs ON started_at BETWEEN a AND b WHERE b IS NOT NULL GROUP BY content_hash HAVING count(DISTINCT i) >= 3)"""
+
+
+def _runs(t):
+    kind = F.when(F.col("event_type").isin("error", "purchase"), "fixer").otherwise("reader")
+    return t("events").select(kind.alias("agent_type"), F.col("ts").cast("timestamp").alias("started_at"), F.concat(F.lit("c"), (F.col("event_id") % 50).cast("string")).alias("commit_sha"), F.col("value").alias("total_cost_usd"))
+
+
+@query("j13_fix_cycles", f"WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_CYCLES} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
+def _(t):
+    f = L.collapse(_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")))
+    return L.cycles(f, _runs(t)).where(F.col("cycles") >= 3)
+
+
+@query("u12_detect_loops", f"""
+WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_CYCLES}
+SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(problem_text, (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
+ any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash""")
+def _(t):
+    out = L.detect_loops(_findings(t), _runs(t))
+    return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
+
+
+@query("j14_blocklist_matches", f"""
+WITH d AS (SELECT doc_id, source, substr(text, 1, 60) AS text FROM documents), k AS (SELECT doc_id, source, {_TOKENS} AS tok FROM d), p AS (SELECT * FROM k WHERE doc_id % 2 = 0), b AS (SELECT * FROM k WHERE doc_id % 5 = 1)
+SELECT DISTINCT p.doc_id AS prompt_id, md5(CAST(b.doc_id AS STRING)) AS content_hash FROM p JOIN b ON (p.doc_id % 50 = 0 AND b.source = p.source) OR
+ CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END""")
+def _(t):
+    d = t("documents").select("doc_id", "source", F.substring("text", 1, 60).alias("text"))
+    prompts = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("prompt_id"), "text", F.when(F.col("doc_id") % 50 == 0, F.array("source")).alias("files"))
+    block = d.where("doc_id % 5 = 1").select(F.md5(F.col("doc_id").cast("string")).alias("content_hash"), F.col("source").alias("primary_file"), F.col("text").alias("summary"))
+    return J.blocklist_matches(prompts, block)

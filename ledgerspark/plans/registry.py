@@ -55,7 +55,10 @@ def with_views(sql: str) -> str:
         return sql
     ctes = ", ".join(f"{v} AS ({VIEWS[v](DUCK)})" for v in need)
     body = sql.strip()
-    return f"WITH {ctes}, {body[4:].strip()}" if body[:5].upper() == "WITH " else f"WITH {ctes} {body}"
+    for head in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(head):
+            return f"{head}{ctes}, {body[len(head):].strip()}"
+    return f"WITH {ctes} {body}"
 
 
 def _load() -> None:

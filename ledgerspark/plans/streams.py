@@ -1 +1,74 @@
-"""Queries."""
+"""Streaming queries X-01..X-05: available-now runs over files that Spark derives from the tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ledgerspark import schemas as S
+from ledgerspark.functions.columns import micros
+from ledgerspark.operators import sinks
+from ledgerspark.operators.lineage import shared_dir
+from ledgerspark.plans import files, merges
+from ledgerspark.plans.registry import query
+from ledgerspark.streaming import drains
+
+
+def _folder(t, name: str) -> str:
+    return f"{shared_dir(t.spark)}/streams/{name}-{uuid.uuid4().hex}"
+
+
+def _run(q) -> None:
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+@query("x01_drain_sessions", f"SELECT session_id, value AS duration_min FROM {merges._last('session_id', 'true', 'event_id % 3 = 0 AND session_id IS NOT NULL')}")
+def _(t):
+    lines, root, marks = (_folder(t, x) for x in ("events", "store", "marks"))
+    merges.staged(t, "true").select("value").coalesce(1).sortWithinPartitions(F.get_json_object("value", "$.ts")).write.text(lines)
+    for _round in range(2):  # the second run finds nothing new
+        _run(drains.drain(t.spark, lines, root, marks, merges.NOW))
+    return sinks.read_table(t.spark, f"{root}/sessions", S.SESSIONS).select("session_id", "duration_min")
+
+
+@query("x02_streaming_distinct", "SELECT user_id, event_type FROM events GROUP BY 1, 2")
+def _(t):
+    src, out, marks = (_folder(t, x) for x in ("src", "out", "marks"))
+    rows = t("events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    rows.write.parquet(src)
+    stream = t.spark.readStream.schema(rows.schema).parquet(src)
+    q = drains.distinct_events(stream, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type")
+    _run(q.writeStream.format("parquet").option("path", out).option("checkpointLocation", marks).trigger(availableNow=True).start())
+    return t.spark.read.parquet(out)
+
+
+@query("x04_streaming_blocks", """
+SELECT epoch_us(date_trunc('day', ts) + to_hours(CAST(hour(ts) // 5 * 5 AS INT))) AS block_us, sum(total_tokens) AS tokens, round(sum(cost), 6) AS cost, count(*) AS n FROM usage GROUP BY 1""")
+def _(t):
+    src, out, marks = (_folder(t, x) for x in ("src", "out", "marks"))
+    rows = t("usage").select(F.col("ts").cast("timestamp").alias("ts"), "total_tokens", "cost")
+    rows.repartition(4).write.parquet(src)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
+
+    def keep(df, batch: int) -> None:
+        df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{out}/b={batch}")
+
+    _run(drains.usage_blocks(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", marks).trigger(availableNow=True).start())
+    from ledgerspark.operators.gitlog import last_per_key
+
+    last = last_per_key(t.spark.read.parquet(f"{out}/b=*"), ["block_start"], ["batch"])
+    return last.select(micros("block_start").alias("block_us"), "tokens", F.round("cost", 6).alias("cost"), "n")
+
+
+@query("x05_log_tail", """
+SELECT concat(substr(md5(CAST(user_id AS STRING)), 1, 8), '-0000-0000-0000-000000000000') AS thread_id, event_type AS model, count(*) AS n_turns, sum(event_id) AS total_tokens, epoch_us(date_trunc('second', min(ts))) AS first_us
+FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0 GROUP BY 1, 2""")
+def _(t):
+    logs, table, marks = (_folder(t, x) for x in ("logs", "rollup", "marks"))
+    files._turn_lines(t).repartition(4).write.text(logs)
+    _run(drains.tail_turns(t.spark, logs, table, marks, files_per_batch=2))
+    out = sinks.read_table(t.spark, table, "thread_id string, model string, n_turns bigint, total_tokens bigint, first_at timestamp")
+    return out.select("thread_id", "model", "n_turns", "total_tokens", micros("first_at").alias("first_us"))
