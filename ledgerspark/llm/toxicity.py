@@ -95,8 +95,8 @@ def _listed(kept: np.ndarray):
             lists: list = []
             for at, end, rows, buckets in _pairs(batch.column(0), wanted):
                 cut = np.searchsorted(rows, np.arange(end - at + 1))
-                lists += [buckets[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int64()))], names=["toxic", "buckets"])
+                lists += [buckets[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["toxic", "buckets"])
 
     return run
 
@@ -161,13 +161,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     kept = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
     ratio = np.log((t[kept] + 1) / (toxic + 2)) - np.log((c[kept] + 1) / (clean + 2))
     buckets = sums["bucket"].to_numpy()[kept]
-    listed = sample.mapInArrow(_listed(buckets), "toxic long, buckets array<long>").toPandas()
+    listed = sample.mapInArrow(_listed(buckets), "toxic long, buckets array<int>").toPandas()
     y = listed["toxic"].to_numpy(float)
-    lists = [np.asarray(x, np.int64) for x in listed["buckets"]]
-    place = np.zeros(1 << TABLE_BITS, np.int64)
+    lists = [np.asarray(x, np.int32) for x in listed["buckets"]]
+    del listed, sums, c, t, have, chi
+    place = np.zeros(1 << TABLE_BITS, np.int32)
     place[buckets] = np.arange(len(buckets))
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    cols = place[np.concatenate(lists)] if lists else np.zeros(0, np.int64)
+    rows = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
+    cols = place[np.concatenate(lists)] if lists else np.zeros(0, np.int32)
+    del lists
     w, b = _logistic(rows, cols, ratio[cols], y, len(buckets))
     weights[buckets] = w * ratio
     return Model(weights, float(b))
