@@ -234,6 +234,11 @@ def _(t):
     return t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.round(C.ratio("l_extendedprice", "l_tax"), 4).alias("by_tax"), F.round(C.ratio1("l_quantity", F.col("l_linenumber") - 3), 6).alias("guarded"), F.floor(F.col("l_discount") * 100 + 0.5).alias("pct"))
 
 
+@query("f11_conditionals", "SELECT event_id, coalesce(CASE WHEN value > 100 THEN 'high' WHEN value > 10 THEN 'mid' END, event_type) AS label FROM events")
+def _(t):
+    return t("events").select("event_id", F.coalesce(F.when(F.col("value") > 100, "high").when(F.col("value") > 10, "mid"), "event_type").alias("label"))
+
+
 @query("f12_arrays", """
 WITH g AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS kinds FROM events GROUP BY user_id) SELECT user_id, len(kinds) AS n, array_to_string(list_sort(list_distinct(list_concat(kinds, ['x', 'view']))), ',') AS more, kinds[1] AS first FROM g""")
 def _(t):
