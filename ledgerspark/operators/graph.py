@@ -17,6 +17,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One star step on edges with u > v: neighbours move to the smallest one."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+    least = stage(least, "least")  # read as a table of its own, so that a join at a hub may be split
     moved = both.join(least, "u")
     if large:
         out = moved.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
