@@ -80,7 +80,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     period = pfair_period(shares)
     plan = docs.sparkSession.createDataFrame(
         [(p, k, shares[p], r, d, s) for p, k, r, d, s in period] or [("", 0, 1, 0, 0, 0)],
-        "p_pool string, k long, share long, r long, d long, s long",
+        "__of string, __turn_k long, __w long, __r long, __d long, __s long",
     )
     slot_of = {(p, k): s for p, k, _, _, s in period}
     horizon = None
@@ -92,9 +92,9 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     for p, w in shares.items():
         share = F.when(F.col("pool") == p, F.lit(w).cast("long")).otherwise(share)
     rows = rows.withColumn("__share", share).withColumns({"__turn": F.floor(F.col("block") / F.col("__share")).cast("long"), "__k": F.col("block") % F.col("__share")})
-    rows = rows.join(F.broadcast(plan), (F.col("pool") == F.col("p_pool")) & (F.col("__k") == F.col("k")), "left")
+    rows = rows.join(F.broadcast(plan), (F.col("pool") == F.col("__of")) & (F.col("__k") == F.col("__turn_k")), "left")
     at = F.col("__turn") * length
-    rows = rows.withColumns({"slot": at + F.col("s"), "release": at + F.col("r"), "deadline": at + F.col("d")})
+    rows = rows.withColumns({"slot": at + F.col("__s"), "release": at + F.col("__r"), "deadline": at + F.col("__d")})
     rows = rows.withColumn("balanced", F.coalesce(F.col("slot") < F.lit(horizon or 0), F.lit(False)))
     return rows.select(*docs.columns, *added)
 

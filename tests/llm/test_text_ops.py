@@ -16,7 +16,7 @@ from ledgerspark.llm import url_filter as U
 
 
 def docs_of(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, text string, source string, slot string, `n` int, `count` int")
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, slot string, k int, `count` int")
 
 
 def some_docs(n=600, seed=1):
