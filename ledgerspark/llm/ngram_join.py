@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.graph import connected_components
@@ -16,7 +17,7 @@ from ledgerspark.operators.lineage import stage
 #: Multipliers of the token orders: order k sorts tokens by token * ORDERS[k] mod 2**64.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Tokens held by more sets than this count as frequent: their lists are not paired.
-LIST_SETS = 16
+LIST_SETS = 8
 #: Postings that one range of tokens should hold.
 RANGE_POSTINGS = 500_000
 #: A block of sets that one task compares holds at most so many sets and tokens.
@@ -55,9 +56,17 @@ def _key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes(), 1) >> 1
 
 
-def spare(size: np.ndarray | int):
-    """Tokens by which prefixes are longer than the shortest valid ones: so many must be shared."""
-    return size // 40 + 2
+def spare(size: int) -> int:
+    """Tokens by which prefixes are longer than the shortest valid ones: so many must be shared.
+
+    The more there are, the larger a part of a set must be frequent tokens
+    before these alone could make it similar to another.
+    """
+    return size // 40 + min(size, 40) + 2
+
+
+def _spare(size: Column) -> Column:
+    return F.floor(size / 40) + F.least(size, F.lit(40)) + 2
 
 
 def prefix_size(size: int, percent: int) -> int:
@@ -70,8 +79,9 @@ def _sets(n: int, percent: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shift = WordHashes(), np.uint64(64 - max(1, (ranges - 1).bit_length()))
+        step = math.log(100 / percent)
         for batch in batches:
-            keys, sizes, post = [], [], [([], []) for _ in ORDERS]
+            keys, sizes, post = [], [], [([], [], []) for _ in ORDERS]
             for at in range(0, batch.num_rows, 256):
                 for text in batch.column(1).slice(at, 256).to_pylist():
                     tokens = shingles(text, words, n)
@@ -81,57 +91,66 @@ def _sets(n: int, percent: int, ranges: int):
                     if not len(tokens):
                         continue
                     p = prefix_size(len(tokens), percent)
-                    for m, (ts, ks) in zip(ORDERS, post, strict=True):
+                    like = int(math.log(len(tokens)) / step)
+                    for m, (ts, ks, cs) in zip(ORDERS, post, strict=True):
                         order = tokens * np.uint64(m)
                         ts.append(np.partition(order, p - 1)[:p] if p < len(order) else order)
                         ks.append(np.full(p, key, np.uint64))
-            columns = [[None] * len(keys), [None] * len(keys), batch.column(0).to_pylist(), keys, sizes, [None] * len(keys), [None] * len(keys)]
-            for k, (ts, ks) in enumerate(post):
+                        cs.append(np.full(p, like, np.uint16))
+            none = [None] * len(keys)
+            columns = [[*none], [*none], batch.column(0).to_pylist(), keys, sizes, [*none], [*none], [*none]]
+            for k, (ts, ks, cs) in enumerate(post):
                 if not ts:
                     continue
-                t, owner = np.concatenate(ts), np.concatenate(ks)
+                t, owner, like = np.concatenate(ts), np.concatenate(ks), np.concatenate(cs)
                 # a prefix keeps the smallest numbers of its order: ranges are dealt by the other bits
                 where = (t * np.uint64(0xFF51AFD7ED558CCD)) >> shift
                 by = np.argsort(where, kind="stable")
-                t, owner, where = t[by], owner[by], where[by]
+                t, owner, like, where = t[by], owner[by], like[by], where[by]
                 cuts = np.flatnonzero(np.diff(where)) + 1
-                for part_t, part_o, r in zip(np.split(t, cuts), np.split(owner, cuts), where[np.append(0, cuts)].tolist(), strict=True):
-                    for column, value in zip(columns, (k, r, None, None, None, part_t.tobytes(), part_o.tobytes()), strict=True):
+                for part_t, part_o, part_l, r in zip(np.split(t, cuts), np.split(owner, cuts), np.split(like, cuts), where[np.append(0, cuts)].tolist(), strict=True):
+                    for column, value in zip(columns, (k, r, None, None, None, part_t.tobytes(), part_o.tobytes(), part_l.tobytes()), strict=True):
                         column.append(value)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["ord", "range", "id", "key", "size", "tokens", "owners"])
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["ord", "range", "id", "key", "size", "tokens", "owners", "likes"])
 
     return run
 
 
-def _runs(tokens: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (token, owner) sorted, and the start and length of each token's list."""
+def _runs(tokens: np.ndarray, owners: np.ndarray, likes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (token, owner) sorted, the owners' size classes, and each token's list: start and length."""
     by = np.lexsort((owners, tokens))
-    tokens, owners = tokens[by], owners[by]
+    tokens, owners, likes = tokens[by], owners[by], likes[by]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-    tokens, owners = tokens[new], owners[new]
+    tokens, owners, likes = tokens[new], owners[new], likes[new]
     first = np.ones(len(tokens), bool)
     first[1:] = tokens[1:] != tokens[:-1]
     start = np.flatnonzero(first)
-    return tokens, owners, start, np.diff(np.append(start, len(tokens)))
+    return tokens, owners, likes, start, np.diff(np.append(start, len(tokens)))
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of sets that share tokens of short lists, with how many; postings of frequent tokens."""
-    now, tokens, owners = None, [], []
+    """Pairs of sets that share tokens of short lists, with how many; postings of frequent tokens.
+
+    Similar sets are of the same size class or of neighbouring ones: other pairs
+    are never made.
+    """
+    now, tokens, owners, likes = None, [], [], []
     names = ["ord", "a", "b", "shared", "token"]
 
     def close() -> pa.RecordBatch:
-        t, o, start, size = _runs(np.concatenate(tokens), np.concatenate(owners))
+        t, o, like, start, size = _runs(np.concatenate(tokens), np.concatenate(owners), np.concatenate(likes))
         a, b = [], []
         for d in range(2, LIST_SETS + 1):
             at = start[size == d]
             if len(at):
-                lists = o[at[:, None] + np.arange(d)]
+                spots = at[:, None] + np.arange(d)
                 i, j = np.triu_indices(d, 1)
-                a.append(lists[:, i].ravel())
-                b.append(lists[:, j].ravel())
+                i, j = spots[:, i].ravel(), spots[:, j].ravel()
+                near = np.abs(like[i].astype(np.int32) - like[j]) <= 1
+                a.append(o[i[near]])
+                b.append(o[j[near]])
         a = np.concatenate(a) if a else np.zeros(0, np.uint64)
         b = np.concatenate(b) if b else np.zeros(0, np.uint64)
         by = np.lexsort((b, a))
@@ -156,13 +175,14 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for key, t, o in zip(zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for key, t, o, c in zip(zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True), *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
             if key != now:
                 if tokens:
                     yield close()
-                now, tokens, owners = key, [], []
+                now, tokens, owners, likes = key, [], [], []
             tokens.append(np.frombuffer(t, np.uint64))
             owners.append(np.frombuffer(o, np.uint64))
+            likes.append(np.frombuffer(c, np.uint16))
     if tokens:
         yield close()
 
@@ -225,7 +245,8 @@ def _linked(percent: int):
         both = overlaps(sets).astype(np.float64)
         near = 100 * both >= percent * (size[:, None] + size[None, :] - both)
         np.fill_diagonal(near, False)
-        left, out = np.ones(len(keys), bool), []
+        left: np.ndarray = np.ones(len(keys), bool)
+        out: list[tuple[int, int]] = []
         for root in range(len(keys)):
             if not left[root]:
                 continue
@@ -242,7 +263,7 @@ def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, keys, sets, out = None, [], [], []
         for batch in batches:
-            for group, key, tokens in zip(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for group, key, tokens in zip(zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 if group != now:
                     out += trees(keys, sets) if len(keys) > 1 else []
                     now, keys, sets = group, [], []
@@ -282,10 +303,10 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     expected = n_docs * prefix_size(600, percent) * len(ORDERS)  # for texts of about 600 words; only the ranges' size depends on it
     while ranges * RANGE_POSTINGS < expected:
         ranges *= 2
-    schema = "ord int, range long, id long, key long, size long, tokens binary, owners binary"
+    schema = "ord int, range long, id long, key long, size long, tokens binary, owners binary, likes binary"
     made = stage(src.mapInArrow(_sets(words, percent, ranges), schema), "shingles")
     members = made.where(F.col("ord").isNull()).select("id", "key", "size")
-    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners").repartition(ranges, "ord", "range").sortWithinPartitions("ord", "range")
+    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "likes").repartition(ranges, "ord", "range").sortWithinPartitions("ord", "range")
     met = stage(dealt.mapInArrow(_met, "ord int, a long, b long, shared long, token long"), "met")
 
     sizes = stage(members.where(F.col("size") > 0).groupBy("key").agg(F.max("size").alias("size"), F.min("id").alias("least")), "sets")
@@ -303,31 +324,43 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     enough = 100 * small >= percent * large
     for k in range(len(ORDERS)):
         might = F.least(F.coalesce(f"a_f{k}", F.lit(0)), F.coalesce(f"b_f{k}", F.lit(0)))
-        enough = enough & (F.col(f"c{k}") + might >= F.least(F.floor(small / 40) + 2, small))
+        enough = enough & (F.col(f"c{k}") + might >= F.least(_spare(small), F.ceil(large * percent / 100)))
     edges = pairs.where(enough).select("a", "b")
 
     # sets that frequent tokens alone could join: one star per frequent token
     partner = F.ceil(F.col("size") * percent / 100)  # the smallest set that could still be similar
     full = F.lit(True)
     for k in range(len(ORDERS)):
-        full = full & (F.col(f"f{k}") >= F.least(F.floor(partner / 40) + 2, partner))
+        full = full & (F.col(f"f{k}") >= F.least(_spare(partner), partner))
     hot = frequent.where(F.col("ord") == 0).join(counts.where(full).select("a"), "a", "left_semi").select("token", "a")
-    heads = hot.groupBy("token").agg(F.min("a").alias("head"))
+    heads = stage(hot.groupBy("token").agg(F.min("a").alias("head")), "heads")  # a table of its own: the join may split a hot token
     stars = hot.join(heads, "token").where(F.col("a") != F.col("head")).select("a", F.col("head").alias("b")).distinct()
     families = stage(connected_components(edges.union(stars), "a", "b"), "families")
 
-    # each set of a family once, with its tokens; large families in pairs of blocks
-    held = families.join(sizes, F.col("node") == F.col("key"))
-    extent = held.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("t"))
-    extent = extent.select(F.col("component").alias("family"), F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_TOKENS)).cast("int").alias("blocks"))
-    named = stage(held.join(extent, F.col("component") == F.col("family")).select("family", "blocks", "key", "least"), "held")
-    if named.count() <= 1_000_000:
-        named = F.broadcast(named)  # at most 1,000,000 rows of 28 bytes; beyond it the texts are shuffled
+    # each set of a family once, with its tokens; large families in pairs of blocks of like sizes
+    held = families.join(sizes, F.col("node") == F.col("key")).select(F.col("component").alias("family"), "key", "least", "size")
+    held = stage(held.withColumn("class", F.floor(F.log(F.col("size")) / math.log(100 / percent)).cast("int")), "held")
+    room = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).cast("int")
+    whole = held.groupBy("family").agg(room.alias("blocks"))
+    parts = held.groupBy("family", "class").agg(room.alias("parts")).join(whole.where(F.col("blocks") > 1), "family", "left_semi")
+    held = held.join(whole, "family").withColumn("class", F.when(F.col("blocks") > 1, F.col("class")).otherwise(0))
+    near = parts.select(F.col("family").alias("f"), F.col("class").alias("c"), "parts")
+    met_in = held.where(F.col("blocks") > 1).withColumn("c", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
+    met_in = met_in.join(near, (F.col("family") == F.col("f")) & (met_in["c"] == near["c"])).select("family", "key", "least", "class", near["c"].alias("c"), "parts")
+    own = met_in.where(F.col("c") == F.col("class")).select(F.col("key").alias("k"), F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"))
+    met_in = met_in.join(own, F.col("key") == F.col("k")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    mine, other = F.struct(F.col("class"), F.col("part")), F.struct(F.col("c").alias("class"), F.col("q").alias("part"))
+    met_in = met_in.select("family", "key", "least", F.concat_ws("/", F.least(mine, other)["class"], F.least(mine, other)["part"], F.greatest(mine, other)["class"], F.greatest(mine, other)["part"]).alias("block"))
+    met_in = met_in.groupBy("family", "key", "least").agg(F.collect_set("block").alias("blocks"))  # one entry per block of like sizes
+    plain = held.where(F.col("blocks") == 1).select("family", "key", "least", F.array(F.lit("0")).alias("blocks"))
+    named = stage(plain.unionByName(met_in), "named")
+    reach = named.agg(F.sum(F.size("blocks") + 4)).first()[0] or 0
+    if reach <= 4_000_000:
+        named = F.broadcast(named)  # a checked size, under 100 MB; beyond it the texts are shuffled
     texts = src.where(F.col("id").isNotNull()).join(named, F.col("id") == F.col("least")).select("family", "blocks", "key", "text")
-    tokens = texts.mapInArrow(_with_tokens(words), "family long, blocks int, key long, tokens binary")
-    tokens = tokens.withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tokens = tokens.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key", "tokens")
-    grouped = tokens.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
+    tokens = texts.mapInArrow(_with_tokens(words), "family long, blocks array<string>, key long, tokens binary")
+    tokens = tokens.select("family", F.explode("blocks").alias("block"), "key", "tokens")
+    grouped = tokens.repartition("family", "block").sortWithinPartitions("family", "block")
     links = stage(grouped.mapInArrow(_linked(percent), "a long, b long"), "links")
 
     comp = connected_components(links, "a", "b")
