@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import exact_dedup, html_text, mixing, ngram_join, packing, sharding, token_counts, toxicity, url_filter, vector_dedup
+from ledgerspark.llm import exact_dedup, html_text, mixing, ngram_join, oracles, packing, sharding, token_counts, toxicity, url_filter, vector_dedup
 
 #: Production targets in thousandths: the largest source is held to 16 %.
 TARGETS = {"src0": 164} | {f"src{i}": 44 for i in range(1, 20)}
@@ -85,5 +85,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.ORACLE,
         "op7_mixing": mixing.mixing_oracle(TARGETS, BLOCK_BYTES),
+        "op8_vector_dedup": oracles.NEAR_VECTORS,
         "op9_url_filter": url_filter.url_oracle(URL_RULES),
+        "op10_ngram_join": oracles.NGRAM_JOIN,
     }
