@@ -18,8 +18,10 @@ from ledgerspark.operators.lineage import stage
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 #: Tokens held by more sets than this count as frequent: their lists are not paired.
 LIST_SETS = 8
-#: Postings that one range of tokens should hold.
-RANGE_POSTINGS = 500_000
+#: Postings that one range of tokens should hold: with fewer, a set is named in more rows of the exchange.
+RANGE_POSTINGS = 2_000_000
+#: Sets whose sizes and counts are broadcast at most, at about 40 bytes each; with more, pairs are shuffled to them.
+BROADCAST_SETS = 500_000
 #: A block of sets that one task compares holds at most so many sets and tokens.
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1_000_000
 _REMEMBERED = 500_000
@@ -299,7 +301,7 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     """
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     n_docs = docs.count()
-    ranges = 16
+    ranges = 32
     expected = n_docs * prefix_size(600, percent) * len(ORDERS)  # for texts of about 600 words; only the ranges' size depends on it
     while ranges * RANGE_POSTINGS < expected:
         ranges *= 2
@@ -310,16 +312,17 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     met = stage(dealt.mapInArrow(_met, "ord int, a long, b long, shared long, token long"), "met")
 
     sizes = stage(members.where(F.col("size") > 0).groupBy("key").agg(F.max("size").alias("size"), F.min("id").alias("least")), "sets")
+    few = (lambda df: F.broadcast(df)) if sizes.count() <= BROADCAST_SETS else (lambda df: df)
     frequent = met.where(F.col("token").isNotNull())
     counts = frequent.groupBy("a").agg(*(F.count_if(F.col("ord") == k).alias(f"f{k}") for k in range(len(ORDERS))))
-    counts = stage(counts.join(sizes, F.col("a") == F.col("key")).select("a", "size", *(f"f{k}" for k in range(len(ORDERS)))), "frequent")
+    counts = stage(counts.join(few(sizes), F.col("a") == F.col("key")).select("a", "size", *(f"f{k}" for k in range(len(ORDERS)))), "frequent")
 
     # pairs: shared tokens under each order, and what frequent tokens could add
     pairs = met.where(F.col("token").isNull()).groupBy("a", "b").agg(*(F.sum(F.when(F.col("ord") == k, F.col("shared")).otherwise(0)).alias(f"c{k}") for k in range(len(ORDERS))))
     side = lambda s: sizes.select(F.col("key").alias(s), F.col("size").alias(f"{s}_size")).join(
-        counts.select(F.col("a").alias("k"), *(F.col(f"f{k}").alias(f"{s}_f{k}") for k in range(len(ORDERS)))), F.col(s) == F.col("k"), "left"
+        few(counts.select(F.col("a").alias("k"), *(F.col(f"f{k}").alias(f"{s}_f{k}") for k in range(len(ORDERS))))), F.col(s) == F.col("k"), "left"
     ).drop("k")
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    pairs = pairs.join(few(side("a")), "a").join(few(side("b")), "b")
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
     enough = 100 * small >= percent * large
     for k in range(len(ORDERS)):
