@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from ledgerspark.operators.lineage import stage
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WILD = "*"
 POOLED = "~"
-#: Rules are one `when` each: a plan that grows with the parameter, not with the data.
+#: Levels that the SQL twin spells out; it holds for tables without longer paths and with few repeated ones.
 DEPTH = 4
 MIN_VALUES, MIN_VARIETY = 8, 0.3
 CLOSE = 1.96
@@ -29,6 +31,7 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest (host, path, verdict) rule that fits; NULL where none does."""
+    # one `when` a rule: a plan that grows with the parameter, not with the data
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for h, p, v in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
@@ -37,33 +40,40 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
 
 
 def template_tree(paths: DataFrame) -> DataFrame:
-    """Templates of (host, path, n, bad, good) rows, which are distinct by host and path.
-
-    Segments are taken level by level.  Below one branch of a host, a level of
-    at least MIN_VALUES different segments that also make up MIN_VARIETY of its
-    rows is variable and becomes the wildcard.  Fixed siblings whose labelled
-    shares of bad rows differ from their parent's by less than CLOSE standard
-    errors are merged into one branch ``~``.  Paths beyond DEPTH segments end
-    in a wildcard.
+    """Templates of (host, path, bad, good) rows, which are distinct by host and path.
+
+    Segments are taken level by level until no path has a further one.  Below
+    one branch of a host, a level of at least MIN_VALUES different segments that
+    also make up MIN_VARIETY of its paths is variable and becomes the wildcard;
+    how often a path is repeated has no say in it.  Fixed siblings whose
+    labelled shares of bad rows differ from their parent's by less than CLOSE
+    standard errors are merged into one branch ``~``.  A path that is alone in
+    its branch takes all its further segments at once, as each level would.
     """
     seg = F.split(F.substring("path", 2, 1 << 30), "/")
     tree = paths.withColumns({"segs": seg, "template": F.lit("")})
-    for d in range(DEPTH):
+    done, d = [], 0
+    while True:
         tree = tree.withColumn("seg", F.get("segs", F.lit(d)))
-        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "good")))
-        branch = values.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("rows"), F.sum("bad").alias("pb"), F.sum(F.col("bad") + F.col("good")).alias("pl"))
+        labels = [F.sum(c).alias(c) for c in ("bad", "good")]
+        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), *labels)
+        branch = values.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("below"), F.sum("bad").alias("pb"), F.sum(F.col("bad") + F.col("good")).alias("pl"))
         nodes = values.join(branch, ["host", "template"])
-        variable = (F.col("kinds") >= MIN_VALUES) & (F.col("kinds") >= MIN_VARIETY * F.col("rows"))
+        variable = (F.col("kinds") >= MIN_VALUES) & (F.col("kinds") >= MIN_VARIETY * F.col("below"))
         mine, share = F.col("bad") + F.col("good"), F.col("pb") / F.col("pl")
         spread = F.sqrt(share * (1 - share) * (1 / mine + 1 / F.col("pl")))
         close = (mine > 0) & (F.abs(F.col("bad") / mine - share) <= CLOSE * spread)
         step = F.when(variable, F.lit(WILD)).when(F.coalesce(close, F.lit(False)) & (F.col("kinds") > 1), F.lit(POOLED)).otherwise(F.col("seg"))
-        nodes = nodes.select("host", "template", "seg", step.alias("step"))
+        nodes = nodes.select("host", "template", "seg", step.alias("step"), (F.col("below") == 1).alias("alone"))
         tree = tree.join(nodes, ["host", "template", "seg"], "left")
-        tree = tree.withColumn("template", F.when(F.col("step").isNotNull(), F.concat("template", F.lit("/"), "step")).otherwise(F.col("template"))).drop("seg", "step")
+        step = F.when(F.col("alone"), F.array_join(F.slice("segs", d + 1, F.size("segs")), "/")).otherwise(F.col("step"))
+        tree = tree.withColumn("template", F.when(F.col("step").isNotNull(), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
+        tree = tree.withColumn("open", ~F.coalesce("alone", F.lit(True)) & (F.size("segs") > d + 1)).drop("seg", "step", "alone")
         tree = stage(tree, "templates")  # read twice by the next level
-    longer = F.size("segs") > DEPTH
-    return tree.withColumn("template", F.when(longer, F.concat("template", F.lit("/" + WILD))).otherwise(F.col("template"))).drop("segs")
+        done.append(tree.where(~F.col("open")).drop("segs", "open"))
+        tree, d = tree.where("open").drop("open"), d + 1
+        if tree.isEmpty():
+            return reduce(DataFrame.unionByName, done)
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -76,14 +86,13 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     at REJECT or more it is blocked.  NULL urls and those without ``://`` have
     empty host and path and are judged like others; repeated rows and NULL ids
     stay; other columns are ignored.  All joins run on distinct (host, path)
-    pairs with their counts, never on the rows of a host.
+    pairs with their labels, never on the rows of a host.
     """
     host, path = url_parts(F.col(url_col))
     rows = pages.select(F.col(id_col).alias(id_col), host.alias("host"), path.alias("path"))
     rule, verdict = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "ruled": verdict})
     counted = rows.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("ruled") == "block").alias("bad"),
         F.count_if(F.col("ruled") == "allow").alias("good"),
     )

@@ -168,6 +168,25 @@ def test_url_templates_learn_from_ruled_rows(spark):
     assert empty.collect() == []
 
 
+def test_url_templates_do_not_change_by_repeated_rows(spark):
+    rules = [("h.com", f"/spam/{d}", "block") for d in "123"] + [("h.com", f"/news/{d}", "allow") for d in "123"]
+    paths = [f"/{kind}/{i}" for kind in ("spam", "news") for i in range(40)]
+    for copies in (1, 4):
+        rows = [(k, f"http://h.com{p}?page={k}") for p in paths for k in range(copies)]
+        got = {(r["path"], r["template"], r["verdict"]) for r in U.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+        assert {(t, v) for p, t, v in got if p.startswith("/spam/")} == {("/spam/*", "block")}
+        assert {(t, v) for p, t, v in got if p.startswith("/news/")} == {("/news/*", "allow")}
+
+
+def test_url_templates_take_all_segments(spark):
+    rules = [("h.com", f"/a/b/c/d/spam/{d}", "block") for d in "123"] + [("h.com", f"/a/b/c/d/news/{d}", "allow") for d in "123"]
+    urls = [f"http://h.com/a/b/c/d/{kind}/{i}" for kind in ("spam", "news") for i in range(40)] + ["http://h.com/a/alone/" + "x/" * 300]
+    got = {r["path"]: (r["template"], r["verdict"]) for r in U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert len(got) == len(urls)
+    assert got["/a/b/c/d/spam/5"] == ("/a/~/c/d/spam/*", "block") and got["/a/b/c/d/news/5"] == ("/a/~/c/d/news/*", "allow")
+    assert got["/a/alone/" + "x/" * 300][0] == "/a/alone/" + "x/" * 300
+
+
 def toxic_tables(spark):
     rng = random.Random(5)
     words = [a + b for a in ("ba", "do", "ke", "li", "mu", "ta") for b in ("ra", "so", "ne", "vi")]
