@@ -101,6 +101,21 @@ def _(t):
     return L.collapse(f).select("job_id", "content_hash")
 
 
+# The same over all findings, with their whole texts and projects.
+_ALL = "(SELECT job_id, severity, project AS primary_file, problem_text, reviewed_at FROM findings)"
+_COLLAPSE_ALL = _COLLAPSE.replace(_F2, _ALL)
+
+
+def _all_findings(t):
+    return t("findings").select("job_id", "severity", F.col("project").alias("primary_file"), "problem_text", "reviewed_at")
+
+
+@query("u13_near_duplicate_collapse_all", f"WITH RECURSIVE {_COLLAPSE_ALL} SELECT job_id, content_hash FROM col")
+def _(t):
+    f = _all_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
+    return L.collapse(f).select("job_id", "content_hash")
+
+
 _RUNS = "runs AS (SELECT ts AS started_at, concat('c', CAST(event_id % 50 AS STRING)) AS commit_sha, value AS cost FROM events WHERE event_type IN ('error', 'purchase'))"
 _CYCLES = f"""p AS (SELECT content_hash, reviewed_at AS a, lead(reviewed_at) OVER w AS b, row_number() OVER w AS i FROM col WINDOW w AS (PARTITION BY content_hash ORDER BY reviewed_at, job_id)),
 cy AS (SELECT content_hash, count(DISTINCT i) AS cycles, string_agg(DISTINCT commit_sha, ',' ORDER BY commit_sha) AS fix_commit_shas, round(sum(cost), 6) AS wasted FROM p JOIN runs ON started_at BETWEEN a AND b WHERE b IS NOT NULL GROUP BY content_hash HAVING count(DISTINCT i) >= 3)"""
@@ -117,6 +132,12 @@ def _(t):
     return L.cycles(f, _runs(t)).where(F.col("cycles") >= 3)
 
 
+@query("j13_fix_cycles_all", f"WITH RECURSIVE {_COLLAPSE_ALL}, {_RUNS}, {_CYCLES} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
+def _(t):
+    f = L.collapse(_all_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")))
+    return L.cycles(f, _runs(t)).where(F.col("cycles") >= 3)
+
+
 @query("u12_detect_loops", f"""
 WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_CYCLES}
 SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(problem_text, (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
@@ -126,6 +147,20 @@ def _(t):
     return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
 
 
+# all findings within 30 days, so that the window of detect_loops keeps them all
+_DENSE = _ALL.replace("reviewed_at FROM", "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + job_id % 720 * INTERVAL 1 HOUR AS reviewed_at FROM")
+
+
+@query("u12_detect_loops_all", f"""
+WITH RECURSIVE {_COLLAPSE.replace(_F2, _DENSE)}, {_RUNS}, {_CYCLES}
+SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(substr(problem_text, 1, 80), (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
+ any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash""")
+def _(t):
+    at = F.expr("CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + job_id % 720 * INTERVAL 1 HOUR")
+    out = L.detect_loops(_all_findings(t).withColumn("reviewed_at", at), _runs(t))
+    return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
+
+
 @query("j14_blocklist_matches", f"""
 WITH d AS (SELECT doc_id, source, substr(text, 1, 60) AS text FROM documents), k AS (SELECT doc_id, source, {_TOKENS} AS tok FROM d), p AS (SELECT * FROM k WHERE doc_id % 2 = 0), b AS (SELECT * FROM k WHERE doc_id % 5 = 1)
 SELECT DISTINCT p.doc_id AS prompt_id, md5(CAST(b.doc_id AS STRING)) AS content_hash FROM p JOIN b ON (p.doc_id % 50 = 0 AND b.source = p.source) OR

@@ -1,6 +1,7 @@
 """Edge cases of the telemetry operators on hand-written rows."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -17,6 +18,7 @@ from ledgerspark.operators import reviews as R
 from ledgerspark.operators import sinks
 from ledgerspark.operators import usage as U
 from ledgerspark.operators.graph import connected_components
+from ledgerspark.plans import registry
 from ledgerspark.sources import git, logs, reviews, usage
 from ledgerspark.sources.logs import parse_events
 from ledgerspark.streaming import drains
@@ -204,6 +206,36 @@ def test_collapse_is_transitive_and_stays_in_its_group(spark):
     assert got[4] != got[1] and got[5] == got[6] and got[7] == before[7] and len(got) == 7
 
 
+def test_findings_are_collapsed_whole(spark, tmp_path):
+    """Old findings, words after character 60 and the whole project count; against plain loops."""
+    rng = random.Random(4)
+    words = [a + b + c for a in "bdklm" for b in "aeiou" for c in ("rt", "ns", "lp", "x")]
+    head, bodies = " ".join(words[:20]), [rng.sample(words[20:], 40) for _ in range(60)]
+    rows = []
+    for i in range(1500):
+        body = list(rng.choice(bodies))
+        body[rng.randrange(40)] = f"w{i}"
+        rows.append((i, f"{head} {' '.join(body)}" if i % 2 else f"{' '.join(body)} {head}", "en", ["src1", "src10", "src11"][i % 3]))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["job_id"]: r["content_hash"] for r in registry.queries()["u13_near_duplicate_collapse_all"](spark, str(tmp_path)).collect()}
+    kind = ["high", "medium", "low", "critical", "odd"]
+    own = [hashlib.md5("\x1f".join([kind[i % 5], s, " ".join(t.split()[:12])]).encode()).hexdigest() for i, t, _, s in rows]
+    sets, up = [set(t.split()) for _, t, _, _ in rows], list(range(len(rows)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a % 15, a, 15):  # equal id modulo 15: one severity and source
+            if own[a] == own[b] or len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6:
+                x, y = top(a), top(b)
+                up[max(x, y)] = min(x, y)
+    assert got == {i: own[top(i)] for i in range(len(rows))}  # the first seen has the least id
+    assert len(set(got.values())) > 15 and len(set(got.values())) < len(set(own))
+
+
 def test_open_trend_equals_counting(spark):
     rng = random.Random(3)
     base = T(2024, 1, 1)
