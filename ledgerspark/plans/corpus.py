@@ -170,3 +170,13 @@ def _(t):
     prompts = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("prompt_id"), "text", F.when(F.col("doc_id") % 50 == 0, F.array("source")).alias("files"))
     block = d.where("doc_id % 5 = 1").select(F.md5(F.col("doc_id").cast("string")).alias("content_hash"), F.col("source").alias("primary_file"), F.col("text").alias("summary"))
     return J.blocklist_matches(prompts, block)
+
+
+@query("j14_blocklist_matches_all", f"""
+WITH p AS (SELECT doc_id, source, {_TOKENS} AS tok FROM documents), b AS (SELECT item_id, concat('src', CAST(item_id % 500 AS STRING)) AS file, {_TOKENS} AS tok FROM benchmark)
+SELECT DISTINCT p.doc_id AS prompt_id, md5(CAST(b.item_id AS STRING)) AS content_hash FROM p JOIN b ON b.file = p.source OR
+ CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END""")
+def _(t):
+    prompts = t("documents").select(F.col("doc_id").alias("prompt_id"), "text", F.array("source").alias("files"))
+    block = t("benchmark").select(F.md5(F.col("item_id").cast("string")).alias("content_hash"), F.concat(F.lit("src"), (F.col("item_id") % 500).cast("string")).alias("primary_file"), F.col("text").alias("summary"))
+    return J.blocklist_matches(prompts, block)

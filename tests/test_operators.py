@@ -236,6 +236,22 @@ def test_findings_are_collapsed_whole(spark, tmp_path):
     assert len(set(got.values())) > 15 and len(set(got.values())) < len(set(own))
 
 
+def test_blocklist_query_takes_whole_texts(spark, tmp_path):
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu") for b in range(30)]
+    docs = [(i, " ".join(words[:15] + rng.sample(words[15:], 20)), "en", f"src{i % 20}") for i in range(120)]
+    bench = [(k, " ".join(docs[3 * k][1].split()[14:])) for k in range(30)] + [(600, None), (601, "the of")]
+    docs.append((121, "", "en", "other"))
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(bench, "item_id long, text string").where("text IS NOT NULL").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {tuple(r) for r in registry.queries()["j14_blocklist_matches_all"](spark, str(tmp_path)).collect()}
+    tokens = lambda t: set(t.split()) - {"the", "of"}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    want = {(i, k) for i, t, _, s in docs for k, b in bench if b is not None and (s == f"src{k % 500}" or like(tokens(t), tokens(b)) >= 0.5)}
+    assert got == {(i, hashlib.md5(str(k).encode()).hexdigest()) for i, k in want}
+    assert (121, 601) in want and len(want) > 120
+
+
 def test_open_trend_equals_counting(spark):
     rng = random.Random(3)
     base = T(2024, 1, 1)
