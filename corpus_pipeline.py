@@ -34,14 +34,22 @@ def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return ngram_join.drop_near_duplicates(docs)
 
 
+def _mixed(docs: DataFrame) -> DataFrame:
+    return mixing.in_mixed_order(mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES), docs.columns)
+
+
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which sources keep to their target weights."""
-    return mixing.in_mixed_order(mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES), docs.columns)
+    return _mixed(docs)
 
 
 def documents_are_packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token streams in windows of 1024 ids; neighbours in the mix share windows."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    """Pieces of token streams in windows of 1024 ids, numbered in the order of the mix.
+
+    Files are not read in the order in which they were written, so the places
+    in the mix, which depend on the rows alone, are computed again.
+    """
+    return packing.pack_documents(_mixed(docs), public_tokenizers.path("byte_bpe_50k.json"), by_arrival=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -109,7 +109,7 @@ def best_fit_decreasing(sizes: list[int], window: int) -> list[tuple[int, int]]:
     return out
 
 
-def _packed(path: str, window: int, end_id: int, schema: pa.Schema):
+def _packed(path: str, window: int, end_id: int, schema: pa.Schema, by_arrival: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = ByteBpe(path), np.array([end_id], "<u4")
         next_id = TaskContext.get().partitionId() << 36
@@ -120,8 +120,14 @@ def _packed(path: str, window: int, end_id: int, schema: pa.Schema):
             nonlocal next_id, full, rest
             if last or len(rest) >= POOL:
                 places = best_fit_decreasing([r[2] for r in rest], window)
-                full += [(*r[:4], next_id + w, at, r[4]) for r, (w, at) in zip(rest, places, strict=True)]
-                next_id += 1 + max((w for w, _ in places), default=-1)
+                if by_arrival:
+                    first: dict[int, int] = {}  # each window's number: that of the piece in it that came first
+                    for r, (w, _) in zip(rest, places, strict=True):
+                        first.setdefault(w, r[5])
+                    full += [(*r[:4], first[w], at, r[4]) for r, (w, at) in zip(rest, places, strict=True)]
+                else:
+                    full += [(*r[:4], next_id + w, at, r[4]) for r, (w, at) in zip(rest, places, strict=True)]
+                    next_id += 1 + max((w for w, _ in places), default=-1)
                 rest = []
             if full and (last or len(full) >= 4096):
                 columns = list(zip(*full, strict=True))
@@ -139,14 +145,15 @@ def _packed(path: str, window: int, end_id: int, schema: pa.Schema):
                         full.append((key, s, window, n, next_id, 0, raw[4 * s : 4 * (s + window)]))
                         next_id += 1
                     if cut < n:
-                        rest.append([key, cut, n - cut, n, raw[4 * cut :]])
+                        rest.append([key, cut, n - cut, n, raw[4 * cut :], next_id])
+                        next_id += by_arrival
                 yield from flush(False)
         yield from flush(True)
 
     return run
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0, by_arrival: bool = False) -> DataFrame:
     """Pieces of token streams placed in windows of at most ``window`` ids.
 
     One row per piece: id, start, length, doc_tokens, sequence_id, offset and
@@ -157,11 +164,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     one task reads, POOL at a time, so nothing is shuffled and no group of
     sources or copies meets in one task.  A sequence id holds the task's number
     in its upper bits.  Repeated rows and NULL ids are packed like others.
+
+    With ``by_arrival`` windows are numbered in the order of the rows: a window
+    has the number of the piece in it that came first, so the windows up to a
+    number hold all pieces up to it, and besides only later pieces of the pool.
     """
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = dict(src.dtypes)["_id"]
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     names = ("_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids")
     schema = pa.schema(list(zip(names, (arrow, *[pa.int64()] * 5, pa.binary()), strict=True)))
-    out = src.mapInArrow(_packed(tokenizer_path, window, end_id, schema), f"_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    out = src.mapInArrow(_packed(tokenizer_path, window, end_id, schema, by_arrival), f"_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
     return out.withColumnRenamed("_id", id_col)
