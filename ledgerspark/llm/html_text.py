@@ -25,22 +25,29 @@ _SCOPES = frozenset("html body table ul ol dl div section article main aside nav
 #: Elements and the words of class, id or role that mark what is not the article.
 BOILERPLATE = frozenset("nav footer aside form menu button select dialog head svg object canvas audio video map datalist".split()) | RAW
 MARKERS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo complementary cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+#: What these mark inside an article is its own head.
+HEADS = frozenset(("header", "masthead"))
+#: Shares of the text around it from which a marked element is not boilerplate: named by other words too ("has-sidebar"), or by markers alone ("sidebar").
+MIXED_SHARE, PLAIN_SHARE = 0.5, 0.9
 _MARKED = frozenset("div section ul ol dl table p span header details figure".split())
 
 
 class Page:
     """The nodes of a page in document order, with the figures that densities need."""
 
-    __slots__ = ("boiler", "in_article", "in_link", "link_chars", "link_tags", "opened", "parent", "runs", "size", "tag", "tags")
+    __slots__ = ("boiler", "in_article", "in_link", "link_chars", "link_tags", "marked", "opened", "parent", "runs", "size", "tag", "tags")
 
     def __init__(self, source: str):
         self.tag, self.parent, self.boiler = ["#root"], [-1], [False]
         self.in_link, self.in_article = [False], [False]
+        self.marked = [0.0]  # the share of text that overrules the element's marker; 0 without a marker
         self.opened: dict[str, int] = {}  # start tags by name: an end tag without one ends nothing
         self.size, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         #: (node, text) in page order; text None is a border between blocks
         self.runs: list[tuple[int, str | None]] = []
         self._parse(source)
+        if any(self.marked):
+            self._judge_marked()
         self._sum()
 
     def _parse(self, source: str) -> None:
@@ -89,24 +96,60 @@ class Page:
         self.link_tags.append(int(name == "a"))
         self.in_link.append(self.in_link[up] or name == "a")
         self.in_article.append(self.in_article[up] or name in ("article", "main"))
-        self.boiler.append(self.boiler[up] or self._is_boiler(name, attrs, up))
+        boiler, marked = self._is_boiler(name, attrs, up)
+        self.boiler.append(self.boiler[up] or boiler)
+        self.marked.append(marked)
         if name == "br":
             self.runs.append((node, " "))
         if name not in VOID:
             open_nodes.append(node)
             self.opened[name] = self.opened.get(name, 0) + 1
 
-    def _is_boiler(self, name: str, attrs: str, up: int) -> bool:
+    def _is_boiler(self, name: str, attrs: str, up: int) -> tuple[bool, float]:
+        """(certainly boilerplate, share of text that overrules a marker)."""
         if name in BOILERPLATE or (name == "header" and not self.in_article[up]):
-            return True
+            return True, 0.0
         if "=" not in attrs and "hidden" not in attrs:
-            return False
+            return False, 0.0
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)}
         if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-            return True
-        if name not in _MARKED:
-            return False
-        return any(MARKERS & set(_WORDS.findall(found.get(k, ""))) for k in ("class", "id", "role"))
+            return True, 0.0
+        if name not in _MARKED and name not in ("article", "main"):
+            return False, 0.0
+        markers = MARKERS - HEADS if self.in_article[up] else MARKERS
+        names = [words for k in ("class", "id", "role") for n in found.get(k, "").split() if (words := set(_WORDS.findall(n))) & markers]
+        return False, 0.0 if not names else PLAIN_SHARE if any(words <= markers for words in names) else MIXED_SHARE
+
+    def _judge_marked(self) -> None:
+        """Make boilerplate of marked elements, unless they hold the article or most of its text.
+
+        The article is the ``main`` or ``article`` with the most text outside
+        links, where each marker on or around it takes three quarters; marked
+        elements beside it are boilerplate, those around it are not.  Inside it,
+        or on a page without one, an element's share of the text decides.
+        """
+        n = len(self.tag)
+        plain = [0 if b else c - lc for b, c, lc in zip(self.boiler, self.size, self.link_chars, strict=True)]
+        for k in range(n - 1, 0, -1):
+            plain[self.parent[k]] += plain[k]
+        marks = [0] * n
+        for k in range(1, n):
+            marks[k] = marks[self.parent[k]] + (self.marked[k] > 0)
+        articles = [k for k in range(n) if plain[k] and not self.boiler[k] and self.tag[k] in ("article", "main")]
+        article = max(articles, key=lambda k: (self.tag[k] == "main", plain[k] * 0.25 ** marks[k]), default=0)
+        around, k = {0}, article
+        while k > 0:
+            around.add(k)
+            k = self.parent[k]
+        within = [False] * n
+        for k in range(n):
+            up = self.parent[k]
+            within[k] = k == article or (k > 0 and within[up])
+            if k > 0 and not self.boiler[k] and self.boiler[up]:
+                self.boiler[k] = True
+            elif self.marked[k] and k not in around and self.tag[k] in _MARKED:
+                if not within[k] or plain[k] < self.marked[k] * plain[article] or not plain[k]:
+                    self.boiler[k] = True
 
     def _end_up_to(self, open_nodes: list[int], names: tuple[str, ...]) -> None:
         """End the nearest open element of these names, if no scope lies between."""
@@ -231,6 +274,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text, n_chars (code points).
 
+    Marker words in class, id or role name boilerplate only where the element
+    holds neither the article nor most of the text.
+
     NULL and empty pages, and pages without any main text, give the empty text.
     Menus, headers outside the article, footers, sidebars, notices, adverts,
     forms, scripts, styles, comments and hidden parts are left out; character

@@ -154,6 +154,20 @@ def test_main_text_of_a_page():
     assert H.main_text(PAGE) == "\n\n".join(want)
 
 
+@pytest.mark.parametrize("wrapper", ['div class="content has-sidebar"', 'div id="page" class="fixed-header"', 'section class="page header"'])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_markers_around_the_article(wrapper, tag):
+    side = '<div class="sidebar"><p>Aside</p></div><div class="related"><article class="card"><a href="/x">Another article to read</a></article></div>'
+    talk = '<div class="comments"><article><p>A reader says something.</p></article></div>' if tag != "div" else ""
+    page = f'<body><{wrapper}>{side}<{tag}><p>{"Many words of the page. " * 9}</p><p>{"And more of them. " * 9}</p></{tag}>{talk}</div></section><div class="site-footer">Foot</div></body>'
+    assert H.main_text(page).split("\n\n") == [("Many words of the page. " * 9).strip(), ("And more of them. " * 9).strip()]
+
+
+def test_markers_inside_the_article():
+    page = f'<body><div class="header">Site</div><article><div class="article-header"><h1>Title</h1></div><div class="body no-ads"><p>{"Words of it. " * 20}</p></div><div class="share-box">Share</div></article></body>'
+    assert H.main_text(page).split("\n\n") == ["Title", ("Words of it. " * 20).strip()]
+
+
 def test_main_text_of_odd_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<nav>x</nav>") == ""
     assert H.main_text("plain words") == "plain words"
