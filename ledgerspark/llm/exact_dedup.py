@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,9 +11,13 @@ from pyspark.sql import functions as F
 
 from ledgerspark.operators.lineage import stage
 
-#: Rows of one text that one owner holds at most.
-OWNER_ROWS = 20_000
-#: Bound on texts that are spread over several owners: each has more than 1/2048 of all rows.
+#: Bytes of edges and nodes that a task's trie holds before a subtree is spilled.
+TRIE_BYTES = 48 << 20
+#: What a node costs besides the bytes of its edge.
+NODE_BYTES = 200
+#: A text that one task holds more often than this is dealt over SALTS owners.
+CROWD, SALTS = 16, 16
+#: Groups of more than 1/2048 of all rows, fewer than 2048 by that, are broadcast to their rows.
 SPREAD = 2048
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -23,50 +26,70 @@ class PatriciaTrie:
     """Compressed radix trie over whole byte strings.
 
     An edge holds the bytes down to the next fork; a terminal node holds the
-    smallest identifier and the rows that ended there.
+    smallest identifier, how many rows have it, and how many rows ended there.
     """
 
-    __slots__ = ("children", "edge", "ids", "least")
+    __slots__ = ("children", "edge", "least", "n", "same")
 
     def __init__(self, edge: bytes = b""):
         self.edge = edge
         self.children: dict[int, PatriciaTrie] = {}
-        self.ids: list | None = None
-        self.least = None
+        self.n, self.least, self.same = 0, None, 0
 
-    def insert(self, key: bytes, ident) -> PatriciaTrie:
-        node, at = self, 0
+    def insert(self, key: bytes, ident: int | None, same: int = 1, n: int = 1) -> int:
+        """Add ``n`` rows of a string, ``same`` of them with its smallest id; the bytes that the trie grew by."""
+        node, at, grown = self, 0, 0
         while at < len(key):
             child = node.children.get(key[at])
             if child is None:
                 child = node.children[key[at]] = PatriciaTrie(key[at:])
-                node = child
+                node, grown = child, grown + NODE_BYTES + len(child.edge)
                 break
             edge = child.edge
             if not key.startswith(edge, at):
-                same = _shared(edge, key, at)
-                fork = PatriciaTrie(edge[:same])
-                child.edge = edge[same:]
+                shared = _shared(edge, key, at)
+                fork = PatriciaTrie(edge[:shared])
+                child.edge = edge[shared:]
                 fork.children[child.edge[0]] = child
                 node.children[key[at]] = fork
-                child, edge = fork, fork.edge
+                child, edge, grown = fork, fork.edge, grown + NODE_BYTES
             node, at = child, at + len(edge)
-        if node.ids is None:
-            node.ids = []
-        node.ids.append(ident)
-        if ident is not None and (node.least is None or ident < node.least):
-            node.least = ident
-        return node
+        if not node.n or (ident is not None and (node.least is None or ident < node.least)):
+            node.least, node.same = ident, same
+        elif ident == node.least:
+            node.same += same
+        node.n += n
+        return grown
 
     def terminals(self, above: bytes = b"") -> Iterator[tuple[bytes, PatriciaTrie]]:
         """(whole string, node) of every string in the trie."""
         stack = [(above, self)]
         while stack:
             prefix, node = stack.pop()
-            if node.ids is not None:
+            if node.n:
                 yield prefix, node
             stack += [(prefix + c.edge, c) for c in node.children.values()]
 
+    def weight(self) -> int:
+        """Bytes of the nodes below this one and of its own."""
+        total, stack = 0, [self]
+        while stack:
+            node = stack.pop()
+            total += NODE_BYTES + len(node.edge)
+            stack += node.children.values()
+        return total
+
+    def cut_heaviest(self) -> tuple[bytes, PatriciaTrie]:
+        """Take the heaviest subtree below the first fork off the trie: (the bytes above it, subtree)."""
+        node, above = self, b""
+        while len(node.children) == 1 and not node.n:
+            (child,) = node.children.values()
+            if not child.children:
+                break
+            node, above = child, above + child.edge
+        first = max(node.children, key=lambda b: node.children[b].weight())
+        return above, node.children.pop(first)
+
 
 def _shared(edge: bytes, key: bytes, at: int) -> int:
     """Length of the common prefix of edge and key[at:], by halving."""
@@ -80,42 +103,49 @@ def _shared(edge: bytes, key: bytes, at: int) -> int:
     return lo
 
 
-def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tries over rows that come sorted by (length, hash): one subtree of owners at a time.
+def _tries(trie_bytes: int, digest: bool):
+    """One trie over a task's (text, least, same, n) rows; each string's sums as they are spilled or at the end.
 
-    A subtree is emitted and freed when the next begins; the sort before it
-    spills to disk, so a task never holds more than one subtree's texts.
+    A subtree that is spilled is forgotten: a string that comes again later
+    begins anew, and its parts are summed afterwards.  With ``digest`` the
+    string itself is left out for its length and SHA-256.
     """
-    now, trie = None, PatriciaTrie()
-    out: list[list] = [[], [], [], [], [], [], []]
-
-    def close() -> None:
-        for text, node in trie.terminals():
-            digest, n = hashlib.sha256(text).hexdigest(), len(node.ids)
-            for k, ident in enumerate(node.ids):
-                for column, value in zip(out, (now[0], now[1], ident, node.least, n, digest, text if now[2] and not k else None), strict=True):
-                    column.append(value)
-
-    def drain(least: int) -> Iterator[pa.RecordBatch]:
-        if len(out[0]) >= least:
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["len", "hash", "id", "least", "n", "sha", "head"])
-            for c in out:
-                c.clear()
-
-    for batch in batches:
-        lens, hashes, spread, ids = (batch.column(i).to_pylist() for i in range(4))
-        texts = batch.column(4)
-        for i, key in enumerate(zip(lens, hashes, spread, strict=True)):
-            if key != now:
-                if now is not None:
-                    close()
-                    yield from drain(8192)
-                now, trie = key, PatriciaTrie()
-            trie.insert(texts[i].as_py(), ids[i])
-    if now is not None:
-        close()
-    yield from drain(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, held = PatriciaTrie(), 0
+        out: list[tuple] = []
+        size = 0
+
+        def emit(above: bytes, subtree: PatriciaTrie) -> Iterator[pa.RecordBatch]:
+            nonlocal out, size
+            for text, node in subtree.terminals(above + subtree.edge):
+                key = (len(text), hashlib.sha256(text).hexdigest()) if digest else (text,)
+                out.append((*key, node.least, node.same, node.n))
+                size += 100 if digest else len(text)
+                if size > 8 << 20:
+                    yield batch_of()
+                    out, size = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            types = ([pa.int64(), pa.string()] if digest else [pa.binary()]) + [pa.int64()] * 3
+            names = (["len", "sha"] if digest else ["text"]) + ["least", "same", "n"]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+        for batch in batches:
+            texts, ids, same, n = (batch.column(i) for i in range(4))
+            for at in range(0, batch.num_rows, 256):
+                part = (c.slice(at, 256).to_pylist() for c in (texts, ids, same, n))
+                for row in zip(*part, strict=True):
+                    held += trie.insert(*row)
+                    while held > trie_bytes and trie.children:
+                        above, subtree = trie.cut_heaviest()
+                        held -= subtree.weight()
+                        yield from emit(above, subtree)
+        yield from emit(b"", trie)
+        if out:
+            yield batch_of()
+
+    return run
 
 
 def normalised(text: Column) -> Column:
@@ -123,54 +153,83 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACES, " ")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = normalised(F.col(text_col))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.octet_length(text).cast("long").alias("len"), F.sha2(text, 256).alias("sha"))
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, trie_bytes: int) -> DataFrame:
+    """One row per distinct text: len, sha, least, same (rows with the least id), n."""
+    one = F.lit(1).cast("long")
+    texts = docs.select(normalised(F.col(text_col)).cast("binary").alias("text"), F.col(id_col).cast("long").alias("least"), one.alias("same"), one.alias("n"))
+    heads = texts.mapInArrow(_tries(trie_bytes, False), "text binary, least long, same long, n long")
+    salt = F.when(F.col("n") > CROWD, F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)
+    heads = heads.withColumns({"len": F.octet_length("text"), "hash": F.xxhash64("text"), "salt": salt})
+    owned = heads.repartition("len", "hash", "salt").select("text", "least", "same", "n")
+    parts = owned.mapInArrow(_tries(trie_bytes, True), "len long, sha string, least long, same long, n long")
+    # what was spilled or salted comes together by narrow rows
+    ids = parts.repartition("len", "sha").groupBy("len", "sha", "least").agg(F.sum("same").alias("same"), F.sum("n").alias("n"))
+    least = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "same"))
+    merged = ids.groupBy("len", "sha").agg(least.alias("first"), F.sum("n").alias("n"))
+    return stage(merged.select("len", "sha", "first.least", "first.same", "n"), "exact-groups")
+
+
+def _with_groups(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Each row's id, sha and the least and n of its group."""
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    rows = _keyed(docs, id_col, text_col)
+    hot = groups.where(F.col("n") > total // SPREAD).select(F.col("len").alias("hl"), F.col("sha").alias("hs"), F.col("least").alias("h_least"), F.col("n").alias("h_n"))
+    rows = rows.join(F.broadcast(hot), (F.col("len") == F.col("hl")) & (F.col("sha") == F.col("hs")), "left")
+    # rows that have found their group are dealt by their ids: they need no partner
+    rows = rows.withColumn("key", F.when(F.col("h_n").isNull(), F.col("sha")).otherwise(F.xxhash64("id").cast("string")))
+    rest = groups.where(F.col("n") <= total // SPREAD).select(F.col("sha").alias("gs"), F.col("len").alias("gl"), F.col("least").alias("g_least"), F.col("n").alias("g_n"))
+    rows = rows.join(rest, (F.col("key") == F.col("gs")) & (F.col("len") == F.col("gl")), "left")
+    least = F.when(F.col("h_n").isNull(), F.col("g_least")).otherwise(F.col("h_least"))
+    return rows.select("id", "sha", least.alias("least"), F.coalesce("h_n", "g_n").alias("n"))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256.
 
-    Texts are equal when their normalised bytes are.  Rows go to the owner of
-    their text's length and content hash, which inserts the full bytes into a
-    compressed radix trie; a terminal node keeps the smallest id.  A text with
-    more copies than 1/2048 of all rows is spread over several owners by its
-    rows' ids; each hands on one copy of the text, and these few copies are
-    grouped by their whole bytes.  The row with the smallest id stays; NULL counts as the
-    empty text; a NULL id is larger than all others and stays only in a group
-    that has no other; of rows that repeat the kept id every one is marked kept.
-    Ids are whole numbers; other columns are ignored.
+    Texts are equal when their normalised bytes are.  Each task first inserts
+    what it reads into a compressed radix trie, so that copies leave it as one
+    string; strings go to the owner of their length and content hash, which
+    inserts the whole bytes into a trie of all strings that it owns.  A terminal
+    node keeps the smallest id and the counts.  Beyond ``trie_bytes`` the heaviest
+    subtree is spilled as narrow sums, which are added up at the end, like those
+    of texts so frequent that several owners share them.  Rows find their group
+    by length and SHA-256.
+
+    The row with the smallest id stays; NULL counts as the empty text; a NULL id
+    is larger than all others and stays only in a group that has no other; of
+    rows that repeat the kept id every one is marked kept.  Ids are whole
+    numbers; other columns are ignored.
     """
-    text = normalised(F.col(text_col))
-    keyed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).select(
-        F.octet_length("text").cast("long").alias("len"), F.xxhash64("text").alias("hash"), "id", F.col("text").cast("binary").alias("text")
-    )
-    # texts with many copies: fewer than SPREAD, by the threshold, whatever the table's size
-    n = docs.count()
-    limit = max(16, n // SPREAD)
-    copies = [tuple(r) for r in keyed.groupBy("len", "hash").count().where(F.col("count") > limit).collect()]
-    owners = F.lit(1)
-    if copies:
-        spark = docs.sparkSession
-        spread = F.broadcast(spark.createDataFrame([(a, b, -(-c // min(limit, OWNER_ROWS))) for a, b, c in copies], "len long, hash long, owners long"))
-        keyed = keyed.join(spread, ["len", "hash"], "left")
-        owners = F.coalesce("owners", F.lit(1))
-    keyed = keyed.withColumn("spread", owners > 1).withColumn("salt", F.pmod(F.xxhash64("id"), owners))
-    dealt = keyed.repartition("len", "hash", "salt").sortWithinPartitions("len", "hash", "salt")
-    local = dealt.select("len", "hash", F.when(F.col("spread"), F.col("salt") + 1).otherwise(F.lit(0)).cast("long").alias("spread"), "id", "text")
-    schema = "len long, hash long, id long, least long, n long, sha string, head binary"
-    owned = local.mapInArrow(_own, schema)
-    if copies:
-        owned = stage(owned.withColumn("open", F.concat_ws("/", "len", "hash").isin([f"{a}/{b}" for a, b, _ in copies])), "owned")
-        # the second round: one text from each owner of a spread text
-        heads = owned.where(F.col("head").isNotNull()).select("len", "hash", F.lit(0).cast("long").alias("spread"), "least", F.col("head").alias("text"), "n")
-        joined = heads.groupBy("len", "hash", F.sha2("text", 256).alias("sha"), "text").agg(F.min("least").alias("all_least"), F.sum("n").alias("all_n")).drop("text")
-        whole = owned.where(~F.col("open")).select("id", "least", "n", "sha")
-        parts = owned.where(F.col("open")).join(F.broadcast(joined), ["len", "hash", "sha"]).select("id", F.col("all_least").alias("least"), F.col("all_n").alias("n"), "sha")
-        owned = whole.unionByName(parts)
+    rows = _with_groups(docs, _groups(docs, id_col, text_col, trie_bytes), id_col, text_col)
     kept = F.col("id").eqNullSafe(F.col("least"))
-    return owned.select(F.col("id").alias(id_col), F.col("least").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
+    return rows.select(F.col("id").alias(id_col), F.col("least").alias("keep_id"), F.col("n").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the smallest id of each group, all columns as they are."""
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row of each group, all columns as they are: the row of the smallest id.
+
+    Of rows that repeat the kept id and its text any one stays, and so it is
+    with the rows of a group that has NULL ids only.  A row goes by its id and
+    its text: an id that occurs with several texts loses only the copies.
+    """
+    groups = _groups(docs, id_col, text_col, TRIE_BYTES)
+    rows = _with_groups(docs, groups, id_col, text_col)
+    gone = rows.where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct()
+    text = F.sha2(normalised(F.col(text_col)), 256)
+    keyed = docs.withColumn("__sha", text)
+    ident = F.col(id_col).cast("long")
+    left = keyed.join(gone, (F.col("__sha") == F.col("__gone_sha")) & ident.eqNullSafe(F.col("__gone")), "left_anti")
+    again = groups.where(F.col("same") > 1).select(F.col("sha").alias("__again"))
+    if again.isEmpty():
+        return left.drop("__sha")
+    once = left.join(again, F.col("__sha") == F.col("__again"), "left_anti").drop("__sha")
+    repeated = left.join(again, F.col("__sha") == F.col("__again"), "left_semi").groupBy("__sha").agg(F.first(F.struct(*docs.columns)).alias("__row"))
+    return once.unionByName(repeated.select("__row.*"))
 
 
 ORACLE = r"""

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,10 +105,38 @@ def test_trie_finds_what_sets_find():
     trie, seen = X.PatriciaTrie(), {}
     for i in range(3000):
         key = bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9)))
-        trie.insert(key, i)
-        seen.setdefault(key, []).append(i)
-    got = {k: (node.least, node.ids) for k, node in trie.terminals()}
-    assert got == {k: (min(v), v) for k, v in seen.items()}
+        trie.insert(key, i % 1000)
+        seen.setdefault(key, []).append(i % 1000)
+    got = {k: (node.least, node.same, node.n) for k, node in trie.terminals()}
+    assert got == {k: (min(v), v.count(min(v)), len(v)) for k, v in seen.items()}
+
+
+def test_trie_keeps_shared_prefixes_once():
+    trie, prefix = X.PatriciaTrie(), b"the same long beginning " * 100
+    grown = sum(trie.insert(prefix + tail, k) for k, tail in enumerate([b"one", b"other", b"two", b"one", b""]))
+    assert grown == trie.weight() - X.NODE_BYTES < 2 * len(prefix)  # the root is not counted
+    (stem,) = trie.children.values()
+    assert stem.edge == prefix and stem.n == 1 and len(stem.children) == 2  # o(ne|ther) and two
+    assert sorted(c.edge for c in stem.children.values()) == [b"o", b"two"]
+    above, cut = trie.cut_heaviest()
+    assert above == prefix and {above + cut.edge + k: v.n for k, v in cut.terminals()} == {prefix + b"one": 2, prefix + b"other": 1}
+
+
+@pytest.mark.parametrize("digest", [False, True])
+def test_trie_spills_subtrees_and_loses_nothing(digest):
+    rng = random.Random(4)
+    keys = [b"x" * rng.randint(0, 30) + bytes(rng.choice(b"abc") for _ in range(rng.randint(0, 5))) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(range(2000)), pa.array([1] * 2000), pa.array([1] * 2000)], names=["text", "id", "same", "n"])
+    for budget, whole in ((3000, False), (1 << 30, True)):
+        rows = [tuple(r.values()) for b in X._tries(budget, digest)(iter([batch])) for r in b.to_pylist()]
+        sums: dict = {}
+        for *key, least, _, n in rows:
+            old = sums.setdefault(tuple(key), [least, 0])
+            old[0], old[1] = min(old[0], least), old[1] + n
+        want: dict = {}
+        for i, k in enumerate(keys):
+            want.setdefault((len(k), hashlib.sha256(k).hexdigest()) if digest else (k,), [i, 0])[1] += 1
+        assert sums == want and (len(rows) == len(want)) == whole
 
 
 def exact_brute(rows):
@@ -126,8 +155,9 @@ def exact_brute(rows):
 @pytest.mark.parametrize("n", [3, 600])
 def test_exact_groups_against_brute_force(spark, n):
     rows = some_docs(n) + [(900, "a\t\n b", "s", "x", 1, 2), (901, "a b", "s", "x", 1, 2), (902, " a b", "s", "x", 1, 2), (903, "a b", "s", "x", 1, 2)]
-    got = sorted(map(tuple, X.exact_groups(docs_of(spark, rows).repartition(5)).collect()), key=str)
-    assert got == exact_brute(rows)
+    for trie_bytes in (X.TRIE_BYTES, 4000):
+        got = sorted(map(tuple, X.exact_groups(docs_of(spark, rows).repartition(5), trie_bytes=trie_bytes).collect()), key=str)
+        assert got == exact_brute(rows)
 
 
 def test_exact_groups_of_an_empty_table(spark):
@@ -140,6 +170,14 @@ def test_drop_exact_duplicates(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 2] and out.columns == docs_of(spark, rows).columns
 
 
+def test_drop_exact_duplicates_with_repeated_and_null_ids(spark):
+    """One row of each text stays: repeated rows, an id with two texts, NULL ids beside others and alone."""
+    rows = [(1, "t"), (1, "t"), (2, "t"), (2, "u"), (None, "t"), (None, "v"), (None, "v"), (None, None), (3, ""), (None, "u")]
+    out = X.drop_exact_duplicates(docs_of(spark, [(i, t, "s", "x", 1, 2) for i, t in rows]).repartition(3))
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted([(1, "t"), (2, "u"), (None, "v"), (3, "")], key=str)
+    assert X.drop_exact_duplicates(docs_of(spark, [])).collect() == []
+
+
 RULES = [("net", "/", "allow"), ("x.net", "/b/", "block")]
 
 
