@@ -22,32 +22,31 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em em
 #: A start tag of the key closes an open element of the value, inside the nearest of _SCOPES.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("html body table ul ol dl div section article main aside nav header footer form fieldset blockquote td th details select".split())
-#: Elements and the words of class, id or role that mark what is not the article.
+#: Elements that HTML itself defines as no part of the content around them (fixed values).
 BOILERPLATE = frozenset("nav footer aside form menu button select dialog head svg object canvas audio video map datalist".split()) | RAW
-MARKERS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent contentinfo complementary cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
-#: What these mark inside an article is its own head.
-HEADS = frozenset(("header", "masthead"))
-#: Shares of the text around it from which a marked element is not boilerplate: named by other words too ("has-sidebar"), or by markers alone ("sidebar").
-MIXED_SHARE, PLAIN_SHARE = 0.5, 0.9
-_MARKED = frozenset("div section ul ol dl table p span header details figure".split())
+#: Words of class, id or role that say what a block is for: with one, a block inside the article must be denser than the article.
+PURPOSES = frozenset("ad ads advert advertisement banner comment comments cookie notice promo promoted related share sponsored".split())
+#: A block with so many links, which hold this share of its text, is a list of links.
+LINKS, LINKED = 3, 0.5
+#: A section beside the core is part of the article from this share of the core's sum.
+PART = 0.1
+_SECTIONS = frozenset("div section ul ol dl table details figure".split())
 
 
 class Page:
     """The nodes of a page in document order, with the figures that densities need."""
 
-    __slots__ = ("boiler", "in_article", "in_link", "link_chars", "link_tags", "marked", "opened", "parent", "runs", "size", "tag", "tags")
+    __slots__ = ("boiler", "in_article", "in_link", "link_chars", "link_tags", "named", "opened", "parent", "runs", "size", "tag", "tags")
 
     def __init__(self, source: str):
         self.tag, self.parent, self.boiler = ["#root"], [-1], [False]
         self.in_link, self.in_article = [False], [False]
-        self.marked = [0.0]  # the share of text that overrules the element's marker; 0 without a marker
+        self.named = [False]  # class, id or role names a purpose
         self.opened: dict[str, int] = {}  # start tags by name: an end tag without one ends nothing
         self.size, self.tags, self.link_chars, self.link_tags = [0], [0], [0], [0]
         #: (node, text) in page order; text None is a border between blocks
         self.runs: list[tuple[int, str | None]] = []
         self._parse(source)
-        if any(self.marked):
-            self._judge_marked()
         self._sum()
 
     def _parse(self, source: str) -> None:
@@ -96,60 +95,25 @@ class Page:
         self.link_tags.append(int(name == "a"))
         self.in_link.append(self.in_link[up] or name == "a")
         self.in_article.append(self.in_article[up] or name in ("article", "main"))
-        boiler, marked = self._is_boiler(name, attrs, up)
+        boiler, named = self._is_boiler(name, attrs, up)
         self.boiler.append(self.boiler[up] or boiler)
-        self.marked.append(marked)
+        self.named.append(named)
         if name == "br":
             self.runs.append((node, " "))
         if name not in VOID:
             open_nodes.append(node)
             self.opened[name] = self.opened.get(name, 0) + 1
 
-    def _is_boiler(self, name: str, attrs: str, up: int) -> tuple[bool, float]:
-        """(certainly boilerplate, share of text that overrules a marker)."""
+    def _is_boiler(self, name: str, attrs: str, up: int) -> tuple[bool, bool]:
+        """(no content by HTML's own rules, a class, id or role that names a purpose)."""
         if name in BOILERPLATE or (name == "header" and not self.in_article[up]):
-            return True, 0.0
+            return True, False
         if "=" not in attrs and "hidden" not in attrs:
-            return False, 0.0
+            return False, False
         found = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTR.finditer(attrs)}
         if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", ""):
-            return True, 0.0
-        if name not in _MARKED and name not in ("article", "main"):
-            return False, 0.0
-        markers = MARKERS - HEADS if self.in_article[up] else MARKERS
-        names = [words for k in ("class", "id", "role") for n in found.get(k, "").split() if (words := set(_WORDS.findall(n))) & markers]
-        return False, 0.0 if not names else PLAIN_SHARE if any(words <= markers for words in names) else MIXED_SHARE
-
-    def _judge_marked(self) -> None:
-        """Make boilerplate of marked elements, unless they hold the article or most of its text.
-
-        The article is the ``main`` or ``article`` with the most text outside
-        links, where each marker on or around it takes three quarters; marked
-        elements beside it are boilerplate, those around it are not.  Inside it,
-        or on a page without one, an element's share of the text decides.
-        """
-        n = len(self.tag)
-        plain = [0 if b else c - lc for b, c, lc in zip(self.boiler, self.size, self.link_chars, strict=True)]
-        for k in range(n - 1, 0, -1):
-            plain[self.parent[k]] += plain[k]
-        marks = [0] * n
-        for k in range(1, n):
-            marks[k] = marks[self.parent[k]] + (self.marked[k] > 0)
-        articles = [k for k in range(n) if plain[k] and not self.boiler[k] and self.tag[k] in ("article", "main")]
-        article = max(articles, key=lambda k: (self.tag[k] == "main", plain[k] * 0.25 ** marks[k]), default=0)
-        around, k = {0}, article
-        while k > 0:
-            around.add(k)
-            k = self.parent[k]
-        within = [False] * n
-        for k in range(n):
-            up = self.parent[k]
-            within[k] = k == article or (k > 0 and within[up])
-            if k > 0 and not self.boiler[k] and self.boiler[up]:
-                self.boiler[k] = True
-            elif self.marked[k] and k not in around and self.tag[k] in _MARKED:
-                if not within[k] or plain[k] < self.marked[k] * plain[article] or not plain[k]:
-                    self.boiler[k] = True
+            return True, False
+        return False, name in _SECTIONS and any(set(_WORDS.findall(found.get(k, ""))) & PURPOSES for k in ("class", "id", "role"))
 
     def _end_up_to(self, open_nodes: list[int], names: tuple[str, ...]) -> None:
         """End the nearest open element of these names, if no scope lies between."""
@@ -203,10 +167,17 @@ class Page:
         """Nodes of the chosen subtrees.
 
         Sums run over the elements that structure a page; inline elements only
-        count as tags of the element around them.
+        count as tags of the element around them.  The search starts at the
+        ``main`` or ``article`` with the largest sum below it, or at the body
+        where there is none with more than links, or several with less than
+        half of the body's sum.
         The node with the largest sum of child densities is the core.  The
         least density on its path from the body is the threshold; below every
-        node that reaches it, the subtree with the largest sum is chosen too.
+        node that reaches it, the subtree with the largest sum is chosen too,
+        unless it is a section of less than PART of the core's sum.  Inside the
+        chosen subtrees a list of links and a section right below the body go if
+        they stay under the threshold, and a block that its class names an
+        advert, a notice or comments if it stays under the core.
         """
         n, density = len(self.tag), self.densities()
         children: list[list[int]] = [[] for _ in range(n)]
@@ -223,7 +194,11 @@ class Page:
             if not self.boiler[k] and self.tag[k] not in INLINE and sums[best[k]] > sums[best[up]]:
                 best[up] = best[k]
         body = next((k for k in range(n) if self.tag[k] == "body"), 0)
-        core, path = best[body], []
+        articles = [k for k in range(n) if self.tag[k] in ("main", "article") and not self.boiler[k] and self.size[k] > 2 * self.link_chars[k]]
+        top = max(articles, key=lambda k: sums[best[k]], default=body)
+        if len(articles) > 1 and sums[best[top]] < 0.5 * sums[best[body]]:
+            top = body  # cards of other articles beside a text in plain blocks
+        core, path = best[top], []
         k = core
         while k >= 0:
             path.append(density[k])
@@ -231,17 +206,24 @@ class Page:
                 break
             k = above[k] if k else -1
         threshold = min(path)
-        chosen, todo = {core}, [body]
+        chosen, todo = {core}, [top]
         while todo:
             k = todo.pop()
+            if self.tag[k] in _SECTIONS and sums[best[k]] < PART * sums[core]:
+                continue
             if density[k] >= threshold and sums[best[k]] > 0:
                 chosen.add(best[k])
             if k not in chosen:
                 todo += children[k]
         inside = set()
         for k in range(n):
-            if not self.boiler[k] and (k in chosen or self.parent[k] in inside):
-                inside.add(k)
+            if self.boiler[k] or not (k in chosen or self.parent[k] in inside):
+                continue
+            if self.tag[k] in _SECTIONS and k != core:
+                links = self.link_tags[k] >= LINKS and self.link_chars[k] >= LINKED * self.size[k]
+                if ((links or above[k] == body) and density[k] < threshold) or (self.named[k] and density[k] < density[core]):
+                    continue
+            inside.add(k)
         return inside
 
     def text(self) -> str:
@@ -274,9 +256,7 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: id, url, text, n_chars (code points).
 
-    Marker words in class, id or role name boilerplate only where the element
-    holds neither the article nor most of the text.
-
+    Composite text density chooses the subtrees; see ``Page.main_nodes``.
     NULL and empty pages, and pages without any main text, give the empty text.
     Menus, headers outside the article, footers, sidebars, notices, adverts,
     forms, scripts, styles, comments and hidden parts are left out; character

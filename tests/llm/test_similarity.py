@@ -1,6 +1,9 @@
 """N-gram join, vector groups and page text against brute force."""
 
+import html
+import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -168,6 +171,88 @@ def test_markers_inside_the_article():
     assert H.main_text(page).split("\n\n") == ["Title", ("Words of it. " * 20).strip()]
 
 
+class Everything(H.Page):
+    """Ablation: the text of all nodes that are content by HTML's own rules."""
+
+    def main_nodes(self):
+        return {k for k in range(len(self.tag)) if not self.boiler[k]}
+
+
+def given_pages(sf="sf0.001"):
+    import pyarrow.parquet as pq
+
+    return pq.read_table(f"/root/testdata/{sf}/pages.parquet").column("html").to_pylist()
+
+
+def test_density_decides_on_the_given_pages():
+    """Advert and article differ by density: without its choice every page would hold the advert too."""
+    for page in given_pages():
+        article = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        blocks = (html.unescape(re.sub(r"<[^>]*>", "", b.replace("<br>", " "))) for b in re.split(r"</?(?:p|h1)>", article))
+        want = "\n\n".join(" ".join(b.split()) for b in blocks if b.strip())
+        assert H.main_text(page) == want != Everything(page).text()
+
+
+def test_density_decides_where_names_say_nothing():
+    """No article tag, no telling class: long articles are found all the same."""
+    for tag, names in (("div", ("q1", "q7")), ("section", ("ad", "q7"))):
+        found = long = 0
+        for page in given_pages("sf0.01"):
+            want = H.main_text(page)
+            odd = page.replace("<article>", f'<{tag} class="{names[0]}">').replace("</article>", f"</{tag}>").replace('class="ad"', f'class="{names[1]}"')
+            if len(want) > 600:
+                long += 1
+                found += H.main_text(odd) == want
+        assert long > 100 and found >= 0.95 * long
+    said = "<p>" + "A reader says many things. " * 3 + "</p>"
+    page = f'<body><div class="a1"><div class="b1"><h1>Title</h1>{"<p>" + "Words of it. " * 40}<p>{"More words. " * 30}</p>{"<p>And so on, line by line. " * 6}<ul><li><a href=1>one link</a><li><a href=2>two links</a><li><a href=3>three links</a></ul></div></div><div class="c9">{said}</div></body>'
+    assert H.main_text(page).split("\n\n") == ["Title", ("Words of it. " * 40).strip(), ("More words. " * 30).strip(), *["And so on, line by line."] * 6]
+
+
+def plain_sums(page):
+    """Largest sum of child densities, by the formula written out over a plain tree."""
+    p = H.Page(page)
+    n = len(p.tag)
+    kids = {k: [c for c in range(1, n) if p.parent[c] == k and not p.boiler[c]] for k in range(n)}
+
+    def total(values, k):
+        return values[k] + sum(total(values, c) for c in kids[k])
+
+    chars, links = [0] * n, [0] * n
+    for node, run in p.runs:
+        if run is not None and p.tag[node] not in H.RAW:
+            size = len("".join(run.split()))
+            chars[node] += size
+            up = node
+            while up > 0 and p.tag[up] != "a":
+                up = p.parent[up]
+            links[node] += size * (up > 0)
+    all_chars, all_links = sum(chars), sum(links)
+
+    def density(k):
+        c, lc = total(chars, k), total(links, k)
+        t, lt = total([1] * n, k) - 1, total([int(x == "a") for x in p.tag], k)
+        if not c:
+            return 0.0
+        base = math.log(c / max(1, c - lc) * lc + all_links / max(1, all_chars) * c + math.e)
+        return c / max(1, t) * math.log(max(1, c / max(1, lc) * max(1, t) / max(1, lt))) / max(1e-3, math.log(base))
+
+    return p, {k: density(k) for k in range(1, n) if not p.boiler[k]}
+
+
+def test_densities_against_the_formula():
+    for page in [*given_pages()[:20], PAGE]:
+        p, want = plain_sums(page)
+        got = p.densities()
+        assert all(got[k] == pytest.approx(v) for k, v in want.items() if p.tag[k] not in H.RAW) and len(want) > 3
+
+
+def test_a_very_long_page_and_repeated_rows(spark):
+    page = "<body><nav>" + '<a href="/x">menu</a>' * 2000 + "</nav><article>" + "".join(f"<p>Paragraph {i} of many.</p>" for i in range(40_000)) + "</article></body>"
+    df = spark.createDataFrame([(1, "u", page)] * 3, "page_id long, url string, html string")
+    assert [(r["page_id"], r["text"].count("\n\n"), r["n_chars"] == len(r["text"])) for r in H.extract_text(df).collect()] == [(1, 39_999, True)] * 3
+
+
 def test_main_text_of_odd_pages():
     assert H.main_text(None) == H.main_text("") == H.main_text("<nav>x</nav>") == ""
     assert H.main_text("plain words") == "plain words"
