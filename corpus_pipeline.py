@@ -10,11 +10,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerspark.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from ledgerspark.llm.queries import BLOCK_BYTES, TARGETS
 from ledgerspark.operators.lineage import stage
 
+#: Slots of the mix that are packed together: about a megabyte of text, some 250 windows.
+GROUP_SLOTS = 16
 #: A classifier's scores can't be expressed in SQL; tests hold the stages against plain loops.
 ORACLE_SQL = None
 
@@ -35,21 +38,22 @@ def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _mixed(docs: DataFrame) -> DataFrame:
-    return mixing.in_mixed_order(mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES), docs.columns)
+    return mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES)
 
 
 def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order in which sources keep to their target weights."""
-    return _mixed(docs)
+    return mixing.in_mixed_order(_mixed(docs), docs.columns)
 
 
 def documents_are_packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token streams in windows of 1024 ids, numbered in the order of the mix.
+    """Pieces of token streams in windows of 1024 ids, packed by ranges of slots and numbered in their order.
 
-    Files are not read in the order in which they were written, so the places
-    in the mix, which depend on the rows alone, are computed again.
+    Files are not read in the order in which they were written, so the slots,
+    which depend on the rows alone, are computed again.
     """
-    return packing.pack_documents(_mixed(docs), public_tokenizers.path("byte_bpe_50k.json"), by_arrival=True)
+    ranged = _mixed(docs).withColumn("slots", F.floor(F.col("slot") / GROUP_SLOTS))
+    return packing.pack_in_order(ranged, public_tokenizers.path("byte_bpe_50k.json"), "slots", ["slot", "block_offset"])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

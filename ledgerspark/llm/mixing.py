@@ -43,8 +43,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     keeps each pool less than one block from its weight.  No row is dropped or
     repeated: what is left of longer pools follows in the same order.  NULL
     texts count 1 byte; rows that agree in id and text have any order.  Input
-    columns with the names of added ones are replaced.
+    columns with the names of added ones are replaced.  Weights and ``rest`` are
+    whole numbers from 1; others raise ValueError.
     """
+    if any(w < 1 or w != int(w) for w in [*weights.values(), rest]):
+        raise ValueError("weights must be whole numbers from 1")
     added = ["pool", "block", "slot", "release", "deadline", "block_offset", "balanced"]
     docs = docs.drop(*added)
     named = F.col(source_col).isin(*weights) if weights else F.lit(False)
@@ -56,7 +59,7 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     })
     # one row per pool: as many as there are weights, and one
     totals = {r["pool"]: (r["bytes"], r["n"]) for r in base.groupBy("pool").agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()}
-    shares = {p: w for p, w in (weights | {REST: rest}).items() if p in totals and w > 0}
+    shares = {p: w for p, w in (weights | {REST: rest}).items() if p in totals}
     n = sum(x[1] for x in totals.values())
     digits = 2
     while 16**digits * 200_000 < n:

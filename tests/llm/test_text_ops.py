@@ -92,6 +92,9 @@ def test_mixing_against_plain_loop(spark):
     assert {r["balanced"] for r in got if r["slot"] < min(end)} == {True}
     assert all(r["balanced"] == (r["slot"] < min(end)) for r in got)
     assert M.mix_sources(docs_of(spark, []), weights).collect() == []
+    for odd in ({"hot": 0}, {"hot": 1.5}):
+        with pytest.raises(ValueError, match="whole numbers"):
+            M.mix_sources(docs_of(spark, rows), odd)
 
 
 def test_mixed_order_keeps_all_rows(spark):

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerspark.llm.packing import ByteBpe, TightestWindow, best_fit_decreasing, pack_documents
+from ledgerspark.llm.packing import ByteBpe, TightestWindow, best_fit_plan, pack_documents, pack_in_order, places
 from ledgerspark.llm.token_counts import PieceCounter, token_counts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -82,30 +82,48 @@ def test_tightest_window_matches_scan():
         else:
             r = rng.randint(1, 64)
             rooms.append(r)
-            tree.add(r, k)
+            tree.add(r, k, 1)
 
 
-def test_best_fit_equals_plain_best_fit():
-    rng = random.Random(2)
-    sizes = [rng.randint(1, 100) for _ in range(500)]
+def plain_best_fit(sizes, window):
+    """Rooms left by best-fit decreasing, one piece at a time."""
     bins: list[int] = []
     for s in sorted(sizes, reverse=True):
         open_ = [i for i, r in enumerate(bins) if r >= s]
         if open_:
             bins[min(open_, key=lambda i: bins[i])] -= s
         else:
-            bins.append(100 - s)
-    placed = best_fit_decreasing(sizes, 100)
-    assert max(w for w, _ in placed) + 1 == len(bins)
-    used = {}
-    for s, (w, at) in zip(sizes, placed):
-        used.setdefault(w, []).append((at, s))
-    for spans in used.values():
+            bins.append(window - s)
+    return bins
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.integers(1, 40), max_size=200), st.sampled_from([40, 41, 64]))
+def test_plan_of_a_histogram_equals_plain_best_fit(sizes, window):
+    counts = {n: sizes.count(n) for n in set(sizes)}
+    place = places(best_fit_plan(counts, window))
+    spans: dict = {}
+    for n, c in counts.items():
+        at, offset = place(np.full(c, n), np.arange(c))
+        for w, o in zip(at.tolist(), offset.tolist()):
+            spans.setdefault(w, []).append((o, n))
+    bins = plain_best_fit(sizes, window)
+    assert sorted(spans) == list(range(len(bins)))
+    for parts in spans.values():
         at = 0
-        for o, s in sorted(spans):
+        for o, n in sorted(parts):
             assert o == at
-            at += s
-        assert at <= 100
+            at += n
+        assert at <= window
+    assert sorted(window - sum(n for _, n in parts) for parts in spans.values()) == sorted(bins)
+
+
+def test_plan_does_not_grow_with_the_table():
+    rng = random.Random(5)
+    counts = {n: rng.randint(1, 10**9) for n in range(1, 1025)}
+    plan = best_fit_plan(counts, 1024)
+    assert len(plan) < 20_000
+    assert {n: sum(1 for r in plan if r[0] == n) > 0 for n in counts} == dict.fromkeys(counts, True)
 
 
 def test_packing_round_trip(spark, bpe):
@@ -131,6 +149,24 @@ def test_packing_round_trip(spark, bpe):
     assert pack_documents(df.limit(0), JSON).collect() == []
 
 
+def test_packing_is_the_same_however_the_table_is_split(spark, bpe):
+    rng = random.Random(7)
+    rows = [(str(i), " ".join(["word"] * rng.choice([1, 2, 5, 30, 61, 90, 130]))) for i in range(400)] + [("x", None)] * 200
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    want = len(plain_best_fit([n % 128 for _, t in rows if (n := len(bpe.ids(t or "")) + 1) % 128], 128)) + sum((len(bpe.ids(t or "")) + 1) // 128 for _, t in rows)
+    for parts in (1, 9):
+        seqs = [r["sequence_id"] for r in pack_documents(df.repartition(parts), JSON, window=128).select("sequence_id").distinct().collect()]
+        assert sorted(seqs) == list(range(want))
+
+
+def test_packing_in_order_of_groups(spark):
+    rows = [(i, "word " * (i % 50 + 1), i // 20) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, g long")
+    got = pack_in_order(df, JSON, "g", ["doc_id"], window=64).collect()
+    assert {(r["doc_id"], r["sequence_id"] >> 24) for r in got} == {(i, g) for i, _, g in rows}
+    assert pack_in_order(df.limit(0), JSON, "g", ["doc_id"]).collect() == []
+
+
 def test_packing_crc_is_of_the_ids(spark, bpe):
     df = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
     row = pack_documents(df, JSON).select(F.crc32("ids").alias("c")).first()
