@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 from ledgerspark.operators.lineage import stage
 
 GRAMS = (3, 4, 5)
+#: N-grams are told apart by so many bits of their hash.
 TABLE_BITS = 20
-#: Features kept for the linear classifier, by how far their counts part the classes.
-FEATURES = 4096
 #: Labelled rows that the classifier is fitted on at most, taken by the hash of their id.
 TRAIN_ROWS = 20_000
+#: Standard errors by which each log-count ratio is drawn towards 0.
+DOUBT = 2.0
+#: Partitions of the labelled sample: as bounded as its rows are.
+_PARTS = 8
 _CHUNK = 2_000_000
 
 
@@ -34,7 +37,7 @@ def _fold() -> np.ndarray:
 _TABLE = _fold()
 
 
-def _buckets(raw: np.ndarray) -> list[tuple[int, np.ndarray]]:
+def _buckets(raw: np.ndarray, bits: int) -> list[tuple[int, np.ndarray]]:
     """(n, bucket of the n-gram that starts at each byte) over one run of bytes."""
     x, out = _TABLE[raw], []
     h = x.copy()
@@ -43,90 +46,150 @@ def _buckets(raw: np.ndarray) -> list[tuple[int, np.ndarray]]:
             break
         h = h[:-1] * np.uint32(0x01000193) + x[n - 1 :] * np.uint32(0x9E3779B1)
         if n in GRAMS:
-            out.append((n, (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - TABLE_BITS)))
+            out.append((n, (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B) >> np.uint32(32 - bits)))
     return out
 
 
-def _pairs(texts: pa.Array, wanted: np.ndarray | None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For runs of texts: (first row, end row, rows, buckets), each bucket once a row.
+def text_buckets(texts: pa.Array, bits: int) -> Iterator[np.ndarray]:
+    """The distinct buckets of each text's n-grams, NULL as empty.
 
-    ``wanted`` marks the buckets that matter; texts are padded with a space on
-    both sides, so that words at the ends look like others.
+    Texts are padded with a space on both sides, so that words at the ends look
+    like others.  Buckets are told apart by who wrote last to a table: no sort.
     """
+    last = np.empty(1 << bits, np.int32)
     n, at = len(texts), 0
-    padded = [b" " + (t or "").encode() + b" " for t in texts.to_pylist()]
-    sizes = np.array([len(t) for t in padded], dtype=np.int64)
     while at < n:
-        end, total = at, 0
-        while end < n and (end == at or total + sizes[end] <= _CHUNK):
-            total += sizes[end]
-            end += 1
-        raw = np.frombuffer(b"".join(padded[at:end]), np.uint8)
-        ends = np.cumsum(sizes[at:end])
-        keys = []
-        for g, b in _buckets(raw):
-            pos = np.flatnonzero(wanted[b]) if wanted is not None else np.arange(len(b))
-            row = np.searchsorted(ends, pos, side="right")
-            inside = pos + g <= ends[row]
-            keys.append((row[inside].astype(np.int64) << TABLE_BITS) | b[pos[inside]].astype(np.int64))
-        both = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-        yield at, end, both >> TABLE_BITS, both & ((1 << TABLE_BITS) - 1)
-        at = end
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each class that hold a bucket, summed over the partition."""
-    sums = np.zeros((2, 1 << TABLE_BITS), np.int64)
+        padded, total = [], 0
+        while at < n and (not padded or total < _CHUNK):
+            padded.append(b" " + (texts[at].as_py() or "").encode() + b" ")
+            total += len(padded[-1])
+            at += 1
+        grams, begin = _buckets(np.frombuffer(b"".join(padded), np.uint8), bits), 0
+        for text in padded:
+            end = begin + len(text)
+            own = [b[begin : end - g + 1] for g, b in grams if end - g >= begin]
+            all_ = np.concatenate(own) if own else np.zeros(0, np.uint32)
+            order = np.arange(len(all_), dtype=np.int32)
+            last[all_] = order
+            yield all_[last[all_] == order]
+            begin = end
+
+
+def _listed(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                lists = [b.astype("<i4").tobytes() for b in text_buckets(part.column(0), bits)]
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(lists, pa.binary())], names=["toxic", "buckets"])
+
+    return run
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A partition's labels, sizes of its lists and the lists in a row."""
+    labels, lists = [], []
     for batch in batches:
-        toxic = np.array(batch.column(1).to_pylist(), np.int64)
-        for at, _, rows, buckets in _pairs(batch.column(0), None):
-            for c in (0, 1):
-                sums[c] += np.bincount(buckets[toxic[at + rows] == c], minlength=1 << TABLE_BITS)
-    seen = np.flatnonzero(sums.sum(0))
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[0][seen]), pa.array(sums[1][seen])], names=["bucket", "clean", "toxic"])
+        labels += batch.column(0).to_pylist()
+        lists += [np.frombuffer(b, "<i4") for b in batch.column(1).to_pylist()]
+    sizes = np.array([len(x) for x in lists], np.int64)
+    return np.array(labels, np.float64), sizes, np.concatenate(lists) if lists else np.zeros(0, np.int32)
 
 
-def _listed(kept: np.ndarray):
-    wanted = np.zeros(1 << TABLE_BITS, bool)
-    wanted[kept] = True
+def _counted(bits: int):
+    """Rows of each class that hold a bucket, summed over the partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, sizes, cols = _entries(batches)
+        toxic = np.repeat(y == 1, sizes)
+        sums = [np.bincount(cols[toxic == c], minlength=1 << bits) for c in (False, True)]
+        seen = np.flatnonzero(sums[0] + sums[1])
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(sums[0][seen]), pa.array(sums[1][seen])], names=["bucket", "clean", "toxic"])
+
+    return run
+
+
+def log_count_ratios(t: np.ndarray, c: np.ndarray, toxic: int, clean: int, doubt: float = DOUBT) -> np.ndarray:
+    """Log of the shares of toxic and of clean rows that hold an n-gram, drawn towards 0 by ``doubt`` standard errors."""
+    ratio = np.log((t + 0.5) / (toxic + 1)) - np.log((c + 0.5) / (clean + 1))
+    error = np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+    return np.sign(ratio) * np.maximum(0, np.abs(ratio) - doubt * error)
+
+
+def _narrowed(shared):
+    """The lists with places among the telling buckets instead of the buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = shared.value
         for batch in batches:
-            lists: list = []
-            for at, end, rows, buckets in _pairs(batch.column(0), wanted):
-                cut = np.searchsorted(rows, np.arange(end - at + 1))
-                lists += [buckets[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["toxic", "buckets"])
+            lists = []
+            for b in batch.column(1).to_pylist():
+                at = place[np.frombuffer(b, "<i4")]
+                lists.append(at[at >= 0].astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lists, pa.binary())], names=["toxic", "buckets"])
+
+    return run
+
+
+def _gradient(shared):
+    """Loss of a partition's rows and its slopes by weight of a bucket and by the intercept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, intercept = shared.value
+        y, sizes, cols = _entries(batches)
+        z = intercept + np.bincount(np.repeat(np.arange(len(y)), sizes), weights[cols], minlength=len(y))
+        off = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
+        slope = np.bincount(cols, np.repeat(off, sizes), minlength=len(weights)).astype("<f8")
+        loss = float((np.logaddexp(0, z) - y * z).sum())
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([float(off.sum())]), pa.array([slope.tobytes()], pa.binary())], names=["loss", "off", "slope"])
 
     return run
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights by bucket (0 for those left out) and the intercept."""
+    """Weights by bucket (0 for those never seen) and the intercept."""
 
     weights: np.ndarray
     intercept: float
 
-    def logits(self, texts: pa.Array) -> np.ndarray:
-        out = np.full(len(texts), self.intercept)
-        for at, end, rows, buckets in _pairs(texts, self.weights != 0):
-            out[at:end] += np.bincount(rows, self.weights[buckets], minlength=end - at)
-        return out
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        bits = len(self.weights).bit_length() - 1
+        z = np.array([self.weights[b].sum(dtype=np.float64) for b in text_buckets(texts, bits)], np.float64) + self.intercept
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _logistic(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, y: np.ndarray, width: int, ridge: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """L2-regularised logistic regression over sparse entries by full-batch Adam."""
-    n, w, b = len(y), np.zeros(width), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
-    m, v = np.zeros(width + 1), np.zeros(width + 1)
-    for k in range(1, rounds + 1):
-        z = b + np.bincount(rows, values * w[cols], minlength=n)
-        e = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        g = np.append(np.bincount(cols, values * e[rows], minlength=width) + ridge * w, e.sum()) / n
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        step = 0.05 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
-    return w, b
+def minimise(evaluate, start: np.ndarray, rounds: int = 30, memory: int = 6, tolerance: float = 1e-3) -> np.ndarray:
+    """L-BFGS with backtracking; ``evaluate`` gives the value and slope at a point."""
+    x = start
+    value, slope = evaluate(x)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    first = np.abs(slope).max()
+    for _ in range(rounds):
+        if np.abs(slope).max() <= tolerance * first:
+            break
+        way, scales = -slope, []
+        for s, d, rho in reversed(past):
+            scales.append(rho * (s @ way))
+            way = way - scales[-1] * d
+        if past:
+            s, d, rho = past[-1]
+            way = way / (rho * (d @ d))
+        for (s, d, rho), scale in zip(past, reversed(scales), strict=True):
+            way = way + (scale - rho * (d @ way)) * s
+        step = 1.0 if past else 1 / np.abs(slope).sum()
+        for _ in range(20):
+            new_value, new_slope = evaluate(x + step * way)
+            if new_value <= value + 1e-4 * step * (way @ slope):
+                break
+            step /= 2
+        else:
+            break
+        moved, turned = step * way, new_slope - slope
+        if moved @ turned > 0:
+            past = [*past, (moved, turned, 1 / (moved @ turned))][-memory:]
+        x, value, slope = x + moved, new_value, new_slope
+    return x
 
 
 def held_out(ident: Column) -> Column:
@@ -134,45 +197,57 @@ def held_out(ident: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(ident.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
-    """Fit on at most ``train_rows`` labelled rows that are not held out.
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS, bits: int = TABLE_BITS, ridge: float = 1.0) -> Model:
+    """Fit on at most ``train_rows`` labelled ids that are not held out.
+
+    The sample is taken by the hash of the id, one text an id.  Every n-gram
+    that it holds is a feature: counts by class give the naive Bayes log-count
+    ratios r, drawn towards 0 by DOUBT standard errors, so that an n-gram seen
+    once or twice does not count like one seen often; a logistic regression with
+    ridge penalty is fitted on presence times r.  Each evaluation is one job:
+    partitions of the staged sample return their share of the slope, of at most
+    2**bits numbers each, whatever the corpus.
 
-    The sample is taken by the hash of the id.  Counts of each n-gram bucket by
-    class give the naive Bayes log-count ratios r; the FEATURES buckets with the
-    largest chi-square are kept and a logistic regression is fitted on presence
-    times r.  Rows with NULL ids, labels or labels other than 0 and 1 teach
-    nothing; with no rows of one class the model is the share of toxic rows.
+    NULL ids, labels other than 0 and 1, and ids with both labels teach
+    nothing; repeated labels count once; of an id's several texts the smallest
+    counts.  Without rows of both classes every score is the number of toxic
+    rows divided by one more than all labelled rows.
     """
+    spark = docs.sparkSession
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
-    chosen = usable.select(F.col(id_col).alias("__id"), F.col(label_col).cast("long").alias("__toxic")).orderBy(F.xxhash64("__id"), "__id", "__toxic").limit(train_rows)
-    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col("__toxic").alias("toxic"))
-    sample = stage(sample, "toxic-sample").repartition(24)
-    # at most 2**TABLE_BITS rows, whatever the corpus
-    sums = sample.mapInArrow(_counted, "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    sums = sums.where(F.col("c") + F.col("t") >= 4).toPandas()
-    sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    usable = usable.groupBy(F.col(id_col).alias("__id")).agg(F.min(label_col).cast("long").alias("__toxic"), F.max(label_col).cast("long").alias("__most")).where(F.col("__toxic") == F.col("__most"))
+    chosen = usable.select("__id", "__toxic").orderBy(F.xxhash64("__id"), "__id").limit(train_rows)
+    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).groupBy("__id", "__toxic").agg(F.min(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+    sample = sample.select("text", F.col("__toxic").alias("toxic"), "__id").repartition(_PARTS, "__id").select("text", "toxic")
+    lists = stage(sample.mapInArrow(_listed(bits), "toxic long, buckets binary"), "toxic-sample").coalesce(_PARTS)
+    sums = lists.mapInArrow(_counted(bits), "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).toPandas()
+    sizes = {r["toxic"]: r["count"] for r in lists.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
-    weights = np.zeros(1 << TABLE_BITS)
     if not clean or not toxic:
-        return Model(weights, 4.0 if toxic else -4.0)
-    c, t = sums["c"].to_numpy(float), sums["t"].to_numpy(float)
-    n, have = clean + toxic, c + t
-    chi = n * (t * (clean - c) - c * (toxic - t)) ** 2 / (have * (n - have) * clean * toxic + 1e-9)
-    kept = np.sort(np.argsort(-chi, kind="stable")[:FEATURES])
-    ratio = np.log((t[kept] + 1) / (toxic + 2)) - np.log((c[kept] + 1) / (clean + 2))
-    buckets = sums["bucket"].to_numpy()[kept]
-    listed = sample.mapInArrow(_listed(buckets), "toxic long, buckets array<int>").toPandas()
-    y = listed["toxic"].to_numpy(float)
-    lists = [np.asarray(x, np.int32) for x in listed["buckets"]]
-    del listed, sums, c, t, have, chi
-    place = np.zeros(1 << TABLE_BITS, np.int32)
-    place[buckets] = np.arange(len(buckets))
-    rows = np.repeat(np.arange(len(lists), dtype=np.int32), [len(x) for x in lists])
-    cols = place[np.concatenate(lists)] if lists else np.zeros(0, np.int32)
-    del lists
-    w, b = _logistic(rows, cols, ratio[cols], y, len(buckets))
-    weights[buckets] = w * ratio
-    return Model(weights, float(b))
+        share = toxic / (clean + toxic + 1)
+        return Model(np.zeros(1 << bits, np.float32), float(np.log(max(share, 1e-9) / (1 - share))))
+    ratio = log_count_ratios(sums["t"].to_numpy(float), sums["c"].to_numpy(float), toxic, clean)
+    told = np.flatnonzero(ratio)  # a ratio of 0 scales its feature away
+    seen, ratio = sums["bucket"].to_numpy()[told], ratio[told]
+    del sums
+    place = np.full(1 << bits, -1, np.int32)
+    place[seen] = np.arange(len(seen))
+    lists = stage(lists.mapInArrow(_narrowed(spark.sparkContext.broadcast(place)), "toxic long, buckets binary"), "toxic-features").coalesce(_PARTS)
+
+    def evaluate(x: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = spark.sparkContext.broadcast((x[:-1] * ratio, float(x[-1])))
+        rows = lists.mapInArrow(_gradient(shared), "loss double, off double, slope binary").collect()
+        slope, loss = np.zeros(len(seen)), 0.5 * ridge * float(x[:-1] @ x[:-1])
+        for r in rows:
+            slope += np.frombuffer(r["slope"], "<f8")
+            loss += r["loss"]
+        shared.destroy()
+        return loss, np.append(slope * ratio + ridge * x[:-1], sum(r["off"] for r in rows))
+
+    x = minimise(evaluate, np.append(np.zeros(len(seen)), np.log(toxic / clean)))
+    weights = np.zeros(1 << bits, np.float32)
+    weights[seen] = x[:-1] * ratio
+    return Model(weights, float(x[-1]))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
@@ -181,15 +256,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     Only the text decides a score; NULL and empty texts get the intercept's.
     Repeated rows and NULL ids stay (a NULL id is not held out).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**TABLE_BITS weights: fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**bits weights: fixed size
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = dict(src.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            z = np.clip(model.logits(batch.column(1)), -30, 30)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-z)))], names=["id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shared.value.scores(batch.column(1)))], names=["id", "score"])
 
     out = src.mapInArrow(run, f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -197,13 +270,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
     """The rows that are not predicted toxic, all columns as they are."""
-    model = fit(docs, labels, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        limit = np.log(threshold / (1 - threshold))
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
-            yield batch.filter(pa.array(shared.value.logits(batch.column(at)) < limit))
+            yield batch.filter(pa.array(shared.value.scores(batch.column(at)) < threshold))
 
     return docs.mapInArrow(run, docs.schema)

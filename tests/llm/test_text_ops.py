@@ -1,10 +1,12 @@
 """Sharding, mixing, exact groups, url verdicts and toxicity on small tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -267,18 +269,70 @@ def test_toxicity_without_rows(spark):
     assert {r["predicted"] for r in T.score(docs.limit(5), model).collect()} == {0}
 
 
-def test_bucket_presence_matches_plain_loop():
-    import numpy as np
-    import pyarrow as pa
+def plain_buckets(text, bits):
+    """Buckets of a text's n-grams, one number at a time."""
+    raw = [b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b > 127 else 48 if 48 <= b < 58 else 32 for b in b" " + (text or "").encode() + b" "]
+    out = set()
+    for n in (3, 4, 5):
+        for at in range(len(raw) - n + 1):
+            h = raw[at]
+            for b in raw[at + 1 : at + n]:
+                h = (h * 0x01000193 + b * 0x9E3779B1) % 2**32
+            out.add(((h ^ (h >> 15)) * 0x85EBCA6B) % 2**32 >> (32 - bits))
+    return out
 
-    texts = ["Hello, World!", None, "", "aaaa", "é" * 10, "x" * 30]
-    want = []
-    for k, t in enumerate(texts):
-        raw = np.frombuffer(b" " + (t or "").encode() + b" ", np.uint8)
-        for _, b in T._buckets(raw):
-            want += [(k, int(x)) for x in b]
-    got = [(at + int(r), int(b)) for at, _, rows, buckets in T._pairs(pa.array(texts), None) for r, b in zip(rows, buckets)]
-    assert sorted(got) == sorted(set(want))
+
+def test_buckets_match_a_plain_loop():
+    texts = ["Hello, World!", None, "", "aaaa", "é" * 10, "x" * 30, "A1 b2\t\x00"] * 3
+    got = list(T.text_buckets(pa.array(texts), 16))
+    assert all(len(b) == len(set(b.tolist())) for b in got)
+    assert [set(b.tolist()) for b in got] == [plain_buckets(t, 16) for t in texts]
+
+
+def test_toxicity_against_a_plain_fit(spark):
+    """The same ratios, logistic loss and minimum found by plain gradient steps over dense rows."""
+    docs, labels, truth = toxic_tables(spark)
+    bits = 12
+    model = T.fit(docs, labels, bits=bits)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] in truth}
+    train = [i for i in sorted(texts) if zlib.crc32(str(i).encode()) % 4 != 2 and i != 3]
+    train += [3]  # its second label is NULL and teaches nothing
+    x = np.zeros((len(train), 1 << bits))
+    for k, i in enumerate(train):
+        x[k, list(plain_buckets(texts[i], bits))] = 1
+    y = np.array([truth[i] for i in train], float)
+    ratio = []
+    for t, c in zip(x[y == 1].sum(0), x[y == 0].sum(0)):
+        r, doubt = math.log((t + 0.5) / (y.sum() + 1) * (len(y) - y.sum() + 1) / (c + 0.5)), 2 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
+        ratio.append(0.0 if t + c == 0 else math.copysign(max(0.0, abs(r) - doubt), r))
+    x = x * ratio
+    w, b = np.zeros(1 << bits), math.log(y.sum() / (len(y) - y.sum()))
+    rate = 1 / (1 + 0.25 * np.linalg.norm(np.column_stack([x, np.ones(len(y))]), 2) ** 2)
+    for _ in range(4000):
+        off = 1 / (1 + np.exp(-(x @ w + b))) - y
+        w, b = w - rate * (x.T @ off + w), b - rate * off.sum()
+    want = {i: 1 / (1 + math.exp(-(sum((w * ratio)[k] for k in plain_buckets(t, bits)) + b))) for i, t in texts.items()}
+    got = {r["doc_id"]: r["score"] for r in T.score(docs, model).collect() if r["doc_id"] in truth}
+    assert max(abs(got[i] - want[i]) for i in want) < 0.02
+
+
+def test_toxicity_of_odd_labels(spark):
+    """Repeated labels count once, ids with both teach nothing, one class alone gives its share; repeated documents are one."""
+    docs, labels, truth = toxic_tables(spark)
+    once = T.fit(docs, labels, bits=12)
+    both = spark.createDataFrame([(5001, 0), (5001, 1)], "doc_id long, toxic int")
+    again = T.fit(docs.unionByName(docs), labels.unionByName(labels).unionByName(both), bits=12)
+    assert np.allclose(once.weights, again.weights, atol=1e-3) and abs(once.intercept - again.intercept) < 1e-3
+    for toxic, share in ((1, 0.99), (0, 0.0)):
+        some = spark.createDataFrame([(i, toxic) for i in range(1, 200)], "doc_id long, toxic int")
+        got = {r["score"] for r in T.score(docs.limit(20), T.fit(docs, some)).collect()}
+        assert len(got) == 1 and abs(got.pop() - share) < 0.01
+
+
+def test_toxicity_does_not_hang_on_the_table_bits(spark):
+    docs, labels, truth = toxic_tables(spark)
+    few, many = ({r["doc_id"]: r["predicted"] for r in T.score(docs, T.fit(docs, labels, bits=b)).collect()} for b in (16, 20))
+    assert few == many
 
 
 def test_held_out_is_the_stated_rule(spark):
