@@ -41,24 +41,29 @@ def canonical_project(name: Column | str, rules: ProjectRules = PROJECTS) -> Col
         out = bind(segment(y), lambda s: F.when((s != "") & ~s.rlike("^[0-9]+$") & ~s.isin(*rules.noise), s))
         for start, value in reversed(rules.overrides):
             out = F.when(y.startswith(start), F.lit(value)).otherwise(out)
-        out = F.when((y != "") & ~x.isin(*rules.noise) & ~x.rlike("^[0-9a-f]{12,}$"), out)
+        out = F.when((y != "") & ~x.isin(*rules.noise) & ~x.rlike(rules.hashes), out)
         for token, value in rules.remaps:
             out = F.when(x == token, F.lit(value)).otherwise(out)
         return out
 
-    tail = lambda x: F.regexp_replace(x, r"^[A-Za-z0-9_]{8,}/repo/?", "")
+    tail = lambda x: F.regexp_replace(x, rules.checkout, "")
     out = bind(bind(plain, flattened), lambda x: bind(tail(x), lambda y: judged(x, y)))
     dropped = raw.isNull() | (raw == "") | raw.isin(*[n for n in rules.noise if "-" in n]) | any_regex(raw, rules.worktrees)
     return F.when(~dropped, out)
 
 
 def project_of_directory(cwd: Column | str, root: str = "/code/", rules: ProjectRules = PROJECTS) -> Column:
-    """Project of a working directory: the first fitting segment after the code root, else the last one."""
+    """Project of a working directory: the first fitting segment after the first code root, else the last one of the path.
+
+    Segments fit that are not empty, not a number, not dotted and no folder that
+    the rules name.
+    """
     c = col(cwd)
-    plain = lambda s: (s != "") & ~s.isin(*rules.noise, *(p.rstrip("/") for p in rules.containers)) & ~s.rlike("^[0-9]+$") & ~s.startswith(".")
-    after = F.filter(F.split(F.substring_index(c, root, -1), "/"), plain)
-    whole = F.filter(F.split(c, "/"), plain)
-    return F.when(c.contains(root), F.get(after, F.lit(0))).otherwise(F.try_element_at(whole, F.lit(-1)))
+    named = dict.fromkeys((*rules.roots, *rules.noise, *(x for p in rules.containers for x in p.rstrip("/").split("/"))))
+    plain = lambda s: (s != "") & ~s.isin(*named) & ~s.rlike("^[0-9]+$") & ~s.startswith(".")
+    at = F.instr(c, root)
+    after = F.when(at > 0, F.filter(F.split(F.substr(c, at + len(root)), "/"), plain))
+    return F.coalesce(F.get(after, F.lit(0)), F.try_element_at(F.filter(F.split(c, "/"), plain), F.lit(-1)))
 
 
 def confidential(columns: list[str], denied=DENIED, prefixes=DENIED_PREFIXES) -> Column:
@@ -74,11 +79,23 @@ def drop_confidential(df: DataFrame, columns: list[str], denied=DENIED, prefixes
 
 
 def clean_projects(df: DataFrame, project: str, aliases, denied=DENIED, rules: ProjectRules = PROJECTS) -> DataFrame:
-    """Branch suffixes cut, aliases folded, denied projects dropped."""
-    base = F.regexp_replace(project, rf"(?i)-({'|'.join(rules.branches)})(-.*)?$", "")
+    """Aliases folded and denied projects dropped, both in any case and by the name before a branch's suffix as well.
+
+    A name that is no alias stays as it is, with its suffix.  Aliases are taken
+    in their order, each on what the ones before it have left; rows without a
+    project stay.
+    """
+    name = F.col(project)
+    state = F.struct(name.alias("name"), F.regexp_replace(name, rf"(?i)-({'|'.join(rules.branches)})-.*$", "").alias("base"))
+
+    def fold(alias: str, value: str):
+        to = F.struct(F.lit(value).alias("name"), F.lit(value).alias("base"))
+        return lambda s: F.when((F.lower(s["base"]) == alias.lower()) | (F.lower(s["name"]) == alias.lower()), to).otherwise(s)
+
     for a, b in aliases:
-        base = F.when(base == a, F.lit(b)).otherwise(base)
-    return df.withColumn(project, base).where(~is_in(F.lower(project), [d.lower() for d in denied]))
+        state = bind(state, fold(a, b))
+    kept = df.withColumn("__clean", state).where(~is_in(F.lower("__clean.base"), [d.lower() for d in denied]))
+    return kept.withColumn(project, F.col("__clean.name")).drop("__clean")
 
 
 def sanitize_session_id(ident: Column | str, project: Column | str, started: Column | str) -> Column:

@@ -37,13 +37,13 @@ def file_churn(files: DataFrame, top: int = 50) -> DataFrame:
 
 
 def contributors(commits: DataFrame, months: int = 6, top: int = 10) -> DataFrame:
-    """Per project and author: commits ever and in the last months, and the share among the ``top`` authors."""
+    """Per project and author: commits ever and in the last months; the ``top`` authors have their share among themselves."""
     last = F.broadcast(commits.agg(F.max("date").alias("last")))
     c = commits.crossJoin(last)
     g = c.groupBy("project", "author").agg(F.count(F.lit(1)).alias("n_commits"), F.count_if(F.col("date") > F.add_months("last", -months)).alias("n_recent"))
     place = F.row_number().over(Window.partitionBy("project").orderBy(F.desc("n_commits"), "author"))
-    g = g.withColumn("i", place).where(F.col("i") <= top)
-    return g.withColumn("share", F.round(F.col("n_commits") / F.sum("n_commits").over(Window.partitionBy("project")), 6)).drop("i")
+    leading = F.when(F.col("i") <= top, F.col("n_commits"))
+    return g.withColumn("i", place).withColumn("share", F.round(leading / F.sum(leading).over(Window.partitionBy("project")), 6)).drop("i")
 
 
 def velocity(commits: DataFrame) -> DataFrame:
@@ -97,40 +97,60 @@ def rolling_growth(commits: DataFrame, months: int = 6) -> DataFrame:
 
 
 def project_metrics(commits: DataFrame, files: DataFrame) -> DataFrame:
-    """Metrics of each project in long form: (project, period, period_label, metric, value)."""
-
-    def long(df: DataFrame, period: str, label, metric: str, value) -> DataFrame:
-        return df.groupBy("project", label.alias("period_label")).agg(value.cast("double").alias("value")).select("project", F.lit(period).alias("period"), "period_label", F.lit(metric).alias("metric"), "value")
-
-    one = F.count(F.lit(1))
-    total, name = F.lit("all"), lambda c: F.col(c).cast("string")
-    last_c, last_f = (F.broadcast(x.agg(F.max("date").alias("last"))) for x in (commits, files))
-    recent = files.join(last_f, F.col("date") > F.add_months("last", -6), "left_semi")
-    hot = recent.groupBy("project", "file").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("hash").alias("hashes"))
-    week_c = commits.join(last_c, F.col("date") > F.date_sub("last", 7), "left_semi")
-    parts = [
-        long(commits, "day", name("date"), "commits", one),
-        long(commits, "week", iso_week("date"), "commits", one),
-        long(commits, "month", F.date_format("date", "yyyy-MM"), "commits", one),
-        long(commits, "total", total, "commits_total", one),
-        long(commits, "total", total, "contributors", F.count_distinct("author")),
-        long(commits, "author", F.col("author"), "commits_by_author", one),
-        long(commits.where(F.col("message").rlike("(?i)fix|revert|hotfix")), "total", total, "firefighting", one),
-        long(commits, "total", total, "message_length", F.round(F.avg(F.length("message")), 4)),
-        long(commits, "total", total, "lines_changed", sum0("lines_changed")),
-        long(commits, "total", total, "last_commit", F.datediff(F.max("date"), F.lit("1970-01-01").cast("date"))),
-        long(week_c, "total", total, "commits_last_week", one),
-        long(files, "file", F.col("file"), "churn", one),
-        long(recent, "6m", total, "active_files", F.count_distinct("file")),
-        long(recent, "6m", F.lit("growth"), "files_added", F.count_if(F.col("added") > F.col("deleted"))),
-        long(recent, "6m", F.lit("cleanup"), "files_deleted", F.count_if(F.col("added") <= F.col("deleted"))),
-        long(recent, "6m", F.lit("net"), "files_net", F.count_if(F.col("added") > F.col("deleted")) - F.count_if(F.col("added") <= F.col("deleted"))),
-        long(hot, "6m", F.col("file"), "hotspot", F.max("n")),
-        long(hot, "6m", F.col("file"), "commits_per_hot_file", F.max("hashes")),
-        long(files, "total", F.substring_index("file", "#", 1), "lines_by_kind", sum0(F.col("added") + F.col("deleted"))),
-        long(files, "total", total, "lines_of_code", sum0("added") - sum0("deleted")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """Metrics of each project in long form: (project, period, period_label, metric, value).
+
+    Each table is aggregated once to narrow groups, commits to (author, date)
+    and files to (file, hash).  Every group names the metrics that it counts
+    for, and these rows are summed.
+    """
+    all_ = F.lit("all")
+
+    def entry(period: str, label, metric: str, value, when=None):
+        row = F.struct(F.lit(period).alias("period"), label.cast("string").alias("period_label"), F.lit(metric).alias("metric"), value.cast("double").alias("v"))
+        return row if when is None else F.when(when, row)
+
+    def entries(df: DataFrame, *rows) -> DataFrame:
+        return df.select("project", F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))
+
+    fix = F.col("message").rlike("(?i)fix|revert|hotfix")
+    by_day = commits.groupBy("project", "author", "date").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(fix).alias("fixes"), F.sum(F.length("message")).alias("chars"), F.count("message").alias("messages"), sum0("lines_changed").alias("changed"),
+    )
+    newest = F.broadcast(commits.agg(F.max("date").alias("last")))
+    c = entries(
+        by_day.join(newest),
+        entry("day", F.col("date"), "commits", F.col("n")), entry("week", iso_week("date"), "commits", F.col("n")), entry("month", F.date_format("date", "yyyy-MM"), "commits", F.col("n")),
+        entry("total", all_, "commits_total", F.col("n")), entry("author", F.col("author"), "commits_by_author", F.col("n")), entry("total", all_, "firefighting", F.col("fixes"), F.col("fixes") > 0),
+        entry("total", all_, "message_length", F.col("chars")), entry("total", all_, "messages", F.col("messages")), entry("total", all_, "lines_changed", F.col("changed")),
+        entry("total", all_, "last_commit", F.datediff("date", F.lit("1970-01-01").cast("date"))), entry("total", all_, "commits_last_week", F.col("n"), F.col("date") > F.date_sub("last", 7)),
+    )
+    newest_file = F.broadcast(files.agg(F.max("date").alias("last")))
+    recent = F.col("date") > F.add_months("last", -6)
+    grown = F.col("added") > F.col("deleted")
+    touched = files.join(newest_file).groupBy("project", "file", "hash").agg(
+        F.count(F.lit(1)).alias("n"), sum0("added").alias("added"), sum0("deleted").alias("deleted"), F.count_if(recent).alias("recent"),
+        F.count_if(recent & grown).alias("grown"), F.count_if(recent & ~grown).alias("shrunk"), sum0(F.col("added") + F.col("deleted")).alias("both"),
+    )
+    lately = F.col("recent") > 0
+    f = entries(
+        touched,
+        entry("file", F.col("file"), "churn", F.col("n")), entry("6m", F.lit("growth"), "files_added", F.col("grown"), lately), entry("6m", F.lit("cleanup"), "files_deleted", F.col("shrunk"), lately),
+        entry("6m", F.lit("net"), "files_net", F.col("grown") - F.col("shrunk"), lately), entry("6m", F.col("file"), "hotspot", F.col("recent"), lately), entry("6m", F.col("file"), "commits_per_hot_file", F.lit(1), lately),
+        entry("total", F.substring_index("file", "#", 1), "lines_by_kind", F.col("both")), entry("total", all_, "lines_of_code", F.col("added") - F.col("deleted")),
+    )
+    keys = ["project", "period", "period_label", "metric"]
+    summed = c.unionByName(f).groupBy(*keys).agg(F.sum("v").alias("v"), F.max("v").alias("top"))
+    # one row per project, author or file: what is counted or divided over these
+    project = summed.groupBy("project").agg(
+        F.count(F.when(F.col("metric") == "commits_by_author", F.col("period_label"))).alias("authors"), F.count(F.when(F.col("metric") == "hotspot", F.col("period_label"))).alias("active"),
+        *(F.max(F.when(F.col("metric") == m, F.col("v"))).alias(m) for m in ("message_length", "messages", "commits_total")),
+    ).select("project", F.inline(F.filter(F.array(
+        entry("total", all_, "contributors", F.col("authors"), F.col("commits_total").isNotNull()), entry("6m", all_, "active_files", F.col("active"), F.col("active") > 0),
+        entry("total", all_, "message_length", F.round(F.try_divide("message_length", "messages"), 4), F.col("commits_total").isNotNull()),
+    ), lambda r: r.isNotNull())))
+    value = F.when(F.col("metric") == "last_commit", F.col("top")).otherwise(F.col("v"))
+    rows = summed.where(~F.col("metric").isin("message_length", "messages")).select(*keys, value.alias("value"))
+    return rows.unionByName(project.withColumnRenamed("v", "value"))
 
 
 def pivot_metrics(long: DataFrame, keys: list[str], by: str, names: list[str], fill: float | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators.lineage import discard, stage
 
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
@@ -13,8 +13,8 @@ def _fingerprint(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["h"] or 0
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step on edges with u > v: neighbours move to the smallest one."""
+def _star(edges: DataFrame, large: bool) -> tuple[DataFrame, DataFrame]:
+    """One star step on edges with u > v: neighbours move to the smallest one; and the staged minima."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
     least = stage(least, "least")  # read as a table of its own, so that a join at a hub may be split
@@ -24,7 +24,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = moved.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.union(least.select("u", F.col("m").alias("v")))
-    return out.where(F.col("u") > F.col("v")).distinct()
+    return out.where(F.col("u") > F.col("v")).distinct(), least
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -42,7 +42,10 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     for _ in range(max_rounds):
         if not seen[0]:
             break
-        e = stage(_star(_star(e, True), False), "edges")
+        out, tops = _star(e, True)
+        out, least = _star(out, False)
+        last, e = e, stage(out, "edges")
+        discard(last, tops, least)
         now = _fingerprint(e)
         if now == seen:
             break

@@ -59,7 +59,7 @@ def reconcile(provider: DataFrame, other: DataFrame) -> DataFrame:
     cross = F.when(F.col("p").isNotNull(), F.col("c"))
     return both.select(
         "date", F.round(F.coalesce("p", "c"), 4).alias("primary_cost"), F.round(cross, 4).alias("cross_check"),
-        F.round(F.when(cross != 0, (F.col("p") - F.col("c")) / F.col("c") * 100), 3).alias("deficit_pct"),
+        F.round(F.when(cross != 0, (F.col("p") - F.col("c")) / F.col("c") * 100), 1).alias("deficit_pct"),
     )
 
 
@@ -111,13 +111,14 @@ def blocklist_matches(prompts: DataFrame, blocklist: DataFrame, limit: float = 0
 
     Prompts have ``files`` and ``text``, the blocklist ``primary_file`` and
     ``summary``.  Candidates share a token of their prefixes in one global token
-    order (rarest first in the blocklist), so no prompt meets every entry; pairs
-    of empty texts, which are equal, meet by that alone.
+    order (rarest first in the blocklist), so no prompt meets every entry.  Texts
+    without tokens are equal: they have the empty token.
     """
     p = prompts.select("prompt_id", "files", token_set("text").alias("pt"))
     b = blocklist.select("content_hash", "primary_file", token_set("summary").alias("bt"))
     by_file = p.select("prompt_id", F.explode("files").alias("primary_file")).join(b.select("content_hash", "primary_file"), "primary_file")
-    b2, p2 = b.withColumn("tok", F.explode("bt")), p.withColumn("tok", F.explode("pt"))
+    tokens_of = lambda x, c: x.withColumn("tok", F.explode(F.when(F.size(c) == 0, F.array(F.lit(""))).otherwise(F.col(c))))
+    b2, p2 = tokens_of(b, "bt"), tokens_of(p, "pt")
     df = b2.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     keep = lambda n: n - F.ceil(F.lit(limit) * n) + 1
 
@@ -127,8 +128,6 @@ def blocklist_matches(prompts: DataFrame, blocklist: DataFrame, limit: float = 0
         return ranked.withColumn("__i", place).where(F.col("__i") <= keep(F.size(tokens))).select(key, "tok")
 
     cand = prefix(p2, "prompt_id", "pt").join(prefix(b2, "content_hash", "bt"), "tok").select("prompt_id", "content_hash").distinct()
-    none = p.where(F.size("pt") == 0).select("prompt_id").join(b.where(F.size("bt") == 0).select("content_hash"))
-    cand = cand.unionByName(none)
     sim = cand.join(p.select("prompt_id", "pt"), "prompt_id").join(b.select("content_hash", "bt"), "content_hash").where(jaccard("pt", "bt") >= limit)
     return by_file.select("prompt_id", "content_hash").unionByName(sim.select("prompt_id", "content_hash")).distinct()
 

@@ -11,10 +11,12 @@ _local: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a temporary one of a local session only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = "file://" + tempfile.mkdtemp(prefix="ledgerspark-")
@@ -30,4 +32,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged copies that no frame still to be run reads; frames that are not such copies are left alone."""
+    for df in staged:
+        path = getattr(df, "_staged_at", None)
+        if path is not None:
+            spark = df.sparkSession
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -64,37 +64,66 @@ def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
     return f.drop("tok").join(final, "content_hash").withColumn("content_hash", F.col("__hash")).drop("__hash")
 
 
+#: Microseconds of the spans by which runs and gaps meet.
+HOUR, DAY = 3_600_000_000, 86_400_000_000
+
+
+def _runs_between(gaps: DataFrame, runs: DataFrame) -> DataFrame:
+    """The gaps (content_hash, i, a, b) with the cost and shas of runs in them, in pieces.
+
+    A gap is cut into the whole days in it, the whole hours before and after
+    these, and the hours of its two ends.  Days and hours meet one row of the
+    runs summed by day and by hour; only the hours at the ends meet single runs.
+    """
+    t = F.unix_micros("started_at")
+    r = runs.select(t.alias("t"), F.floor(t / DAY).alias("d"), F.floor(t / HOUR).alias("h"), "cost", "commit_sha")
+    g = gaps.select("content_hash", "i", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"))
+    g = g.withColumns({"ha": F.floor(F.col("a") / HOUR), "hb": F.floor(F.col("b") / HOUR)})
+    g = g.withColumns({"d1": F.ceil((F.col("ha") + 1) / 24), "d2": F.floor(F.col("hb") / 24) - 1})  # the whole days
+    none, days = F.array().cast("array<bigint>"), F.col("d1") <= F.col("d2")
+    span = lambda lo, hi: F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none)
+    before = F.when(days, F.col("d1") * 24 - 1).otherwise(F.col("hb") - 1)
+    after = F.when(days, span((F.col("d2") + 1) * 24, F.col("hb") - 1)).otherwise(none)
+    hours = F.concat(span(F.col("ha") + 1, before), after)
+    by_day, by_hour = (r.groupBy(F.col(k).alias("k")).agg(F.sum("cost").alias("cost"), F.collect_set("commit_sha").alias("shas")) for k in ("d", "h"))
+    keep = ["content_hash", "i", "cost", "shas"]
+    whole = g.withColumn("k", F.explode(span(F.col("d1"), F.col("d2")))).join(by_day, "k").select(*keep)
+    part = g.withColumn("k", F.explode(hours)).join(by_hour, "k").select(*keep)
+    ends = g.withColumn("h", F.explode(F.array_distinct(F.array("ha", "hb")))).join(r, "h").where(F.col("t").between(F.col("a"), F.col("b")))
+    shas = F.when(F.col("commit_sha").isNotNull(), F.array("commit_sha")).otherwise(F.array().cast("array<string>"))
+    return whole.unionByName(part).unionByName(ends.withColumn("shas", shas).select(*keep))
+
+
 def cycles(findings: DataFrame, runs: DataFrame | None, order: str = "job_id") -> DataFrame:
     """Per hash the consecutive findings with a fix run between them, both ends included.
 
-    Without a table of runs every consecutive pair counts.  Runs meet gaps by
-    days, so neither side is scanned whole for the other; hashes of fewer than
-    four findings can't have three cycles and are left out first.
+    Without a table of runs every consecutive pair counts and the cost is NULL;
+    with a table that has no rows every pair counts at cost 0.
     """
     w = Window.partitionBy("content_hash").orderBy("reviewed_at", order)
-    n = findings.groupBy("content_hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= 4).select("content_hash")
-    pairs = findings.join(n, "content_hash", "left_semi").select("content_hash", F.col("reviewed_at").alias("a"), F.lead("reviewed_at").over(w).alias("b"), F.row_number().over(w).alias("i"))
+    pairs = findings.select("content_hash", F.col("reviewed_at").alias("a"), F.lead("reviewed_at").over(w).alias("b"), F.row_number().over(w).alias("i"))
     pairs = pairs.where(F.col("b").isNotNull())
-    if runs is None:
-        return pairs.groupBy("content_hash").agg(F.count(F.lit(1)).cast("int").alias("cycles"), F.lit("").alias("fix_commit_shas"), F.lit(None).cast("double").alias("estimated_wasted_usd"))
-    fixes = runs.where(F.col("agent_type").isin(*FIXERS) & F.col("started_at").isNotNull()).withColumn("day", F.to_date("started_at"))
-    spans = pairs.withColumn("day", F.explode(F.sequence(F.to_date("a"), F.to_date("b"))))
-    hits = spans.join(fixes, "day").where(F.col("started_at").between(F.col("a"), F.col("b")))
+    if runs is None or runs.isEmpty():
+        cost = F.lit(None if runs is None else 0.0).cast("double")
+        return pairs.groupBy("content_hash").agg(F.count(F.lit(1)).cast("int").alias("cycles"), F.lit("").alias("fix_commit_shas"), cost.alias("estimated_wasted_usd"))
     cost = F.coalesce("total_cost_usd", F.lit(0.0)) if "total_cost_usd" in runs.columns else F.lit(0.0)
-    shas = F.array_join(F.array_sort(F.collect_set("commit_sha")), ",")
-    return hits.groupBy("content_hash").agg(F.count_distinct("i").cast("int").alias("cycles"), shas.alias("fix_commit_shas"), F.round(F.sum(cost), 6).alias("estimated_wasted_usd"))
+    fixes = runs.where(F.col("agent_type").isin(*FIXERS) & F.col("started_at").isNotNull()).select("started_at", "commit_sha", cost.alias("cost"))
+    hits = _runs_between(pairs, fixes)
+    shas = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("shas")))), ",")
+    return hits.groupBy("content_hash").agg(F.count_distinct("i").cast("int").alias("cycles"), shas.alias("fix_commit_shas"), F.round(F.sum("cost"), 6).alias("estimated_wasted_usd"))
 
 
 def detect_loops(findings: DataFrame, runs: DataFrame | None, limit: float = 0.6, window_days: int = 30, order: str = "job_id") -> DataFrame:
     """Findings that came back at least three times within the window before the newest one.
 
-    An empty table of runs gives no cycles; no table makes every pair a cycle
-    and leaves the cost NULL.
+    Hashes of fewer than four findings can't have three cycles and are left out
+    before the gaps are looked at; see ``cycles`` for tables without runs.
     """
     last = F.broadcast(findings.agg(F.max("reviewed_at").alias("__last")))
     recent = findings.crossJoin(last).where(F.col("reviewed_at") >= F.col("__last") - F.make_dt_interval(F.lit(window_days))).drop("__last")
     f = collapse(recent.withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")), limit)
-    c = cycles(f, runs, order).where(F.col("cycles") >= TIERS[-1][0])
+    often = f.groupBy("content_hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > TIERS[-1][0]).select("content_hash")
+    c = cycles(f.join(often, "content_hash", "left_semi"), runs, order).where(F.col("cycles") >= TIERS[-1][0])
     head = F.min(F.struct("reviewed_at", order, "severity", "primary_file", F.substring("problem_text", 1, 80).alias("summary"))).alias("m")
     g = f.join(c.select("content_hash"), "content_hash", "left_semi").groupBy("content_hash").agg(head, F.min("reviewed_at").alias("first_seen"), F.max("reviewed_at").alias("last_seen"))
     acks = {"ack_by": "string", "ack_at": "timestamp", "ack_reason": "string", "ack_until": "timestamp"}

@@ -36,9 +36,14 @@ def is_stale(updated: Column | str, now: str, hours: float) -> Column:
 # appends of staged events ---------------------------------------------------
 
 
+def not_stored(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The new rows whose key no old row has; of the old ones only the keys are read."""
+    return new.join(old.select(*keys).distinct(), keys, "left_anti")
+
+
 def append_new(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Old rows, and the new ones whose key no old row has."""
-    return old.unionByName(new.join(old.select(*keys).distinct(), keys, "left_anti"))
+    return old.unionByName(not_stored(old, new, keys))
 
 
 def _payload(events: DataFrame, kind: str) -> DataFrame:
@@ -58,14 +63,18 @@ def sessions_from_events(events: DataFrame, now: str, rules=None) -> DataFrame:
     return S.conform(last_per_key(e, ["session_id"], ["ts", "file", "line"]), S.SESSIONS)
 
 
-def append_sessions(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
-    """Stored sessions and the new ones; old spellings of a sanitised id, without its hash, count as stored."""
-    old = S.conform(old, S.SESSIONS, {"trigger": "unknown"})
+def new_sessions(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
+    """Sessions that are not stored; old spellings of a sanitised id, without its hash, count as stored."""
     short = F.regexp_replace("session_id", "@h[0-9a-f]{12}$", "")
-    new = sessions_from_events(events, now).withColumn("__short", short)
-    new = new.join(old.select("session_id").distinct(), "session_id", "left_anti")
+    new = not_stored(old, sessions_from_events(events, now), ["session_id"]).withColumn("__short", short)
     new = new.join(old.select(F.col("session_id").alias("__short")).distinct(), "__short", "left_anti").drop("__short")
-    return old.unionByName(new.select(*old.columns)).withColumn("working_dir", redact_directory("working_dir"))
+    return S.conform(new.withColumn("working_dir", redact_directory("working_dir")), S.SESSIONS)
+
+
+def append_sessions(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
+    """Stored sessions, with a trigger and without private directories, and the new ones."""
+    old = S.conform(old, S.SESSIONS, {"trigger": "unknown"})
+    return old.withColumn("working_dir", redact_directory("working_dir")).unionByName(new_sessions(old, events, now))
 
 
 def costs_from_events(events: DataFrame, now: str) -> DataFrame:
@@ -77,6 +86,10 @@ def costs_from_events(events: DataFrame, now: str) -> DataFrame:
     return S.conform(last_per_key(e, ["cost_id"], ["ts", "file", "line"]), S.COSTS)
 
 
+def new_costs(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
+    return not_stored(old, costs_from_events(events, now), ["cost_id"])
+
+
 def append_costs(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
     return append_new(S.conform(old, S.COSTS), costs_from_events(events, now), ["cost_id"])
 
@@ -93,6 +106,10 @@ def commits_from_events(events: DataFrame, now: str) -> DataFrame:
     return S.conform(last_per_key(e, ["commit_pk"], ["ts", "file", "line"]), S.COMMITS)
 
 
+def new_commits(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
+    return not_stored(old, commits_from_events(events, now), ["commit_pk"])
+
+
 def append_commits(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
     return append_new(S.conform(old, S.COMMITS), commits_from_events(events, now), ["commit_pk"])
 

@@ -130,25 +130,29 @@ def period_deltas(lifecycle: DataFrame, now: str, days: int = 7) -> DataFrame:
     return one.select("*", *(F.round(F.col(f"{m}_now") - F.col(f"{m}_before"), 6).alias(f"{m}_delta") for m in ("rate", "median_h", "critical", "high")))
 
 
-def open_trend(lifecycle: DataFrame, last: str, days: int, by: str | None = None) -> DataFrame:
+def open_trend(lifecycle: DataFrame, last: str, days: int, by: str | None = None, reason: str | None = None) -> DataFrame:
     """Per day (and key): opened, closed, and open at the day's end, on a spine of ``days`` days.
 
-    Opening is +1 on its day, closing -1: a running sum over daily counts, never
-    a join of days to rows.  Rows closed before they were created leave nothing.
+    Every row opens on the day of its creation and closes on that of its
+    closing, where a ``reason`` column is named only if that is not empty.  A row
+    is open at the end of the days from the one to the day before the other:
+    +1 and -1 in a running sum over daily counts, never a join of days to rows.
     """
     keys = [by] if by else []
-    closed = F.to_date(F.when(F.col("closed_at") >= F.col("created_at"), F.col("closed_at")))
-    opened = lifecycle.where(F.col("closed_at").isNull() | (F.col("closed_at") >= F.col("created_at")))
-    plus = opened.groupBy(*keys, F.to_date("created_at").alias("date")).agg(F.count(F.lit(1)).alias("opened"))
-    minus = opened.where(closed.isNotNull()).groupBy(*keys, closed.alias("date")).agg(F.count(F.lit(1)).alias("closed"))
-    spark = lifecycle.sparkSession
-    spine = spark.range(1).select(F.explode(F.sequence(F.date_sub(F.lit(last).cast("date"), days - 1), F.lit(last).cast("date"))).alias("date"))
+    shut = F.col("closed_at").isNotNull()
+    if reason:
+        shut = shut & F.coalesce(F.col(reason) != "", F.lit(False))
+    r = lifecycle.select(*keys, F.to_date("created_at").alias("c"), F.when(shut, F.to_date("closed_at")).alias("x"))
+    spans = (F.col("c").isNotNull() & (F.col("x").isNull() | (F.col("x") > F.col("c")))).cast("int")
+    day = lambda date, opened, closed, net: F.struct(date.alias("date"), F.lit(opened).alias("opened"), F.lit(closed).alias("closed"), net.alias("net"))
+    ends = r.select(*keys, F.inline(F.array(day(F.col("c"), 1, 0, spans), day(F.col("x"), 0, 1, -spans)))).where(F.col("date").isNotNull())
+    daily = ends.groupBy(*keys, "date").agg(F.sum("opened").alias("opened"), F.sum("closed").alias("closed"), F.sum("net").alias("net"))
+    spine = lifecycle.sparkSession.range(1).select(F.explode(F.sequence(F.date_sub(F.lit(last).cast("date"), days - 1), F.lit(last).cast("date"))).alias("date"))
     if by:
         spine = spine.crossJoin(lifecycle.select(by).distinct())
-    daily = plus.join(minus, [*keys, "date"], "full").join(spine.withColumn("__in", F.lit(True)), [*keys, "date"], "full")
+    daily = daily.join(spine.withColumn("__in", F.lit(True)), [*keys, "date"], "full")
     run = Window.partitionBy(*keys) if by else Window.partitionBy()
-    net = F.coalesce("opened", F.lit(0)) - F.coalesce("closed", F.lit(0))
-    daily = daily.withColumn("open_at_end", F.sum(net).over(run.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)))
+    daily = daily.withColumn("open_at_end", F.sum(F.coalesce("net", F.lit(0))).over(run.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)))
     return daily.where("__in").select(*keys, "date", F.coalesce("opened", F.lit(0)).alias("opened"), F.coalesce("closed", F.lit(0)).alias("closed"), "open_at_end")
 
 
@@ -190,9 +194,10 @@ def threshold_history(changes: DataFrame, daily: DataFrame) -> DataFrame:
 
 
 def findings_per_commit(rows: DataFrame, k: int = 10) -> DataFrame:
-    """The k (commit, repo) pairs with the most findings; empty shas are left out first."""
+    """The k (commit, repo) pairs with the most findings, with their first message; empty shas are left out first."""
     r = rows.where(F.coalesce(F.col("commit_sha") != "", F.lit(False)))
-    g = r.groupBy("commit_sha", "repo").agg(F.count(F.lit(1)).alias("n"), F.max("created_at").alias("last_at"))
+    first = F.min(F.struct("created_at", "message"))["message"] if "message" in rows.columns else F.lit(None).cast("string")
+    g = r.groupBy("commit_sha", "repo").agg(F.count(F.lit(1)).alias("n"), F.max("created_at").alias("last_at"), first.alias("message"))
     return g.orderBy(F.desc("n"), "commit_sha", "repo").limit(k)
 
 
@@ -210,13 +215,17 @@ def time_to_fix(lifecycle: DataFrame, methods: tuple[str, ...] = ("commit_refere
     return r.select("review_id", "fix_method", h.alias("hours"), bucket(h, *FIX_HOURS).alias("bucket"))
 
 
+#: The fix methods of each kind of closing; ``unknown`` is also no method at all.
+CLOSURES = {"fix_linked": ("manual", "commit_reference"), "autoclose": ("autoclose_severity",), "unknown": ("unknown",)}
+
+
 def closure_breakdown(lifecycle: DataFrame) -> DataFrame:
-    """Closed reviews by kind of closing, with percentages."""
-    kind = F.when(F.col("close_reason") == "fix_linked", "fix_linked").when(F.col("close_reason") == "autoclose", "autoclose").otherwise("unknown")
+    """Closed reviews by kind of closing, as percentages of all closed ones; other methods count for none."""
     closed = lifecycle.where(F.col("closed_at").isNotNull())
-    one = closed.agg(*(F.count_if(kind == k).alias(k) for k in ("fix_linked", "autoclose", "unknown")), F.count(F.lit(1)).alias("n"))
-    out = one.selectExpr("n AS __n", "stack(3, 'fix_linked', fix_linked, 'autoclose', autoclose, 'unknown', unknown) AS (reason, n)")
-    return out.select("reason", "n", F.round(100 * ratio("n", "__n"), 4).alias("pct"))
+    method = F.coalesce("fix_method", F.lit("unknown"))
+    one = closed.agg(*(F.count_if(method.isin(*m)).alias(k) for k, m in CLOSURES.items()), F.count(F.lit(1)).alias("__n"))
+    rows = F.array(*(F.struct(F.lit(k).alias("reason"), F.col(k).alias("n")) for k in CLOSURES))
+    return one.select("__n", F.inline(rows)).select("reason", "n", F.round(F.coalesce(100 * ratio("n", "__n"), F.lit(0.0)), 1).alias("pct"))
 
 
 def closing_funnel(lifecycle: DataFrame) -> DataFrame:

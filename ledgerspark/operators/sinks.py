@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,43 +25,114 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _current(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, f"{path}/CURRENT")
+_VERSION = re.compile(r"version-(\d{12})$")
+
+
+@dataclass(frozen=True)
+class Version:
+    """What a table consists of: its number, folders of rows, their count, and notes of the writer."""
+
+    number: int
+    parts: tuple[str, ...]
+    rows: int
+    notes: dict
+
+
+def version_of(spark: SparkSession, path: str) -> Version | None:
+    """The newest version; its file is written after its rows and never changed."""
+    fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    return spark.read.text(f"{path}/CURRENT").first()[0]
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    numbers = [int(m[1]) for n in names if (m := _VERSION.match(n))]
+    if not numbers:
+        return None
+    last = max(numbers)
+    text = "".join(r[0] for r in spark.read.text(f"{path}/version-{last:012d}").collect())  # one line
+    body = json.loads(text)
+    return Version(last, tuple(body["parts"]), body["rows"], body["notes"])
+
+
+def _publish(spark: SparkSession, path: str, old: Version | None, parts: list[str], rows: int, notes: dict) -> None:
+    """Create the next version's file under another name and rename it: readers see the whole file or none.
+
+    A name is given once: of two writers that start from one version the second fails.
+    """
+    name = f"version-{(old.number if old else 0) + 1:012d}"
+    fs, p = _fs(spark, f"{path}/_{name}-{uuid.uuid4().hex}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+    out = fs.create(p, False)
+    out.write(bytearray(json.dumps({"parts": parts, "rows": rows, "notes": notes}).encode()))
+    out.close()
+    if fs.exists(target) or not fs.rename(p, target):
+        fs.delete(p, False)
+        raise GateError(f"{path}: another writer has made {name}")
 
 
 def read_table(spark: SparkSession, path: str, ddl: str, defaults: dict | None = None) -> DataFrame:
-    """The table's current version; no table is an empty one, missing columns get their default."""
-    version = _current(spark, path)
-    return conform(spark.read.parquet(f"{path}/{version}"), ddl, defaults) if version else empty(spark, ddl)
+    """The table's newest version; no table is an empty one, missing columns get their default."""
+    version = version_of(spark, path)
+    if version is None or not version.parts:
+        return empty(spark, ddl)
+    have = spark.read.option("mergeSchema", "true").parquet(*(f"{path}/{x}" for x in version.parts))
+    return conform(have, ddl, defaults)
+
+
+def _write_part(df: DataFrame, path: str) -> tuple[str, int]:
+    part = f"part-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(f"{path}/{part}")
+    return part, df.sparkSession.read.parquet(f"{path}/{part}").count()
 
 
-def write_table(df: DataFrame, path: str, allow_shrink: bool = True) -> int:
-    """Write a new version beside the old one and switch the pointer to it; returns its rows.
+def write_table(df: DataFrame, path: str, allow_shrink: bool = True, notes: dict | None = None) -> int:
+    """Write the rows beside the old version's and publish them as the next version; returns their number.
 
-    Readers see the old version or the new one, never a part.  With
-    ``allow_shrink`` off, a version with fewer rows than the current one is
-    refused and the table stays as it is.  One writer at a time is assumed.
+    Readers see the old version or the new one, never a part and never nothing:
+    no file of a version is deleted or renamed.  With ``allow_shrink`` off, rows
+    fewer than the current version's are refused and removed again.
     """
     spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(f"{path}/{version}")
-    n, old = spark.read.parquet(f"{path}/{version}").count(), _current(spark, path)
-    if not allow_shrink and old is not None and n < spark.read.parquet(f"{path}/{old}").count():
+    old = version_of(spark, path)
+    part, n = _write_part(df, path)
+    if not allow_shrink and old is not None and n < old.rows:
+        fs, p = _fs(spark, f"{path}/{part}")
+        fs.delete(p, True)
         raise GateError(f"{path}: {n} rows would be fewer than before")
-    fs, p = _fs(spark, f"{path}/NEXT-{version}")
-    out = fs.create(p, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/CURRENT")
-    fs.delete(target, False)
-    if not fs.rename(p, target):
-        raise GateError(f"{path}: the new version could not be switched to")
+    _publish(spark, path, old, [part], n, notes or {})
     return n
 
 
+def append_table(df: DataFrame, path: str, notes: dict | None = None) -> int:
+    """Add rows as a part of their own: what is stored is neither read nor written; returns the table's rows."""
+    spark = df.sparkSession
+    old = version_of(spark, path)
+    part, n = _write_part(df, path)
+    rows = n + (old.rows if old else 0)
+    _publish(spark, path, old, [*(old.parts if old else ()), part], rows, {**(old.notes if old else {}), **(notes or {})})
+    return rows
+
+
+def compact_table(spark: SparkSession, path: str, ddl: str, parts: int = 32) -> bool:
+    """Write a table of more than ``parts`` parts as one; to be called now and then."""
+    old = version_of(spark, path)
+    if old is None or len(old.parts) <= parts:
+        return False
+    write_table(read_table(spark, path, ddl), path, allow_shrink=False, notes=old.notes)
+    return True
+
+
+def vacuum_table(spark: SparkSession, path: str) -> None:
+    """Delete the parts and version files that the newest version does not need; no reader of an older one may be at work."""
+    version = version_of(spark, path)
+    if version is None:
+        return
+    fs, p = _fs(spark, path)
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if name not in version.parts and name != f"version-{version.number:012d}":
+            fs.delete(status.getPath(), True)
+
+
 def append_fetch(df: DataFrame, path: str, fetched: str) -> None:
     """Append a snapshot with its fetch time."""
     df.withColumn("fetch_timestamp", F.lit(fetched).cast("timestamp")).write.mode("append").option("compression", "zstd").parquet(path)

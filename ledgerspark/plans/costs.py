@@ -53,7 +53,7 @@ def _cross(t):
 
 @query("j05_reconcile", f"""
 WITH {_RECON} SELECT date, round(prim, 4) AS primary_cost, round(CASE WHEN p IS NOT NULL THEN c END, 4) AS cross_check,
-  round(CASE WHEN p IS NOT NULL AND c <> 0 THEN (p - c) / c * 100 END, 3) AS deficit_pct FROM r""")
+  round(CASE WHEN p IS NOT NULL AND c <> 0 THEN (p - c) / c * 100 END, 1) AS deficit_pct FROM r""")
 def _(t):
     return J.reconcile(_provider(t), _cross(t))
 
@@ -170,7 +170,7 @@ def _(t):
 
 
 @query("a54_validation_health", f"""
-WITH {_RECON}, d AS (SELECT date, round(CASE WHEN p IS NOT NULL AND c <> 0 THEN (p - c) / c * 100 END, 3) AS x FROM r)
+WITH {_RECON}, d AS (SELECT date, round(CASE WHEN p IS NOT NULL AND c <> 0 THEN (p - c) / c * 100 END, 1) AS x FROM r)
 SELECT round(median(x), 4) AS median_pct, round(avg(x), 4) AS mean_pct, arg_max(x, CASE WHEN x IS NOT NULL THEN date END) AS last_pct, count(*) FILTER (x < 0) AS n_negative FROM d""")
 def _(t):
     d = J.reconcile(_provider(t), _cross(t))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import micros
@@ -31,10 +31,30 @@ def _json(df: DataFrame, name: str) -> str:
     return path
 
 
-def _named(df: DataFrame, name: str, key: str) -> str:
-    """One file per key, in folders of the key, the whole document as its only line."""
+def _documents(df: DataFrame, name: str) -> str:
+    """One file per row, the whole document as its only line."""
     path = _folder(df, name)
-    df.write.partitionBy(key).text(path)
+    df.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+def chunk_of(df: DataFrame, *keys: str, rows: int = 2000) -> Column:
+    """Number of a chunk of about ``rows`` rows, so that a document made of a chunk does not grow with the table."""
+    return F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-df.count() // rows))))
+
+
+def event_files(df: DataFrame, path: str) -> str:
+    """Lines as files named as staged events are, and beside them one that is none."""
+    df.write.text(path)
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p(path)))
+    for k, part in enumerate(n for n in names if n.startswith("part-")):
+        fs.rename(p(f"{path}/{part}"), p(f"{path}/events-{k:05d}.jsonl"))
+    out = fs.create(p(f"{path}/notes.txt"), True)
+    out.write(bytearray(b'{"ts": "2024-01-01T00:00:00Z", "host": "no event", "pid": "-1", "payload": {"event_type": "session_stop", "session_id": "none", "project": "none"}}'))
+    out.close()
     return path
 
 
@@ -47,7 +67,8 @@ def _(t):
     ts = F.when(F.col("event_id") % 9 == 0, F.lit("bad")).otherwise(F.date_format("ts", _ISO))
     body = F.to_json(F.struct(ts.alias("ts"), F.lit("h").alias("host"), F.col("event_id").cast("string").alias("pid"), F.struct("event_type", F.col("value").alias("daily_cost_usd")).alias("payload")))
     line = F.when(F.col("event_id") % 20 == 0, F.lit("  ")).when(F.col("event_id") % 10 == 0, F.lit('{"ts": broken')).otherwise(body)
-    e = logs.read_staged_events(t.spark, _text(t("events").select(line.alias("value")), "events"))
+    assert logs.read_staged_events(t.spark, _folder(t("events"), "absent")).isEmpty()
+    e = logs.read_staged_events(t.spark, event_files(t("events").select(line.alias("value")), _folder(t("events"), "events")))
     return e.select(F.col("pid").cast("long").alias("event_id"), micros("ts").alias("ts_us"), F.col("payload.event_type").alias("event_type"), F.col("payload.daily_cost_usd").alias("cost"))
 
 
@@ -63,24 +84,18 @@ def _usage_rows(t) -> DataFrame:
 @query("s02_daily_usage", """
 SELECT project, date, round(sum(cost), 6) AS cost, sum(total_tokens) AS tokens, count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS n_models FROM usage WHERE project LIKE '%1%' GROUP BY 1, 2""")
 def _(t):
-    docs = _usage_rows(t).groupBy("project", "date").agg(F.collect_list("row").alias("rows"))
+    rows = _usage_rows(t)
+    docs = rows.groupBy("project", chunk_of(rows, "event_id").alias("chunk")).agg(F.collect_list("row").alias("rows"))
     body = F.to_json(F.struct(F.create_map("project", "rows").alias("projects")))
-    got = usage.read_daily_usage(t.spark, _json_lines(docs.select(body.alias("value")), "daily"), "1")
+    got = usage.read_daily_usage(t.spark, _documents(docs.select(body.alias("value")), "daily"), "1")
     return got.groupBy("project", "date").agg(F.round(F.sum("totalCost"), 6).alias("cost"), F.sum("totalTokens").alias("tokens"), F.count(F.lit(1)).alias("n"), F.sum(F.size("modelsUsed")).alias("n_models"))
 
 
-def _json_lines(df: DataFrame, name: str) -> str:
-    """JSON documents as a folder of files with one document each."""
-    path = _folder(df, name)
-    df.select(F.concat(F.lit("d"), F.md5("value")).alias("doc"), "value").repartition("doc").write.partitionBy("doc").text(path)
-    return path
-
-
 @query("s03_usage_sessions", "SELECT session_id, duration_min AS cost, date FROM sessions")
 def _(t):
     s = t("sessions").select("date", F.struct(F.col("session_id").alias("sessionId"), F.col("duration_min").alias("totalCost"), F.col("date").cast("string").alias("lastActivity")).alias("s"))
-    docs = s.groupBy("date").agg(F.collect_list("s").alias("sessions")).select(F.to_json(F.struct("sessions")).alias("value"))
-    return usage.read_usage_sessions(t.spark, _json_lines(docs, "sessions")).select(F.col("sessionId").alias("session_id"), F.col("totalCost").alias("cost"), F.col("lastActivity").alias("date"))
+    docs = s.groupBy(chunk_of(s, "s.sessionId")).agg(F.collect_list("s").alias("sessions")).select(F.to_json(F.struct("sessions")).alias("value"))
+    return usage.read_usage_sessions(t.spark, _documents(docs, "sessions")).select(F.col("sessionId").alias("session_id"), F.col("totalCost").alias("cost"), F.col("lastActivity").alias("date"))
 
 
 @query("s04_usage_blocks", "SELECT block_id AS input_tokens, cost, total_tokens, model AS models FROM blocks WHERE NOT is_gap AND actual_end IS NOT NULL AND cost > 0")
@@ -90,8 +105,9 @@ def _(t):
         iso("start_time").alias("startTime"), iso("planned_end").alias("endTime"), iso("actual_end").alias("actualEndTime"), F.col("is_gap").alias("isGap"), F.col("cost").alias("costUSD"),
         F.col("total_tokens").alias("totalTokens"), F.array("model").alias("models"), F.struct(F.col("block_id").alias("inputTokens")).alias("tokenCounts"),
     )
-    docs = t("blocks").groupBy(F.to_date("start_time").alias("d")).agg(F.collect_list(b).alias("blocks")).select(F.to_json(F.struct("blocks")).alias("value"))
-    return usage.read_blocks(t.spark, _json_lines(docs, "blocks"), for_report=True).select("input_tokens", "cost", "total_tokens", "models")
+    rows = t("blocks")
+    docs = rows.groupBy(chunk_of(rows, "block_id")).agg(F.collect_list(b).alias("blocks")).select(F.to_json(F.struct("blocks")).alias("value"))
+    return usage.read_blocks(t.spark, _documents(docs, "blocks"), for_report=True).select("input_tokens", "cost", "total_tokens", "models")
 
 
 @query("s05_rate_limits", """
@@ -109,8 +125,9 @@ def _(t):
 def _(t):
     camel = F.col("event_id") % 2 == 0
     m = F.struct(F.col("model").alias("modelName"), "cost", F.when(camel, F.col("total_tokens")).alias("totalTokens"), F.when(~camel, F.col("total_tokens")).alias("total_tokens"))
-    day = t("usage").groupBy("project", "date").agg(F.collect_list(F.when(F.col("model") != "view", m)).alias("modelBreakdowns"))
-    docs = day.groupBy(F.col("project").alias("provider")).agg(F.collect_list(F.struct(F.col("date").cast("string").alias("date"), "modelBreakdowns")).alias("daily"))
+    rows = t("usage").withColumn("chunk", chunk_of(t("usage"), "event_id"))
+    day = rows.groupBy("project", "chunk", "date").agg(F.collect_list(F.when(F.col("model") != "view", m)).alias("modelBreakdowns"))
+    docs = day.groupBy(F.col("project").alias("provider"), "chunk").agg(F.collect_list(F.struct(F.col("date").cast("string").alias("date"), "modelBreakdowns")).alias("daily")).drop("chunk")
     got = usage.read_provider_costs(t.spark, _json(docs, "costs"))
     return got.groupBy("provider", "date", "model").agg(F.round(F.sum("cost"), 6).alias("cost"), F.sum("total_tokens").alias("total_tokens"), F.count(F.lit(1)).alias("n"))
 
@@ -127,9 +144,10 @@ def _(t):
 SELECT CASE WHEN user_id % 4 = 0 THEN 'unknown' ELSE event_type END AS model, count(*) AS n, sum(event_id) AS input_tokens FROM events WHERE event_id % 5 <> 0 GROUP BY 1""")
 def _(t):
     m = F.struct(F.date_format("ts", _ISO).alias("timestamp"), F.when(F.col("user_id") % 4 != 0, F.col("event_type")).alias("model"), F.when(F.col("event_id") % 5 != 0, F.struct(F.col("event_id").alias("input"))).alias("tokens"))
-    g = t("events").groupBy("user_id").agg(F.collect_list(m).alias("messages"))
+    rows = t("events")
+    g = rows.groupBy(F.pmod("user_id", F.lit(20)).alias("user_id"), chunk_of(rows, "event_id")).agg(F.collect_list(m).alias("messages"))
     body = F.when(F.col("user_id") % 2 == 0, F.to_json("messages")).otherwise(F.to_json(F.struct("messages")))
-    got = logs.read_chat_logs(t.spark, _json_lines(g.select(body.alias("value")), "chat"))
+    got = logs.read_chat_logs(t.spark, _documents(g.select(body.alias("value")), "chat"))
     return got.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("input_tokens").alias("input_tokens"))
 
 
@@ -171,18 +189,14 @@ def _(t):
     return s.agg(F.count(F.lit(1)).alias("n_sessions"), F.count_if(F.col("trigger") == "cron").alias("n_cron")).crossJoin(runs.agg(F.count(F.lit(1)).alias("n_runs")))
 
 
-def _dumps(t) -> DataFrame:
-    k = F.concat_ws("-", F.col("l_orderkey").cast("string"))
-    line = F.concat_ws("\t", F.when(F.col("l_linenumber") == 7, F.lit("-")).otherwise(F.col("l_quantity").cast("int").cast("string")), F.when(F.col("l_linenumber") == 7, F.lit("-")).otherwise(F.col("l_linenumber").cast("string")), F.concat(F.lit("f"), (F.col("l_partkey") % 50).cast("string")))
-    c = t("lineitem").groupBy((F.col("l_orderkey") % 20).alias("p"), F.sha1(k).alias("h")).agg(F.min(F.to_date("l_shipdate")).alias("d"), F.collect_list(line).alias("lines"))
-    body = F.concat(F.col("h"), F.lit("|"), F.col("d").cast("string"), F.lit("|fix: a|b\n\n"), F.array_join("lines", "\n"))
-    return c.groupBy("p").agg(F.array_join(F.collect_list(body), "\n").alias("value"))
-
-
 def _dump_path(t, name: str) -> str:
-    path = _folder(t("lineitem"), name)
-    _dumps(t).repartition("p").write.partitionBy("p").text(path)
-    return path
+    """Git logs of several files: an order is a commit, its items are the files."""
+    binary = F.col("l_linenumber") == 7
+    number = lambda c: F.when(binary, F.lit("-")).otherwise(c.cast("int").cast("string"))
+    line = F.concat_ws("\t", number(F.col("l_quantity")), number(F.col("l_linenumber")), F.concat(F.lit("f"), (F.col("l_partkey") % 50).cast("string")))
+    c = t("lineitem").groupBy("l_orderkey").agg(F.min(F.to_date("l_shipdate")).alias("d"), F.collect_list(line).alias("lines"))  # an order has seven items at most
+    head = F.concat(F.sha1(F.col("l_orderkey").cast("string")), F.lit("|"), F.col("d").cast("string"), F.lit("|fix: a|b\n\n"))
+    return _text(c.select(F.concat(head, F.array_join("lines", "\n")).alias("value")), name)
 
 
 @query("s13_git_commits", """
@@ -209,13 +223,13 @@ def _reports(t) -> DataFrame:
     k = F.col("doc_id")
     one = F.concat(
         F.when(k % 5 != 0, F.lit("- **Severity**: High\n")).otherwise(F.lit("")), F.lit("- **Location**: `src/a"), (k % 9).cast("string"), F.lit(".py:"), k.cast("string"), F.when(k % 2 == 0, F.lit("-99")).otherwise(F.lit("")),
-        F.lit("`; other.py\n- **Problem**: bad "), F.col("lang"), F.lit(" thing\n- **Fix**: mend it\n"),
+        F.lit("`; other.py\n- **Problem**: bad "), F.col("lang"), F.lit(" thing"), F.when(k % 4 == 0, F.lit("\n  on two lines")).otherwise(F.lit("")), F.lit("\n- **Fix**: mend it\n"),
     )
     return t("documents").select(k.alias("job_id"), F.col("source").alias("repo"), F.concat(one, F.lit("\n---\n**Severity**: low\n**Problem**: other\n")).alias("output"))
 
 
 @query("s16_review_findings", """
-SELECT doc_id AS job_id, 'high' AS severity, concat('src/a', CAST(doc_id % 9 AS STRING), '.py') AS primary_file, concat('bad ', lang, ' thing') AS problem_text, 'mend it' AS fix_text FROM documents WHERE doc_id % 5 <> 0
+SELECT doc_id AS job_id, 'high' AS severity, concat('src/a', CAST(doc_id % 9 AS STRING), '.py') AS primary_file, concat('bad ', lang, ' thing', CASE WHEN doc_id % 4 = 0 THEN concat(chr(10), '  on two lines') ELSE '' END) AS problem_text, 'mend it' AS fix_text FROM documents WHERE doc_id % 5 <> 0
 UNION ALL SELECT doc_id, 'low', NULL, 'other', NULL FROM documents""")
 def _(t):
     return reviews.parse_findings(_reports(t)).drop("full_location")

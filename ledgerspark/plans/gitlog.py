@@ -33,8 +33,8 @@ def _(t):
 
 @query("a16_contributors", """
 WITH g AS (SELECT project, author, count(*) AS n_commits, count(*) FILTER (date > (SELECT max(date) FROM commits) - INTERVAL 6 MONTH) AS n_recent FROM commits GROUP BY 1, 2),
-k AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY project ORDER BY n_commits DESC, author) <= 10)
-SELECT project, author, n_commits, n_recent, round(n_commits / sum(n_commits) OVER (PARTITION BY project), 6) AS share FROM k""")
+k AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY project ORDER BY n_commits DESC, author) <= 10 THEN n_commits END AS lead_n FROM g)
+SELECT project, author, n_commits, n_recent, round(lead_n / sum(lead_n) OVER (PARTITION BY project), 6) AS share FROM k""")
 def _(t):
     return G.contributors(t("commits"))
 

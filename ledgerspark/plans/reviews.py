@@ -116,18 +116,26 @@ def _(t):
     return R.period_deltas(t("lifecycle"), NOW, 90)
 
 
-_OK = "(closed_at IS NULL OR closed_at >= created_at)"
+def _odd_closings(t):
+    """Reviews of which some are closed before they were made, some without a reason, some with an empty one."""
+    k = F.col("review_id")
+    early = F.when(k % 11 == 0, F.col("created_at") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("closed_at"))
+    return t("lifecycle").withColumns({"closed_at": early, "close_reason": F.when(k % 7 == 0, F.lit("")).otherwise(F.col("close_reason"))})
+
+
+_ODD = "(SELECT * REPLACE (CASE WHEN review_id % 11 = 0 THEN created_at - INTERVAL 3 DAY ELSE closed_at END AS closed_at, CASE WHEN review_id % 7 = 0 THEN '' ELSE close_reason END AS close_reason) FROM lifecycle)"
 
 
 @query("a31_open_trend", f"""
-WITH s AS (SELECT CAST(unnest(generate_series(DATE '1999-06-02', DATE '1999-06-15', INTERVAL 1 DAY)) AS DATE) AS date), r AS (SELECT CAST(created_at AS DATE) AS c, CAST(closed_at AS DATE) AS x FROM lifecycle WHERE {_OK})
+WITH s AS (SELECT CAST(unnest(generate_series(DATE '1999-06-02', DATE '1999-06-15', INTERVAL 1 DAY)) AS DATE) AS date),
+r AS (SELECT CAST(created_at AS DATE) AS c, CASE WHEN close_reason IS NOT NULL AND length(close_reason) > 0 THEN CAST(closed_at AS DATE) END AS x FROM {_ODD})
 SELECT date, (SELECT count(*) FROM r WHERE c = date) AS opened, (SELECT count(*) FROM r WHERE x = date) AS closed, (SELECT count(*) FROM r WHERE c <= date AND (x IS NULL OR x > date)) AS open_at_end FROM s""")
 def _(t):
-    return R.open_trend(t("lifecycle"), "1999-06-15", 14)
+    return R.open_trend(_odd_closings(t), "1999-06-15", 14, reason="close_reason")
 
 
 @query("a59_open_trend_by_severity", f"""
-WITH s AS (SELECT CAST(unnest(generate_series(DATE '1999-05-17', DATE '1999-06-15', INTERVAL 1 DAY)) AS DATE) AS date), r AS (SELECT coalesce(severity, 'unknown') AS severity, CAST(created_at AS DATE) AS c, CAST(closed_at AS DATE) AS x FROM lifecycle WHERE {_OK}),
+WITH s AS (SELECT CAST(unnest(generate_series(DATE '1999-05-17', DATE '1999-06-15', INTERVAL 1 DAY)) AS DATE) AS date), r AS (SELECT coalesce(severity, 'unknown') AS severity, CAST(created_at AS DATE) AS c, CAST(closed_at AS DATE) AS x FROM lifecycle),
 k AS (SELECT DISTINCT severity FROM r)
 SELECT k.severity, date, (SELECT count(*) FROM r WHERE c = date AND r.severity = k.severity) AS opened, (SELECT count(*) FROM r WHERE x = date AND r.severity = k.severity) AS closed,
   (SELECT count(*) FROM r WHERE c <= date AND (x IS NULL OR x > date) AND r.severity = k.severity) AS open_at_end FROM s CROSS JOIN k""")
@@ -172,13 +180,14 @@ def _(t):
 
 
 @query("a37_findings_per_commit", """
-SELECT commit_sha, repo, count(*) AS n, epoch_us(max(created_at)) AS last_us FROM (SELECT CASE WHEN review_id % 50 = 0 THEN '' ELSE CAST(review_id % 700 AS STRING) END AS commit_sha, repo, created_at FROM lifecycle) WHERE commit_sha <> ''
+SELECT commit_sha, repo, count(*) AS n, epoch_us(max(created_at)) AS last_us, arg_min(message, (created_at, message)) AS message FROM (SELECT CASE WHEN review_id % 50 = 0 THEN '' ELSE CAST(review_id % 700 AS STRING) END AS commit_sha, repo, created_at, concat('m', CAST(review_id AS STRING)) AS message FROM lifecycle) WHERE commit_sha <> ''
 GROUP BY 1, 2 ORDER BY n DESC, commit_sha, repo LIMIT 10""")
 def _(t):
     from ledgerspark.functions.columns import micros
 
     rows = t("lifecycle").withColumn("commit_sha", F.when(F.col("review_id") % 50 == 0, F.lit("")).otherwise((F.col("review_id") % 700).cast("string")))
-    return R.findings_per_commit(rows).select("commit_sha", "repo", "n", micros("last_at").alias("last_us"))
+    rows = rows.withColumn("message", F.concat(F.lit("m"), F.col("review_id").cast("string")))
+    return R.findings_per_commit(rows).select("commit_sha", "repo", "n", micros("last_at").alias("last_us"), "message")
 
 
 @query("a38_findings_per_file", """
@@ -204,10 +213,13 @@ def _(t):
 
 
 @query("a40_closure_breakdown", """
-WITH c AS (SELECT CASE WHEN close_reason IN ('fix_linked', 'autoclose') THEN close_reason ELSE 'unknown' END AS reason FROM lifecycle WHERE closed_at IS NOT NULL)
-SELECT reason, count(*) AS n, round(100 * count(*) / (SELECT count(*) FROM c), 4) AS pct FROM c GROUP BY reason""")
+WITH c AS (SELECT CASE review_id % 6 WHEN 0 THEN 'manual' WHEN 1 THEN 'autoclose_severity' WHEN 2 THEN 'unknown' WHEN 3 THEN NULL ELSE fix_method END AS m FROM lifecycle WHERE closed_at IS NOT NULL),
+n AS (SELECT count(*) AS n, count(*) FILTER (m IN ('manual', 'commit_reference')) AS linked, count(*) FILTER (m = 'autoclose_severity') AS auto, count(*) FILTER (m IS NULL OR m = 'unknown') AS unknown FROM c)
+SELECT reason, k AS n, round(100 * k / n, 1) AS pct FROM (SELECT 'fix_linked' AS reason, linked AS k, n FROM n UNION ALL SELECT 'autoclose', auto, n FROM n UNION ALL SELECT 'unknown', unknown, n FROM n)""")
 def _(t):
-    return R.closure_breakdown(t("lifecycle"))
+    k = F.col("review_id") % 6
+    method = F.when(k == 0, F.lit("manual")).when(k == 1, F.lit("autoclose_severity")).when(k == 2, F.lit("unknown")).when(k != 3, F.col("fix_method"))
+    return R.closure_breakdown(t("lifecycle").withColumn("fix_method", method))
 
 
 @query("a41_closing_funnel", """

@@ -28,12 +28,36 @@ def _run(q) -> None:
 @query("x01_drain_sessions", f"SELECT session_id, value AS duration_min FROM {merges._last('session_id', 'true', 'event_id % 3 = 0 AND session_id IS NOT NULL')}")
 def _(t):
     lines, root, marks = (_folder(t, x) for x in ("events", "store", "marks"))
-    merges.staged(t, "true").select("value").coalesce(1).sortWithinPartitions(F.get_json_object("value", "$.ts")).write.text(lines)
+    # files and lines follow time and then the event's number: of equal times the later line is the last
+    at = F.date_trunc("second", F.get_json_object("value", "$.ts").cast("timestamp"))
+    files.event_files(merges.staged(t, "true").repartitionByRange(8, at, "line").sortWithinPartitions(at, "line").select("value"), lines)
     for _round in range(2):  # the second run finds nothing new
         _run(drains.drain(t.spark, lines, root, marks, merges.NOW))
     return sinks.read_table(t.spark, f"{root}/sessions", S.SESSIONS).select("session_id", "duration_min")
 
 
+@query("x03_late_events", f"""
+WITH e AS (SELECT o.way, concat('s', CAST(event_id AS STRING)) AS session_id, value AS duration_min, epoch_us(date_trunc('second', ts)) AS started_us FROM {merges._E.format(w='event_id % 3 = 0')} CROSS JOIN (VALUES ('in order'), ('late')) o(way)) SELECT * FROM e""")
+def _(t):
+    """Events of two halves of time, drained in order and with the older half long after the newer: the same store."""
+    half = t("events").agg(F.expr("percentile_approx(unix_micros(CAST(ts AS TIMESTAMP)), 0.5)").alias("half"))
+    e = t("events").where("event_id % 3 = 0").crossJoin(F.broadcast(half)).withColumn("old", F.unix_micros(F.col("ts").cast("timestamp")) < F.col("half"))
+    payload = F.struct(
+        F.lit("session_stop").alias("event_type"), F.concat(F.lit("s"), F.col("event_id").cast("string")).alias("session_id"), F.lit("q").alias("project"),
+        F.date_format("ts", merges._ISO).alias("started_at"), F.col("value").alias("duration_min"),
+    )
+    lines = e.select("old", F.to_json(F.struct(F.date_format("ts", merges._ISO).alias("ts"), payload.alias("payload"))).alias("value"))
+    out = None
+    for way, order in (("in order", (True, False)), ("late", (False, True))):
+        root, marks, staging = (_folder(t, x) for x in ("store", "marks", "staging"))
+        for k, old in enumerate(order):
+            files.event_files(lines.where(F.col("old") == old).select("value"), f"{staging}/{k}")
+            _run(drains.drain(t.spark, f"{staging}/*", root, marks, merges.NOW))
+        got = sinks.read_table(t.spark, f"{root}/sessions", S.SESSIONS).select(F.lit(way).alias("way"), "session_id", "duration_min", micros("started_at").alias("started_us"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @query("x02_streaming_distinct", "SELECT user_id, event_type FROM events GROUP BY 1, 2")
 def _(t):
     src, out, marks = (_folder(t, x) for x in ("src", "out", "marks"))
@@ -70,5 +94,4 @@ def _(t):
     logs, table, marks = (_folder(t, x) for x in ("logs", "rollup", "marks"))
     files._turn_lines(t).repartition(4).write.text(logs)
     _run(drains.tail_turns(t.spark, logs, table, marks, files_per_batch=2))
-    out = sinks.read_table(t.spark, table, "thread_id string, model string, n_turns bigint, total_tokens bigint, first_at timestamp")
-    return out.select("thread_id", "model", "n_turns", "total_tokens", micros("first_at").alias("first_us"))
+    return drains.turn_rollup(t.spark, table).select("thread_id", "model", "n_turns", "total_tokens", micros("first_at").alias("first_us"))

@@ -140,13 +140,13 @@ def _raw_names(d: Dialect) -> str:
     return f"""
 SELECT event_id, user_id, ts, CASE event_id % 20
   WHEN 0 THEN concat('-Users-me-code-llm-p', CAST(user_id AS STRING), '-feat-x-1')
-  WHEN 1 THEN concat('-home-me-code-proj-data-weather-', CAST(user_id AS STRING)) WHEN 2 THEN 'network' WHEN 3 THEN 'agent-tooling'
+  WHEN 1 THEN concat('-home-me-code-proj-area-climate-', CAST(user_id AS STRING)) WHEN 2 THEN 'network' WHEN 3 THEN 'bot-tools'
   WHEN 4 THEN concat('/Users_me_code_llm_q', CAST(user_id AS STRING), '_sub') WHEN 5 THEN 'ab6f701adcaed79e9'
-  WHEN 6 THEN concat('abcdefgh1/repo/stats/sport/m', CAST(user_id AS STRING)) WHEN 7 THEN 'code-data-weather-sensor-network' WHEN 8 THEN ''
+  WHEN 6 THEN concat('abcdefgh1/repo/area/games/m', CAST(user_id AS STRING)) WHEN 7 THEN 'code-area-climate-sensor-network' WHEN 8 THEN ''
   WHEN 9 THEN NULL WHEN 10 THEN '.agent/worktrees/agent-12ab' WHEN 11 THEN concat('code_llm_z', CAST(user_id % 7 AS STRING))
-  WHEN 12 THEN concat('2024-', CAST(user_id AS STRING)) WHEN 13 THEN 'data' WHEN 14 THEN 'urban_planning' WHEN 15 THEN 'Usage-FIX-y'
-  WHEN 16 THEN 'secret_lab' WHEN 17 THEN concat('private_', CAST(user_id AS STRING)) WHEN 18 THEN 'finance/data/tax/2020' ELSE concat('p', CAST(user_id AS STRING)) END AS name,
-  CASE event_id % 6 WHEN 0 THEN concat('/home/me/code/data/p', CAST(user_id AS STRING), '/src') WHEN 1 THEN concat('/opt/w/x', CAST(user_id AS STRING))
+  WHEN 12 THEN concat('2024-', CAST(user_id AS STRING)) WHEN 13 THEN 'area' WHEN 14 THEN 'city_planning' WHEN 15 THEN CASE event_id % 3 WHEN 0 THEN 'Usage-FIX-y' WHEN 1 THEN 'USAGE-ledger-docs-x' ELSE 'P11' END
+  WHEN 16 THEN CASE event_id % 3 WHEN 0 THEN 'secret_lab' WHEN 1 THEN 'Secret_Lab-feat-z' ELSE 'p3-test-2' END WHEN 17 THEN concat('private_', CAST(user_id AS STRING)) WHEN 18 THEN 'ledger/imports/tax/2020' ELSE concat('p', CAST(user_id AS STRING)) END AS name,
+  CASE event_id % 6 WHEN 0 THEN concat('/home/me/code/area/p', CAST(user_id AS STRING), '/src/code/x') WHEN 1 THEN concat('/opt/w/x', CAST(user_id AS STRING))
     WHEN 2 THEN '/home/me/code/2024/.git' WHEN 3 THEN NULL WHEN 4 THEN concat('/tmp/mail me', CAST(user_id AS STRING), '@site.org') ELSE '/home/me/notes' END AS cwd
 FROM {d.t("events")}"""
 

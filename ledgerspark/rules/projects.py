@@ -7,19 +7,30 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class ProjectRules:
-    """How raw project names become canonical ones; see ``functions.identifiers``."""
+    """How raw project names become canonical ones; see ``functions.identifiers``.
+
+    The values are those of the names that ``plans.views`` makes; another
+    installation has its own.
+    """
 
     worktrees: tuple[str, ...] = (r"^[.]agent/worktrees/agent-", r"[-/]agent[-/]worktrees[-/]agent-")
     homes: tuple[str, ...] = (r"^-(Users|home)-[a-z0-9]+-code[-_]", r"^code[-_]")
-    #: Kinds of branch names.
-    branches: tuple[str, ...] = tuple("feat fix chore docs refactor test ci perf style build revert wt sonnet haiku opus worktree".split())
+    #: The types of conventional commits, as branches are named.
+    branches: tuple[str, ...] = ("build", "chore", "ci", "docs", "feat", "fix", "perf", "refactor", "revert", "style", "test")
     prefixes: tuple[str, ...] = ("llm", "proj")
     flat_root: str = "code_"
     flat_homes: tuple[str, ...] = (r"^/(Users|home)_[a-z0-9]+_code_", r"^/code_", r"^code_")
+    #: A checkout's folder before the path inside it, and names that are hashes.
+    checkout: str = r"^[A-Za-z0-9_]{8,}/repo/?"
+    hashes: str = r"^[0-9a-f]{12,}$"
     remaps: tuple[tuple[str, str], ...] = (("network", "sensor_network"), ("telemetry", "usage_ledger"))
-    noise: tuple[str, ...] = tuple("worktree worktrees data github hello simulations sport t io feat fix chore ci perf style build revert wt scope repo docs project demos wiki eval worker agent agent-tooling".split())
-    overrides: tuple[tuple[str, str], ...] = (("sensor/network", "sensor_network"), ("data/weather/sensor", "sensor_network"))
-    containers: tuple[str, ...] = ("stats/simulations/", "stats/sport/", "finance/data/", "worktrees/", "worktree/", "simulations/", "sport/", "data/", "knowledge/", "github/", "hello/", "stats/", "finance/")
+    #: Names that are no project.
+    noise: tuple[str, ...] = ("area", "ledger", "shelf", "scratch", "bot-tools")
+    overrides: tuple[tuple[str, str], ...] = (("sensor/network", "sensor_network"), ("area/climate/sensor", "sensor_network"))
+    #: Folders that hold projects; of two that fit the first counts.
+    containers: tuple[str, ...] = ("area/games/", "area/", "ledger/imports/", "ledger/", "shelf/")
+    #: Folders of every path.
+    roots: tuple[str, ...] = ("Users", "home", "code")
 
 
 PROJECTS = ProjectRules()

@@ -2,40 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.functions.columns import sum0
 
-def read_dumps(spark: SparkSession, path: str) -> DataFrame:
-    """One row per dump, its project taken from the file's name."""
-    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("project"), "value")
 
+def read_dumps(spark: SparkSession, path: str) -> DataFrame:
+    """One row per line of a dump: (project, entry, full_hash, date, message, line).
 
-def _entries(dumps: DataFrame) -> DataFrame:
-    e = dumps.select("project", F.explode(F.split("value", r"(?m)(?=^[0-9a-f]{40}\|)")).alias("e")).where(F.col("e").rlike(r"^[0-9a-f]{40}\|"))
-    head = F.substring_index("e", "\n", 1)
-    return e.select(
-        "project", F.substring(head, 1, 40).alias("full_hash"), F.to_date(F.regexp_extract(head, r"^[^|]*\|(\d{4}-\d{2}-\d{2})", 1)).alias("date"),
-        F.regexp_extract(head, r"^[^|]*\|[^|]*\|(.*)$", 1).alias("message"), F.filter(F.split("e", "\n"), lambda x: x.rlike(r"^(\d+|-)\t(\d+|-)\t")).alias("stats"),
+    A file's name is its project.  Files are read in splits; ``entry`` numbers
+    the header that a line stands under.
+    """
+    lines = spark.read.text(path).select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("project"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"),
     )
+    return under_headers(lines)
+
+
+def under_headers(lines: DataFrame) -> DataFrame:
+    """Each line of (project, file, block, n, line) under the last header before it; lines before the first one go.
+
+    The last header is sought within a block, a split of a file; lines at a
+    block's begin take the last header of the blocks before it, of which there
+    is one row a block.
+    """
+    head = F.col("line").rlike(r"^[0-9a-f]{40}\|")
+    date = F.to_date(F.regexp_extract("line", r"^[^|]*\|(\d{4}-\d{2}-\d{2})", 1))
+    made = F.struct(F.col("n").alias("entry"), F.substring("line", 1, 40).alias("full_hash"), date.alias("date"), F.regexp_extract("line", r"^[^|]*\|[^|]*\|(.*)$", 1).alias("message"))
+    rows = lines.withColumn("head", F.when(head, made))
+    inside = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("own", F.last("head", ignorenulls=True).over(inside))
+    blocks = lines.withColumn("head", F.when(head, made)).groupBy("file", "block").agg(F.max_by("head", F.when(head, F.col("n"))).alias("last"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select(F.col("file").alias("__f"), F.col("block").alias("__b"), F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    rows = rows.join(carried, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    rows = rows.withColumn("of", F.coalesce("own", "carried")).where(F.col("of").isNotNull())
+    return rows.select("project", "of.*", "line")
 
 
-def _number(c) -> F.Column:
-    return F.when(c != "-", c.cast("long"))
+def _stats() -> tuple[Column, Column, Column, Column]:
+    """(is a line of numbers, added, deleted, file) of a line; binary files have no numbers."""
+    p = F.split("line", "\t", 3)
+    number = lambda k: F.try_to_number(F.get(p, F.lit(k)), F.lit("9999999999")).cast("long")
+    return F.col("line").rlike(r"^(\d+|-)\t(\d+|-)\t"), number(0), number(1), F.get(p, F.lit(2))
 
 
 def commits(dumps: DataFrame) -> DataFrame:
     """One row per commit; binary files count as files but have no lines; messages may hold pipes."""
-    e = _entries(dumps)
-    part = lambda k: F.aggregate(F.transform("stats", lambda s: F.coalesce(_number(F.get(F.split(s, "\t"), F.lit(k))), F.lit(0))), F.lit(0).cast("long"), lambda a, x: a + x)
-    return e.select("project", F.substring("full_hash", 1, 7).alias("hash"), "date", "message", part(0).alias("lines_added"), part(1).alias("lines_deleted"), F.size("stats").alias("files_changed"))
+    counts, added, deleted, _ = _stats()
+    g = dumps.groupBy("project", "entry", "full_hash", "date", "message")
+    one = g.agg(sum0(F.when(counts, added)).alias("lines_added"), sum0(F.when(counts, deleted)).alias("lines_deleted"), F.count_if(counts).cast("int").alias("files_changed"))
+    return one.select("project", F.substring("full_hash", 1, 7).alias("hash"), "date", "message", "lines_added", "lines_deleted", "files_changed")
 
 
 def file_touches(dumps: DataFrame, since: str | None = None) -> DataFrame:
     """One row per commit and file with known numbers."""
-    e = _entries(dumps)
-    if since:
-        e = e.where(F.col("date") >= F.lit(since).cast("date"))
-    s = e.select("project", F.substring("full_hash", 1, 7).alias("hash"), "date", F.explode("stats").alias("s")).withColumn("p", F.split("s", "\t", 3))
-    out = s.select("project", "hash", "date", F.get("p", F.lit(2)).alias("file"), _number(F.get("p", F.lit(0))).alias("added"), _number(F.get("p", F.lit(1))).alias("deleted"))
+    d = dumps.where(F.col("date") >= F.lit(since).cast("date")) if since else dumps
+    counts, added, deleted, file = _stats()
+    out = d.where(counts).select("project", F.substring("full_hash", 1, 7).alias("hash"), "date", file.alias("file"), added.alias("added"), deleted.alias("deleted"))
     return out.where(F.col("added").isNotNull() & F.col("deleted").isNotNull())

@@ -21,10 +21,17 @@ def parse_events(lines: DataFrame) -> DataFrame:
     return e.where(F.col("ok") & F.col("e").isNotNull()).select(parse_time("e.ts").alias("ts"), "e.host", "e.pid", "e.payload", *have)
 
 
+#: Names of the files that hold staged events; others beside them are not read.
+EVENT_FILES = "events-*.jsonl"
+
+
 def read_staged_events(spark: SparkSession, path: str) -> DataFrame:
     """All events-*.jsonl of a folder, with file and place in it; no folder gives no rows."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return parse_events(S.empty(spark, "value string, file string, line struct<file_block_start: bigint, n: bigint>"))
     lines = (
-        spark.read.option("ignoreMissingFiles", "true").text(path)
+        spark.read.option("pathGlobFilter", EVENT_FILES).text(path)
         .select("value", F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("line"))
     )
     return parse_events(lines)

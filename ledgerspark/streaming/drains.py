@@ -10,34 +10,38 @@ from pyspark.sql import functions as F
 from ledgerspark import schemas as S
 from ledgerspark.operators import merges as M
 from ledgerspark.operators import sinks
-from ledgerspark.operators.lineage import stage
-from ledgerspark.sources.logs import parse_events, parse_turns
+from ledgerspark.operators.lineage import discard, stage
+from ledgerspark.sources.logs import EVENT_FILES, parse_events, parse_turns
 
-#: The stored tables: name -> (schema, append of staged events)
+#: The stored tables: name -> (schema, the rows of staged events that are not stored)
 TABLES: dict[str, tuple[str, Callable]] = {
-    "sessions": (S.SESSIONS, M.append_sessions),
-    "costs": (S.COSTS, M.append_costs),
-    "commits": (S.COMMITS, M.append_commits),
+    "sessions": (S.SESSIONS, M.new_sessions),
+    "costs": (S.COSTS, M.new_costs),
+    "commits": (S.COMMITS, M.new_commits),
 }
+TURNS = "thread_id string, model string, n_turns bigint, total_tokens bigint, first_at timestamp, last_at timestamp"
 
 
 def event_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
     """Stream of the lines of all event files, with their file."""
-    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", EVENT_FILES).text(folder)
     return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def drain_batch(events: DataFrame, root: str, now: str) -> dict[str, int]:
     """Append a batch of events to each stored table; returns the tables' rows.
 
-    Every append leaves out what is stored already, so a batch that is run again
-    after a failure adds nothing.
+    Only rows whose keys are not stored are written, as a part of their own: of
+    what is stored the keys are read.  So a batch that is run again after a
+    failure adds nothing.
     """
     spark, out = events.sparkSession, {}
     events = stage(events, "batch")
-    for name, (ddl, append) in TABLES.items():
-        old = sinks.read_table(spark, f"{root}/{name}", ddl)
-        out[name] = sinks.write_table(append(old, events, now), f"{root}/{name}", allow_shrink=False)
+    for name, (ddl, new_rows) in TABLES.items():
+        path = f"{root}/{name}"
+        out[name] = sinks.append_table(new_rows(sinks.read_table(spark, path, ddl), events, now), path)
+        sinks.compact_table(spark, path, ddl)
+    discard(events)
     return out
 
 
@@ -74,21 +78,27 @@ def usage_blocks(stream: DataFrame, at: str = "ts", late: str | None = None) ->
 
 
 def tail_turns(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100):
-    """Agent logs as immutable chunks: each batch's rollup is merged into the stored one.
+    """Agent logs as immutable chunks: each batch's rollup is appended, and added up by ``turn_rollup``.
 
-    The file source's checkpoint says which chunks are done; a batch number is
-    stored with the table, so a batch that is run again is not added twice.
+    The file source's checkpoint says which chunks are done; the number of the
+    last batch stands in the table's version, so a batch that is run again is
+    not added twice.
     """
-    ddl = "thread_id string, model string, n_turns bigint, total_tokens bigint, first_at timestamp, last_at timestamp, batch bigint"
 
-    def merge(df: DataFrame, batch: int) -> None:
-        old = sinks.read_table(spark, table, ddl)
-        done = old.agg(F.max("batch")).first()[0]
-        if done is not None and batch <= done:
+    def append(df: DataFrame, batch: int) -> None:
+        version = sinks.version_of(spark, table)
+        if version is not None and batch <= version.notes.get("batch", -1):
             return
         new = parse_turns(df).groupBy("thread_id", "model").agg(F.count(F.lit(1)).alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
-        both = M.additive_merge(old, new, ["thread_id", "model"], ["n_turns", "total_tokens"], low=["first_at"], high=["last_at"])
-        sinks.write_table(S.conform(both.withColumn("batch", F.lit(batch)), ddl), table)
+        sinks.append_table(S.conform(new, TURNS), table, {"batch": batch})
+        if len(sinks.version_of(spark, table).parts) > 32:
+            sinks.write_table(turn_rollup(spark, table), table, notes={"batch": batch})
 
     raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
-    return raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return raw.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def turn_rollup(spark: SparkSession, table: str) -> DataFrame:
+    """Turns and tokens per thread and model over all batches that ``tail_turns`` has stored."""
+    parts = sinks.read_table(spark, table, TURNS)
+    return parts.groupBy("thread_id", "model").agg(F.sum("n_turns").alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))

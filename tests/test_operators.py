@@ -34,9 +34,9 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
-        ("-Users-me-code-llm-shop-feat-x-1", "shop"), ("code-proj-data-weather-station", "weather"), ("code_llm_shop_sub", "llm_shop_sub"), ("-Users_me_code_llm_shop_sub", "shop"), ("urban_planning", "urban_planning"),
-        ("shop-FIX-y", "shop"), (".agent/worktrees/agent-12", None), ("ab6f701adcaed79e9", None), ("2024-x", None), ("data", None), ("network", "sensor_network"),
-        ("agent-tooling", None), ("abcdefgh1/repo/stats/sport/m", "m"), (None, None), ("", None), ("sensor/network/x", "sensor_network"), ("finance/data/tax/20", "tax"),
+        ("-Users-me-code-llm-shop-feat-x-1", "shop"), ("code-proj-area-climate-station", "climate"), ("code_llm_shop_sub", "llm_shop_sub"), ("-Users_me_code_llm_shop_sub", "shop"), ("city_planning", "city_planning"),
+        ("shop-FIX-y", "shop"), (".agent/worktrees/agent-12", None), ("ab6f701adcaed79e9", None), ("2024-x", None), ("area", None), ("network", "sensor_network"),
+        ("bot-tools", None), ("abcdefgh1/repo/area/games/m", "m"), (None, None), ("", None), ("sensor/network/x", "sensor_network"), ("ledger/imports/tax/20", "tax"),
     ],
 )
 def test_canonical_project(spark, raw, want):
@@ -193,7 +193,54 @@ def test_loop_tiers(spark):
     assert [(r["cycles"], r["tier"], r["primary_file"], r["fix_commit_shas"], r["estimated_wasted_usd"]) for r in out] == [(3, "watch", "a.py", "c0,c1,c2", 4.5)]
     free = L.detect_loops(spark.createDataFrame(rows, FIND), None).collect()
     assert [(r["cycles"], r["estimated_wasted_usd"]) for r in free] == [(3, None)]
-    assert L.detect_loops(spark.createDataFrame(rows, FIND), spark.createDataFrame([], RUN)).collect() == []
+    none = L.detect_loops(spark.createDataFrame(rows, FIND), spark.createDataFrame([], RUN)).collect()
+    assert [(r["cycles"], r["fix_commit_shas"], r["estimated_wasted_usd"]) for r in none] == [(3, "", 0.0)]
+
+
+def test_cycles_against_plain_loops(spark):
+    """Gaps of minutes to months, runs on their very ends, hashes of one or two cycles."""
+    rng = random.Random(8)
+    rows, runs, at = [], [], T(2024, 1, 1)
+    for h in range(30):
+        now = at + dt.timedelta(minutes=rng.randint(0, 3000))
+        for _ in range(rng.randint(1, 6)):
+            rows.append((len(rows), f"h{h}", now))
+            now += dt.timedelta(microseconds=rng.choice([0, 1, 10**6, 10**9, 4 * 10**9, 10**11, 5 * 10**11, 3 * 10**12]))
+    times = [r[2] for r in rows]
+    for k in range(400):
+        t = rng.choice(times) if k % 3 == 0 else at + dt.timedelta(seconds=rng.randint(0, 80 * 86400))
+        runs.append((rng.choice(["fixer", "reader"]), t, rng.choice([None, f"c{k % 9}"]), rng.choice([None, 0.5, 2.0])))
+    want = {}
+    for h in {r[1] for r in rows}:
+        mine = sorted((t, k) for k, g, t in rows if g == h)
+        n, shas, cost = 0, set(), 0.0
+        for (a, _), (b, _) in zip(mine, mine[1:]):
+            hit = [r for r in runs if r[0] == "fixer" and a <= r[1] <= b]
+            n += bool(hit)
+            shas |= {r[2] for r in hit if r[2]}
+            cost += sum(r[3] or 0.0 for r in hit)
+        if n:
+            want[h] = (n, ",".join(sorted(shas)), round(cost, 6))
+    got = L.cycles(spark.createDataFrame(rows, "job_id long, content_hash string, reviewed_at timestamp"), spark.createDataFrame(runs, RUN)).collect()
+    assert {r["content_hash"]: (r["cycles"], r["fix_commit_shas"], r["estimated_wasted_usd"]) for r in got} == want
+    assert {1, 2} <= {v[0] for v in want.values()}
+
+
+@pytest.mark.parametrize(
+    ("cwd", "want"),
+    [
+        ("/home/me/code/shop/foo/bar", "shop"), ("/home/me/code/area/games/chess/x", "chess"), ("/home/me/code/shop/src/code/inner", "shop"), ("/home/me/code/2024/.git", "me"),
+        ("/opt/w/site", "site"), ("/opt/w/.cache/12", "w"), ("/code/area", None), ("", None), (None, None),
+    ],
+)
+def test_project_of_directory(spark, cwd, want):
+    assert one(spark, I.project_of_directory(F.lit(cwd).cast("string"))) == want
+
+
+def test_clean_projects(spark):
+    names = ["usage-ledger", "Usage-LEDGER-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
+    got = [r["name"] for r in I.clean_projects(spark.createDataFrame([(n,) for n in names], "name string"), "name", (("usage-ledger", "usage_ledger"), ("p11", "p10"))).collect()]
+    assert got == ["usage_ledger", "usage_ledger", "shop-fix-9", "p10", "p10", "Mixed", None, "shop-feature"]
 
 
 def test_collapse_is_transitive_and_stays_in_its_group(spark):
@@ -217,7 +264,7 @@ def test_findings_are_collapsed_whole(spark, tmp_path):
         body[rng.randrange(40)] = f"w{i}"
         rows.append((i, f"{head} {' '.join(body)}" if i % 2 else f"{' '.join(body)} {head}", "en", ["src1", "src10", "src11"][i % 3]))
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r["job_id"]: r["content_hash"] for r in registry.queries()["u13_near_duplicate_collapse_all"](spark, str(tmp_path)).collect()}
+    got = {r["job_id"]: r["content_hash"] for r in registry.queries()["u13_near_duplicate_collapse"](spark, str(tmp_path)).collect()}
     kind = ["high", "medium", "low", "critical", "odd"]
     own = [hashlib.md5("\x1f".join([kind[i % 5], s, " ".join(t.split()[:12])]).encode()).hexdigest() for i, t, _, s in rows]
     sets, up = [set(t.split()) for _, t, _, _ in rows], list(range(len(rows)))
@@ -261,11 +308,22 @@ def test_open_trend_equals_counting(spark):
         b = None if rng.random() < 0.3 else a + dt.timedelta(hours=rng.randint(-20, 400))
         rows.append((k, a, b))
     got = R.open_trend(spark.createDataFrame(rows, "review_id long, created_at timestamp, closed_at timestamp"), "2024-01-31", 14).collect()
-    ok = [(a, b) for _, a, b in rows if b is None or b >= a]
-    assert len(got) == 14
+    assert len(got) == 14 and any(b is not None and b < a for _, a, b in rows)
     for r in got:
-        want = sum(a.date() <= r["date"] and (b is None or b.date() > r["date"]) for a, b in ok)
-        assert r["open_at_end"] == want
+        assert r["open_at_end"] == sum(a.date() <= r["date"] and (b is None or b.date() > r["date"]) for _, a, b in rows)
+        assert r["opened"] == sum(a.date() == r["date"] for _, a, _ in rows)
+        assert r["closed"] == sum(b is not None and b.date() == r["date"] for _, _, b in rows)
+    reasons = spark.createDataFrame([(*r, ["done", "", None][k % 3]) for k, r in enumerate(rows)], "review_id long, created_at timestamp, closed_at timestamp, why string")
+    for r in R.open_trend(reasons, "2024-01-31", 14, reason="why").collect():
+        assert r["closed"] == sum(k % 3 == 0 and b is not None and b.date() == r["date"] for k, (_, _, b) in enumerate(rows))
+        assert r["open_at_end"] == sum(a.date() <= r["date"] and (b is None or k % 3 > 0 or b.date() > r["date"]) for k, (_, a, b) in enumerate(rows))
+
+
+def test_all_contributors(spark):
+    rows = [("p", f"a{k:02d}", D(2024, 1, 1)) for k in range(12) for _ in range(12 - k)]
+    got = {r["author"]: r["share"] for r in G.contributors(spark.createDataFrame(rows, "project string, author string, date date")).collect()}
+    assert len(got) == 12 and got["a11"] is None and got["a10"] is None
+    assert got["a00"] == round(12 / sum(range(3, 13)), 6)
 
 
 REPORT = """intro
@@ -286,13 +344,17 @@ def test_review_reports(spark):
     df = spark.createDataFrame([(1, REPORT), (2, ""), (3, None)], "job_id long, output string")
     got = sorted(map(tuple, reviews.parse_findings(df).collect()))
     assert got == [(1, "high", "src/a.py", "src/a.py:42-67; b.py", "it breaks", "mend it"), (1, "low", None, None, "no place", None)]
+    odd = "**Problem**: two\n  lines: here\n- **Severity**: Low (maybe)\n- **Fix**: one\n\nmore\n## Next\ntext\n- **Problem**: again"
+    r = reviews.parse_findings(spark.createDataFrame([(1, odd)], "job_id long, output string")).first()
+    assert (r["severity"], r["problem_text"], r["fix_text"], r["primary_file"]) == ("low", "two\n  lines: here", "one\n\nmore", None)
     loc = sorted(map(str, (tuple(r) for r in reviews.review_locations(df, ["job_id"]).collect())))
     assert loc == sorted(["(1, 'src/a.py', None)", "(1, 'c.py', 7)"])
 
 
 def test_git_dumps(spark):
     dump = "a" * 40 + "|2024-01-02|fix: a|b\n\n3\t1\tx.py\n-\t-\tbin.png\n" + "b" * 40 + "|2024-01-03|empty\n"
-    d = spark.createDataFrame([("p", dump)], "project string, value string")
+    lines = [("p", "f", k // 2, k, x) for k, x in enumerate(["before", *dump.split("\n")])]  # blocks of two lines: entries go over their borders
+    d = git.under_headers(spark.createDataFrame(lines, "project string, file string, block long, n long, line string"))
     assert sorted(map(tuple, git.commits(d).collect())) == [("p", "a" * 7, D(2024, 1, 2), "fix: a|b", 3, 1, 2), ("p", "b" * 7, D(2024, 1, 3), "empty", 0, 0, 0)]
     assert [tuple(r) for r in git.file_touches(d).collect()] == [("p", "a" * 7, D(2024, 1, 2), "x.py", 3, 1)]
 
@@ -324,6 +386,62 @@ def test_gates(spark, tmp_path):
         sinks.require_complete(sinks.completeness({"none": df.limit(0)}, {}))
 
 
+def test_tables_never_seem_empty(spark, tmp_path, monkeypatch):
+    """A writer that stops anywhere leaves the old version; appends write only new rows; a second writer fails."""
+    import os
+
+    path, ddl = f"file://{tmp_path}/t", "k long"
+    assert sinks.write_table(spark.range(5).withColumnRenamed("id", "k"), path) == 5
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_publish", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            sinks.write_table(spark.range(9).withColumnRenamed("id", "k"), path)
+    assert sinks.read_table(spark, path, ddl).count() == 5
+    old = sinks.version_of(spark, path)
+    assert sinks.append_table(spark.range(5, 8).withColumnRenamed("id", "k"), path, {"batch": 3}) == 8
+    assert sorted(r["k"] for r in sinks.read_table(spark, path, ddl).collect()) == list(range(8))
+    new = sinks.version_of(spark, path)
+    assert new.parts[:1] == old.parts and len(new.parts) == 2 and new.notes == {"batch": 3}
+    with pytest.raises(sinks.GateError):
+        sinks._publish(spark, path, old, [], 0, {})
+    before = set(os.listdir(tmp_path / "t"))
+    with pytest.raises(sinks.GateError):
+        sinks.write_table(spark.range(1).withColumnRenamed("id", "k"), path, allow_shrink=False)
+    assert {n for n in os.listdir(tmp_path / "t") if not n.startswith(".")} <= before  # refused rows are gone
+    assert sinks.compact_table(spark, path, ddl, parts=1) and len(sinks.version_of(spark, path).parts) == 1
+    sinks.vacuum_table(spark, path)
+    assert sinks.read_table(spark, path, ddl).count() == 8
+    assert len([n for n in os.listdir(tmp_path / "t") if not n.startswith(".")]) == 2
+
+
+def test_staged_events_are_event_files_only(spark, tmp_path):
+    assert logs.read_staged_events(spark, f"file://{tmp_path}/absent").collect() == []
+    (tmp_path / "in").mkdir()
+    assert logs.read_staged_events(spark, f"file://{tmp_path}/in").collect() == []
+    for name in ("events-1.jsonl", "notes.txt", "events.jsonl.bak"):
+        (tmp_path / "in" / name).write_text('{"ts": "2024-01-01T00:00:00Z", "host": "' + name + '", "payload": {}}\n')
+    assert [r["host"] for r in logs.read_staged_events(spark, f"file://{tmp_path}/in").collect()] == ["events-1.jsonl"]
+
+
+def test_staging_needs_a_shared_folder(spark, monkeypatch):
+    from ledgerspark.operators import lineage
+
+    class Cluster:
+        conf = spark.conf
+
+        class sparkContext:
+            master = "yarn"
+
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(RuntimeError):
+            lineage.shared_dir(Cluster)
+    staged = lineage.stage(spark.range(3), "x")
+    assert staged.count() == 3
+    lineage.discard(staged, spark.range(1))
+    with pytest.raises(Exception, match="does not exist|FILE_NOT_EXIST|PATH_NOT_FOUND"):
+        spark.read.parquet(staged._staged_at).count()
+
+
 def test_confidential_rows_of_null_projects_stay(spark):
     df = spark.createDataFrame([(None,), ("Secret_Lab",), ("PRIVATE_x",), ("fine",)], "project string")
     assert sorted(str(r["project"]) for r in I.drop_confidential(df, ["project", "absent"]).collect()) == ["None", "fine"]
