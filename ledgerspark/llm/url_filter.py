@@ -7,16 +7,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators.lineage import discard, stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WILD = "*"
 POOLED = "~"
-#: Levels that the SQL twin spells out; it holds for tables without longer paths and with few repeated ones.
+#: Levels that the SQL twin spells out; it holds for tables without longer paths.
 DEPTH = 4
-MIN_VALUES, MIN_VARIETY = 8, 0.3
+#: A level is variable from this share of new segments; a branch is as good as so many paths of the same branch on all hosts.
+MIN_VARIETY, POOL_PATHS = 0.3, 4.0
 CLOSE = 1.96
 STRENGTH, REJECT = 4.0, 0.6
+#: Tasks that share the segments of one branch.
+SALTS = 16
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -39,37 +42,54 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
+def _close(bad: Column, n: Column, all_bad: Column, all_n: Column) -> Column:
+    """Whether a share of bad labels differs from a larger one by less than CLOSE standard errors; NULL without labels."""
+    share = F.try_divide(all_bad.cast("double"), all_n)
+    mine = F.try_divide(bad.cast("double"), n)
+    spread = F.sqrt(share * (1 - share) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), all_n)))
+    return F.abs(mine - share) <= CLOSE * spread
+
+
 def template_tree(paths: DataFrame) -> DataFrame:
     """Templates of (host, path, bad, good) rows, which are distinct by host and path.
 
     Segments are taken level by level until no path has a further one.  Below
-    one branch of a host, a level of at least MIN_VALUES different segments that
-    also make up MIN_VARIETY of its paths is variable and becomes the wildcard;
-    how often a path is repeated has no say in it.  Fixed siblings whose
-    labelled shares of bad rows differ from their parent's by less than CLOSE
-    standard errors are merged into one branch ``~``.  A path that is alone in
-    its branch takes all its further segments at once, as each level would.
+    one branch of a host the share of paths that bring a new segment is
+    estimated, drawn by POOL_PATHS paths towards that share below the same
+    branch on all hosts; from MIN_VARIETY on the level is variable and becomes
+    the wildcard.  How often a path is repeated has no say in it.  Other siblings
+    are merged into one branch ``~`` if their labelled share of bad rows differs
+    from their parent's by less than CLOSE standard errors, on their host and
+    over the same segments of all hosts; labels that are not there part nothing.
+    A path that is alone in its
+    branch on all hosts takes its further segments at once, as each level would.
     """
     seg = F.split(F.substring("path", 2, 1 << 30), "/")
     tree = paths.withColumns({"segs": seg, "template": F.lit("")})
     done, d = [], 0
     while True:
         tree = tree.withColumn("seg", F.get("segs", F.lit(d)))
-        labels = [F.sum(c).alias(c) for c in ("bad", "good")]
-        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), *labels)
-        branch = values.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("below"), F.sum("bad").alias("pb"), F.sum(F.col("bad") + F.col("good")).alias("pl"))
-        nodes = values.join(branch, ["host", "template"])
-        variable = (F.col("kinds") >= MIN_VALUES) & (F.col("kinds") >= MIN_VARIETY * F.col("below"))
-        mine, share = F.col("bad") + F.col("good"), F.col("pb") / F.col("pl")
-        spread = F.sqrt(share * (1 - share) * (1 / mine + 1 / F.col("pl")))
-        close = (mine > 0) & (F.abs(F.col("bad") / mine - share) <= CLOSE * spread)
-        step = F.when(variable, F.lit(WILD)).when(F.coalesce(close, F.lit(False)) & (F.col("kinds") > 1), F.lit(POOLED)).otherwise(F.col("seg"))
-        nodes = nodes.select("host", "template", "seg", step.alias("step"), (F.col("below") == 1).alias("alone"))
+        labelled = F.col("bad") + F.col("good")
+        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), F.sum("bad").alias("b"), F.sum(labelled).alias("l"))
+        values = stage(values, "segments")
+        branch = values.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("below"), F.sum("b").alias("pb"), F.sum("l").alias("pl"))
+        # the same branches and segments on all hosts: narrow rows, one a template or segment of one
+        named = values.groupBy("template", "seg").agg(F.sum("paths").alias("all_paths"), F.sum("b").alias("ab"), F.sum("l").alias("al"))
+        pooled = named.groupBy("template").agg(F.count(F.lit(1)).alias("all_kinds"), F.sum("all_paths").alias("all_below"), F.sum("ab").alias("apb"), F.sum("al").alias("apl"))
+        branch = stage(branch.join(pooled, "template"), "branches")
+        salted = branch.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        nodes = values.withColumn("salt", F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).join(salted, ["host", "template", "salt"]).join(named, ["template", "seg"])
+        usual = (F.col("all_kinds") - 1) / F.col("all_below")
+        fresh = (F.col("kinds") - 1 + POOL_PATHS * usual) / (F.col("below") - 1 + POOL_PATHS)
+        like = F.coalesce(_close(F.col("b"), F.col("l"), F.col("pb"), F.col("pl")), F.lit(True)) & F.coalesce(_close(F.col("ab"), F.col("al"), F.col("apb"), F.col("apl")), F.lit(True))
+        step = F.when(fresh >= MIN_VARIETY, F.lit(WILD)).when(like & (F.col("kinds") > 1), F.lit(POOLED)).otherwise(F.col("seg"))
+        nodes = nodes.select("host", "template", "seg", step.alias("step"), (F.col("all_below") == 1).alias("alone"))
         tree = tree.join(nodes, ["host", "template", "seg"], "left")
         step = F.when(F.col("alone"), F.array_join(F.slice("segs", d + 1, F.size("segs")), "/")).otherwise(F.col("step"))
         tree = tree.withColumn("template", F.when(F.col("step").isNotNull(), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
         tree = tree.withColumn("open", ~F.coalesce("alone", F.lit(True)) & (F.size("segs") > d + 1)).drop("seg", "step", "alone")
         tree = stage(tree, "templates")  # read twice by the next level
+        discard(values, branch)
         done.append(tree.where(~F.col("open")).drop("segs", "open"))
         tree, d = tree.where("open").drop("open"), d + 1
         if tree.isEmpty():
@@ -116,13 +136,21 @@ def url_oracle(rules: list[tuple[str, str, str]]) -> str:
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits) + " END"
     ruled = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits) + " END"
     levels, prev = "", "t0"
+
+    def close(b: str, n: str, pb: str, pn: str) -> str:
+        p = f"({pb}::DOUBLE / {pn})"
+        return f"abs({b}::DOUBLE / {n} - {p}) <= {CLOSE}::DOUBLE * sqrt({p} * (1 - {p}) * (1::DOUBLE / {n} + 1::DOUBLE / {pn}))"
+
     for d in range(1, DEPTH + 1):
         levels += f"""
-v{d} AS (SELECT host, template, segs[{d}] AS seg, sum(n) AS n, sum(bad) AS bad, sum(good) AS good FROM {prev} WHERE segs[{d}] IS NOT NULL GROUP BY ALL),
-b{d} AS (SELECT host, template, count(*) AS kinds, sum(n) AS rows, sum(bad) AS pb, sum(bad + good) AS pl FROM v{d} GROUP BY ALL),
-s{d} AS (SELECT v.host, v.template, v.seg, CASE WHEN kinds >= {MIN_VALUES} AND kinds >= {MIN_VARIETY}::DOUBLE * rows THEN '{WILD}'
-  WHEN kinds > 1 AND v.bad + v.good > 0 AND abs(v.bad::DOUBLE / (v.bad + v.good) - pb::DOUBLE / pl) <= {CLOSE}::DOUBLE * sqrt(pb::DOUBLE / pl * (1 - pb::DOUBLE / pl) * (1::DOUBLE / (v.bad + v.good) + 1::DOUBLE / pl)) THEN '{POOLED}'
-  ELSE v.seg END AS step FROM v{d} v JOIN b{d} USING (host, template)),
+v{d} AS (SELECT host, template, segs[{d}] AS seg, count(*) AS n, sum(bad) AS b, sum(bad + good) AS l FROM {prev} WHERE segs[{d}] IS NOT NULL GROUP BY ALL),
+h{d} AS (SELECT host, template, count(*) AS kinds, sum(n) AS below, sum(b) AS pb, sum(l) AS pl FROM v{d} GROUP BY ALL),
+w{d} AS (SELECT template, seg, sum(n) AS n, sum(b) AS ab, sum(l) AS al FROM v{d} GROUP BY ALL),
+a{d} AS (SELECT template, count(*) AS all_kinds, sum(n) AS all_below, sum(ab) AS apb, sum(al) AS apl FROM w{d} GROUP BY ALL),
+s{d} AS (SELECT v.host, v.template, v.seg,
+  CASE WHEN (kinds - 1 + {POOL_PATHS}::DOUBLE * ((all_kinds - 1)::DOUBLE / all_below)) / (below - 1 + {POOL_PATHS}::DOUBLE) >= {MIN_VARIETY}::DOUBLE THEN '{WILD}'
+   WHEN kinds > 1 AND CASE WHEN l > 0 THEN {close("b", "l", "pb", "pl")} ELSE true END AND CASE WHEN al > 0 THEN {close("ab", "al", "apb", "apl")} ELSE true END THEN '{POOLED}' ELSE v.seg END AS step
+  FROM v{d} v JOIN h{d} h ON h.host = v.host AND h.template = v.template JOIN w{d} w ON w.template = v.template AND w.seg = v.seg JOIN a{d} a ON a.template = v.template),
 t{d} AS (SELECT p.host, p.path, p.n, p.bad, p.good, p.segs, p.template || CASE WHEN s.step IS NULL THEN '' ELSE '/' || s.step END AS template
   FROM {prev} p LEFT JOIN s{d} s ON s.host = p.host AND s.template = p.template AND s.seg = p.segs[{d}]),"""
         prev = f"t{d}"
@@ -133,7 +161,7 @@ parts AS (SELECT page_id, translate(h, '{_UPPER}', '{_LOWER}') AS host, regexp_e
 rows AS (SELECT *, {rule} AS rule, {ruled} AS ruled FROM parts),
 t0 AS (SELECT host, path, count(*) AS n, count(*) FILTER (ruled = 'block') AS bad, count(*) FILTER (ruled = 'allow') AS good,
   string_split(substr(path, 2), '/') AS segs, '' AS template FROM rows GROUP BY host, path),{levels}
-tree AS (SELECT host, path, bad, good, template || CASE WHEN len(segs) > {DEPTH} THEN '/{WILD}' ELSE '' END AS template FROM {prev}),
+tree AS (SELECT host, path, bad, good, template FROM {prev}),
 own AS (SELECT host, template, sum(bad) AS ob, sum(bad + good) AS ol FROM tree GROUP BY ALL),
 ev AS (SELECT template, sum(ob) AS tb, sum(ol) AS tl FROM own GROUP BY ALL),
 al AS (SELECT coalesce(sum(tb)::DOUBLE / nullif(sum(tl), 0), 0) AS prior FROM ev),

@@ -226,8 +226,26 @@ def test_url_templates_take_all_segments(spark):
     urls = [f"http://h.com/a/b/c/d/{kind}/{i}" for kind in ("spam", "news") for i in range(40)] + ["http://h.com/a/alone/" + "x/" * 300]
     got = {r["path"]: (r["template"], r["verdict"]) for r in U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
     assert len(got) == len(urls)
-    assert got["/a/b/c/d/spam/5"] == ("/a/~/c/d/spam/*", "block") and got["/a/b/c/d/news/5"] == ("/a/~/c/d/news/*", "allow")
-    assert got["/a/alone/" + "x/" * 300][0] == "/a/alone/" + "x/" * 300
+    assert got["/a/b/c/d/spam/5"] == ("/a/~/~/~/spam/*", "block") and got["/a/b/c/d/news/5"] == ("/a/~/~/~/news/*", "allow")
+    assert got["/a/alone/" + "x/" * 300][0] == "/a/~/~/~/~/" + "x/" * 297  # unlabelled: merged until it is alone, then as it is
+
+
+def test_url_templates_learn_over_hosts(spark):
+    """Hosts with a path or two share what is known of the same branch elsewhere."""
+    rules = [(f"h{k}.com", "/spam/", "block") for k in range(6)] + [(f"h{k}.com", "/news/", "allow") for k in range(6)]
+    urls = [f"http://h{k}.com/{kind}/{10 * k + i}" for k in range(6) for kind in ("spam", "news") for i in range(2)]
+    urls += [f"http://small{k}.net/{kind}/{200 + k}" for k in range(8) for kind in ("spam", "news")] + ["http://other.net/odd/1"]
+    got = {r["path"]: (r["template"], r["verdict"], r["rule"]) for r in U.judge_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    assert {got[f"/spam/{200 + k}"] for k in range(8)} == {("/spam/*", "block", None)}
+    assert {got[f"/news/{200 + k}"] for k in range(8)} == {("/news/*", "allow", None)}
+
+
+def test_urls_of_odd_tables(spark):
+    """Clashing column names, NULL ids, repeated rows and a very long url."""
+    long = "http://h.com/" + "a" * 200_000
+    df = spark.createDataFrame([(None, "http://h.com/x", "t", 1), (1, "http://h.com/x", "t", 1), (1, "http://h.com/x", "t", 1), (2, long, "t", 1), (3, None, "t", 1)], "page_id long, url string, template string, host int")
+    got = U.judge_urls(df, RULES).collect()
+    assert sorted((str(r["page_id"]), r["host"], len(r["path"])) for r in got) == [("1", "h.com", 2), ("1", "h.com", 2), ("2", "h.com", 200_001), ("3", "", 0), ("None", "h.com", 2)]
 
 
 def toxic_tables(spark):
