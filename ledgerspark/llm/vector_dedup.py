@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,36 +43,34 @@ def rotations(unit: np.ndarray, seed: int) -> np.ndarray:
     return unit
 
 
-def _codes(unit: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Base code of each row (nearest signed axis per polytope), and PROBES next-nearest codes."""
+def _codes(unit: np.ndarray, seed: int, joined: int = JOINED, probes: int = PROBES) -> tuple[np.ndarray, np.ndarray]:
+    """Base code of each row (nearest signed axis of each polytope), and the next-nearest codes.
+
+    A code is read in base 2 d over ``joined`` polytopes.  Other codes take a
+    further axis in one or several of them; those that lose least come first.
+    """
     n, d = unit.shape
-    near, loss = [], []
-    for j in range(JOINED):
+    width = min(d, probes + 1)
+    axes, loss = [], []
+    for j in range(joined):
         y = rotations(unit, seed * 101 + j)
         size = np.abs(y)
-        width = min(d, PROBES + 1)
         top = np.argpartition(-size, width - 1, axis=1)[:, :width]
         top = np.take_along_axis(top, np.argsort(-np.take_along_axis(size, top, 1), axis=1, kind="stable"), 1)
-        value = np.take_along_axis(y, top, 1)
-        near.append(2 * top + (value < 0))
         big = np.take_along_axis(size, top, 1)
+        axes.append(2 * top + (np.take_along_axis(y, top, 1) < 0))
         loss.append(big[:, :1] ** 2 - big**2)
-    base = np.zeros(n, np.int64)
-    for k in near:
-        base = base * (2 * d) + k[:, 0]
-    # swaps of one polytope's axis for a further one, and of two at once, by what is lost
-    options, cost = [], []
-    width = near[0].shape[1]
-    for a in range(width):
-        for b in range(width):
-            if 0 < a + b <= PROBES:
-                options.append(near[0][:, a] * (2 * d) + near[1][:, b])
-                cost.append(loss[0][:, a] + loss[1][:, b])
-    if not options:
-        return base, np.zeros((n, 0), np.int64)
-    options, cost = np.stack(options, 1), np.stack(cost, 1)
-    keep = np.argsort(cost, axis=1, kind="stable")[:, :PROBES]
-    return base, np.take_along_axis(options, keep, 1)
+    codes, costs = [], []
+    for ranks in itertools.product(range(width), repeat=joined):
+        if sum(ranks) <= probes:
+            code = np.zeros(n, np.int64)
+            for near, k in zip(axes, ranks, strict=True):
+                code = code * (2 * d) + near[:, k]
+            codes.append(code)
+            costs.append(sum(lost[:, k] for lost, k in zip(loss, ranks, strict=True)))
+    others, cost = np.stack(codes[1:] or [np.zeros(n, np.int64)], 1), np.stack(costs[1:] or [np.zeros(n)], 1)
+    keep = np.argsort(cost, axis=1, kind="stable")[:, : probes if len(codes) > 1 else 0]
+    return codes[0], np.take_along_axis(others, keep, 1)
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
@@ -105,23 +104,27 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["id", "label", "vec"])
 
 
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(joined: int):
     """Bucket codes: one row per vector and table, codes[0] its own bucket, then the probes."""
-    for batch in batches:
-        for rows, raw in _by_length(batch, 1):
-            unit, n = _unit(raw), len(rows)
-            d = unit.shape[1]
-            plane = np.random.default_rng(7).standard_normal((d, SKETCH_BITS))
-            bits = np.packbits(unit @ plane > 0, axis=1).copy().view("<i8")
-            codes = [_codes(unit, t) for t in range(TABLES)]
-            own = np.stack([c[0] for c in codes], 1)
-            ids = batch.column(0).take(pa.array(rows))
-            for t, (base, probes) in enumerate(codes):
-                buckets = np.concatenate([base[:, None], probes], 1)
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.full(n, t, np.int32)), pa.array(list(buckets), pa.list_(pa.int64())), pa.array(list(own), pa.list_(pa.int64())), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
-                    names=["node", "t", "buckets", "own", "s0", "s1"],
-                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, raw in _by_length(batch, 1):
+                unit, n = _unit(raw), len(rows)
+                d = unit.shape[1]
+                plane = np.random.default_rng(7).standard_normal((d, SKETCH_BITS))
+                bits = np.packbits(unit @ plane > 0, axis=1).copy().view("<i8")
+                codes = [_codes(unit, t, joined) for t in range(TABLES)]
+                own = np.stack([c[0] for c in codes], 1)
+                ids = batch.column(0).take(pa.array(rows))
+                for t, (base, probes) in enumerate(codes):
+                    buckets = np.concatenate([base[:, None], probes], 1)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids, pa.array(np.full(n, t, np.int32)), pa.array(list(buckets), pa.list_(pa.int64())), pa.array(list(own), pa.list_(pa.int64())), pa.array(bits[:, 0]), pa.array(bits[:, 1])],
+                        names=["node", "t", "buckets", "own", "s0", "s1"],
+                    )
+
+    return run
 
 
 def _verified(limit: float):
@@ -138,7 +141,7 @@ def _verified(limit: float):
     return run
 
 
-def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", joined: int = JOINED) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
     Two vectors of the same label link when their cosine, in double precision,
@@ -157,7 +160,7 @@ def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id"
     usable = F.col("vec").isNotNull() & F.col("label").isNotNull() & F.col("id").isNotNull()
     good = rows.where(usable)
     classes = stage(good.groupBy("label", "vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")), "classes")
-    hashed = stage(classes.select("node", "vec").mapInArrow(_hashed, "node long, t int, buckets array<long>, own array<long>, s0 long, s1 long"), "buckets")
+    hashed = stage(classes.select("node", "vec").mapInArrow(_hashed(joined), "node long, t int, buckets array<long>, own array<long>, s0 long, s1 long"), "buckets")
     labelled = hashed.join(classes.select("node", "label"), "node")
     own = labelled.select("label", "t", F.get("buckets", F.lit(0)).alias("bucket"), F.col("node").alias("x"), F.col("own").alias("xo"), F.col("s0").alias("x0"), F.col("s1").alias("x1"))
     probed = labelled.select("label", "t", F.explode("buckets").alias("bucket"), F.col("node").alias("y"), F.col("own").alias("yo"), F.col("s0").alias("y0"), F.col("s1").alias("y1"))

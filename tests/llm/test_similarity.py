@@ -2,6 +2,7 @@
 
 import html
 import math
+import os
 import random
 import re
 
@@ -89,6 +90,19 @@ def test_drop_near_duplicates(spark):
     assert sorted(r["doc_id"] for r in J.drop_near_duplicates(df).collect()) == [3, 8]
 
 
+def test_drop_near_duplicates_with_repeated_and_null_ids(spark):
+    base = [f"w{k}" for k in range(40)]
+    near = lambda k: " ".join([*base[:-1], f"x{k}"])
+    rows = [(2, near(1)), (2, near(2)), (None, near(3)), (5, near(4)), (2, "another text of id two, kept for itself"), (None, "only null ids here twice over"), (None, "only null ids here twice over")]
+    rows += [(7, "repeated row of seven words in all"), (7, "repeated row of seven words in all"), (8, ""), (8, None), (None, None)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, `group` int")
+    out = J.drop_near_duplicates(df.repartition(3))
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert out.columns == df.columns and len([g for g in got if g[0] == 2 and g[1].startswith("w0")]) == 1
+    assert [g for g in got if g[0] != 2 or not g[1].startswith("w0")] == sorted([(2, rows[4][1]), (None, rows[5][1]), (7, rows[7][1]), (8, ""), (8, None), (None, None)], key=str)
+    assert J.drop_near_duplicates(df.limit(0)).collect() == []
+
+
 def test_overlaps_equal_sets():
     rng = random.Random(4)
     sets = [np.array(sorted(rng.sample(range(120), rng.randint(0, 60))), np.uint64) for _ in range(80)]
@@ -135,6 +149,43 @@ def test_vectors_against_brute_force(spark):
     assert V.near_vectors(df.limit(0)).collect() == []
 
 
+def brute_links(ids, labels, x):
+    """Links of each id: others of the same label at cosine 0.93 or more."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    out = dict.fromkeys(ids.tolist(), 0)
+    for label in set(labels):
+        at = np.flatnonzero(np.array(labels) == label)
+        near = (unit[at] @ unit[at].T >= 0.93).sum(1) - 1
+        out.update(zip(ids[at].tolist(), near.tolist()))
+    return out
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/check_h"), reason="no such table")
+def test_recall_on_a_given_table(spark):
+    df = spark.read.parquet("/root/testdata/check_h/embeddings.parquet").where("label IS NOT NULL AND embedding IS NOT NULL")
+    rows = df.toPandas()
+    x = np.stack(rows["embedding"].to_numpy()).astype(np.float64)
+    ok = np.isfinite(x).all(1) & (np.abs(x).sum(1) > 0)
+    want = brute_links(rows["vec_id"].to_numpy()[ok], rows["label"].astype(str).to_numpy()[ok].tolist(), x[ok])
+    got = {r["vec_id"]: r["n_links"] for r in V.near_vectors(df).collect()}
+    assert sum(want.values()) > 100 and all(got[i] <= n for i, n in want.items())
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+
+
+@pytest.mark.parametrize("joined", [1, 2, 3])
+def test_recall_in_a_large_group_of_near_copies(spark, joined):
+    """One group of different vectors that are all near one another, and others around; for any number of joined polytopes."""
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal(32)
+    x = np.concatenate([centre + 0.12 * rng.standard_normal((400, 32)), rng.standard_normal((600, 32))])
+    want = brute_links(np.arange(1000), ["a"] * 1000, x)
+    df = spark.createDataFrame([(i, "a", v.tolist()) for i, v in enumerate(x)], "vec_id long, label string, embedding array<double>")
+    got = {r["vec_id"]: r for r in V.near_vectors(df, joined=joined).collect()}
+    assert all(got[i]["n_links"] <= n for i, n in want.items())
+    assert sum(r["n_links"] for r in got.values()) >= 0.9 * sum(want.values()) > 50_000
+    assert len({got[i]["component_id"] for i in range(400)}) == 1
+
+
 def test_hadamard_is_a_rotation():
     x = np.random.default_rng(0).standard_normal((5, 16))
     y = V.hadamard(x)
