@@ -13,6 +13,7 @@ the model; where they fail, the whole text is encoded by the library.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterator
 
@@ -87,17 +88,8 @@ class PieceCounter:
         if not lines[0]:
             words = words[1:]  # the text opens with a line feed: the mark stands alone
         total = (len(lines) - 1) * self.line_feed + (not lines[0])
-        after, at = self.after_space, self.at_start
-        if rest := [w for w in words if w not in after]:
-            total += self._rest(rest, after, lambda ws: map(len, self.sp.encode(ws)))
-            left = set(rest)
-            words = [w for w in words if w not in left]
-        total += sum(map(after.__getitem__, words))
-        if rest := [w for w in starts if w not in at]:
-            total += self._rest(rest, at, self._bare)
-            left = set(rest)
-            starts = [w for w in starts if w not in left]
-        return total + sum(map(at.__getitem__, starts))
+        total += self._all(words, self.after_space, lambda ws: map(len, self.sp.encode(ws)))
+        return total + self._all(starts, self.at_start, self._bare)
 
     def _count_spaced(self, text: str) -> int:
         """Texts with runs of spaces: a run and what follows it are one pre-token."""
@@ -106,15 +98,33 @@ class PieceCounter:
         marked, bare = [], []
         for line in lines:
             for t in _RUNS.findall(line):
-                (marked if t[0] == " " else bare).append(t)
-        total += sum(map(len, self.sp.encode([t[1:] for t in marked if len(t) > 1])))
-        total += sum(t == " " for t in marked)
-        return total + sum(self._bare(bare))
+                if t[0] != " ":
+                    bare.append(t)
+                elif len(t) > 1:
+                    marked.append(t[1:])
+                else:
+                    total += 1
+        after, at = self.after_space, self.at_start
+        total += self._all(marked, after, lambda ws: map(len, self.sp.encode(ws)))
+        return total + self._all(bare, at, self._bare)
+
+    def _all(self, words: list[str], known: dict[str, int], merge) -> int:
+        """Proved words count by themselves, the rest is merged."""
+        if rest := [w for w in words if w not in known]:
+            total, left = self._rest(rest, known, merge), set(rest)
+            return total + sum(known[w] for w in words if w not in left)
+        return sum(map(known.__getitem__, words))
+
+
+@functools.cache
+def counter_of(model_path: str) -> PieceCounter:
+    """The counter of a Python worker, made once for all its tasks."""
+    return PieceCounter(model_path)
 
 
 def _counted(model_path: str, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(model_path)
+        counter = counter_of(model_path)
         for batch in batches:
             texts = batch.column(text_col)
             sizes = []

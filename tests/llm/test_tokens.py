@@ -57,6 +57,17 @@ def test_ids_equal_library(bpe):
         assert bpe.ids(t).tolist() == bpe.library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_texts_with_runs_of_spaces_take_the_shortcut(counter):
+    text = "  the   house and\n  a garden  \n\n the end " * 50
+    want = len(counter.sp.encode(text))
+    assert counter.count(text) == want  # merges what is not proved, and remembers it
+    counter._rest = None  # nothing is left to be merged
+    try:
+        assert counter.count(text) == want
+    finally:
+        del counter._rest
+
+
 def test_token_counts_rows(spark, counter):
     rows = [(i, t, "c") for i, t in enumerate(TEXTS)] + [(None, None, "c"), (3, "dup", "c"), (3, "dup", "c")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
