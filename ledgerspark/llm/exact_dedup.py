@@ -219,7 +219,8 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     groups = _groups(docs, id_col, text_col, TRIE_BYTES)
     rows = _with_groups(docs, groups, id_col, text_col)
-    gone = rows.where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct()
+    # a table of its own: Catalyst sees its size and sends it to all tasks or, where it is large, shuffles both sides
+    gone = stage(rows.where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct(), "exact-gone")
     text = F.sha2(normalised(F.col(text_col)), 256)
     keyed = docs.withColumn("__sha", text)
     ident = F.col(id_col).cast("long")

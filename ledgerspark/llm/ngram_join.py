@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark.operators.graph import connected_components
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators.lineage import discard, stage
 
 #: Multipliers of the token orders: order k sorts tokens by token * ORDERS[k] mod 2**64.
 ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -20,8 +20,8 @@ ORDERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 LIST_SETS = 8
 #: Postings that one range of tokens should hold: with fewer, a set is named in more rows of the exchange.
 RANGE_POSTINGS = 2_000_000
-#: Sets whose sizes and counts are broadcast at most, at about 40 bytes each; with more, pairs are shuffled to them.
-BROADCAST_SETS = 500_000
+#: Places of sets in blocks that are sent to all tasks at most, at about 25 bytes each; with more, the texts are shuffled to them.
+SENT_PLACES = 1_000_000
 #: A block of sets that one task compares holds at most so many sets and tokens.
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1_000_000
 _REMEMBERED = 500_000
@@ -81,7 +81,6 @@ def _sets(n: int, percent: int, ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shift = WordHashes(), np.uint64(64 - max(1, (ranges - 1).bit_length()))
-        step = math.log(100 / percent)
         for batch in batches:
             keys, sizes, post = [], [], [([], [], []) for _ in ORDERS]
             for at in range(0, batch.num_rows, 256):
@@ -93,56 +92,54 @@ def _sets(n: int, percent: int, ranges: int):
                     if not len(tokens):
                         continue
                     p = prefix_size(len(tokens), percent)
-                    like = int(math.log(len(tokens)) / step)
                     for m, (ts, ks, cs) in zip(ORDERS, post, strict=True):
                         order = tokens * np.uint64(m)
                         ts.append(np.partition(order, p - 1)[:p] if p < len(order) else order)
                         ks.append(np.full(p, key, np.uint64))
-                        cs.append(np.full(p, like, np.uint16))
+                        cs.append(np.full(p, len(tokens), np.uint32))
             none = [None] * len(keys)
-            columns = [[*none], [*none], batch.column(0).to_pylist(), keys, sizes, [*none], [*none], [*none]]
+            columns = [[*none], [*none], batch.column(0).to_pylist(), batch.column(2).to_pylist(), keys, sizes, [*none], [*none], [*none]]
             for k, (ts, ks, cs) in enumerate(post):
                 if not ts:
                     continue
-                t, owner, like = np.concatenate(ts), np.concatenate(ks), np.concatenate(cs)
+                t, owner, size = np.concatenate(ts), np.concatenate(ks), np.concatenate(cs)
                 # a prefix keeps the smallest numbers of its order: ranges are dealt by the other bits
                 where = (t * np.uint64(0xFF51AFD7ED558CCD)) >> shift
                 by = np.argsort(where, kind="stable")
-                t, owner, like, where = t[by], owner[by], like[by], where[by]
+                t, owner, size, where = t[by], owner[by], size[by], where[by]
                 cuts = np.flatnonzero(np.diff(where)) + 1
-                for part_t, part_o, part_l, r in zip(np.split(t, cuts), np.split(owner, cuts), np.split(like, cuts), where[np.append(0, cuts)].tolist(), strict=True):
-                    for column, value in zip(columns, (k, r, None, None, None, part_t.tobytes(), part_o.tobytes(), part_l.tobytes()), strict=True):
+                for part_t, part_o, part_s, r in zip(np.split(t, cuts), np.split(owner, cuts), np.split(size, cuts), where[np.append(0, cuts)].tolist(), strict=True):
+                    for column, value in zip(columns, (k, r, None, None, None, None, part_t.tobytes(), part_o.tobytes(), part_s.tobytes()), strict=True):
                         column.append(value)
-            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["ord", "range", "id", "key", "size", "tokens", "owners", "likes"])
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["ord", "range", "id", "text_hash", "key", "size", "tokens", "owners", "sizes"])
 
     return run
 
 
-def _runs(tokens: np.ndarray, owners: np.ndarray, likes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct (token, owner) sorted, the owners' size classes, and each token's list: start and length."""
+def _runs(tokens: np.ndarray, owners: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (token, owner) sorted, the owners' sizes, and each token's list: start and length."""
     by = np.lexsort((owners, tokens))
-    tokens, owners, likes = tokens[by], owners[by], likes[by]
+    tokens, owners, sizes = tokens[by], owners[by], sizes[by]
     new = np.ones(len(tokens), bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (owners[1:] != owners[:-1])
-    tokens, owners, likes = tokens[new], owners[new], likes[new]
+    tokens, owners, sizes = tokens[new], owners[new], sizes[new]
     first = np.ones(len(tokens), bool)
     first[1:] = tokens[1:] != tokens[:-1]
     start = np.flatnonzero(first)
-    return tokens, owners, likes, start, np.diff(np.append(start, len(tokens)))
+    return tokens, owners, sizes, start, np.diff(np.append(start, len(tokens)))
 
 
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _met(percent: int):
     """Pairs of sets that share tokens of short lists, with how many; postings of frequent tokens.
 
-    Similar sets are of the same size class or of neighbouring ones: other pairs
-    are never made.
+    Pairs whose sizes alone rule out the similarity are never made.
     """
-    now, tokens, owners, likes = None, [], [], []
-    names = ["ord", "a", "b", "shared", "token"]
+    names = ["ord", "a", "b", "shared", "token", "a_size", "b_size"]
 
-    def close() -> pa.RecordBatch:
-        t, o, like, start, size = _runs(np.concatenate(tokens), np.concatenate(owners), np.concatenate(likes))
+    def close(order: int, tokens: list, owners: list, sizes: list) -> pa.RecordBatch:
+        t, o, n, start, size = _runs(np.concatenate(tokens), np.concatenate(owners), np.concatenate(sizes))
+        n = n.astype(np.int64)
         a, b = [], []
         for d in range(2, LIST_SETS + 1):
             at = start[size == d]
@@ -150,43 +147,50 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 spots = at[:, None] + np.arange(d)
                 i, j = np.triu_indices(d, 1)
                 i, j = spots[:, i].ravel(), spots[:, j].ravel()
-                near = np.abs(like[i].astype(np.int32) - like[j]) <= 1
-                a.append(o[i[near]])
-                b.append(o[j[near]])
-        a = np.concatenate(a) if a else np.zeros(0, np.uint64)
-        b = np.concatenate(b) if b else np.zeros(0, np.uint64)
-        by = np.lexsort((b, a))
-        a, b = a[by], b[by]
-        new = np.ones(len(a), bool)
-        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+                near = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+                a.append(i[near])
+                b.append(j[near])
+        i = np.concatenate(a) if a else np.zeros(0, np.int64)
+        j = np.concatenate(b) if b else np.zeros(0, np.int64)
+        by = np.lexsort((o[j], o[i]))
+        i, j = i[by], j[by]
+        new = np.ones(len(i), bool)
+        new[1:] = (o[i[1:]] != o[i[:-1]]) | (o[j[1:]] != o[j[:-1]])
         at = np.flatnonzero(new)
-        shared = np.diff(np.append(at, len(a)))
-        a, b = a[at], b[at]
-        hot = np.repeat(size > LIST_SETS, size)
-        ht, ho = t[hot], o[hot]
-        n, m = len(a), len(ht)
+        shared = np.diff(np.append(at, len(i)))
+        i, j = i[at], j[at]
+        hot = np.flatnonzero(np.repeat(size > LIST_SETS, size))
+        pairs, single = np.zeros(len(i), bool), np.ones(len(hot), bool)
+        none, no_token = np.append(pairs, single), np.append(~pairs, ~single)
+        zeros = np.zeros(len(hot), np.int64)
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.full(n + m, now[0], np.int32)),
-                pa.array(np.concatenate([a, ho]).astype(np.int64)),
-                pa.array(np.append(b.astype(np.int64), np.zeros(m, np.int64)), mask=np.append(np.zeros(n, bool), np.ones(m, bool))),
-                pa.array(np.append(shared, np.ones(m, np.int64))),
-                pa.array(np.append(np.zeros(n, np.int64), ht.view(np.int64)), mask=np.append(np.ones(n, bool), np.zeros(m, bool))),
+                pa.array(np.full(len(none), order, np.int32)),
+                pa.array(np.concatenate([o[i], o[hot]]).astype(np.int64)),
+                pa.array(np.append(o[j].astype(np.int64), zeros), mask=none),
+                pa.array(np.append(shared, zeros + 1)),
+                pa.array(np.append(np.zeros(len(i), np.int64), t[hot].view(np.int64)), mask=no_token),
+                pa.array(np.append(n[i], n[hot])),
+                pa.array(np.append(n[j], zeros), mask=none),
             ],
             names=names,
         )
 
-    for batch in batches:
-        for key, t, o, c in zip(zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True), *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            if key != now:
-                if tokens:
-                    yield close()
-                now, tokens, owners, likes = key, [], [], []
-            tokens.append(np.frombuffer(t, np.uint64))
-            owners.append(np.frombuffer(o, np.uint64))
-            likes.append(np.frombuffer(c, np.uint16))
-    if tokens:
-        yield close()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [])
+        for batch in batches:
+            keys = zip(*(batch.column(i).to_pylist() for i in (0, 1)), strict=True)
+            for key, t, o, n in zip(keys, *(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                if key != now:
+                    if held[0]:
+                        yield close(now[0], *held)
+                    now, held = key, ([], [], [])
+                for column, raw, kind in zip(held, (t, o, n), (np.uint64, np.uint64, np.uint32), strict=True):
+                    column.append(np.frombuffer(raw, kind))
+        if held[0]:
+            yield close(now[0], *held)
+
+    return run
 
 
 def _with_tokens(n: int):
@@ -195,11 +199,8 @@ def _with_tokens(n: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                tokens = [shingles(t, words, n) for t in part.column(3).to_pylist()]
-                # an id that repeats with another text does not speak for this set
-                mine = pa.array([_key(t) == k for t, k in zip(tokens, part.column(2).to_pylist(), strict=True)], pa.bool_())
-                columns = [*(part.column(i) for i in range(3)), pa.array([t.tobytes() for t in tokens], pa.binary())]
-                yield pa.RecordBatch.from_arrays([c.filter(mine) for c in columns], names=["family", "blocks", "key", "tokens"])
+                tokens = pa.array([shingles(t, words, n).tobytes() for t in part.column(3).to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), tokens], names=["family", "blocks", "key", "tokens"])
 
     return run
 
@@ -269,62 +270,45 @@ def _linked(percent: int):
                 if group != now:
                     out += trees(keys, sets) if len(keys) > 1 else []
                     now, keys, sets = group, [], []
-                keys.append(key)
-                sets.append(np.frombuffer(tokens, np.uint64))
+                if not keys or key != keys[-1]:  # a repeated row speaks once for its set
+                    keys.append(key)
+                    sets.append(np.frombuffer(tokens, np.uint64))
         out += trees(keys, sets) if len(keys) > 1 else []
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
     return run
 
 
-def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id.
-
-    Documents link when the Jaccard similarity of their shingle sets is at
-    least ``percent`` hundredths, and components are what links reach.
-
-    1. Each text becomes its set of shingle hashes; equal sets share one key.
-    2. Under each of several global token orders a set's prefix is cut so long
-       that two similar sets must share ``spare`` of its tokens.  Postings meet
-       by token range; lists of at most LIST_SETS sets are paired and counted.
-    3. A pair stays a candidate only if, under every order, the tokens it shares
-       and the frequent ones that it might share reach that number.
-    4. Sets so full of frequent tokens that they could reach it by these alone,
-       under every order, are tied to one set of each frequent token's list.
-    5. What candidates connect is a family: its sets are brought together once,
-       in blocks of bounded size, and every pair in it is compared exactly.
-
-    A text of fewer words is one shingle; NULL, empty and blank texts have none,
-    link with nothing and are their own component.  Ids are whole numbers;
-    repeated rows are copies.  A row with a NULL id belongs to the component of
-    the texts that equal it in shingles, and is NULL's own where none has an id.
-    """
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: id, text_hash, size, group (NULL for empty sets) and component_id; see ``ngram_groups``."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
     n_docs = docs.count()
     ranges = 32
     expected = n_docs * prefix_size(600, percent) * len(ORDERS)  # for texts of about 600 words; only the ranges' size depends on it
     while ranges * RANGE_POSTINGS < expected:
         ranges *= 2
-    schema = "ord int, range long, id long, key long, size long, tokens binary, owners binary, likes binary"
+    schema = "ord int, range long, id long, text_hash long, key long, size long, tokens binary, owners binary, sizes binary"
     made = stage(src.mapInArrow(_sets(words, percent, ranges), schema), "shingles")
-    members = made.where(F.col("ord").isNull()).select("id", "key", "size")
-    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "likes").repartition(ranges, "ord", "range").sortWithinPartitions("ord", "range")
-    met = stage(dealt.mapInArrow(_met, "ord int, a long, b long, shared long, token long"), "met")
-
-    sizes = stage(members.where(F.col("size") > 0).groupBy("key").agg(F.max("size").alias("size"), F.min("id").alias("least")), "sets")
-    few = (lambda df: F.broadcast(df)) if sizes.count() <= BROADCAST_SETS else (lambda df: df)
+    members = stage(made.where(F.col("ord").isNull()).select("id", "text_hash", "key", "size"), "members")
+    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "sizes").repartition(2 * ranges, "ord", "range").sortWithinPartitions("ord", "range")
+    met = stage(dealt.mapInArrow(_met(percent), "ord int, a long, b long, shared long, token long, a_size long, b_size long"), "met")
+    discard(made)
+
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    sizes = members.where(F.col("size") > 0).groupBy("key").agg(F.max("size").alias("size"), first)
+    sizes = stage(sizes.select("key", "size", F.col("first.id").alias("least"), F.col("first.text_hash").alias("of")), "sets")
     frequent = met.where(F.col("token").isNotNull())
-    counts = frequent.groupBy("a").agg(*(F.count_if(F.col("ord") == k).alias(f"f{k}") for k in range(len(ORDERS))))
-    counts = stage(counts.join(few(sizes), F.col("a") == F.col("key")).select("a", "size", *(f"f{k}" for k in range(len(ORDERS)))), "frequent")
+    held_by = [F.count_if(F.col("ord") == k).alias(f"f{k}") for k in range(len(ORDERS))]
+    counts = stage(frequent.groupBy("a").agg(F.max("a_size").alias("size"), *held_by), "frequent")
 
     # pairs: shared tokens under each order, and what frequent tokens could add
-    pairs = met.where(F.col("token").isNull()).groupBy("a", "b").agg(*(F.sum(F.when(F.col("ord") == k, F.col("shared")).otherwise(0)).alias(f"c{k}") for k in range(len(ORDERS))))
-    side = lambda s: sizes.select(F.col("key").alias(s), F.col("size").alias(f"{s}_size")).join(
-        few(counts.select(F.col("a").alias("k"), *(F.col(f"f{k}").alias(f"{s}_f{k}") for k in range(len(ORDERS))))), F.col(s) == F.col("k"), "left"
-    ).drop("k")
-    pairs = pairs.join(few(side("a")), "a").join(few(side("b")), "b")
+    shared = [F.sum(F.when(F.col("ord") == k, F.col("shared")).otherwise(0)).alias(f"c{k}") for k in range(len(ORDERS))]
+    pairs = met.where(F.col("token").isNull()).groupBy("a", "b").agg(F.max("a_size").alias("a_size"), F.max("b_size").alias("b_size"), *shared)
+    for s in ("a", "b"):
+        side = counts.select(F.col("a").alias(f"{s}_key"), *(F.col(f"f{k}").alias(f"{s}_f{k}") for k in range(len(ORDERS))))
+        pairs = pairs.join(side, F.col(s) == F.col(f"{s}_key"), "left").drop(f"{s}_key")
     small, large = F.least("a_size", "b_size"), F.greatest("a_size", "b_size")
-    enough = 100 * small >= percent * large
+    enough = F.lit(True)
     for k in range(len(ORDERS)):
         might = F.least(F.coalesce(f"a_f{k}", F.lit(0)), F.coalesce(f"b_f{k}", F.lit(0)))
         enough = enough & (F.col(f"c{k}") + might >= F.least(_spare(small), F.ceil(large * percent / 100)))
@@ -339,42 +323,89 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     heads = stage(hot.groupBy("token").agg(F.min("a").alias("head")), "heads")  # a table of its own: the join may split a hot token
     stars = hot.join(heads, "token").where(F.col("a") != F.col("head")).select("a", F.col("head").alias("b")).distinct()
     families = stage(connected_components(edges.union(stars), "a", "b"), "families")
+    discard(met, counts, heads)
 
     # each set of a family once, with its tokens; large families in pairs of blocks of like sizes
-    held = families.join(sizes, F.col("node") == F.col("key")).select(F.col("component").alias("family"), "key", "least", "size")
-    held = stage(held.withColumn("class", F.floor(F.log(F.col("size")) / math.log(100 / percent)).cast("int")), "held")
+    held = families.join(sizes, F.col("node") == F.col("key")).select(F.col("component").alias("family"), "key", "least", "of", "size")
+    held = staged = stage(held.withColumn("class", F.floor(F.log(F.col("size")) / math.log(100 / percent)).cast("int")), "held")
     room = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("size") / BLOCK_TOKENS)).cast("int")
     whole = held.groupBy("family").agg(room.alias("blocks"))
     parts = held.groupBy("family", "class").agg(room.alias("parts")).join(whole.where(F.col("blocks") > 1), "family", "left_semi")
     held = held.join(whole, "family").withColumn("class", F.when(F.col("blocks") > 1, F.col("class")).otherwise(0))
     near = parts.select(F.col("family").alias("f"), F.col("class").alias("c"), "parts")
     met_in = held.where(F.col("blocks") > 1).withColumn("c", F.explode(F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)))
-    met_in = met_in.join(near, (F.col("family") == F.col("f")) & (met_in["c"] == near["c"])).select("family", "key", "least", "class", near["c"].alias("c"), "parts")
+    met_in = met_in.join(near, (F.col("family") == F.col("f")) & (met_in["c"] == near["c"])).select("family", "key", "least", "of", "class", near["c"].alias("c"), "parts")
     own = met_in.where(F.col("c") == F.col("class")).select(F.col("key").alias("k"), F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part"))
     met_in = met_in.join(own, F.col("key") == F.col("k")).withColumn("q", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     mine, other = F.struct(F.col("class"), F.col("part")), F.struct(F.col("c").alias("class"), F.col("q").alias("part"))
-    met_in = met_in.select("family", "key", "least", F.concat_ws("/", F.least(mine, other)["class"], F.least(mine, other)["part"], F.greatest(mine, other)["class"], F.greatest(mine, other)["part"]).alias("block"))
-    met_in = met_in.groupBy("family", "key", "least").agg(F.collect_set("block").alias("blocks"))  # one entry per block of like sizes
-    plain = held.where(F.col("blocks") == 1).select("family", "key", "least", F.array(F.lit("0")).alias("blocks"))
+    met_in = met_in.select("family", "key", "least", "of", F.concat_ws("/", F.least(mine, other)["class"], F.least(mine, other)["part"], F.greatest(mine, other)["class"], F.greatest(mine, other)["part"]).alias("block"))
+    met_in = met_in.groupBy("family", "key", "least", "of").agg(F.collect_set("block").alias("blocks"))  # one entry per block of like sizes
+    plain = held.where(F.col("blocks") == 1).select("family", "key", "least", "of", F.array(F.lit("0")).alias("blocks"))
     named = stage(plain.unionByName(met_in), "named")
     reach = named.agg(F.sum(F.size("blocks") + 4)).first()[0] or 0
-    if reach <= 4_000_000:
-        named = F.broadcast(named)  # a checked size, under 100 MB; beyond it the texts are shuffled
-    texts = src.where(F.col("id").isNotNull()).join(named, F.col("id") == F.col("least")).select("family", "blocks", "key", "text")
+    sent = F.broadcast(named) if reach <= SENT_PLACES else named
+    texts = src.join(sent, F.col("id").eqNullSafe(F.col("least")) & (F.col("text_hash") == F.col("of"))).select("family", "blocks", "key", "text")
     tokens = texts.mapInArrow(_with_tokens(words), "family long, blocks array<string>, key long, tokens binary")
     tokens = tokens.select("family", F.explode("blocks").alias("block"), "key", "tokens")
-    grouped = tokens.repartition("family", "block").sortWithinPartitions("family", "block")
+    grouped = tokens.repartition("family", "block").sortWithinPartitions("family", "block", "key")
     links = stage(grouped.mapInArrow(_linked(percent), "a long, b long"), "links")
+    discard(families, staged, named)
 
     comp = connected_components(links, "a", "b")
-    named = sizes.join(comp, F.col("key") == F.col("node"), "left").withColumn("group", F.coalesce("component", "key"))
-    least = named.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = stage(named.join(least, "group").select(F.col("key").alias("k"), "component_id"), "components")
-    out = members.join(named, (F.col("key") == F.col("k")) & (F.col("size") > 0), "left")
+    group = sizes.join(comp, F.col("key") == F.col("node"), "left").withColumn("group", F.coalesce("component", "key"))
+    least = group.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = stage(group.join(least, "group").select(F.col("key").alias("k"), "group", "component_id"), "components")
+    discard(links, sizes)
+    return members.join(named, (F.col("key") == F.col("k")) & (F.col("size") > 0), "left").select("id", "text_hash", "size", "group", "component_id")
+
+
+def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_shingles, component_id.
+
+    Documents link when the Jaccard similarity of their shingle sets is at
+    least ``percent`` hundredths, and components are what links reach.
+
+    1. Each text becomes its set of shingle hashes; equal sets share one key.
+    2. Under each of several global token orders a set's prefix is cut so long
+       that two similar sets must share ``spare`` of its tokens.  Postings meet
+       by token range; lists of at most LIST_SETS sets are paired and counted.
+    3. A pair stays a candidate only if, under every order, the tokens it shares
+       and the frequent ones that it might share reach that number.
+    4. Sets so full of frequent tokens that they could reach it by these alone,
+       under every order, are tied to one set of each frequent token's list.
+    5. What candidates connect is a family: its sets are brought together once,
+       in blocks of bounded size, and every pair in it is compared exactly.
+
+    A text of fewer words is one shingle; NULL, empty and blank texts have none,
+    link with nothing and are their own component.  Ids are whole numbers;
+    repeated rows are copies.  A row with a NULL id belongs to the component of
+    the texts that it is tied to, and is NULL's own where none of these has an id.
+    """
+    out = _grouped(docs, words, percent, id_col, text_col)
     return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group: the smallest id; all columns as they are."""
-    gone = ngram_groups(docs, words, percent, id_col, text_col).where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone"))
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """One row of each group, all columns as they are: that of the smallest id.
+
+    Rows without words are in no group and stay.  NULL ids come after all
+    others; of the texts of one id that with the smallest hash stays, and of
+    rows that agree in id and text any one.
+    """
+    rows = stage(_grouped(docs, words, percent, id_col, text_col).where(F.col("group").isNotNull()).select("group", "id", "text_hash"), "near-rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
+    kept = rows.groupBy("group").agg(first).select(F.col("group").alias("g"), F.col("first.id").alias("k_id"), F.col("first.text_hash").alias("k_hash"))
+    is_kept = F.col("id").eqNullSafe(F.col("k_id")) & (F.col("text_hash") == F.col("k_hash"))
+    judged = stage(rows.join(kept, F.col("group") == F.col("g")).groupBy("id", "text_hash").agg(F.max(is_kept).alias("kept"), F.count(F.lit(1)).alias("n")), "near-judged")
+    discard(rows)
+    gone = judged.where(~F.col("kept")).select(F.col("id").alias("__gone"), F.col("text_hash").alias("__gone_hash"))
+    ident = F.col(id_col).cast("long")
+    keyed = docs.withColumn("__hash", F.xxhash64(text_col))
+    left = keyed.join(gone, (F.col("__hash") == F.col("__gone_hash")) & ident.eqNullSafe(F.col("__gone")), "left_anti")
+    again = judged.where(F.col("kept") & (F.col("n") > 1)).select(F.col("id").alias("__again"), F.col("text_hash").alias("__again_hash"))
+    if again.isEmpty():
+        return left.drop("__hash")
+    same = (F.col("__hash") == F.col("__again_hash")) & ident.eqNullSafe(F.col("__again"))
+    once = left.join(again, same, "left_anti").drop("__hash")
+    repeated = left.join(again, same, "left_semi").groupBy(ident.alias("__id"), "__hash").agg(F.first(F.struct(*docs.columns)).alias("__row"))
+    return once.unionByName(repeated.select("__row.*"))
