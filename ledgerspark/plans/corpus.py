@@ -95,7 +95,7 @@ _COLLAPSE_ALL = _COLLAPSE.replace(_F2, _ALL)
 
 
 def _findings(t, file: str = "project"):
-    f = t("findings").select("job_id", "severity", F.col(file).alias("primary_file"), "problem_text", "reviewed_at")
+    f = t("findings").select("job_id", "severity", F.col(file).alias("primary_file"), "problem_text", "reviewed_at", F.col("primary_file").alias("folder"))
     return f.withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text"))
 
 
@@ -134,7 +134,7 @@ def _(t):
 
 
 # findings spread over 60 days, so that the window of 30 holds half of them at any size
-_SPREAD = "CAST(TIMESTAMP '2024-01-01 00:00:00' AS TIMESTAMP) + (job_id * 7919) % 1440 * INTERVAL 1 HOUR"
+_SPREAD = "CAST(TIMESTAMP '2023-12-02 00:00:00' AS TIMESTAMP) + (job_id * 7919) % 1440 * INTERVAL 1 HOUR"
 _LOOPS = """SELECT cy.content_hash, any_value(severity) AS severity, any_value(primary_file) AS primary_file, arg_min(substr(problem_text, 1, 80), (reviewed_at, job_id)) AS summary, epoch_us(min(reviewed_at)) AS first_us, epoch_us(max(reviewed_at)) AS last_us,
  any_value(cycles) AS cycles, CASE WHEN any_value(cycles) >= 10 THEN 'escalate' WHEN any_value(cycles) >= 5 THEN 'block' ELSE 'watch' END AS tier, any_value(wasted) AS estimated_wasted_usd FROM cy JOIN col USING (content_hash) GROUP BY cy.content_hash"""
 
@@ -144,19 +144,23 @@ def _recent(rows: str) -> str:
     return f"(SELECT * FROM {spread} w WHERE reviewed_at >= (SELECT max(reviewed_at) FROM {spread} m) - INTERVAL 30 DAY)"
 
 
-def _loops(t, file: str):
-    out = L.detect_loops(_findings(t, file).withColumn("reviewed_at", F.expr(_SPREAD)), _runs(t))
+def _loops(t, findings):
+    out = L.detect_loops(findings.withColumn("reviewed_at", F.expr(_SPREAD)), _runs(t))
     return out.select("content_hash", "severity", "primary_file", "summary", micros("first_seen").alias("first_us"), micros("last_seen").alias("last_us"), "cycles", "tier", "estimated_wasted_usd")
 
 
 @query("u12_detect_loops", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_F2))}, {_RUNS}, {_CYCLES} {_LOOPS}")
 def _(t):
-    return _loops(t, "project")
+    return _loops(t, _findings(t))
 
 
-@query("u12_detect_loops_all", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_ALL))}, {_RUNS}, {_CYCLES} {_LOOPS}")
+# one severity and a folder as the file: large groups, in which findings come back in small tables too
+_FOLDERS = "(SELECT job_id, 'high' AS severity, array_to_string(string_split(primary_file, '/')[1:2], '/') AS primary_file, problem_text, reviewed_at FROM findings)"
+
+
+@query("u12_detect_loops_all", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_FOLDERS))}, {_RUNS}, {_CYCLES} {_LOOPS}")
 def _(t):
-    return _loops(t, "primary_file")
+    return _loops(t, _findings(t).withColumns({"severity": F.lit("high"), "primary_file": F.substring_index("folder", "/", 2)}))
 
 
 _MATCHES = f"""b AS (SELECT item_id, concat('src', CAST(item_id % 500 AS STRING)) AS file, {_TOKENS} AS tok FROM benchmark)
