@@ -18,6 +18,8 @@ TABLES = 12
 JOINED = 2
 #: Other buckets that a vector also looks into, in each table.
 PROBES = 4
+#: Own buckets of more vectors are compared as matrices instead of pair by pair, in blocks of so many.
+CROWD, BLOCK = 64, 2048
 #: Sign bits of a vector (two longs) and how many may differ in a candidate pair:
 #: at cosine 0.93 about 15 of 128 do, with a deviation under 4.
 SKETCH_BITS, SKETCH_APART = 128, 44
@@ -141,6 +143,133 @@ def _verified(limit: float):
     return run
 
 
+def _forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of one tree for each part that the links of a symmetric matrix connect."""
+    left, out = near.any(1), []
+    for root in np.flatnonzero(left):
+        if not left[root]:
+            continue
+        left[root], todo = False, [int(root)]
+        while todo:
+            k = todo.pop()
+            more = np.flatnonzero(near[k] & left)
+            left[more] = False
+            todo += more.tolist()
+            out += [(k, x) for x in more.tolist()]
+    return out
+
+
+class _Members:
+    """Vectors of a block: ids, copies, unit rows, lengths, own codes and the tables in which their bucket is crowded."""
+
+    def __init__(self, rows: list[tuple]):
+        ids, n, vecs, codes, hot = zip(*rows, strict=True)
+        raw = [np.frombuffer(v, "<f8") for v in vecs]
+        self.length = np.array([len(v) for v in raw])
+        self.unit = np.zeros((len(raw), int(self.length.max())))
+        for k, v in enumerate(raw):
+            v = v / np.abs(v).max()
+            self.unit[k, : len(v)] = v / np.sqrt(v @ v)
+        self.ids, self.n, self.codes, self.hot = np.array(ids, np.int64), np.array(n, np.int64), np.array(codes, np.int64), np.array(hot, np.int64)
+
+    def near(self, other: _Members, limit: float) -> np.ndarray:
+        d = min(self.unit.shape[1], other.unit.shape[1])  # longer vectors do not link with shorter ones
+        return (self.unit[:, :d] @ other.unit[:, :d].T >= limit) & (self.length[:, None] == other.length[None, :])
+
+    def agree(self, other: _Members, i: np.ndarray, j: np.ndarray, tables: int) -> np.ndarray:
+        """Whether pairs share a crowded own bucket in one of the first tables."""
+        out = np.zeros(len(i), bool)
+        for t in range(tables):
+            out |= (self.codes[i, t] == other.codes[j, t]) & ((self.hot[i] >> t) & 1 == 1)
+        return out
+
+
+def _compared(limit: float):
+    """Links within crowded buckets, block by block.
+
+    Rows come sorted by (label, t, bucket, lo, hi), members before those that
+    only probe the bucket.  Of members it gives the number of links (kind 0) of
+    which this is the first table that the pair shares a crowded bucket in, and
+    one tree of links for each connected part (kind 1); of those that probe, the
+    links themselves that no crowded bucket holds (kind 2).
+    """
+
+    def within(t: int, one: _Members, two: _Members | None) -> Iterator[tuple[np.ndarray, ...]]:
+        near = one.near(two or one, limit)
+        if two is None:
+            np.fill_diagonal(near, False)
+        i, j = np.nonzero(near if two is not None else np.triu(near))
+        other = two or one
+        new = ~one.agree(other, i, j, t)
+        i, j = i[new], j[new]
+        for side, at, n in ((one, i, other.n[j]), (other, j, one.n[i])):
+            sums = np.bincount(at, n, minlength=len(side.ids)).astype(np.int64)
+            some = np.flatnonzero(sums)
+            yield np.zeros(len(some), np.int64), side.ids[some], side.ids[some], sums[some]
+        if two is not None:
+            m = len(one.ids)
+            both = np.zeros((m + len(two.ids),) * 2, bool)
+            both[:m, m:], both[m:, :m] = near, near.T
+            near, ids = both, np.append(one.ids, two.ids)
+        else:
+            ids = one.ids
+        edges = np.array(_forest(near), np.int64).reshape(-1, 2)
+        yield np.ones(len(edges), np.int64), ids[edges[:, 0]], ids[edges[:, 1]], np.zeros(len(edges), np.int64)
+
+    def probing(members: _Members, rows: list[tuple]) -> tuple[np.ndarray, ...]:
+        others = _Members(rows)
+        i, j = np.nonzero(members.near(others, limit))
+        new = ~members.agree(others, i, j, TABLES) & (members.ids[i] != others.ids[j])
+        a, b = members.ids[i[new]], others.ids[j[new]]
+        return np.full(len(a), 2, np.int64), np.minimum(a, b), np.maximum(a, b), np.zeros(len(a), np.int64)
+
+    def batch_of(columns: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "a", "b", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, lo, hi, probers = None, [], [], []
+        members: _Members | None = None
+
+        def settle() -> Iterator[pa.RecordBatch]:
+            nonlocal members
+            if members is None and lo:
+                members = _Members(lo)
+                yield from map(batch_of, within(now[0], members, _Members(hi) if now[1] < now[2] and hi else None) if now[1] == now[2] or hi else ())
+            if probers and members is not None:
+                yield batch_of(probing(members, probers))
+                probers.clear()
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in range(11)]
+            for label, t, bucket, first, last, side, *row in zip(*columns, strict=True):
+                key = (t, first, last, label, bucket)
+                if key != now:
+                    yield from settle()
+                    now, lo, hi, members = key, [], [], None
+                    probers.clear()
+                (lo if side == 0 else hi if side == 1 else probers).append(tuple(row))
+                if len(probers) >= BLOCK:
+                    yield from settle()
+        yield from settle()
+
+    return run
+
+
+def _crowded(own: DataFrame, probed: DataFrame, hot: DataFrame, vec: DataFrame, limit: float) -> DataFrame:
+    """(kind, a, b, n) of all crowded buckets; see ``_compared``."""
+    key = ["label", "t", "bucket"]
+    hot = hot.withColumn("parts", F.ceil(F.col("m") / BLOCK).cast("int"))
+    place = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    inside = own.join(hot, key).withColumn("at", place).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    inside = inside.withColumns({"lo": F.least("at", "other"), "hi": F.greatest("at", "other")}).withColumn("side", F.when(F.col("at") == F.col("lo"), 0).otherwise(1))
+    outside = probed.join(hot, key).withColumn("lo", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumns({"hi": F.col("lo"), "side": F.lit(2)})
+    keep = [*key, "lo", "hi", "side", "node", "own", "hot"]
+    rows = inside.select(*keep).unionByName(outside.select(*keep)).join(vec, "node")
+    by = [*key, "lo", "hi"]
+    dealt = rows.select(*by, "side", "node", "n", "vec", "own", "hot").repartition(*by).sortWithinPartitions(*by, "side")
+    return stage(dealt.mapInArrow(_compared(limit), "kind long, a long, b long, n long"), "crowded")
+
+
 def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", joined: int = JOINED) -> DataFrame:
     """One row per input row: id, n_links, component_id, kept.
 
@@ -149,7 +278,9 @@ def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id"
     never paired.  Classes meet where one's own bucket is among the other's
     probed ones in any of TABLES tables; a pair is passed on by the first table
     in which the own buckets agree, must agree in most sign bits, and is then
-    verified on the vectors.  Vectors that are NULL, empty, zero or hold NULL or
+    verified on the vectors.  Buckets of more than CROWD vectors are compared as
+    matrices, in blocks: a group of vectors that are all near one another gives
+    numbers of links and a tree, not its pairs.  Vectors that are NULL, empty, zero or hold NULL or
     non-finite numbers, and rows without label or id, link with nothing;
     vectors of different lengths do not link.  Ids are whole numbers; rows that
     repeat an id and its vector are copies, and an id of several vectors is one
@@ -162,21 +293,35 @@ def near_vectors(vectors: DataFrame, limit: float = 0.93, id_col: str = "vec_id"
     classes = stage(good.groupBy("label", "vec").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")), "classes")
     hashed = stage(classes.select("node", "vec").mapInArrow(_hashed(joined), "node long, t int, buckets array<long>, own array<long>, s0 long, s1 long"), "buckets")
     labelled = hashed.join(classes.select("node", "label"), "node")
-    own = labelled.select("label", "t", F.get("buckets", F.lit(0)).alias("bucket"), F.col("node").alias("x"), F.col("own").alias("xo"), F.col("s0").alias("x0"), F.col("s1").alias("x1"))
-    probed = labelled.select("label", "t", F.explode("buckets").alias("bucket"), F.col("node").alias("y"), F.col("own").alias("yo"), F.col("s0").alias("y0"), F.col("s1").alias("y1"))
+    key, bucket = ["label", "t", "bucket"], F.get("buckets", F.lit(0)).alias("bucket")
+    hot = stage(labelled.groupBy("label", "t", bucket).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > CROWD), "crowded-buckets")
+    crowds = labelled.select("label", "t", "node", bucket).join(hot, key).groupBy("node").agg(F.expr("sum(shiftleft(1L, t))").alias("hot"))
+    labelled = labelled.join(stage(crowds, "crowds"), "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0)).cast("long"))
+    own = labelled.select("label", "t", bucket, "node", "own", "hot", "s0", "s1")
+    probed = labelled.select("label", "t", F.posexplode("buckets").alias("nth", "bucket"), "node", "own", "hot", "s0", "s1")
+
+    # buckets of few vectors: pairs of own and probing vectors, but for those that share a crowded bucket
+    few = own.join(hot.select(*key), key, "left_anti")
+    few = few.select(*key, F.col("node").alias("x"), F.col("own").alias("xo"), F.col("hot").alias("xh"), F.col("s0").alias("x0"), F.col("s1").alias("x1"))
+    others = probed.select(*key, F.col("node").alias("y"), F.col("own").alias("yo"), F.col("s0").alias("y0"), F.col("s1").alias("y1"))
     apart = F.bit_count(F.col("x0").bitwiseXOR(F.col("y0"))) + F.bit_count(F.col("x1").bitwiseXOR(F.col("y1")))
     earlier = F.lit(False)
-    for t in range(TABLES - 1):
-        earlier = earlier | ((F.col("t") > t) & (F.get("xo", F.lit(t)) == F.get("yo", F.lit(t))))
-    met = own.join(probed, ["label", "t", "bucket"]).where((F.col("x") != F.col("y")) & (apart <= SKETCH_APART) & ~earlier)
+    for t in range(TABLES):
+        agree = F.get("xo", F.lit(t)) == F.get("yo", F.lit(t))
+        earlier = earlier | (agree & ((F.col("t") > t) | (F.col("xh").bitwiseAND(F.lit(1 << t)) != 0)))
+    met = few.join(others, key).where((F.col("x") != F.col("y")) & (apart <= SKETCH_APART) & ~earlier)
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     vec = classes.select("node", "vec")
     held = pairs.join(vec.select(F.col("node").alias("a"), F.col("vec").alias("va")), "a").join(vec.select(F.col("node").alias("b"), F.col("vec").alias("vb")), "b")
-    links = stage(held.select("a", "b", "va", "vb").mapInArrow(_verified(limit), "a long, b long"), "links")
+    links = held.select("a", "b", "va", "vb").mapInArrow(_verified(limit), "a long, b long")
+
+    crowded = _crowded(own, probed.where(F.col("nth") > 0), hot, classes.select("node", "n", "vec"), limit)
+    links = stage(links.union(crowded.where("kind = 2").select("a", "b")).distinct(), "links")
     sizes = classes.select("node", "n")
     both = links.union(links.select("b", "a"))
-    others = both.join(sizes.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("n").alias("others"))
-    comp = connected_components(links, "a", "b").select(F.col("node").alias("c"), "component")
+    listed = both.join(sizes.withColumnRenamed("node", "b"), "b").select("a", "n")
+    others = listed.union(crowded.where("kind = 0").select("a", "n")).groupBy("a").agg(F.sum("n").alias("others"))
+    comp = connected_components(links.union(crowded.where("kind = 1").select("a", "b")), "a", "b").select(F.col("node").alias("c"), "component")
     known = classes.join(others, classes["node"] == others["a"], "left").join(comp, classes["node"] == comp["c"], "left")
     known = known.select("label", "vec", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     found = good.join(known, ["label", "vec"]).select("id", "n_links", "component_id")

@@ -186,6 +186,29 @@ def test_recall_in_a_large_group_of_near_copies(spark, joined):
     assert len({got[i]["component_id"] for i in range(400)}) == 1
 
 
+@pytest.mark.parametrize(("crowd", "block"), [(3, 7), (20, 16), (10**6, 2048)])
+def test_crowded_buckets_change_nothing(spark, monkeypatch, crowd, block):
+    """Pair by pair or as matrices, in one block or many: links of close groups, copies and vectors of other lengths, each counted once."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for label in ("a", "b"):
+        for size in (1, 2, 9, 60):
+            centre = rng.standard_normal(24)
+            rows += [(label, (centre + 0.05 * rng.standard_normal(24)).tolist()) for _ in range(size)]
+    rows += [("a", rows[30][1])] * 5 + [("a", [*rows[30][1], 0.0])] * 2 + [("b", [2 * v for v in rows[100][1]])]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "vec_id long, label string, embedding array<double>")
+    monkeypatch.setattr(V, "CROWD", crowd)
+    monkeypatch.setattr(V, "BLOCK", block)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in V.near_vectors(df).collect()}
+    links = {i: set() for i in range(len(rows))}
+    for i, (la, x) in enumerate(rows):
+        for j, (lb, y) in enumerate(rows):
+            if i != j and la == lb and len(x) == len(y) and np.dot(x, y) >= 0.93 * math.sqrt(np.dot(x, x) * np.dot(y, y)):
+                links[i].add(j)
+    comp = components(len(rows), [(i, j) for i in links for j in links[i]])
+    assert got == {i: (len(links[i]), comp[i]) for i in links}
+
+
 def test_hadamard_is_a_rotation():
     x = np.random.default_rng(0).standard_normal((5, 16))
     y = V.hadamard(x)
