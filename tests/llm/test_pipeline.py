@@ -108,3 +108,22 @@ def test_stages_of_an_empty_table(spark):
     for _, step in P.STAGES:
         docs = step(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_stages_of_odd_documents(spark, monkeypatch):
+    """NULL and empty texts, repeated and NULL ids, a very long text, a clashing column: each text once, nothing else lost."""
+    long = " ".join(f"word{i}" for i in range(60_000))
+    rows = [(1, "one text of a few words", "src0"), (1, "one text of a few words", "src0"), (1, "another text of the same id", "src1"), (None, "a text without id", None)]
+    rows += [(None, "a text without id", "src1"), (2, None, "src2"), (3, "", "src2"), (4, long, "src3"), (5, long + " end", "src3"), (6, "one  text of\ta few words", "odd")]
+    docs = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, source string, slot int, `group` string")
+    monkeypatch.setattr(P.toxicity, "drop_toxic", lambda d, labels: d)  # the given labels are of other documents
+    left = docs
+    for name, step in P.STAGES[:-1]:
+        left = step(spark, left, SF)
+        assert left.columns == docs.columns, name
+    want = [(1, "one text of a few words"), (1, "another text of the same id"), (None, "a text without id"), (2, None), (4, long)]
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted(want, key=str)
+    packed = P.documents_are_packed(spark, left, SF).collect()
+    assert sorted({str(r["doc_id"]) for r in packed}) == ["1", "2", "4", "None"]
+    bpe = ByteBpe(public_tokenizers.path("byte_bpe_50k.json"))
+    assert sum(r["length"] for r in packed) == sum(len(bpe.ids(t or "")) + 1 for _, t in want)
