@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark import schemas as S
 from ledgerspark.operators import merges as M
+from ledgerspark.operators.lineage import stage
 from ledgerspark.plans.registry import query
 from ledgerspark.sources.logs import parse_events
 
@@ -34,7 +35,7 @@ _OLD, _NEW = "event_id < 5000", "event_id >= 4000"
 
 def _twice(append, t, ddl) -> DataFrame:
     """The old events, then an overlapping batch of new ones."""
-    first = append(S.empty(t.spark, ddl), parse_events(staged(t, _OLD)), NOW)
+    first = stage(append(S.empty(t.spark, ddl), parse_events(staged(t, _OLD)), NOW), "stored")  # what is stored is a table
     return append(first, parse_events(staged(t, _NEW)), NOW)
 
 
