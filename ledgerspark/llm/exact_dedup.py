@@ -155,7 +155,7 @@ def normalised(text: Column) -> Column:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = normalised(F.col(text_col))
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.octet_length(text).cast("long").alias("len"), F.sha2(text, 256).alias("sha"))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.octet_length(text).cast("long").alias("len"), F.sha2(text, 256).alias("sha"), F.xxhash64(text).alias("hash"))
 
 
 def _groups(docs: DataFrame, id_col: str, text_col: str, trie_bytes: int) -> DataFrame:
@@ -175,7 +175,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, trie_bytes: int) -> Dat
 
 
 def _with_groups(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each row's id, sha and the least and n of its group."""
+    """Each row's id, sha, hash and the least and n of its group."""
     total = groups.agg(F.sum("n")).first()[0] or 0
     rows = _keyed(docs, id_col, text_col)
     hot = groups.where(F.col("n") > total // SPREAD).select(F.col("len").alias("hl"), F.col("sha").alias("hs"), F.col("least").alias("h_least"), F.col("n").alias("h_n"))
@@ -185,7 +185,7 @@ def _with_groups(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str)
     rest = groups.where(F.col("n") <= total // SPREAD).select(F.col("sha").alias("gs"), F.col("len").alias("gl"), F.col("least").alias("g_least"), F.col("n").alias("g_n"))
     rows = rows.join(rest, (F.col("key") == F.col("gs")) & (F.col("len") == F.col("gl")), "left")
     least = F.when(F.col("h_n").isNull(), F.col("g_least")).otherwise(F.col("h_least"))
-    return rows.select("id", "sha", least.alias("least"), F.coalesce("h_n", "g_n").alias("n"))
+    return rows.select("id", "sha", "hash", least.alias("least"), F.coalesce("h_n", "g_n").alias("n"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trie_bytes: int = TRIE_BYTES) -> DataFrame:
@@ -215,19 +215,18 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     Of rows that repeat the kept id and its text any one stays, and so it is
     with the rows of a group that has NULL ids only.  A row goes by its id and
-    its text: an id that occurs with several texts loses only the copies.
+    the hash of its text: an id that occurs with several texts loses only the copies.
     """
     groups = _groups(docs, id_col, text_col, TRIE_BYTES)
     rows = _with_groups(docs, groups, id_col, text_col)
     # a table of its own: Catalyst sees its size and sends it to all tasks or, where it is large, shuffles both sides
-    gone = stage(rows.where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone"), F.col("sha").alias("__gone_sha")).distinct(), "exact-gone")
-    text = F.sha2(normalised(F.col(text_col)), 256)
-    keyed = docs.withColumn("__sha", text)
-    ident = F.col(id_col).cast("long")
-    left = keyed.join(gone, (F.col("__sha") == F.col("__gone_sha")) & ident.eqNullSafe(F.col("__gone")), "left_anti")
+    gone = stage(rows.where(~F.col("id").eqNullSafe(F.col("least"))).select(F.col("id").alias("__gone"), F.col("hash").alias("__gone_hash")).distinct(), "exact-gone")
+    text, ident = normalised(F.col(text_col)), F.col(id_col).cast("long")
+    left = docs.withColumn("__hash", F.xxhash64(text)).join(gone, (F.col("__hash") == F.col("__gone_hash")) & ident.eqNullSafe(F.col("__gone")), "left_anti").drop("__hash")
     again = groups.where(F.col("same") > 1).select(F.col("sha").alias("__again"))
     if again.isEmpty():
-        return left.drop("__sha")
+        return left
+    left = left.withColumn("__sha", F.sha2(text, 256))
     once = left.join(again, F.col("__sha") == F.col("__again"), "left_anti").drop("__sha")
     repeated = left.join(again, F.col("__sha") == F.col("__again"), "left_semi").groupBy("__sha").agg(F.first(F.struct(*docs.columns)).alias("__row"))
     return once.unionByName(repeated.select("__row.*"))
