@@ -290,7 +290,9 @@ def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     schema = "ord int, range long, id long, text_hash long, key long, size long, tokens binary, owners binary, sizes binary"
     made = stage(src.mapInArrow(_sets(words, percent, ranges), schema), "shingles")
     members = stage(made.where(F.col("ord").isNull()).select("id", "text_hash", "key", "size"), "members")
-    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "sizes").repartition(2 * ranges, "ord", "range").sortWithinPartitions("ord", "range")
+    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "sizes")
+    place = (F.col("ord") * ranges + F.col("range")).cast("int")  # a task for each range of each order
+    dealt = dealt.repartitionById(len(ORDERS) * ranges, place).sortWithinPartitions("ord", "range")
     met = stage(dealt.mapInArrow(_met(percent), "ord int, a long, b long, shared long, token long, a_size long, b_size long"), "met")
     discard(made)
 
