@@ -234,7 +234,10 @@ def _compared(limit: float):
             nonlocal members
             if members is None and lo:
                 members = _Members(lo)
-                yield from map(batch_of, within(now[0], members, _Members(hi) if now[1] < now[2] and hi else None) if now[1] == now[2] or hi else ())
+                if now[1] == now[2]:
+                    yield from map(batch_of, within(now[0], members, None))
+                elif hi:
+                    yield from map(batch_of, within(now[0], members, _Members(hi)))
             if probers and members is not None:
                 yield batch_of(probing(members, probers))
                 probers.clear()
