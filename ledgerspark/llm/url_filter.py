@@ -77,7 +77,8 @@ def template_tree(paths: DataFrame) -> DataFrame:
         named = values.groupBy("template", "seg").agg(F.sum("paths").alias("all_paths"), F.sum("b").alias("ab"), F.sum("l").alias("al"))
         pooled = named.groupBy("template").agg(F.count(F.lit(1)).alias("all_kinds"), F.sum("all_paths").alias("all_below"), F.sum("ab").alias("apb"), F.sum("al").alias("apl"))
         branch = stage(branch.join(pooled, "template"), "branches")
-        salted = branch.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # SALTS rows a branch, of which Catalyst's estimate does not know: never sent to all tasks
+        salted = branch.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
         nodes = values.withColumn("salt", F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).join(salted, ["host", "template", "salt"]).join(named, ["template", "seg"])
         usual = (F.col("all_kinds") - 1) / F.col("all_below")
         fresh = (F.col("kinds") - 1 + POOL_PATHS * usual) / (F.col("below") - 1 + POOL_PATHS)
