@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerspark.llm import exact_dedup, html_text, mixing, ngram_join, oracles, packing, sharding, token_counts, toxicity, url_filter, vector_dedup
+from ledgerspark.llm import decontamination, exact_dedup, html_text, mixing, ngram_join, oracles, packing, sharding, source_audit, token_counts, toxicity, url_filter, vector_codes, vector_dedup
 
 #: Production targets in thousandths: the largest source is held to 16 %.
 TARGETS = {"src0": 164} | {f"src{i}": 44 for i in range(1, 20)}
@@ -73,10 +73,32 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_sharding, op2_token_counts, op3_html_extraction, op4_exact_dedup, op5_toxicity,
         op6_packing, op7_mixing, op8_vector_dedup, op9_url_filter, op10_ngram_join,
+        op11_decontamination, op12_vector_codes, op13_source_divergence,
     )
     return {f.__name__: f for f in every}
 
@@ -88,4 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_vector_dedup": oracles.NEAR_VECTORS,
         "op9_url_filter": url_filter.url_oracle(URL_RULES),
         "op10_ngram_join": oracles.NGRAM_JOIN,
+        "op11_decontamination": decontamination.ORACLE,
+        "op12_vector_codes": vector_codes.ORACLE,
+        "op13_source_divergence": source_audit.ORACLE,
     }
