@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ledgerspark import schemas as S
 from ledgerspark.functions.columns import col, hours_between, parse_time
 from ledgerspark.functions.identifiers import canonical_project, drop_confidential, redact_directory, sanitize_session_id
 from ledgerspark.operators.gitlog import last_per_key
+from ledgerspark.operators.sinks import Rule
 
 
 def merge_daily(rows: DataFrame) -> DataFrame:
@@ -37,8 +40,13 @@ def is_stale(updated: Column | str, now: str, hours: float) -> Column:
 
 
 def not_stored(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """The new rows whose key no old row has; of the old ones only the keys are read."""
-    return new.join(old.select(*keys).distinct(), keys, "left_anti")
+    """The new rows whose key no old row has; of the old ones only the keys are read.
+
+    The stored keys that the batch has are found first: where the batch is
+    small, it is sent to the stored keys, which then are not shuffled.
+    """
+    stored = old.select(*keys).join(new.select(*keys), keys, "left_semi")
+    return new.join(stored, keys, "left_anti")
 
 
 def append_new(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -65,16 +73,29 @@ def sessions_from_events(events: DataFrame, now: str, rules=None) -> DataFrame:
 
 def new_sessions(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
     """Sessions that are not stored; old spellings of a sanitised id, without its hash, count as stored."""
+    new = sessions_from_events(events, now)
     short = F.regexp_replace("session_id", "@h[0-9a-f]{12}$", "")
-    new = not_stored(old, sessions_from_events(events, now), ["session_id"]).withColumn("__short", short)
-    new = new.join(old.select(F.col("session_id").alias("__short")).distinct(), "__short", "left_anti").drop("__short")
-    return S.conform(new.withColumn("working_dir", redact_directory("working_dir")), S.SESSIONS)
+    spellings = new.select("session_id", F.explode(F.array_distinct(F.array("session_id", short))).alias("__key"))
+    stored = old.select(F.col("session_id").alias("__key")).join(spellings.select("__key"), "__key", "left_semi")
+    new = new.join(spellings.join(stored, "__key", "left_semi").select("session_id"), "session_id", "left_anti")
+    return with_rules(S.conform(new, S.SESSIONS), SESSION_RULES)
 
 
 def append_sessions(old: DataFrame, events: DataFrame, now: str) -> DataFrame:
     """Stored sessions, with a trigger and without private directories, and the new ones."""
-    old = S.conform(old, S.SESSIONS, {"trigger": "unknown"})
-    return old.withColumn("working_dir", redact_directory("working_dir")).unionByName(new_sessions(old, events, now))
+    old = with_rules(S.conform(old, S.SESSIONS), SESSION_RULES)
+    return old.unionByName(new_sessions(old, events, now))
+
+
+#: What holds for every stored session, also for rows that were stored before the rule was made.
+SESSION_RULES = (
+    Rule("trigger-known", lambda df: df.withColumn("trigger", F.coalesce("trigger", F.lit("unknown")))),
+    Rule("folders-redacted", lambda df: df.withColumn("working_dir", redact_directory("working_dir"))),
+)
+
+
+def with_rules(rows: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+    return reduce(lambda df, rule: rule.change(df), rules, rows)
 
 
 def costs_from_events(events: DataFrame, now: str) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 import re
+import time
 import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,27 @@ def _fs(spark: SparkSession, path: str):
 
 
 _VERSION = re.compile(r"version-(\d{12})$")
+#: A version file that is not whole and older than so many minutes was left by a writer that stopped.
+STOPPED_MINUTES = 10
+#: So many parts of like size become one.
+FAN = 4
+
+
+@dataclass(frozen=True)
+class Part:
+    """A folder of rows: its name, their number, and the names of the rules that hold for them."""
+
+    name: str
+    rows: int
+    rules: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Rule:
+    """What all rows of a table must satisfy: a name that is stored with each part, and the change that brings it about."""
+
+    name: str
+    change: Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -33,58 +57,95 @@ class Version:
     """What a table consists of: its number, folders of rows, their count, and notes of the writer."""
 
     number: int
-    parts: tuple[str, ...]
+    parts: tuple[Part, ...]
     rows: int
     notes: dict
 
 
-def version_of(spark: SparkSession, path: str) -> Version | None:
-    """The newest version; its file is written after its rows and never changed."""
+def _version_files(spark: SparkSession, path: str) -> dict[int, object]:
+    """Number -> status of each version file."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
+        return {}
+    found = [(_VERSION.match(s.getPath().getName()), s) for s in fs.listStatus(p)]
+    return {int(m[1]): s for m, s in found if m}
+
+
+def _load(spark: SparkSession, path: str, number: int) -> Version | None:
+    """A version; None where its file is not whole."""
+    fs, p = _fs(spark, f"{path}/version-{number:012d}")
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        body = json.loads(text)
+    except ValueError:
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    numbers = [int(m[1]) for n in names if (m := _VERSION.match(n))]
-    if not numbers:
-        return None
-    last = max(numbers)
-    text = "".join(r[0] for r in spark.read.text(f"{path}/version-{last:012d}").collect())  # one line
-    body = json.loads(text)
-    return Version(last, tuple(body["parts"]), body["rows"], body["notes"])
+    parts = (Part(x["name"], x["rows"], tuple(x["rules"])) for x in body["parts"])
+    return Version(number, tuple(parts), body["rows"], body["notes"])
+
+
+def version_of(spark: SparkSession, path: str) -> Version | None:
+    """The newest whole version; its file is written after its rows and never changed."""
+    for number in sorted(_version_files(spark, path), reverse=True):
+        version = _load(spark, path, number)
+        if version is not None:
+            return version
+    return None
 
 
-def _publish(spark: SparkSession, path: str, old: Version | None, parts: list[str], rows: int, notes: dict) -> None:
-    """Create the next version's file under another name and rename it: readers see the whole file or none.
+def _publish(spark: SparkSession, path: str, old: Version | None, parts: list[Part], rows: int, notes: dict) -> None:
+    """Create the next version's file, which no other writer may have created.
 
-    A name is given once: of two writers that start from one version the second fails.
+    A number is given once: of two writers that start from one version the
+    second fails at ``create``, also where a rename would replace.  Readers take
+    a file that is not whole for one that isn't there; a writer that stopped in
+    the middle of it is in nobody's way after STOPPED_MINUTES.
     """
-    name = f"version-{(old.number if old else 0) + 1:012d}"
-    fs, p = _fs(spark, f"{path}/_{name}-{uuid.uuid4().hex}")
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
-    out = fs.create(p, False)
-    out.write(bytearray(json.dumps({"parts": parts, "rows": rows, "notes": notes}).encode()))
+    number = (old.number if old else 0) + 1
+    fs, target = _fs(spark, f"{path}/version-{number:012d}")
+    if fs.exists(target):
+        age = (time.time() * 1000 - fs.getFileStatus(target).getModificationTime()) / 60_000
+        if age < STOPPED_MINUTES or _load(spark, path, number) is not None:
+            raise GateError(f"{path}: another writer has made version {number}")
+        fs.delete(target, False)
+    body = {"parts": [{"name": p.name, "rows": p.rows, "rules": list(p.rules)} for p in parts], "rows": rows, "notes": notes}
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        raise GateError(f"{path}: another writer has made version {number}") from e
+    out.write(bytearray(json.dumps(body).encode()))
     out.close()
-    if fs.exists(target) or not fs.rename(p, target):
-        fs.delete(p, False)
-        raise GateError(f"{path}: another writer has made {name}")
+
+
+def read_parts(spark: SparkSession, path: str, parts: Sequence[Part], ddl: str, defaults: dict | None = None) -> DataFrame:
+    """Rows of some parts; no parts are an empty table, missing columns get their default."""
+    if not parts:
+        return empty(spark, ddl)
+    have = spark.read.option("mergeSchema", "true").parquet(*(f"{path}/{x.name}" for x in parts))
+    return conform(have, ddl, defaults)
 
 
 def read_table(spark: SparkSession, path: str, ddl: str, defaults: dict | None = None) -> DataFrame:
     """The table's newest version; no table is an empty one, missing columns get their default."""
     version = version_of(spark, path)
-    if version is None or not version.parts:
-        return empty(spark, ddl)
-    have = spark.read.option("mergeSchema", "true").parquet(*(f"{path}/{x}" for x in version.parts))
-    return conform(have, ddl, defaults)
+    return read_parts(spark, path, version.parts if version else (), ddl, defaults)
+
+
+def _drop_part(spark: SparkSession, path: str, part: Part) -> None:
+    fs, p = _fs(spark, f"{path}/{part.name}")
+    fs.delete(p, True)
 
 
-def _write_part(df: DataFrame, path: str) -> tuple[str, int]:
-    part = f"part-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(f"{path}/{part}")
-    return part, df.sparkSession.read.parquet(f"{path}/{part}").count()
+def _write_part(df: DataFrame, path: str, rules: Sequence[str] = ()) -> Part:
+    name = f"part-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(f"{path}/{name}")
+    return Part(name, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}").count(), tuple(rules))
 
 
-def write_table(df: DataFrame, path: str, allow_shrink: bool = True, notes: dict | None = None) -> int:
+def write_table(df: DataFrame, path: str, allow_shrink: bool = True, notes: dict | None = None, rules: Sequence[str] = ()) -> int:
     """Write the rows beside the old version's and publish them as the next version; returns their number.
 
     Readers see the old version or the new one, never a part and never nothing:
@@ -93,44 +154,136 @@ def write_table(df: DataFrame, path: str, allow_shrink: bool = True, notes: dict
     """
     spark = df.sparkSession
     old = version_of(spark, path)
-    part, n = _write_part(df, path)
-    if not allow_shrink and old is not None and n < old.rows:
-        fs, p = _fs(spark, f"{path}/{part}")
-        fs.delete(p, True)
-        raise GateError(f"{path}: {n} rows would be fewer than before")
-    _publish(spark, path, old, [part], n, notes or {})
-    return n
+    part = _write_part(df, path, rules)
+    if not allow_shrink and old is not None and part.rows < old.rows:
+        _drop_part(spark, path, part)
+        raise GateError(f"{path}: {part.rows} rows would be fewer than before")
+    _publish(spark, path, old, [part], part.rows, notes or {})
+    return part.rows
 
 
-def append_table(df: DataFrame, path: str, notes: dict | None = None) -> int:
-    """Add rows as a part of their own: what is stored is neither read nor written; returns the table's rows."""
+def append_table(df: DataFrame, path: str, notes: dict | None = None, rules: Sequence[str] = ()) -> int:
+    """Add rows as a part of their own: what is stored is neither read nor written; returns the table's rows.
+
+    Without rows there is no part, and no version unless the notes change or
+    the table is new.  ``rules`` are those that the rows are known to satisfy.
+    """
     spark = df.sparkSession
     old = version_of(spark, path)
-    part, n = _write_part(df, path)
-    rows = n + (old.rows if old else 0)
-    _publish(spark, path, old, [*(old.parts if old else ()), part], rows, {**(old.notes if old else {}), **(notes or {})})
+    part = _write_part(df, path, rules)
+    had = old.notes if old else {}
+    told = {**had, **(notes or {})}
+    if not part.rows and old is not None:
+        _drop_part(spark, path, part)
+        if told != had:
+            _publish(spark, path, old, list(old.parts), old.rows, told)
+        return old.rows
+    rows = part.rows + (old.rows if old else 0)
+    _publish(spark, path, old, [*(old.parts if old else ()), part], rows, told)
     return rows
 
 
+def migrate_table(spark: SparkSession, path: str, ddl: str, rules: Sequence[Rule]) -> int:
+    """Bring stored rows under ``rules``: parts that lack one are read, changed and replaced; returns the rows written.
+
+    Parts that have all rules are not opened, so a table that is up to date
+    costs a look at its version.  Rules are applied in their order; parts that
+    lack the same ones become one part.  The columns are those of ``ddl``.
+    """
+    old = version_of(spark, path)
+    lacking: dict[tuple[str, ...], list[Part]] = {}
+    for part in old.parts if old else ():
+        lacking.setdefault(tuple(r.name for r in rules if r.name not in part.rules), []).append(part)
+    kept, written = lacking.pop((), []), 0
+    if not lacking:
+        return 0
+    for missing, parts in lacking.items():
+        rows = read_parts(spark, path, parts, ddl)
+        for rule in rules:
+            rows = rule.change(rows) if rule.name in missing else rows
+        kept.append(_write_part(rows, path, [*_common_rules(parts), *missing]))
+        written += kept[-1].rows
+    _publish(spark, path, old, kept, sum(p.rows for p in kept), old.notes)
+    return written
+
+
+def _common_rules(parts: Sequence[Part]) -> list[str]:
+    return [r for r in parts[0].rules if all(r in p.rules for p in parts)]
+
+
+def _tier(rows: int, fan: int) -> int:
+    """How often ``fan`` divides the number of rows."""
+    tier = 0
+    while rows >= fan:
+        rows //= fan
+        tier += 1
+    return tier
+
+
+def merge_plan(parts: Sequence[Part], fan: int = FAN) -> list[list[Part]]:
+    """Parts to become one, by size: ``fan`` of a tier move to the next, where they may meet others again."""
+    groups = [[p] for p in parts]
+    while True:
+        tiers: dict[int, list[list[Part]]] = {}
+        for g in groups:
+            tiers.setdefault(_tier(sum(p.rows for p in g), fan), []).append(g)
+        full = min((t for t, found in tiers.items() if len(found) >= fan), default=None)
+        if full is None:
+            return [g for g in groups if len(g) > 1]
+        groups = [g for t, found in tiers.items() if t != full for g in found] + [[p for g in tiers[full] for p in g]]
+
+
+def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN) -> int:
+    """Merge parts of like size, so that appends leave few parts; returns the rows written.
+
+    Parts belong to a tier by the power of ``fan`` that their rows reach.  A row
+    is written again only when its part moves to a higher tier: N batches write
+    O(N log N) rows, and less than ``fan`` parts stay in each tier.
+    """
+    old = version_of(spark, path)
+    plan = merge_plan(old.parts, fan) if old else []
+    if not plan:
+        return 0
+    merged = [_write_part(read_parts(spark, path, g, ddl), path, _common_rules(g)) for g in plan]
+    gone = {p.name for g in plan for p in g}
+    _publish(spark, path, old, [p for p in old.parts if p.name not in gone] + merged, old.rows, old.notes)
+    return sum(p.rows for p in merged)
+
+
 def compact_table(spark: SparkSession, path: str, ddl: str, parts: int = 32) -> bool:
-    """Write a table of more than ``parts`` parts as one; to be called now and then."""
+    """Write a table of more than ``parts`` parts as one; to be called by hand, drains call ``merge_tiers``."""
     old = version_of(spark, path)
     if old is None or len(old.parts) <= parts:
         return False
-    write_table(read_table(spark, path, ddl), path, allow_shrink=False, notes=old.notes)
+    write_table(read_table(spark, path, ddl), path, allow_shrink=False, notes=old.notes, rules=_common_rules(old.parts))
     return True
 
 
-def vacuum_table(spark: SparkSession, path: str) -> None:
-    """Delete the parts and version files that the newest version does not need; no reader of an older one may be at work."""
-    version = version_of(spark, path)
-    if version is None:
-        return
+def vacuum_table(spark: SparkSession, path: str, keep_hours: float = 0.0) -> int:
+    """Delete what no version needs that was the newest within ``keep_hours``; returns the number of deleted parts and versions.
+
+    A version needs to stay until its successor is so old: readers that began
+    with it have that long to end.  Parts of no version go by their own age, so
+    that a writer at work keeps its part; with 0 hours nobody else may be at work.
+    """
+    files = _version_files(spark, path)
+    newest = version_of(spark, path)
+    if newest is None:
+        return 0
+    until = time.time() * 1000 - keep_hours * 3_600_000
+    numbers = sorted(n for n in files if n <= newest.number)
+    kept = [n for n, after in zip(numbers, numbers[1:], strict=False) if keep_hours and files[after].getModificationTime() > until] + [newest.number]
+    needed = {p.name for n in kept for p in ((_load(spark, path, n) or newest).parts)} | {f"version-{n:012d}" for n in kept}
     fs, p = _fs(spark, path)
+    gone = 0
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if name not in version.parts and name != f"version-{version.number:012d}":
+        m = _VERSION.match(name)
+        old = (int(m[1]) < newest.number) if m else (not keep_hours or status.getModificationTime() <= until)
+        if name not in needed and old:
             fs.delete(status.getPath(), True)
+            gone += 1
+    return gone
 
 
 def append_fetch(df: DataFrame, path: str, fetched: str) -> None:

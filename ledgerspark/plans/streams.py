@@ -25,15 +25,21 @@ def _run(q) -> None:
         raise q.exception()
 
 
-@query("x01_drain_sessions", f"SELECT session_id, value AS duration_min FROM {merges._last('session_id', 'true', 'event_id % 3 = 0 AND session_id IS NOT NULL')}")
+@query("x01_drain_sessions", f"""
+SELECT session_id, value AS duration_min, 'unknown' AS trigger, NULL AS working_dir FROM {merges._last('session_id', 'true', 'event_id % 3 = 0 AND session_id IS NOT NULL')}
+UNION ALL SELECT concat('stored', CAST(event_id AS STRING)), value, 'unknown', CASE WHEN event_id % 2 = 0 THEN concat('code/r', CAST(user_id AS STRING)) ELSE 'notes' END FROM events WHERE event_id % 3 = 1""")
 def _(t):
+    """A store of before the rules, without triggers and with home folders, and events drained into it twice."""
     lines, root, marks = (_folder(t, x) for x in ("events", "store", "marks"))
+    folder = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("/home/u"), (F.col("user_id") % 9).cast("string"), F.lit("/code/r"), F.col("user_id").cast("string"))).otherwise(F.lit("notes"))
+    stored = t("events").where("event_id % 3 = 1").select(F.concat(F.lit("stored"), F.col("event_id").cast("string")).alias("session_id"), F.col("value").alias("duration_min"), folder.alias("working_dir"))
+    sinks.write_table(stored, f"{root}/sessions")
     # files and lines follow time and then the event's number: of equal times the later line is the last
     at = F.date_trunc("second", F.get_json_object("value", "$.ts").cast("timestamp"))
     files.event_files(merges.staged(t, "true").repartitionByRange(8, at, "line").sortWithinPartitions(at, "line").select("value"), lines)
     for _round in range(2):  # the second run finds nothing new
         _run(drains.drain(t.spark, lines, root, marks, merges.NOW))
-    return sinks.read_table(t.spark, f"{root}/sessions", S.SESSIONS).select("session_id", "duration_min")
+    return sinks.read_table(t.spark, f"{root}/sessions", S.SESSIONS).select("session_id", "duration_min", "trigger", "working_dir")
 
 
 @query("x03_late_events", f"""

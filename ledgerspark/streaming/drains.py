@@ -13,12 +13,14 @@ from ledgerspark.operators import sinks
 from ledgerspark.operators.lineage import discard, stage
 from ledgerspark.sources.logs import EVENT_FILES, parse_events, parse_turns
 
-#: The stored tables: name -> (schema, the rows of staged events that are not stored)
-TABLES: dict[str, tuple[str, Callable]] = {
-    "sessions": (S.SESSIONS, M.new_sessions),
-    "costs": (S.COSTS, M.new_costs),
-    "commits": (S.COMMITS, M.new_commits),
+#: The stored tables: name -> (schema, the rows of staged events that are not stored, what holds for all stored rows)
+TABLES: dict[str, tuple[str, Callable, tuple[sinks.Rule, ...]]] = {
+    "sessions": (S.SESSIONS, M.new_sessions, M.SESSION_RULES),
+    "costs": (S.COSTS, M.new_costs, ()),
+    "commits": (S.COMMITS, M.new_commits, ()),
 }
+#: Parts and versions that are no longer needed stay so long, for readers that began with them.
+KEEP_HOURS = 24.0
 TURNS = "thread_id string, model string, n_turns bigint, total_tokens bigint, first_at timestamp, last_at timestamp"
 
 
@@ -28,24 +30,29 @@ def event_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) ->
     return raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
-def drain_batch(events: DataFrame, root: str, now: str) -> dict[str, int]:
+def drain_batch(events: DataFrame, root: str, now: str, keep_hours: float = KEEP_HOURS) -> dict[str, int]:
     """Append a batch of events to each stored table; returns the tables' rows.
 
-    Only rows whose keys are not stored are written, as a part of their own: of
-    what is stored the keys are read.  So a batch that is run again after a
-    failure adds nothing.
+    Stored parts that lack one of the table's rules are brought under it first:
+    once, since each part's rules are stored with it.  Then only rows whose keys are
+    not stored are written, as a part of their own: of what is stored the keys
+    are read.  So a batch that is run again after a failure adds nothing.  Parts
+    of like size are merged, and those that nobody needs are deleted after
+    ``keep_hours``.
     """
     spark, out = events.sparkSession, {}
     events = stage(events, "batch")
-    for name, (ddl, new_rows) in TABLES.items():
+    for name, (ddl, new_rows, rules) in TABLES.items():
         path = f"{root}/{name}"
-        out[name] = sinks.append_table(new_rows(sinks.read_table(spark, path, ddl), events, now), path)
-        sinks.compact_table(spark, path, ddl)
+        sinks.migrate_table(spark, path, ddl, rules)
+        out[name] = sinks.append_table(new_rows(sinks.read_table(spark, path, ddl), events, now), path, rules=[r.name for r in rules])
+        sinks.merge_tiers(spark, path, ddl)
+        sinks.vacuum_table(spark, path, keep_hours)
     discard(events)
     return out
 
 
-def drain(spark: SparkSession, folder: str, root: str, checkpoint: str, now: str, files_per_batch: int = 100):
+def drain(spark: SparkSession, folder: str, root: str, checkpoint: str, now: str, files_per_batch: int = 100, keep_hours: float = KEEP_HOURS):
     """Drain what is there and stop: a query with an available-now trigger.
 
     Late events are always taken: there is no watermark, the stored keys are the
@@ -54,7 +61,7 @@ def drain(spark: SparkSession, folder: str, root: str, checkpoint: str, now: str
 
     def one(lines: DataFrame, _batch: int) -> None:
         placed = lines.withColumn("line", F.struct("block", F.monotonically_increasing_id().alias("n"))).drop("block")
-        drain_batch(parse_events(placed), root, now)
+        drain_batch(parse_events(placed), root, now, keep_hours)
 
     return (
         event_lines(spark, folder, files_per_batch).writeStream.foreachBatch(one)

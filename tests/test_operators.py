@@ -465,6 +465,121 @@ def test_streaming_drain_twice(spark, tmp_path):
     assert ids == ["s1", "s2", "s3"]
 
 
+def _parts(spark, path):
+    return sorted(p.rows for p in sinks.version_of(spark, path).parts)
+
+
+def test_stored_rows_come_under_new_rules(spark, tmp_path):
+    """Rows stored before a rule was made: without triggers, with home folders; the second drain opens nothing."""
+    path = f"file://{tmp_path}/store/sessions"
+    old = spark.createDataFrame([("a", "/Users/someone/code/x", 1.0), ("b", "/tmp/y", 2.0), ("c", None, 3.0)], "session_id string, working_dir string, duration_min double")
+    sinks.write_table(old, path)
+    sinks.append_table(old.limit(1).withColumns({"session_id": F.lit("d"), "trigger": F.lit("scheduled"), "working_dir": F.lit("/home/me/z")}), path)
+    events = parse_events(spark.createDataFrame([('{"ts": "2024-01-01T00:00:00Z", "payload": {"event_type": "session_stop", "session_id": "%s", "working_dir": "/home/me/w"}}' % k, "f", n) for n, k in enumerate("ae")], "value string, file string, line int"))
+    want = [("a", "code/x", "unknown"), ("b", "y", "unknown"), ("c", None, "unknown"), ("d", "z", "scheduled"), ("e", "w", "unknown")]
+    for _ in range(2):
+        drains.drain_batch(events, f"file://{tmp_path}/store", "2024-01-02 00:00:00")
+        got = sinks.read_table(spark, path, S.SESSIONS).select("session_id", "working_dir", "trigger").collect()
+        assert sorted(map(tuple, got)) == want
+        version = sinks.version_of(spark, path)
+        assert all(p.rules == tuple(r.name for r in M.SESSION_RULES) for p in version.parts)
+        assert sinks.migrate_table(spark, path, S.SESSIONS, M.SESSION_RULES) == 0 and sinks.version_of(spark, path) == version
+    one_more = (*M.SESSION_RULES, sinks.Rule("no-agents", lambda df: df.withColumn("agent", F.lit(None).cast("string"))))
+    assert sinks.migrate_table(spark, path, S.SESSIONS, one_more) == 5
+    assert sorted(map(tuple, sinks.read_table(spark, path, S.SESSIONS).select("session_id", "working_dir", "trigger").collect())) == want
+
+
+def test_only_parts_without_the_rule_are_read(spark, tmp_path):
+    import shutil
+
+    path, ddl = f"file://{tmp_path}/t", "k long"
+    up = sinks.Rule("up", lambda df: df.withColumn("k", F.col("k") + 100))
+    sinks.append_table(spark.range(3).withColumnRenamed("id", "k"), path, rules=["up"])
+    sinks.append_table(spark.range(3, 5).withColumnRenamed("id", "k"), path)
+    under = sinks.version_of(spark, path).parts[0]
+    shutil.move(f"{tmp_path}/t/{under.name}", f"{tmp_path}/away")  # reading it would fail
+    assert sinks.migrate_table(spark, path, ddl, [up]) == 2
+    shutil.move(f"{tmp_path}/away", f"{tmp_path}/t/{under.name}")
+    assert sorted(r["k"] for r in sinks.read_table(spark, path, ddl).collect()) == [0, 1, 2, 103, 104]
+    assert sinks.version_of(spark, path).parts[0] == under
+
+
+def test_merging_by_size_writes_few_rows(spark, tmp_path):
+    """N appends of like size: N log N rows written, few parts left, nothing lost."""
+    import math
+
+    path, ddl, n = f"file://{tmp_path}/t", "k long", 40
+    written = 0
+    for k in range(n):
+        written += 3 + 0 * sinks.append_table(spark.range(3 * k, 3 * k + 3).withColumnRenamed("id", "k").coalesce(1), path)
+        written += sinks.merge_tiers(spark, path, ddl)
+        sinks.vacuum_table(spark, path)
+        assert len(sinks.version_of(spark, path).parts) <= 3 * 4
+        assert len([x for x in (tmp_path / "t").iterdir() if x.is_dir()]) == len(sinks.version_of(spark, path).parts)
+    assert sorted(r["k"] for r in sinks.read_table(spark, path, ddl).collect()) == list(range(3 * n))
+    assert written <= 3 * n * (1 + math.log(3 * n, 4)) and sum(_parts(spark, path)) == 3 * n
+
+
+def test_merge_plans_move_parts_up():
+    parts = lambda *rows: [sinks.Part(f"p{k}", n) for k, n in enumerate(rows)]
+    plan = lambda *rows: sorted(sorted(p.rows for p in g) for g in sinks.merge_plan(parts(*rows)))
+    assert plan() == plan(5, 5, 5, 100) == []
+    assert plan(5, 5, 5, 5, 100) == [[5, 5, 5, 5]]
+    assert plan(1, 1, 1, 1, 4, 4, 4, 16, 16, 16) == [[1, 1, 1, 1, 4, 4, 4, 16, 16, 16]]  # each tier fills the next
+    assert plan(0, 0, 0, 0) == [[0, 0, 0, 0]]
+
+
+def test_old_parts_stay_for_their_readers(spark, tmp_path):
+    import os
+    import time
+
+    path, ddl = f"file://{tmp_path}/t", "k long"
+    rows = lambda a, b: spark.range(a, b).withColumnRenamed("id", "k")
+    sinks.write_table(rows(0, 2), path)
+    reader = sinks.read_table(spark, path, ddl)
+    sinks.write_table(rows(0, 5), path)
+    sinks._write_part(rows(0, 9), path)  # a writer at work
+    assert sinks.vacuum_table(spark, path, keep_hours=1) == 0 and reader.count() == 2
+    for x in (tmp_path / "t").iterdir():
+        os.utime(x, (time.time() - 7200,) * 2)
+    assert sinks.vacuum_table(spark, path, keep_hours=1) == 3  # the first version, its part, and the one of no version
+    assert sinks.read_table(spark, path, ddl).count() == 5
+
+
+def test_appends_of_nothing_leave_nothing(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    sinks.append_table(spark.range(2), path)
+    old, files = sinks.version_of(spark, path), set((tmp_path / "t").iterdir())
+    assert sinks.append_table(spark.range(0), path) == 2
+    assert sinks.version_of(spark, path) == old and {x for x in (tmp_path / "t").iterdir() if x.suffix != ".crc"} == {x for x in files if x.suffix != ".crc"}
+    assert sinks.append_table(spark.range(0), path, {"batch": 4}) == 2
+    assert sinks.version_of(spark, path).notes == {"batch": 4} and sinks.version_of(spark, path).parts == old.parts
+
+
+def test_version_files_that_are_not_whole(spark, tmp_path, monkeypatch):
+    """Readers pass over them; a writer waits until they are surely left behind."""
+    path = f"file://{tmp_path}/t"
+    sinks.append_table(spark.range(2), path)
+    (tmp_path / "t" / "version-000000000002").write_text('{"parts": [')
+    assert sinks.version_of(spark, path).number == 1
+    with pytest.raises(sinks.GateError):
+        sinks.append_table(spark.range(2), path)
+    monkeypatch.setattr(sinks, "STOPPED_MINUTES", -1)
+    assert sinks.append_table(spark.range(3), path) == 5 and sinks.version_of(spark, path).number == 2
+
+
+def test_stored_ids_are_found_by_both_spellings(spark):
+    line = lambda k, i: ('{"ts": "2024-01-01T00:00:00Z", "payload": {"event_type": "session_stop", "session_id": "%s", "project": "shop", "started_at": "2024-01-01T00:00:00Z"}}' % i, "f", k)
+    events = parse_events(spark.createDataFrame([line(0, "/home/a"), line(1, "/home/b"), line(2, "plain"), line(3, "new")], "value string, file string, line int"))
+    ids = {r["session_id"] for r in M.sessions_from_events(events, "2024-01-02 00:00:00").collect()}
+    a = next(i for i in ids if i.endswith(hashlib.md5(b"/home/a").hexdigest()[:12]))
+    old = spark.createDataFrame([("plain",), (a,)], "session_id string")
+    got = {r["session_id"] for r in M.new_sessions(old, events, "2024-01-02 00:00:00").collect()}
+    assert got == ids - {"plain", a} and len(got) == 2
+    short = spark.createDataFrame([(a.rsplit("@h", 1)[0],)], "session_id string")  # fits both sanitised ids
+    assert {r["session_id"] for r in M.new_sessions(short, events, "2024-01-02 00:00:00").collect()} == {"plain", "new"}
+
+
 def test_block_triggers_and_metrics(spark):
     at = lambda h, m=0: T(2024, 1, 1, h, m)
     rows = [(1, at(1), at(2), at(6), False, 10, 2.0), (2, at(6, 30), None, at(11), False, 10, 2.0), (3, at(1), at(1), at(6), False, 10, 2.0), (4, at(1), at(2), at(6), True, 10, 2.0)]
