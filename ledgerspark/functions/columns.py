@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 #: Words that token sets leave out.
 STOPWORDS = (
-    "a an the of in to for with is it at by on as or be has was are that this and but not from have"
-).split()
+    "a", "an", "the", "of", "in", "to", "for", "with", "is", "it", "at", "by", "on", "as", "or", "be", "has", "was", "are", "that", "this", "and", "but", "not", "from", "have",
+)
 #: Severities from mild to grave, verdicts, and check results from good to bad.
 SEVERITIES = ("low", "medium", "high", "critical")
 VERDICTS = ("pass", "fail")

@@ -52,7 +52,7 @@ def canonical_project(name: Column | str, rules: ProjectRules = PROJECTS) -> Col
     return F.when(~dropped, out)
 
 
-def project_of_directory(cwd: Column | str, root: str = "/code/", rules: ProjectRules = PROJECTS) -> Column:
+def project_of_directory(cwd: Column | str, root: str = "/git/", rules: ProjectRules = PROJECTS) -> Column:
     """Project of a working directory: the first fitting segment after the first code root, else the last one of the path.
 
     Segments fit that are not empty, not a number, not dotted and no folder that
@@ -83,8 +83,10 @@ def clean_projects(df: DataFrame, project: str, aliases, denied=DENIED, rules: P
 
     A name that is no alias stays as it is, with its suffix.  Aliases are taken
     in their order, each on what the ones before it have left; rows without a
-    project stay.
+    project stay, and so does a table without the column.
     """
+    if project not in df.columns:
+        return df
     name = F.col(project)
     state = F.struct(name.alias("name"), F.regexp_replace(name, rf"(?i)-({'|'.join(rules.branches)})-.*$", "").alias("base"))
 

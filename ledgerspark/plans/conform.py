@@ -42,20 +42,18 @@ def _(t):
     return t("raw_names").select("event_id", I.canonical_project("name").alias("project"))
 
 
-_OUT = _LIST(sorted({"Users", "home", "code", "area", "games", "ledger", "imports", "shelf", "scratch", "bot-tools"}))
+_OUT = _LIST(("alps", "asia", "europe", "git", "left-over", "srv"))
 _PLAIN = f"list_filter(string_split({{0}}, '/'), lambda s: s <> '' AND s NOT IN {_OUT} AND NOT regexp_matches(s, '^[0-9]+$') AND NOT starts_with(s, '.'))"
 
 
-@query("p02_project_of_directory", f"SELECT event_id, coalesce(CASE WHEN contains(cwd, '/code/') THEN ({_PLAIN.format(chr(34) + 'tail' + chr(34))})[1] END, ({_PLAIN.format('cwd')})[-1]) AS project FROM (SELECT *, substr(cwd, strpos(cwd, '/code/') + 6) AS tail FROM raw_names)")
+@query("p02_project_of_directory", f"SELECT event_id, coalesce(CASE WHEN contains(cwd, '/git/') THEN ({_PLAIN.format(chr(34) + 'tail' + chr(34))})[1] END, ({_PLAIN.format('cwd')})[-1]) AS project FROM (SELECT *, substr(cwd, strpos(cwd, '/git/') + 5) AS tail FROM raw_names)")
 def _(t):
     return t("raw_names").select("event_id", I.project_of_directory("cwd").alias("project"))
 
 
-
-
 @query("p03_clean_projects", f"""
 WITH b AS (SELECT event_id, name, regexp_replace(name, '(?i)-(build|chore|ci|docs|feat|fix|perf|refactor|revert|style|test)-.*$', '') AS base FROM raw_names),
-one AS (SELECT event_id, CASE WHEN lower(base) = 'usage-ledger' OR lower(name) = 'usage-ledger' THEN 'usage_ledger' ELSE name END AS name, CASE WHEN lower(base) = 'usage-ledger' OR lower(name) = 'usage-ledger' THEN 'usage_ledger' ELSE base END AS base FROM b),
+one AS (SELECT event_id, CASE WHEN lower(base) = 'cash-book' OR lower(name) = 'cash-book' THEN 'ledger' ELSE name END AS name, CASE WHEN lower(base) = 'cash-book' OR lower(name) = 'cash-book' THEN 'ledger' ELSE base END AS base FROM b),
 two AS (SELECT event_id, CASE WHEN lower(base) = 'p11' OR lower(name) = 'p11' THEN 'p10' ELSE name END AS name, CASE WHEN lower(base) = 'p11' OR lower(name) = 'p11' THEN 'p10' ELSE base END AS base FROM one)
 SELECT event_id, name FROM two WHERE base IS NULL OR lower(base) NOT IN ('secret_lab', 'p3')""")
 def _(t):

@@ -137,17 +137,18 @@ FROM {d.t("documents")}"""
 
 
 def _raw_names(d: Dialect) -> str:
+    """Project names as tools write them: a place, a project and a tail, or one of the odd names; and working directories."""
+    user = "CAST(user_id AS STRING)"
+    place = "CASE event_id % 5 WHEN 0 THEN '' WHEN 1 THEN '-srv-me-git-team-' WHEN 2 THEN '/srv_me_git_' WHEN 3 THEN 'europe/alps/' ELSE 'asia-' END"
+    tail = "CASE event_id % 7 WHEN 0 THEN '-feat-x-1' WHEN 1 THEN '-DOCS' WHEN 2 THEN '/src' WHEN 3 THEN '_sub' WHEN 4 THEN '-fixed' ELSE '' END"
+    odd = f"""CASE user_id % 13 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'europe' WHEN 3 THEN 'left-over' WHEN 4 THEN 'holland' WHEN 5 THEN 'polar-north-station' WHEN 6 THEN '0f3a9c55d2e17b'
+  WHEN 7 THEN 'spain/.wt/7' WHEN 8 THEN concat('2024-', {user}) WHEN 9 THEN 'abcdefgh1/repo/asia/japan' WHEN 10 THEN concat('private_', {user})
+  WHEN 11 THEN CASE event_id % 4 WHEN 0 THEN 'secret_lab' WHEN 1 THEN 'Secret_Lab-feat-z' WHEN 2 THEN 'p3-test-2' ELSE 'P11' END
+  ELSE CASE event_id % 3 WHEN 0 THEN 'Cash-FIX-y' WHEN 1 THEN 'CASH-book-docs-x' ELSE 'cash-book' END END"""
     return f"""
-SELECT event_id, user_id, ts, CASE event_id % 20
-  WHEN 0 THEN concat('-Users-me-code-llm-p', CAST(user_id AS STRING), '-feat-x-1')
-  WHEN 1 THEN concat('-home-me-code-proj-area-climate-', CAST(user_id AS STRING)) WHEN 2 THEN 'network' WHEN 3 THEN 'bot-tools'
-  WHEN 4 THEN concat('/Users_me_code_llm_q', CAST(user_id AS STRING), '_sub') WHEN 5 THEN 'ab6f701adcaed79e9'
-  WHEN 6 THEN concat('abcdefgh1/repo/area/games/m', CAST(user_id AS STRING)) WHEN 7 THEN 'code-area-climate-sensor-network' WHEN 8 THEN ''
-  WHEN 9 THEN NULL WHEN 10 THEN '.agent/worktrees/agent-12ab' WHEN 11 THEN concat('code_llm_z', CAST(user_id % 7 AS STRING))
-  WHEN 12 THEN concat('2024-', CAST(user_id AS STRING)) WHEN 13 THEN 'area' WHEN 14 THEN 'city_planning' WHEN 15 THEN CASE event_id % 3 WHEN 0 THEN 'Usage-FIX-y' WHEN 1 THEN 'USAGE-ledger-docs-x' ELSE 'P11' END
-  WHEN 16 THEN CASE event_id % 3 WHEN 0 THEN 'secret_lab' WHEN 1 THEN 'Secret_Lab-feat-z' ELSE 'p3-test-2' END WHEN 17 THEN concat('private_', CAST(user_id AS STRING)) WHEN 18 THEN 'ledger/imports/tax/2020' ELSE concat('p', CAST(user_id AS STRING)) END AS name,
-  CASE event_id % 6 WHEN 0 THEN concat('/home/me/code/area/p', CAST(user_id AS STRING), '/src/code/x') WHEN 1 THEN concat('/opt/w/x', CAST(user_id AS STRING))
-    WHEN 2 THEN '/home/me/code/2024/.git' WHEN 3 THEN NULL WHEN 4 THEN concat('/tmp/mail me', CAST(user_id AS STRING), '@site.org') ELSE '/home/me/notes' END AS cwd
+SELECT event_id, user_id, ts, CASE WHEN event_id % 3 = 1 THEN {odd} ELSE concat({place}, 'p', {user}, {tail}) END AS name,
+  CASE event_id % 6 WHEN 0 THEN concat('/srv/me/git/europe/p', {user}, '/src/git/x') WHEN 1 THEN concat('/opt/w/x', {user})
+    WHEN 2 THEN '/srv/me/git/2024/.git' WHEN 3 THEN NULL WHEN 4 THEN concat('/tmp/mail me', {user}, '@site.org') ELSE '/home/me/notes' END AS cwd
 FROM {d.t("events")}"""
 
 

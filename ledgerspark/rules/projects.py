@@ -9,35 +9,37 @@ from dataclasses import dataclass
 class ProjectRules:
     """How raw project names become canonical ones; see ``functions.identifiers``.
 
-    The values are those of the names that ``plans.views`` makes; another
+    The values fit the names that ``plans.views`` makes, in which people work
+    below ``/srv/<name>/git`` and teams are named after regions; another
     installation has its own.
     """
 
-    worktrees: tuple[str, ...] = (r"^[.]agent/worktrees/agent-", r"[-/]agent[-/]worktrees[-/]agent-")
-    homes: tuple[str, ...] = (r"^-(Users|home)-[a-z0-9]+-code[-_]", r"^code[-_]")
+    #: Checkouts beside the project that are nobody's project.
+    worktrees: tuple[str, ...] = (r"/[.]wt/[0-9]+$",)
+    homes: tuple[str, ...] = (r"^-srv-[a-z]+-git[-_]", r"^git[-_]")
     #: The types of conventional commits, as branches are named.
     branches: tuple[str, ...] = ("build", "chore", "ci", "docs", "feat", "fix", "perf", "refactor", "revert", "style", "test")
-    prefixes: tuple[str, ...] = ("llm", "proj")
-    flat_root: str = "code_"
-    flat_homes: tuple[str, ...] = (r"^/(Users|home)_[a-z0-9]+_code_", r"^/code_", r"^code_")
+    prefixes: tuple[str, ...] = ("team",)
+    flat_root: str = "git_"
+    flat_homes: tuple[str, ...] = (r"^/srv_[a-z]+_git_", r"^git_")
     #: A checkout's folder before the path inside it, and names that are hashes.
     checkout: str = r"^[A-Za-z0-9_]{8,}/repo/?"
     hashes: str = r"^[0-9a-f]{12,}$"
-    remaps: tuple[tuple[str, str], ...] = (("network", "sensor_network"), ("telemetry", "usage_ledger"))
+    remaps: tuple[tuple[str, str], ...] = (("holland", "netherlands"),)
     #: Names that are no project.
-    noise: tuple[str, ...] = ("area", "ledger", "shelf", "scratch", "bot-tools")
-    overrides: tuple[tuple[str, str], ...] = (("sensor/network", "sensor_network"), ("area/climate/sensor", "sensor_network"))
+    noise: tuple[str, ...] = ("asia", "europe", "left-over")
+    overrides: tuple[tuple[str, str], ...] = (("polar/north", "arctic"),)
     #: Folders that hold projects; of two that fit the first counts.
-    containers: tuple[str, ...] = ("area/games/", "area/", "ledger/imports/", "ledger/", "shelf/")
+    containers: tuple[str, ...] = ("europe/alps/", "europe/", "asia/")
     #: Folders of every path.
-    roots: tuple[str, ...] = ("Users", "home", "code")
+    roots: tuple[str, ...] = ("srv", "git")
 
 
 PROJECTS = ProjectRules()
 #: Projects that are never published, and prefixes of such.
 DENIED = ("secret_lab", "p3")
 DENIED_PREFIXES = ("private_", "p1")
-ALIASES = (("usage-ledger", "usage_ledger"), ("p11", "p10"))
+ALIASES = (("cash-book", "ledger"), ("p11", "p10"))
 HOME_PATHS = (r"^/(Users|home)/[^/]+/", r"^/(private/)?tmp/", r"^/var/folders/[^/]+/[^/]+/")
 #: Whatever looks like a private path, mail address or token.
 SENSITIVE = (r"/(Users|home)/[A-Za-z0-9]+", r"-(Users|home)-[a-z0-9]+-", r"[A-Za-z0-9._]+@[A-Za-z0-9-]+\.[a-z]{2,}", r"(sk|ghp)_[A-Za-z0-9]{16,}")

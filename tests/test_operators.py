@@ -34,9 +34,9 @@ def one(spark, column):
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
-        ("-Users-me-code-llm-shop-feat-x-1", "shop"), ("code-proj-area-climate-station", "climate"), ("code_llm_shop_sub", "llm_shop_sub"), ("-Users_me_code_llm_shop_sub", "shop"), ("city_planning", "city_planning"),
-        ("shop-FIX-y", "shop"), (".agent/worktrees/agent-12", None), ("ab6f701adcaed79e9", None), ("2024-x", None), ("area", None), ("network", "sensor_network"),
-        ("bot-tools", None), ("abcdefgh1/repo/area/games/m", "m"), (None, None), ("", None), ("sensor/network/x", "sensor_network"), ("ledger/imports/tax/20", "tax"),
+        ("-srv-me-git-team-shop-feat-x-1", "shop"), ("git-team-europe-spain", "spain"), ("git_shop_sub", "shop_sub"), ("/srv_me_git_shop_sub", "shop"), ("town_hall", "town_hall"),
+        ("shop-FIX-y", "shop"), ("spain/.wt/12", None), ("ab6f701adcaed79e9", None), ("2024-x", None), ("europe", None), ("holland", "netherlands"), ("asia/left-over", "left"),
+        ("left-over", None), ("abcdefgh1/repo/europe/alps/tyrol", "tyrol"), (None, None), ("", None), ("polar/north/x", "arctic"), ("asia/japan/20", "japan"), ("europe/europe", None),
     ],
 )
 def test_canonical_project(spark, raw, want):
@@ -229,8 +229,8 @@ def test_cycles_against_plain_loops(spark):
 @pytest.mark.parametrize(
     ("cwd", "want"),
     [
-        ("/home/me/code/shop/foo/bar", "shop"), ("/home/me/code/area/games/chess/x", "chess"), ("/home/me/code/shop/src/code/inner", "shop"), ("/home/me/code/2024/.git", "me"),
-        ("/opt/w/site", "site"), ("/opt/w/.cache/12", "w"), ("/code/area", None), ("", None), (None, None),
+        ("/srv/me/git/shop/foo/bar", "shop"), ("/srv/me/git/europe/alps/tyrol/x", "tyrol"), ("/srv/me/git/shop/src/git/inner", "shop"), ("/srv/me/git/2024/.git", "me"),
+        ("/opt/w/site", "site"), ("/opt/w/.cache/12", "w"), ("/git/europe", None), ("", None), (None, None),
     ],
 )
 def test_project_of_directory(spark, cwd, want):
@@ -238,9 +238,15 @@ def test_project_of_directory(spark, cwd, want):
 
 
 def test_clean_projects(spark):
-    names = ["usage-ledger", "Usage-LEDGER-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
-    got = [r["name"] for r in I.clean_projects(spark.createDataFrame([(n,) for n in names], "name string"), "name", (("usage-ledger", "usage_ledger"), ("p11", "p10"))).collect()]
-    assert got == ["usage_ledger", "usage_ledger", "shop-fix-9", "p10", "p10", "Mixed", None, "shop-feature"]
+    names = ["cash-book", "Cash-BOOK-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
+    clean = lambda xs, column="name": I.clean_projects(spark.createDataFrame([(n, 1) for n in xs], f"{column} string, n int"), "name", (("cash-book", "ledger"), ("p11", "p10")))
+    got = [r["name"] for r in clean(names).collect()]
+    assert got == ["ledger", "ledger", "shop-fix-9", "p10", "p10", "Mixed", None, "shop-feature"]
+    # rows of an alias join those of its project, none is lost
+    assert clean(["cash-book", "ledger", "cash-book-ci-2"]).groupBy("name").agg(F.sum("n").alias("n")).collect() == [("ledger", 3)]
+    # names that only begin like a denied one stay; denied ones go whatever their branch
+    assert [r["name"] for r in clean(["p30", "p3x-feat-a", "secret_labs", "SECRET_LAB-perf-b", "secret_lab-perf"]).collect()] == ["p30", "p3x-feat-a", "secret_labs", "secret_lab-perf"]
+    assert clean([]).collect() == [] and clean(["p3", "x"], "repo").count() == 2
 
 
 def test_collapse_is_transitive_and_stays_in_its_group(spark):
