@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,26 +23,106 @@ def tier_of(cycles: Column) -> Column:
     return out
 
 
-def similar_pairs(nodes: DataFrame, group: list[str], limit: float) -> DataFrame:
-    """Pairs (a, b), a < b, of nodes in one group whose token sets ``tok`` reach the Jaccard limit.
+#: A prefix token that more than HOT nodes of one group have is hot; its nodes are compared with PIVOTS of them, and the rest in blocks of about BLOCK.
+HOT, PIVOTS, BLOCK = 64, 4, 512
 
-    Each set is joined by the tokens of its prefix only, the rarest first in one
-    global order, with sizes that could still be similar; then compared exactly.
-    No group is paired as a whole.
+
+def similar_edges(nodes: DataFrame, group: list[str], limit: float, hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that tie the same nodes together as all pairs in one group whose token sets ``tok`` reach the Jaccard limit.
+
+    Each set is known by the tokens of its prefix only, the rarest first in one
+    global order; two similar sets share one of them.  Nodes that share a token
+    of few nodes are paired.  Where a token is hot, its nodes are compared with
+    a few pivots: near copies become stars, with rows in proportion to their
+    number.  Only what stars leave apart is compared further, block by block, and a
+    pair of blocks gives no more edges than it ties components.
     """
-    n = nodes.select(*group, "node", "tok", F.size("tok").alias("n")).where(F.col("n") > 0)
+    n = stage(nodes.select(*group, "node", "tok", F.size("tok").alias("n")).where(F.col("n") > 0), "token-sets")
     words = n.select("node", "n", *group, F.explode("tok").alias("t"))
     df = words.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "t"))
     prefix = words.join(df, "t").withColumn("i", place).where(F.col("i") <= F.col("n") - F.ceil(F.lit(limit) * F.col("n")) + 1)
-    left = prefix.select(*group, "t", F.col("node").alias("a"), F.col("n").alias("na"))
-    right = prefix.select(*group, "t", F.col("node").alias("b"), F.col("n").alias("nb"))
-    cand = left.join(right, [*group, "t"]).where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(limit) * F.greatest("na", "nb"))).select("a", "b").distinct()
-    sets = n.select("node", "tok")
-    both = cand.join(sets.select(F.col("node").alias("a"), F.col("tok").alias("ta")), "a").join(sets.select(F.col("node").alias("b"), F.col("tok").alias("tb")), "b")
+    keys = [*group, "t"]
+    prefix = stage(prefix.select(*keys, "node", "n"), "prefixes")
+    full = stage(prefix.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot), "hot-tokens")
+    cold = prefix if full.isEmpty() else prefix.join(full, keys, "left_anti")
+    left = cold.select(*keys, F.col("node").alias("a"), F.col("n").alias("na"))
+    right = cold.select(*keys, F.col("node").alias("b"), F.col("n").alias("nb"))
+    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(limit) * F.greatest("na", "nb"))
+    pairs = _verified(left.join(right, keys).where(near).select("a", "b").distinct(), n, limit)
+    if full.isEmpty():
+        return pairs
+    crowd = stage(prefix.join(full, keys), "crowds")
+    chosen = crowd.groupBy(*keys).agg(F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)))).alias("p"))
+    stars = crowd.join(chosen.select(*keys, F.explode("p").alias("b")), keys).where("node <> b").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+    stars = stage(_verified(stars, n, limit), "stars")
+    return pairs.unionByName(stars).unionByName(_between_stars(crowd, stars, n, keys, limit, block))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tok").alias("ta")), "a").join(sets.select(F.col("node").alias("b"), F.col("tok").alias("tb")), "b")
     return both.where(jaccard("ta", "tb") >= limit).select("a", "b")
 
 
+def _between_stars(crowd: DataFrame, stars: DataFrame, sets: DataFrame, keys: list[str], limit: float, block: int) -> DataFrame:
+    """Edges between nodes of one hot token that the stars have not tied.
+
+    Components of more than ``block`` nodes have blocks of their own, smaller
+    ones share some.  Two blocks are compared unless both are of one component.
+    """
+    tied = connected_components(stars, "a", "b")
+    members = crowd.join(tied, "node", "left").select(*keys, "node", F.coalesce("component", "node").alias("component"))
+    members = stage(members, "members")
+    sizes = members.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("s"))
+    small = F.sum(F.when(F.col("s") <= block, F.col("s")).otherwise(0))
+    apart = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), small.alias("small")).where(F.col("k") > 1).drop("k")
+    share = lambda rows, of: F.pmod(F.xxhash64(of), F.greatest(F.lit(1), F.ceil(rows / F.lit(block)))).cast("string")
+    name = F.when(F.col("s") > block, F.concat_ws("/", "component", share(F.col("s"), "node"))).otherwise(share(F.col("small"), "component"))
+    placed = stage(members.join(sizes, [*keys, "component"]).join(apart, keys).select(*keys, "node", "component", name.alias("block")), "blocks")
+    blocks = placed.groupBy(*keys, "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    x, y = blocks.alias("x"), blocks.select(*keys, F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    one = (F.col("lo") == F.col("hi")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo") == F.col("lo2"))
+    met = x.join(y, keys).where((F.col("block") <= F.col("other")) & ~one).select(*keys, F.array_distinct(F.array("block", "other")).alias("both"))
+    met = met.withColumn("pair", F.concat_ws("\x1f", *(F.col(k).cast("string") for k in keys), F.array_join("both", "\x1e")))
+    need = met.select(*keys, "pair", F.size("both").alias("sides"), F.posexplode("both").alias("side", "block"))
+    rows = placed.join(need, [*keys, "block"]).select("node", "component", "pair", "side", "sides").join(sets.select("node", "tok"), "node")
+    return rows.groupBy("pair").applyInPandas(_tying(limit), "a string, b string")
+
+
+def _tying(limit: float):
+    """Edges that tie components of two blocks, or of one: one edge at most for each tie."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node", ignore_index=True)
+        sizes = rows["tok"].map(len).to_numpy()
+        where = pd.Series(np.repeat(np.arange(len(rows)), sizes)).groupby(np.concatenate(rows["tok"].to_numpy())).agg(list)
+        postings = {t: np.array(p) for t, p in where.items()}
+        side, node, top = rows["side"].to_numpy(), rows["node"].to_numpy(), {c: c for c in rows["component"]}
+
+        def find(c):
+            while top[c] != c:
+                top[c] = top[top[c]]
+                c = top[c]
+            return c
+
+        component, edges = rows["component"].to_numpy(), []
+        two = rows["sides"].iloc[0] == 2
+        for i in range(len(rows)):
+            if two and side[i]:
+                continue
+            shared = np.bincount(np.concatenate([postings[t] for t in rows["tok"].iat[i]]), minlength=len(rows))
+            close = shared / (sizes[i] + sizes - shared) >= limit
+            close &= (side == 1) if two else (np.arange(len(rows)) > i)
+            for j in np.flatnonzero(close):
+                a, b = find(component[i]), find(component[j])
+                if a != b:
+                    top[a] = b
+                    edges.append((node[i], node[j]))
+        return pd.DataFrame(edges, columns=["a", "b"])
+
+    return run
+
+
 def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
     """The findings with ``content_hash`` replaced by its component's.
 
@@ -54,8 +136,8 @@ def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
     # equal token sets of a group are one node; a hash and the nodes of its texts are tied as well
     node = F.md5(F.concat_ws("\x1f", F.coalesce("severity", F.lit("")), F.coalesce("primary_file", F.lit("")), F.concat_ws(" ", "tok")))
     keyed = f.select(*g, "tok", F.concat(F.lit("n"), node).alias("node"), F.concat(F.lit("h"), "content_hash").alias("h"))
-    nodes = keyed.select(*group, "tok", "node").distinct()
-    edges = similar_pairs(nodes, group, limit).unionByName(keyed.select(F.col("node").alias("a"), F.col("h").alias("b")).distinct())
+    nodes = keyed.groupBy(*group, "node").agg(F.first("tok").alias("tok"))  # a node names its tokens
+    edges = similar_edges(nodes, group, limit).unionByName(keyed.select(F.col("node").alias("a"), F.col("h").alias("b")).distinct())
     comp = connected_components(edges, "a", "b").where(F.col("node").startswith("h"))
     seen = f.groupBy("content_hash").agg(F.min("reviewed_at").alias("at"))
     named = comp.select(F.substring("node", 2, 64).alias("content_hash"), "component").join(seen, "content_hash")
@@ -64,20 +146,44 @@ def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
     return f.drop("tok").join(final, "content_hash").withColumn("content_hash", F.col("__hash")).drop("__hash")
 
 
-#: Microseconds of the spans by which runs and gaps meet.
+#: Microseconds of the spans by which runs are summed.
 HOUR, DAY = 3_600_000_000, 86_400_000_000
+#: Exact sums: a difference of two running sums is the sum between them.
+_EXACT = "decimal(38,12)"
 
 
-def _runs_between(gaps: DataFrame, runs: DataFrame) -> DataFrame:
-    """The gaps (content_hash, i, a, b) with the cost and shas of runs in them, in pieces.
+def _running(findings: DataFrame, runs: DataFrame, keep: list[str]) -> DataFrame:
+    """The findings with the number and cost of runs up to their time, without and with those at that time.
 
-    A gap is cut into the whole days in it, the whole hours before and after
-    these, and the hours of its two ends.  Days and hours meet one row of the
-    runs summed by day and by hour; only the hours at the ends meet single runs.
+    Findings and runs of an hour are one sorted sequence, over which runs are
+    summed; what came before the hour is a running sum over the hours, one row each.
+    """
+    t = F.unix_micros("started_at")
+    rows = findings.select(*keep, F.unix_micros("reviewed_at").alias("t"), F.lit(0).alias("n"), F.lit(0).cast(_EXACT).alias("c"), F.lit(True).alias("point"))
+    empty = [F.lit(None).cast(kind).alias(c) for c, kind in findings.select(*keep).dtypes]
+    rows = rows.unionByName(runs.select(*empty, t.alias("t"), F.lit(1).alias("n"), F.col("cost").cast(_EXACT).alias("c"), F.lit(False).alias("point")))
+    rows = rows.withColumn("h", F.floor(F.col("t") / HOUR))
+    within = Window.partitionBy("h").orderBy("t")
+    to, at = within.rangeBetween(Window.unboundedPreceding, Window.currentRow), within.rangeBetween(Window.currentRow, Window.currentRow)
+    own = rows.select("*", *(F.sum(x).over(w).alias(f"{x}_{k}") for x in "nc" for k, w in (("to", to), ("at", at)))).where("point")
+    before = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    hours = rows.groupBy("h").agg(F.sum("n").alias("hn"), F.sum("c").alias("hc"))  # one row an hour of the calendar
+    hours = hours.select(F.col("h"), *(F.coalesce(F.sum(f"h{x}").over(before), F.lit(0)).alias(f"{x}_before") for x in "nc"))
+    up_to = [(F.col(f"{x}_before") + F.col(f"{x}_to")).alias(f"{x}_with") for x in "nc"]
+    without = [(F.col(f"{x}_before") + F.col(f"{x}_to") - F.col(f"{x}_at")).alias(f"{x}_without") for x in "nc"]
+    return own.join(hours, "h").select(*keep, *up_to, *without)
+
+
+def _fixes_of(spans: DataFrame, runs: DataFrame) -> DataFrame:
+    """The distinct shas of runs within each (content_hash, a, b), in byte order and joined by commas.
+
+    A span is cut into the whole days in it, the whole hours before and after
+    these, and the hours of its two ends.  Days and hours meet their distinct
+    shas; only the hours at the ends meet single runs.
     """
     t = F.unix_micros("started_at")
-    r = runs.select(t.alias("t"), F.floor(t / DAY).alias("d"), F.floor(t / HOUR).alias("h"), "cost", "commit_sha")
-    g = gaps.select("content_hash", "i", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"))
+    r = runs.where(F.col("commit_sha").isNotNull()).select(t.alias("t"), F.floor(t / DAY).alias("d"), F.floor(t / HOUR).alias("h"), "commit_sha")
+    g = spans.select("content_hash", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"))
     g = g.withColumns({"ha": F.floor(F.col("a") / HOUR), "hb": F.floor(F.col("b") / HOUR)})
     g = g.withColumns({"d1": F.ceil((F.col("ha") + 1) / 24), "d2": F.floor(F.col("hb") / 24) - 1})  # the whole days
     none, days = F.array().cast("array<bigint>"), F.col("d1") <= F.col("d2")
@@ -85,32 +191,43 @@ def _runs_between(gaps: DataFrame, runs: DataFrame) -> DataFrame:
     before = F.when(days, F.col("d1") * 24 - 1).otherwise(F.col("hb") - 1)
     after = F.when(days, span((F.col("d2") + 1) * 24, F.col("hb") - 1)).otherwise(none)
     hours = F.concat(span(F.col("ha") + 1, before), after)
-    by_day, by_hour = (r.groupBy(F.col(k).alias("k")).agg(F.sum("cost").alias("cost"), F.collect_set("commit_sha").alias("shas")) for k in ("d", "h"))
-    keep = ["content_hash", "i", "cost", "shas"]
-    whole = g.withColumn("k", F.explode(span(F.col("d1"), F.col("d2")))).join(by_day, "k").select(*keep)
-    part = g.withColumn("k", F.explode(hours)).join(by_hour, "k").select(*keep)
-    ends = g.withColumn("h", F.explode(F.array_distinct(F.array("ha", "hb")))).join(r, "h").where(F.col("t").between(F.col("a"), F.col("b")))
-    shas = F.when(F.col("commit_sha").isNotNull(), F.array("commit_sha")).otherwise(F.array().cast("array<string>"))
-    return whole.unionByName(part).unionByName(ends.withColumn("shas", shas).select(*keep))
+    by_day, by_hour = (r.select(F.col(k).alias("k"), "commit_sha").distinct() for k in ("d", "h"))
+    whole = g.select("content_hash", F.explode(span(F.col("d1"), F.col("d2"))).alias("k")).join(by_day, "k").select("content_hash", "commit_sha")
+    part = g.select("content_hash", F.explode(hours).alias("k")).join(by_hour, "k").select("content_hash", "commit_sha")
+    ends = g.withColumn("h", F.explode(F.array_distinct(F.array("ha", "hb")))).join(r, "h").where(F.col("t").between(F.col("a"), F.col("b"))).select("content_hash", "commit_sha")
+    found = whole.unionByName(part).unionByName(ends).distinct()
+    return found.groupBy("content_hash").agg(F.array_join(F.sort_array(F.collect_list("commit_sha")), ",").alias("fix_commit_shas"))
 
 
-def cycles(findings: DataFrame, runs: DataFrame | None, order: str = "job_id") -> DataFrame:
-    """Per hash the consecutive findings with a fix run between them, both ends included.
+def cycles(findings: DataFrame, runs: DataFrame | None, order: str = "job_id", least: int = 1) -> DataFrame:
+    """Per hash the consecutive findings with a fix run between them, both ends included; hashes of at least ``least`` such.
 
     Without a table of runs every consecutive pair counts and the cost is NULL;
-    with a table that has no rows every pair counts at cost 0.
+    with a table that has no rows every pair counts at cost 0.  The number and
+    cost of runs in a gap are differences of running sums, so findings and runs
+    are sorted once and never paired.  The gaps of a hash follow each other, so
+    its shas are those of one span, from its first finding to its last.
     """
     w = Window.partitionBy("content_hash").orderBy("reviewed_at", order)
-    pairs = findings.select("content_hash", F.col("reviewed_at").alias("a"), F.lead("reviewed_at").over(w).alias("b"), F.row_number().over(w).alias("i"))
-    pairs = pairs.where(F.col("b").isNotNull())
-    if runs is None or runs.isEmpty():
-        cost = F.lit(None if runs is None else 0.0).cast("double")
-        return pairs.groupBy("content_hash").agg(F.count(F.lit(1)).cast("int").alias("cycles"), F.lit("").alias("fix_commit_shas"), cost.alias("estimated_wasted_usd"))
-    cost = F.coalesce("total_cost_usd", F.lit(0.0)) if "total_cost_usd" in runs.columns else F.lit(0.0)
-    fixes = runs.where(F.col("agent_type").isin(*FIXERS) & F.col("started_at").isNotNull()).select("started_at", "commit_sha", cost.alias("cost"))
-    hits = _runs_between(pairs, fixes)
-    shas = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("shas")))), ",")
-    return hits.groupBy("content_hash").agg(F.count_distinct("i").cast("int").alias("cycles"), shas.alias("fix_commit_shas"), F.round(F.sum("cost"), 6).alias("estimated_wasted_usd"))
+    none = runs is None or runs.isEmpty()
+    if none:
+        points = findings.select("content_hash", "reviewed_at", order)
+        cost, hit = F.lit(None if runs is None else 0.0).cast("double"), F.lit(True)
+    else:
+        cost = F.coalesce("total_cost_usd", F.lit(0.0)) if "total_cost_usd" in runs.columns else F.lit(0.0)
+        fixes = runs.where(F.col("agent_type").isin(*FIXERS) & F.col("started_at").isNotNull()).select("started_at", "commit_sha", cost.alias("cost"))
+        points = _running(findings, fixes, ["content_hash", "reviewed_at", order])
+        cost, hit = F.lead("c_with").over(w) - F.col("c_without"), F.lead("n_with").over(w) > F.col("n_without")
+    gaps = points.select("content_hash", F.col("reviewed_at").alias("a"), F.lead("reviewed_at").over(w).alias("b"), hit.alias("hit"), cost.alias("cost"))
+    gaps = gaps.where(F.col("b").isNotNull())
+    wasted = F.sum(F.when(F.col("hit"), F.col("cost"))).cast("double")
+    out = gaps.groupBy("content_hash").agg(F.count_if("hit").cast("int").alias("cycles"), F.round(wasted, 6).alias("estimated_wasted_usd"), F.min("a").alias("a"), F.max("b").alias("b"))
+    out = out.where(F.col("cycles") >= least)
+    if none:
+        return out.select("content_hash", "cycles", F.lit("").alias("fix_commit_shas"), "estimated_wasted_usd")
+    out = stage(out, "cycles")  # read for its spans and for its numbers
+    shas = _fixes_of(out, fixes)
+    return out.join(shas, "content_hash", "left").select("content_hash", "cycles", F.coalesce("fix_commit_shas", F.lit("")).alias("fix_commit_shas"), "estimated_wasted_usd")
 
 
 def detect_loops(findings: DataFrame, runs: DataFrame | None, limit: float = 0.6, window_days: int = 30, order: str = "job_id") -> DataFrame:
@@ -123,7 +240,7 @@ def detect_loops(findings: DataFrame, runs: DataFrame | None, limit: float = 0.6
     recent = findings.crossJoin(last).where(F.col("reviewed_at") >= F.col("__last") - F.make_dt_interval(F.lit(window_days))).drop("__last")
     f = collapse(recent.withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")), limit)
     often = f.groupBy("content_hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > TIERS[-1][0]).select("content_hash")
-    c = cycles(f.join(often, "content_hash", "left_semi"), runs, order).where(F.col("cycles") >= TIERS[-1][0])
+    c = cycles(f.join(often, "content_hash", "left_semi"), runs, order, least=TIERS[-1][0])
     head = F.min(F.struct("reviewed_at", order, "severity", "primary_file", F.substring("problem_text", 1, 80).alias("summary"))).alias("m")
     g = f.join(c.select("content_hash"), "content_hash", "left_semi").groupBy("content_hash").agg(head, F.min("reviewed_at").alias("first_seen"), F.max("reviewed_at").alias("last_seen"))
     acks = {"ack_by": "string", "ack_at": "timestamp", "ack_reason": "string", "ack_until": "timestamp"}

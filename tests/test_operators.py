@@ -237,6 +237,58 @@ def test_project_of_directory(spark, cwd, want):
     assert one(spark, I.project_of_directory(F.lit(cwd).cast("string"))) == want
 
 
+def _tied(nodes, edges):
+    top = {n: n for n in nodes}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in edges:
+        top[find(a)] = find(b)
+    groups = {}
+    for n in nodes:
+        groups.setdefault(find(n), set()).add(n)
+    return sorted(map(sorted, groups.values()))
+
+
+@pytest.mark.parametrize("hot,block", [(64, 512), (2, 512), (2, 3), (5, 8)])
+def test_similar_edges_tie_what_all_pairs_tie(spark, hot, block):
+    """Families, chains and unlike sets of few words in two groups, with every token hot or none."""
+    rng = random.Random(hot + block)
+    rows = []
+    for k in range(150):
+        base = [f"w{rng.randrange(9)}" for _ in range(rng.randint(0, 6))] if k % 3 else [f"f{k % 4}{j}" for j in range(8)]
+        if k % 3 == 0:
+            base[rng.randrange(8)] = f"x{k}"
+        rows.append((rng.choice("gh"), f"n{k}", sorted(set(base))))
+    got = L.similar_edges(spark.createDataFrame(rows, "g string, node string, tok array<string>"), ["g"], 0.6, hot=hot, block=block).collect()
+    same = lambda a, b: a[0] == b[0] and a[2] and b[2] and len(set(a[2]) & set(b[2])) / len(set(a[2]) | set(b[2])) >= 0.6
+    want = [(a[1], b[1]) for a in rows for b in rows if a[1] < b[1] and same(a, b)]
+    assert {tuple(sorted(r)) for r in got} <= {tuple(sorted(w)) for w in want}  # only true links
+    assert _tied([r[1] for r in rows], got) == _tied([r[1] for r in rows], want)
+
+
+def test_many_near_copies_give_few_rows(spark, monkeypatch):
+    """20,000 near copies in one group: stars in proportion to them, and no block is compared."""
+    n = 20_000
+    words = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.concat(F.lit("w"), i.cast("string")))
+    nodes = spark.range(n).select(F.lit("g").alias("g"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("node"), F.array_append(words, F.concat(F.lit("own"), F.col("id").cast("string"))).alias("tok"))
+    compared = []
+    between = L._between_stars
+
+    def watched(*args):
+        out = between(*args)
+        compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "_between_stars", watched)
+    edges = L.similar_edges(nodes, ["g"], 0.6)
+    assert edges.count() <= (L.PIVOTS + 1) * n and compared == [0]
+    assert edges.select(F.explode(F.array("a", "b")).alias("x")).distinct().count() == n
+
+
 def test_clean_projects(spark):
     names = ["cash-book", "Cash-BOOK-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
     clean = lambda xs, column="name": I.clean_projects(spark.createDataFrame([(n, 1) for n in xs], f"{column} string, n int"), "name", (("cash-book", "ledger"), ("p11", "p10")))
