@@ -16,7 +16,7 @@ MIN_DOCS, TOP_TERMS = 30, 50
 #: Counts are raised by SMOOTH; shares are in parts of SHARES.
 SMOOTH, SHARES = 5, 1_000_000_000
 #: A task's stripes are spilled beyond so many (term, source) cells.
-STRIPE_CELLS = 300_000
+STRIPE_CELLS = 500_000
 #: Cells of the matrices that a task works on.
 MATRIX_CELLS = 1 << 21
 #: No term is empty: this stripe counts a language's documents by source.
@@ -44,22 +44,37 @@ def terms(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
-def _rows(stripes: dict[str, dict[bytes, list]], chunk: int = 10_000) -> Iterator[pa.RecordBatch]:
+def _rows(stripes: dict[str, dict[bytes, list | tuple]], chunk: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Stripes as rows; the map is emptied."""
     for lang in list(stripes):
         own = stripes.pop(lang)
-        keys = list(own)
+        keys, values = list(own), list(own.values())
         for lo in range(0, len(keys), chunk):
-            part = [own[k] for k in keys[lo : lo + chunk]]
-            columns = [[lang] * len(part), [k.decode() for k in keys[lo : lo + chunk]], [s[0] for s in part], [list(s[1]) for s in part], [list(s[1].values()) for s in part]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STRIPE, strict=True)], schema=_STRIPE)
+            df, sizes, sources, counts = [], [0], [], []
+            for stripe in values[lo : lo + chunk]:
+                if len(stripe) == 3:  # one document
+                    df.append(1)
+                    sources.append(stripe[1])
+                    counts.append(stripe[2])
+                else:
+                    df.append(stripe[0])
+                    sources.extend(stripe[1])
+                    counts.extend(stripe[1].values())
+                sizes.append(len(sources))
+            ends = pa.array(sizes, pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(sources, pa.string())), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))]
+            term = pa.array(keys[lo : lo + chunk], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(df), pa.string()), term, pa.array(df, pa.int64()), *lists], schema=_STRIPE)
 
 
 def _folded(limit: int):
-    """Whole documents folded into stripes: term -> [documents, {source: occurrences}], by language."""
+    """Whole documents folded into stripes: term -> [documents, {source: occurrences}], by language.
+
+    A term of one document so far is (1, source, occurrences): most are, and stay so.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stripes: dict[str, dict[bytes, list]] = {}
+        stripes: dict[str, dict[bytes, list | tuple]] = {}
         cells = 0
         for batch in batches:
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
@@ -69,9 +84,11 @@ def _folded(limit: int):
                 for term, n in counts.items():
                     stripe = own.get(term)
                     if stripe is None:
-                        own[term] = [1, {source: n}]
+                        own[term] = (1, source, n)
                         cells += 1
                         continue
+                    if len(stripe) == 3:
+                        stripe = own[term] = [1, {stripe[1]: stripe[2]}]
                     stripe[0] += 1
                     by_source = stripe[1]
                     if source in by_source:
@@ -87,31 +104,23 @@ def _folded(limit: int):
     return run
 
 
-def _merged(min_docs: int):
-    """Stripes of one key, which come one after the other, as one; rare terms go."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, stripe, done, held = None, None, {}, 0
-        for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
-            for lang, term, df, sources, counts in zip(*columns, strict=True):
-                if (lang, term) == key:
-                    stripe[0] += df
-                    for s, n in zip(sources, counts, strict=True):
-                        stripe[1][s] = stripe[1].get(s, 0) + n
-                    continue
-                if key is not None and (stripe[0] >= min_docs or key[1] == ALL_DOCS):
-                    done.setdefault(key[0], {})[key[1].encode()] = stripe
-                    held += len(stripe[1])
-                key, stripe = (lang, term), [df, dict(zip(sources, counts, strict=True))]
-            if held > STRIPE_CELLS:
-                yield from _rows(done)
-                held = 0
-        if key is not None and (stripe[0] >= min_docs or key[1] == ALL_DOCS):
-            done.setdefault(key[0], {})[key[1].encode()] = stripe
-        yield from _rows(done)
-
-    return run
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stripes of one key, which come one after the other, as one."""
+    done: dict[str, dict[bytes, list | tuple]] = {}
+    key, stripe, held = None, None, 0
+    for batch in batches:
+        for lang, term, df, sources, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (lang, term) != key:
+                if held > STRIPE_CELLS:  # the stripe at hand is whole
+                    yield from _rows(done)
+                    held = 0
+                key, stripe = (lang, term), [0, {}]
+                done.setdefault(lang, {})[term.encode()] = stripe
+            stripe[0] += df
+            held += len(sources)
+            for s, n in zip(sources, counts, strict=True):
+                stripe[1][s] = stripe[1].get(s, 0) + n
+    yield from _rows(done)
 
 
 def shares(counts: np.ndarray, totals: np.ndarray, kept: int) -> np.ndarray:
@@ -200,15 +209,18 @@ def source_divergence(docs: DataFrame, lang_col: str = "lang", source_col: str =
     rows.
 
     A task folds its documents into stripes and spills them beyond
-    ``stripe_cells``; stripes of a key follow each other after one sort and are
-    merged one at a time, however many tasks wrote them.  Every stripe meets the
+    ``stripe_cells``; stripes of a key follow each other after one sort, those of
+    rare terms go, and the others are merged one at a time, however many tasks
+    wrote them.  Every stripe meets the
     totals of its language's sources: a list as long as the square root of
     that language's result.
     """
     src = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"), (text_col, "text"))))
     folded = src.mapInArrow(_folded(stripe_cells), _STRIPES)
-    stripes = folded.repartition("lang", "term").sortWithinPartitions("lang", "term").mapInArrow(_merged(min_docs), _STRIPES)
-    stripes = stage(stripes, "stripes")
+    # the window's exchange and sort bring the stripes of a key together, for the merging as well
+    known = F.sum("df").over(Window.partitionBy("lang", "term"))
+    often = folded.withColumn("known", known).where((F.col("known") >= min_docs) | (F.col("term") == ALL_DOCS)).drop("known")
+    stripes = stage(often.mapInArrow(_merged, _STRIPES), "stripes")
     cells = stripes.select("lang", "term", F.explode(F.arrays_zip("sources", "counts")).alias("c"))
     term = F.col("term") != ALL_DOCS
     totals = cells.groupBy("lang", F.col("c.sources").alias("source")).agg(F.coalesce(F.sum(F.when(term, F.col("c.counts"))), F.lit(0)).alias("n"))
