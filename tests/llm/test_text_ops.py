@@ -339,21 +339,44 @@ def test_toxicity_against_a_plain_fit(spark):
     for k, i in enumerate(train):
         x[k, list(plain_buckets(texts[i], bits))] = 1
     y = np.array([truth[i] for i in train], float)
-    ratio = []
-    for t, c in zip(x[y == 1].sum(0), x[y == 0].sum(0)):
-        r, doubt = math.log((t + 0.5) / (y.sum() + 1) * (len(y) - y.sum() + 1) / (c + 0.5)), 2 * math.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
-        ratio.append(0.0 if t + c == 0 else math.copysign(max(0.0, abs(r) - doubt), r))
-    x = x * ratio
-    w, b = np.zeros(1 << bits), math.log(y.sum() / (len(y) - y.sum()))
-    rate = 1 / (1 + 0.25 * np.linalg.norm(np.column_stack([x, np.ones(len(y))]), 2) ** 2)
-    for _ in range(4000):
-        off = 1 / (1 + np.exp(-(x @ w + b))) - y
-        w, b = w - rate * (x.T @ off + w), b - rate * off.sum()
+    toxic, clean = y.sum(), len(y) - y.sum()
+    pt, pc = 500 * toxic / len(y), 500 * clean / len(y)
+    ratio = np.array([math.log((t + pt) / (toxic + pt)) - math.log((c + pc) / (clean + pc)) if t + c else 0.0 for t, c in zip(x[y == 1].sum(0), x[y == 0].sum(0), strict=True)])
+    # every n-gram that was seen is a feature, but for those that are equally common in both classes
+    told = {k for k, (t, c) in enumerate(zip(x[y == 1].sum(0), x[y == 0].sum(0), strict=True)) if t * clean != c * toxic}
+    assert set(np.flatnonzero(model.weights)) == told and len(told) > 0.9 * (x.sum(0) > 0).sum()
+    x, heavy = x * ratio, np.where(y == 1, 3.0, 1.0)
+    w, b = np.zeros(1 << bits), math.log(toxic / clean)
+    rate = 1 / (0.3 + 3 * 0.25 * np.linalg.norm(np.column_stack([x, np.ones(len(y))]), 2) ** 2)
+    for _ in range(20_000):
+        off = heavy * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        w, b = w - rate * (x.T @ off + 0.3 * w), b - rate * off.sum()
     want = {i: 1 / (1 + math.exp(-(sum((w * ratio)[k] for k in plain_buckets(t, bits)) + b))) for i, t in texts.items()}
     got = {r["doc_id"]: r["score"] for r in T.score(docs, model).collect() if r["doc_id"] in truth}
     assert max(abs(got[i] - want[i]) for i in want) < 0.02
 
 
+def test_lists_are_read_in_bounded_pieces(monkeypatch):
+    """Slopes and counts of a partition do not hang on how its lists are cut; a list larger than a piece is one."""
+    rng = np.random.default_rng(1)
+    lists = [rng.choice(64, n, replace=False).astype("<i4") for n in (5, 0, 40, 3, 3, 60, 1)]
+    batch = pa.record_batch([pa.array([1, 0, 0, 1, 0, 1, 0]), pa.array([x.tobytes() for x in lists], pa.binary())], names=["toxic", "buckets"])
+
+    class Shared:
+        value = rng.normal(size=64), 0.5
+
+    def both():
+        slope = next(T._gradient(Shared, 2.0)(iter([batch, batch.slice(0, 0), batch]))).to_pylist()[0]
+        return slope["loss"], slope["off"], np.frombuffer(slope["slope"]), next(T._counted(6)(iter([batch]))).to_pydict()
+
+    whole = both()
+    for size in (1, 7, 50):
+        monkeypatch.setattr(T, "_CHUNK", size)
+        assert max(len(c) for _, _, c in T._entries(iter([batch]))) <= max(size, 60)
+        got = both()
+        assert np.allclose(whole[0], got[0]) and np.allclose(whole[1], got[1]) and np.allclose(whole[2], got[2]) and whole[3] == got[3]
+
+
 def test_toxicity_of_odd_labels(spark):
     """Repeated labels count once, ids with both teach nothing, one class alone gives its share; repeated documents are one."""
     docs, labels, truth = toxic_tables(spark)
