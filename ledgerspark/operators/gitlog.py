@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import iso_week, ratio, sum0
+from ledgerspark.operators.quantiles import quantiles, with_columns_of
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], at: str) -> DataFrame:
@@ -77,10 +78,11 @@ def debt_markers(lines: DataFrame, path: str, text: str, top: int = 20, markers:
 
 
 def commits_by_project(commits: DataFrame) -> DataFrame:
-    return commits.groupBy("project").agg(
-        F.count(F.lit(1)).alias("n_commits"), F.median("lines_changed").alias("median_lines"), F.round(F.avg("lines_changed"), 6).alias("mean_lines"),
-        sum0("lines_added").alias("added"), sum0("lines_deleted").alias("deleted"),
+    one = commits.groupBy("project").agg(
+        F.count(F.lit(1)).alias("n_commits"), F.round(F.avg("lines_changed"), 6).alias("mean_lines"), sum0("lines_added").alias("added"), sum0("lines_deleted").alias("deleted"),
     )
+    q = quantiles(commits, ["project"], "lines_changed", [0.5])
+    return with_columns_of(one, q, ["project"]).select("project", "n_commits", F.col("q")[0].alias("median_lines"), "mean_lines", "added", "deleted")
 
 
 def rolling_growth(commits: DataFrame, months: int = 6) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.columns import jaccard, period, ratio, sum0, token_set
+from ledgerspark.functions.columns import bucket, jaccard, period, ratio, sum0, token_set
 from ledgerspark.functions.identifiers import canonical_project  # noqa: F401
+from ledgerspark.operators.quantiles import quantiles, with_columns_of
 
 
 def session_commits(sessions: DataFrame, commits: DataFrame, bucket_days: int = 7) -> DataFrame:
@@ -171,6 +172,13 @@ def cross_delta(provider: DataFrame, other: DataFrame, family: str) -> DataFrame
     return p.crossJoin(o).select(F.round("provider_cost", 6).alias("provider_cost"), F.round("other_cost", 6).alias("other_cost"), F.round(100 * ratio(F.col("other_cost") - F.col("provider_cost"), "provider_cost"), 4).alias("delta_pct"))
 
 
+def findings_by_length(sessions: DataFrame) -> DataFrame:
+    """Sessions and the median of their findings by length in hours."""
+    f = sessions.withColumn("length", bucket("hours", [1.0, 3.0, 8.0], ["<1", "1-3", "3-8", ">8"]))
+    q = quantiles(f, ["length"], "n_findings", [0.5])
+    return with_columns_of(f.groupBy("length").agg(F.count(F.lit(1)).alias("n_sessions")), q, ["length"]).select("length", "n_sessions", F.col("q")[0].alias("median_findings"))
+
+
 def spine_fill(rows: DataFrame, spine: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Sums of the values on every cell of the spine, 0 where there are no rows."""
     sums = rows.groupBy(*keys).agg(*(F.sum(v).alias(v) for v in values))
@@ -184,7 +192,10 @@ def change_coupling(files: DataFrame, per_commit: int = 20, least: int = 3, top:
     per_commit * (per_commit - 1) / 2 pairs; pairs below ``least`` commits go and
     ``top`` stay per project.
     """
-    c = files.groupBy("project", "hash").agg(F.slice(F.sort_array(F.collect_set("file")), 1, per_commit).alias("fs")).where(F.size("fs") >= 2)
+    first = F.row_number().over(Window.partitionBy("project", "hash").orderBy("file"))
+    # the rank limit is applied below the exchange as well: a task sends no more than per_commit files of a commit
+    few = files.select("project", "hash", "file").distinct().withColumn("__r", first).where(F.col("__r") <= per_commit)
+    c = few.groupBy("project", "hash").agg(F.sort_array(F.collect_list("file")).alias("fs")).where(F.size("fs") >= 2)
     a = c.select("project", "hash", "fs", F.posexplode("fs").alias("i", "file_a"))
     pairs = a.select("project", "file_a", F.explode(F.slice("fs", F.col("i") + 2, per_commit)).alias("file_b"))
     n = pairs.groupBy("project", "file_a", "file_b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)

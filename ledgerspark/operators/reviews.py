@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import SEVERITIES, any_regex, bucket, hours_between, is_in, monday, one_of, rank_in, ratio, ratio1, sum0
+from ledgerspark.operators.quantiles import quantiles, with_columns_of
 from ledgerspark.operators.usage import long_form
 
 AGES = ([24.0, 72.0, 168.0, 336.0], ["<24h", "1-3d", "3-7d", "7-14d", "14d+"])
@@ -70,8 +71,10 @@ def agent_performance(performance: DataFrame) -> DataFrame:
 
 def backlog_age(lifecycle: DataFrame, now: str) -> DataFrame:
     """Hours open of unresolved reviews: median, p90, largest."""
-    hours = hours_between("created_at", now_of(now))
-    return lifecycle.where(~resolved()).agg(F.count(F.lit(1)).alias("n"), F.round(F.median(hours), 6).alias("median_h"), F.round(F.percentile(hours, F.lit(0.9)), 6).alias("p90_h"), F.round(F.max(hours), 6).alias("max_h"))
+    open_ = lifecycle.where(~resolved()).select(hours_between("created_at", now_of(now)).alias("hours"))
+    q = F.broadcast(quantiles(open_, [], "hours", [0.5, 0.9]))  # one row
+    one = open_.agg(F.count(F.lit(1)).alias("n"), F.max("hours").alias("most")).crossJoin(q)
+    return one.select("n", F.round(F.col("q")[0], 6).alias("median_h"), F.round(F.col("q")[1], 6).alias("p90_h"), F.round("most", 6).alias("max_h"))
 
 
 def backlog_buckets(lifecycle: DataFrame, now: str) -> DataFrame:
@@ -99,12 +102,13 @@ def window_metrics(lifecycle: DataFrame, now: str, days: tuple[int, ...] = (1, 3
     h = hours_between("created_at", "closed_at")
     h = F.when(h >= 0, h)
     fixed = F.col("close_reason") == "fix_linked"
-    pct = lambda p, n: F.round(F.percentile(h, F.lit(p)), 6).alias(n)
-    return r.groupBy("window_days").agg(
+    q = quantiles(r, ["window_days"], h, [0.5, 0.9, 0.99])
+    one = r.groupBy("window_days").agg(
         F.count(F.lit(1)).alias("total"), F.count_if(resolved()).alias("resolved"), F.round(ratio(F.count_if(resolved()), F.count(F.lit(1))), 6).alias("rate"),
         *(F.count_if(F.col("severity") == s).alias(f"n_{s}") for s in SEVERITIES),
-        F.count_if(fixed).alias("n_fixed"), F.count_if(resolved() & ~fixed).alias("n_wontfix"), F.count_if(~resolved()).alias("n_open"), pct(0.5, "p50_h"), pct(0.9, "p90_h"), pct(0.99, "p99_h"),
+        F.count_if(fixed).alias("n_fixed"), F.count_if(resolved() & ~fixed).alias("n_wontfix"), F.count_if(~resolved()).alias("n_open"),
     )
+    return with_columns_of(one, q, ["window_days"]).withColumns({f"p{p}_h": F.round(F.col("q")[k], 6) for k, p in enumerate((50, 90, 99))}).drop("q")
 
 
 def window_outliers(lifecycle: DataFrame, now: str, days: tuple[int, ...] = (1, 3, 7, 14), k: int = 10) -> DataFrame:
@@ -120,13 +124,19 @@ def period_deltas(lifecycle: DataFrame, now: str, days: int = 7) -> DataFrame:
     age = hours_between("created_at", now_of(now)) / 24
     h = hours_between("created_at", "closed_at")
 
+    periods = {"now": (age >= 0) & (age < days), "before": (age >= days) & (age < 2 * days)}
+
     def metrics(inside: Column, tag: str) -> list[Column]:
         return [
-            F.round(ratio(F.count_if(inside & resolved()), F.count_if(inside)), 6).alias(f"rate_{tag}"), F.round(F.median(F.when(inside & (h >= 0), h)), 6).alias(f"median_h_{tag}"),
+            F.round(ratio(F.count_if(inside & resolved()), F.count_if(inside)), 6).alias(f"rate_{tag}"),
             F.count_if(inside & (F.col("severity") == "critical")).alias(f"critical_{tag}"), F.count_if(inside & (F.col("severity") == "high")).alias(f"high_{tag}"),
         ]
 
-    one = lifecycle.agg(*metrics((age >= 0) & (age < days), "now"), *metrics((age >= days) & (age < 2 * days), "before"))
+    one = lifecycle.agg(*(m for tag, inside in periods.items() for m in metrics(inside, tag)))
+    of = F.when(periods["now"], "now").when(periods["before"], "before")
+    q = quantiles(lifecycle.where(of.isNotNull()).select(of.alias("tag"), F.when(h >= 0, h).alias("h")), ["tag"], "h", [0.5])
+    medians = q.agg(*(F.round(F.max(F.when(F.col("tag") == tag, F.col("q")[0])), 6).alias(f"median_h_{tag}") for tag in periods))
+    one = one.crossJoin(F.broadcast(medians)).select(*(f"{m}_{tag}" for tag in periods for m in ("rate", "median_h", "critical", "high")))
     return one.select("*", *(F.round(F.col(f"{m}_now") - F.col(f"{m}_before"), 6).alias(f"{m}_delta") for m in ("rate", "median_h", "critical", "high")))
 
 
@@ -261,7 +271,9 @@ def inflow_outflow(findings: DataFrame, since: str) -> DataFrame:
 
 def resolution_time(findings: DataFrame) -> DataFrame:
     """Median hours to resolve by severity."""
-    return findings.where(F.col("resolved_at").isNotNull()).groupBy("severity").agg(F.count(F.lit(1)).alias("n"), F.round(F.median(hours_between("found_at", "resolved_at")), 6).alias("median_h"))
+    done = findings.where(F.col("resolved_at").isNotNull()).select("severity", hours_between("found_at", "resolved_at").alias("h"))
+    q = quantiles(done, ["severity"], "h", [0.5])
+    return with_columns_of(done.groupBy("severity").agg(F.count(F.lit(1)).alias("n")), q, ["severity"]).select("severity", "n", F.round(F.col("q")[0], 6).alias("median_h"))
 
 
 def pulse_table(findings: DataFrame, loops: DataFrame) -> DataFrame:

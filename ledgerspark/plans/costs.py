@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerspark.functions.columns import bucket
 from ledgerspark.operators import joins as J
 from ledgerspark.plans.registry import query
 
@@ -185,7 +184,7 @@ f AS (SELECT session_id, round(duration_min / 60, 3) AS h, count(r.review_id) AS
 SELECT CASE WHEN h < 1 THEN '<1' WHEN h < 3 THEN '1-3' WHEN h < 8 THEN '3-8' ELSE '>8' END AS length, count(*) AS n_sessions, median(n) AS median_findings FROM f GROUP BY 1""")
 def _(t):
     f = J.findings_per_session(t("order_sessions"), t("commits").withColumn("commit_sha", F.col("order_key").cast("string")), t("lifecycle"))
-    return f.groupBy(bucket("hours", [1.0, 3.0, 8.0], ["<1", "1-3", "3-8", ">8"]).alias("length")).agg(F.count(F.lit(1)).alias("n_sessions"), F.median("n_findings").alias("median_findings"))
+    return J.findings_by_length(f)
 
 
 @query("s12_catalog_summary", "SELECT 'orders' AS table_name, count(*) AS n FROM orders UNION ALL SELECT 'events', count(*) FROM events UNION ALL SELECT 'lineitem', count(*) FROM lineitem")

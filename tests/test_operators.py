@@ -14,6 +14,7 @@ from ledgerspark.operators import gitlog as G
 from ledgerspark.operators import joins as J
 from ledgerspark.operators import loops as L
 from ledgerspark.operators import merges as M
+from ledgerspark.operators import quantiles as Q
 from ledgerspark.operators import reviews as R
 from ledgerspark.operators import sinks
 from ledgerspark.operators import usage as U
@@ -638,6 +639,56 @@ def test_stored_ids_are_found_by_both_spellings(spark):
     assert {r["session_id"] for r in M.new_sessions(short, events, "2024-01-02 00:00:00").collect()} == {"plain", "new"}
 
 
+@pytest.mark.parametrize("cell,bins", [(4096, 1024), (3, 256)])
+def test_quantiles_are_exact(spark, cell, bins):
+    """Groups of one value, many, ties, outliers of any size, NULL keys and values; against sorted lists."""
+    import numpy as np
+
+    rng = random.Random(cell)
+    groups = {
+        "one": [4.5], "same": [7.0] * 50, "two": [1.0, 2.0], "many": [rng.gauss(0, 1) for _ in range(300)], "ties": [float(rng.randrange(4)) for _ in range(200)],
+        "far": [10.0**k for k in range(-6, 9)] * 3 + [-1e9, 1e12], "next": [1.0, 1.0 + 2**-52, 1.0 + 2**-51] * 9, None: [float(k) for k in range(101)], "null": [None] * 5,
+    }
+    rows = [(k, 1, v) for k, vs in groups.items() for v in [*vs, None]]
+    rng.shuffle(rows)
+    shares = [0.0, 0.25, 0.5, 0.9, 0.99, 1.0]
+    df = spark.createDataFrame(rows, "g string, h int, v double")
+    got = {r["g"]: r["q"] for r in Q.quantiles(df, ["g", "h"], "v", shares, cell=cell, bins=bins).collect()}
+    assert set(got) == set(groups) - {"null"}
+    for g, q in got.items():
+        assert np.allclose(q, np.quantile(groups[g], shares), rtol=1e-12, atol=0)
+    assert np.allclose(Q.quantiles(df, [], "v", shares, cell=cell, bins=bins).first()["q"], np.quantile([v for vs in groups.values() for v in vs if v is not None], shares))
+    assert [r["q"] for r in Q.quantiles(df.where("g = 'null'"), [], "v", shares).collect()] == [None]
+    assert Q.quantiles(df.where("g = 'null'"), ["g"], "v", shares).collect() == []
+
+
+def test_quantile_rounds_hold_little(spark, monkeypatch):
+    """No round groups more than its bins; values are listed only where few are left."""
+    n, staged = 200_000, {}
+    stage = Q.stage
+
+    def watched(df, label):
+        out = stage(df, label)
+        staged.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(Q, "stage", watched)
+    df = spark.range(n).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 7.0).alias("v"))
+    want = sorted(r["v"] for r in df.collect())
+    assert Q.quantiles(df, [], "v", [0.5, 0.9], cell=16, bins=64).first()["q"] == pytest.approx([(want[n // 2 - 1] + want[n // 2]) / 2, want[int(0.9 * (n - 1))] + 0.1 * (want[int(0.9 * (n - 1)) + 1] - want[int(0.9 * (n - 1))])])
+    assert max(staged["quantile-ranks"]) <= 4 and len(staged["quantile-ranks"]) <= 12
+
+
+def test_a_commit_gives_its_first_files(spark):
+    files = [("p", "c1", f"f{k:03d}") for k in range(200)] * 2 + [("p", "c2", f"f{k:03d}") for k in range(30)] + [("p", "c3", f"f{k:03d}") for k in range(5, 8)] + [("q", "c1", "only")]
+    df = spark.createDataFrame(files, "project string, hash string, file string")
+    got = {(r["file_a"], r["file_b"]): r["n"] for r in J.change_coupling(df, least=2, top=1000).collect()}
+    want = {(f"f{a:03d}", f"f{b:03d}"): 3 if 5 <= a and b < 8 else 2 for a in range(20) for b in range(a + 1, 20)}
+    assert got == want
+    plan = J.change_coupling(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2  # below the exchange and above
+
+
 def test_block_triggers_and_metrics(spark):
     at = lambda h, m=0: T(2024, 1, 1, h, m)
     rows = [(1, at(1), at(2), at(6), False, 10, 2.0), (2, at(6, 30), None, at(11), False, 10, 2.0), (3, at(1), at(1), at(6), False, 10, 2.0), (4, at(1), at(2), at(6), True, 10, 2.0)]
