@@ -233,9 +233,12 @@ def merge_plan(parts: Sequence[Part], fan: int = FAN) -> list[list[Part]]:
         groups = [g for t, found in tiers.items() if t != full for g in found] + [[p for g in tiers[full] for p in g]]
 
 
-def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN) -> int:
+def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN, combine: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> int:
     """Merge parts of like size, so that appends leave few parts; returns the rows written.
 
+    ``combine`` makes what is stored of the rows of several parts, for tables
+    whose rows add up.
+
     Parts belong to a tier by the power of ``fan`` that their rows reach.  A row
     is written again only when its part moves to a higher tier: N batches write
     O(N log N) rows, and less than ``fan`` parts stay in each tier.
@@ -244,9 +247,10 @@ def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN) -> int
     plan = merge_plan(old.parts, fan) if old else []
     if not plan:
         return 0
-    merged = [_write_part(read_parts(spark, path, g, ddl), path, _common_rules(g)) for g in plan]
+    merged = [_write_part(combine(read_parts(spark, path, g, ddl)), path, _common_rules(g)) for g in plan]
     gone = {p.name for g in plan for p in g}
-    _publish(spark, path, old, [p for p in old.parts if p.name not in gone] + merged, old.rows, old.notes)
+    parts = [p for p in old.parts if p.name not in gone] + merged
+    _publish(spark, path, old, parts, sum(p.rows for p in parts), old.notes)
     return sum(p.rows for p in merged)
 
 
@@ -286,6 +290,15 @@ def vacuum_table(spark: SparkSession, path: str, keep_hours: float = 0.0) -> int
     return gone
 
 
+def keep_only(spark: SparkSession, path: str, names: set[str], keep_hours: float = 0.0) -> None:
+    """Delete what else is in a folder and older than ``keep_hours``."""
+    fs, p = _fs(spark, path)
+    until = time.time() * 1000 - keep_hours * 3_600_000
+    for status in fs.listStatus(p) if fs.exists(p) else ():
+        if status.getPath().getName() not in names and status.getModificationTime() <= until:
+            fs.delete(status.getPath(), True)
+
+
 def append_fetch(df: DataFrame, path: str, fetched: str) -> None:
     """Append a snapshot with its fetch time."""
     df.withColumn("fetch_timestamp", F.lit(fetched).cast("timestamp")).write.mode("append").option("compression", "zstd").parquet(path)

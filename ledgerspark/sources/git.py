@@ -6,18 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import sum0
+from ledgerspark.sources.lines import placed_lines
 
 
 def read_dumps(spark: SparkSession, path: str) -> DataFrame:
     """One row per line of a dump: (project, entry, full_hash, date, message, line).
 
-    A file's name is its project.  Files are read in splits; ``entry`` numbers
-    the header that a line stands under.
+    A file's name is its project.  Files are read in splits; ``entry`` is the
+    line number of the header that a line stands under.
     """
-    lines = spark.read.text(path).select(
-        F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("project"), F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"),
-    )
+    lines = placed_lines(spark, path).select(F.regexp_extract("name", r"^([^.]*)", 1).alias("project"), "file", "block", F.col("line").alias("n"), F.col("value").alias("line"))
     return under_headers(lines)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from ledgerspark import schemas as S
 from ledgerspark.operators import merges as M
 from ledgerspark.operators import sinks
 from ledgerspark.operators.lineage import discard, stage
+from ledgerspark.sources.lines import placed_lines
 from ledgerspark.sources.logs import EVENT_FILES, parse_events, parse_turns
 
 #: The stored tables: name -> (schema, the rows of staged events that are not stored, what holds for all stored rows)
@@ -84,28 +86,81 @@ def usage_blocks(stream: DataFrame, at: str = "ts", late: str | None = None) ->
     return s.groupBy(start.alias("block_start")).agg(F.sum("total_tokens").alias("tokens"), F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("n"))
 
 
-def tail_turns(spark: SparkSession, folder: str, table: str, checkpoint: str, files_per_batch: int = 100):
-    """Agent logs as immutable chunks: each batch's rollup is appended, and added up by ``turn_rollup``.
+#: What is known of a log file: its first line, how many of its lines are counted, and a hash of these.
+TAILED = "path string, length bigint, modified timestamp, head bigint, lines bigint, content decimal(38,0)"
 
-    The file source's checkpoint says which chunks are done; the number of the
-    last batch stands in the table's version, so a batch that is run again is
-    not added twice.
-    """
 
-    def append(df: DataFrame, batch: int) -> None:
-        version = sinks.version_of(spark, table)
-        if version is not None and batch <= version.notes.get("batch", -1):
-            return
-        new = parse_turns(df).groupBy("thread_id", "model").agg(F.count(F.lit(1)).alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
-        sinks.append_table(S.conform(new, TURNS), table, {"batch": batch})
-        if len(sinks.version_of(spark, table).parts) > 32:
-            sinks.write_table(turn_rollup(spark, table), table, notes={"batch": batch})
+def tail_turns(spark: SparkSession, folder: str, table: str, files_per_batch: int = 100, unfinished: bool = False, keep_hours: float = KEEP_HOURS) -> int:
+    """Count the turns of agent logs that are not counted yet; returns the number of turns in the table.
 
-    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
-    return raw.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    Files are known by their content: by the first line, and a hash of all lines
+    that were counted with their numbers.  A file that was renamed is the file
+    that it was; one that has grown gives its new lines; one whose counted
+    lines have changed is another file.  Files of unchanged name, size and time
+    are not opened.  The last line of a file waits until it is ended, unless
+    ``unfinished`` lines are wanted.
+
+    What is known of the files is named in the version that the turns of a batch
+    are stored with, so that both change at once and a batch that is run again
+    adds nothing.  ``files_per_batch`` files are read at a time, oldest first.
+    """
+    while True:
+        version = sinks.version_of(spark, table)
+        at = version.notes.get("tailed") if version else None
+        known = spark.read.schema(TAILED).parquet(f"{table}-tailed/{at}") if at else S.empty(spark, TAILED)
+        listed = spark.read.format("binaryFile").load(folder).select("path", "length", F.col("modificationTime").alias("modified"))
+        changed = listed.where("length > 0").join(known, ["path", "length", "modified"], "left_anti")
+        batch = [r["path"] for r in changed.orderBy("modified", "path").limit(files_per_batch).collect()]
+        if not batch:
+            break
+        lines = _tailed_lines(spark, batch, unfinished)
+        new, seen = _uncounted(lines, known)
+        seen = listed.join(seen, "path")  # by path: what the listing says of the file that was read
+        told = uuid.uuid4().hex
+        # what was known stays until all changed files are read: one of them may have had another name
+        known.unionByName(seen.select(*known.columns)).write.parquet(f"{table}-tailed/{told}")
+        turns = parse_turns(new).groupBy("thread_id", "model").agg(F.count(F.lit(1)).alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
+        sinks.append_table(S.conform(turns, TURNS), table, {"tailed": told})
+        discard(lines)
+    if at:
+        current = known.join(listed, ["path", "length", "modified"], "left_semi").dropDuplicates(["path"])
+        if current.count() < known.count():
+            told = uuid.uuid4().hex
+            current.write.parquet(f"{table}-tailed/{told}")
+            sinks.append_table(S.empty(spark, TURNS), table, {"tailed": told})
+        sinks.merge_tiers(spark, table, TURNS, combine=_added_up)
+        sinks.vacuum_table(spark, table, keep_hours)
+        sinks.keep_only(spark, f"{table}-tailed", {sinks.version_of(spark, table).notes["tailed"]}, keep_hours)
+    return turn_rollup(spark, table).agg(F.coalesce(F.sum("n_turns"), F.lit(0)).alias("n")).first()["n"]
+
+
+def _tailed_lines(spark: SparkSession, paths: list[str], unfinished: bool) -> DataFrame:
+    """(path, line, value, h) of the files' lines; a last line without an end is left out."""
+    placed = placed_lines(spark, paths, line_sep="\n")
+    if not unfinished:
+        ends = placed.groupBy("file").agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("line").alias("last"), F.max("size").alias("size"))
+        open_ = ends.where(F.col("bytes") > F.col("size")).select("file", F.col("last").alias("line"))
+        placed = placed.join(open_, ["file", "line"], "left_anti")
+    return stage(placed.select(F.col("file").alias("path"), "line", "value", F.xxhash64("line", "value").alias("h")), "tailed-lines")
+
+
+def _uncounted(lines: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines that no known file has counted, and what is to be known of the files now."""
+    total = lambda when: F.coalesce(F.sum(F.when(when, F.col("h").cast("decimal(38,0)"))), F.lit(0).cast("decimal(38,0)"))
+    heads = lines.where("line = 1").select("path", F.col("h").alias("head"))
+    maybe = known.where("lines > 0").select("head", F.col("lines").alias("n"), "content").distinct().join(heads, "head").select("path", "n", "content")
+    within = F.col("line") <= F.col("n")
+    same = lines.join(maybe, "path").groupBy("path", "n", "content").agg(total(within).alias("sum"), F.count_if(within).alias("have"))
+    counted = same.where((F.col("sum") == F.col("content")) & (F.col("have") == F.col("n"))).groupBy("path").agg(F.max("n").alias("done"))
+    new = lines.join(counted, "path", "left").where(F.col("line") > F.coalesce("done", F.lit(0)))
+    seen = lines.groupBy("path").agg(F.max(F.when(F.col("line") == 1, F.col("h"))).alias("head"), F.max("line").alias("lines"), total(F.lit(True)).alias("content"))
+    return new, seen
+
+
+def _added_up(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("thread_id", "model").agg(F.sum("n_turns").alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
 
 
 def turn_rollup(spark: SparkSession, table: str) -> DataFrame:
     """Turns and tokens per thread and model over all batches that ``tail_turns`` has stored."""
-    parts = sinks.read_table(spark, table, TURNS)
-    return parts.groupBy("thread_id", "model").agg(F.sum("n_turns").alias("n_turns"), F.sum("total_tokens").alias("total_tokens"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
+    return _added_up(sinks.read_table(spark, table, TURNS))

@@ -689,6 +689,70 @@ def test_a_commit_gives_its_first_files(spark):
     assert plan.count("WindowGroupLimit") == 2  # below the exchange and above
 
 
+def _turn(thread, tokens):
+    tid = f"{thread:08d}-0000-0000-0000-000000000000"
+    return f"2024-01-01T01:02:03.5Z x{{thread.id={tid} model=m}} codex.turn.token_usage.input_tokens=1 codex.turn.token_usage.total_tokens={tokens}\n"
+
+
+def test_log_tail_counts_each_line_once(spark, tmp_path):
+    """Rotations, growth, lines that are not ended, a file begun anew, and a copy of nothing."""
+    import os
+
+    logs, table = tmp_path / "logs", f"file://{tmp_path}/rollup"
+    logs.mkdir()
+    live = logs / "tui.log"
+
+    def tail(**more):
+        return drains.tail_turns(spark, f"file://{logs}", table, keep_hours=0.0, **more)
+
+    live.write_text(_turn(1, 10) + _turn(1, 20))
+    (logs / "empty.log").write_text("")
+    assert tail() == 2 and tail() == 2
+    with live.open("a") as f:  # it grows, its last line is not ended
+        f.write(_turn(2, 30) + _turn(2, 4)[:-2])
+    assert tail() == 3
+    with live.open("a") as f:
+        f.write("40\n")
+    assert tail() == 4
+    os.rename(live, logs / "tui.log.1")  # rotated twice, with a short new file in between
+    live.write_text(_turn(3, 50))
+    assert tail() == 5
+    os.rename(logs / "tui.log.1", logs / "tui.log.2")
+    os.rename(live, logs / "tui.log.1")
+    live.write_text(_turn(3, 50) + _turn(3, 60))  # begins like the one before it: taken for it, grown
+    assert tail(files_per_batch=1) == 6
+    live.write_text(_turn(4, 1) + _turn(4, 2))  # begun anew under its name
+    assert tail() == 8
+    got = {r["thread_id"][:8]: (r["n_turns"], r["total_tokens"]) for r in drains.turn_rollup(spark, table).collect()}
+    assert got == {"00000001": (2, 30), "00000002": (2, 30 + 40), "00000003": (2, 110), "00000004": (2, 3)}
+    version = sinks.version_of(spark, table)
+    assert tail() == 8 and sinks.version_of(spark, table) == version  # nothing new writes nothing
+    assert [x.name for x in (tmp_path / "rollup-tailed").iterdir()] == [version.notes["tailed"]]
+
+
+def test_lines_have_one_number_however_files_are_cut(spark, tmp_path):
+    from ledgerspark.sources.lines import placed_lines
+
+    text = {"a.log": [f"line {k} " + "x" * (k % 50) for k in range(400)], "b.log": ["only"], "c.log": []}
+    for name, ls in text.items():
+        (tmp_path / name).write_text("".join(x + "\n" for x in ls))
+    dump = "".join(f"{k:040x}|2024-01-02|m\n\n" + "".join(f"{j}\t1\tf{j}.py\n" for j in range(60)) for k in range(12))
+    (tmp_path / "g").mkdir()
+    (tmp_path / "g" / "p.txt").write_text(dump)
+    key, old = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "1k", "300"):
+            spark.conf.set(key, size)
+            placed = placed_lines(spark, [f"file://{tmp_path}/{n}" for n in text])
+            dumps = git.read_dumps(spark, f"file://{tmp_path}/g")
+            spark.conf.set(key, "777")  # a second scan would be cut otherwise
+            assert sorted((r["name"], r["line"], r["value"]) for r in placed.collect()) == sorted((n, k + 1, x) for n, ls in text.items() for k, x in enumerate(ls))
+            got = git.commits(dumps).collect()
+            assert sorted(r["hash"] for r in got) == sorted(f"{k:040x}"[:7] for k in range(12)) and {(r["lines_added"], r["files_changed"]) for r in got} == {(sum(range(60)), 60)}
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_block_triggers_and_metrics(spark):
     at = lambda h, m=0: T(2024, 1, 1, h, m)
     rows = [(1, at(1), at(2), at(6), False, 10, 2.0), (2, at(6, 30), None, at(11), False, 10, 2.0), (3, at(1), at(1), at(6), False, 10, 2.0), (4, at(1), at(2), at(6), True, 10, 2.0)]
