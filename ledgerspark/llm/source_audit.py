@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ MIN_DOCS, TOP_TERMS = 30, 50
 #: Counts are raised by SMOOTH; shares are in parts of SHARES.
 SMOOTH, SHARES = 5, 1_000_000_000
 #: A task's stripes are spilled beyond so many (term, source) cells.
-STRIPE_CELLS = 500_000
+STRIPE_CELLS = 200_000
 #: Cells of the matrices that a task works on.
 MATRIX_CELLS = 1 << 21
 #: No term is empty: this stripe counts a language's documents by source.
@@ -104,23 +105,35 @@ def _folded(limit: int):
     return run
 
 
+def _merge_runs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Stripes of one key, which stand in a row, as one: documents added, occurrences added by source."""
+    lang, term = batch.column(0), batch.column(1)
+    new = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+    starts = np.flatnonzero(np.concatenate([[True], new]))
+    run = np.cumsum(np.concatenate([[0], new])).astype(np.int64)
+    sources = batch.column(3).flatten().dictionary_encode()
+    cell = np.repeat(run, batch.column(3).value_lengths().to_numpy(zero_copy_only=False)) * len(sources.dictionary) + sources.indices.to_numpy()
+    cells, which = np.unique(cell, return_inverse=True)
+    counts = np.zeros(len(cells), np.int64)
+    np.add.at(counts, which, batch.column(4).flatten().to_numpy())
+    ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(cells // len(sources.dictionary), minlength=len(starts)))]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, sources.dictionary.take(pa.array(cells % len(sources.dictionary)))), pa.ListArray.from_arrays(ends, pa.array(counts))]
+    return pa.RecordBatch.from_arrays([lang.take(pa.array(starts)), term.take(pa.array(starts)), pa.array(np.add.reduceat(batch.column(2).to_numpy(), starts)), *lists], schema=_STRIPE)
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stripes of one key, which come one after the other, as one."""
-    done: dict[str, dict[bytes, list | tuple]] = {}
-    key, stripe, held = None, None, 0
+    """Stripes of one key, which come one after the other, as one; the last one of a batch may go on in the next."""
+    last = None
     for batch in batches:
-        for lang, term, df, sources, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (lang, term) != key:
-                if held > STRIPE_CELLS:  # the stripe at hand is whole
-                    yield from _rows(done)
-                    held = 0
-                key, stripe = (lang, term), [0, {}]
-                done.setdefault(lang, {})[term.encode()] = stripe
-            stripe[0] += df
-            held += len(sources)
-            for s, n in zip(sources, counts, strict=True):
-                stripe[1][s] = stripe[1].get(s, 0) + n
-    yield from _rows(done)
+        batch = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(batch.columns, _STRIPE, strict=True)], schema=_STRIPE)
+        if last is not None:
+            batch = pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
+        if batch.num_rows:
+            merged = _merge_runs(batch)
+            yield merged.slice(0, merged.num_rows - 1)
+            last = merged.slice(merged.num_rows - 1)
+    if last is not None:
+        yield last
 
 
 def shares(counts: np.ndarray, totals: np.ndarray, kept: int) -> np.ndarray:

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerspark.llm import decontamination as D
@@ -72,7 +73,7 @@ def test_leaks_of_a_very_long_text_and_a_cut_item(spark, monkeypatch):
     item = [f"i{rng.randrange(10**6)}" for _ in range(400)]
     text = [f"w{k % 997}" for k in range(200_000)]
     text[150_000:150_012] = item[44:56]  # across the end of a stretch
-    run = list(D._stretched(10)(iter([__import__("pyarrow").record_batch([["1"], [" ".join(item)]], names=["item", "text"])])))[0]
+    run = list(D._stretched(10)(iter([pa.record_batch([["1"], [" ".join(item)]], names=["item", "text"])])))[0]
     windows = {" ".join(t.split()[k : k + 10]) for t in run.column(1).to_pylist() for k in range(len(t.split()) - 9)}
     assert windows == {" ".join(item[k : k + 10]) for k in range(391)}
     found = D.Searcher([(t, ["1"]) for t in run.column(1).to_pylist()]).search([w.encode() for w in text])
@@ -226,6 +227,21 @@ def test_divergence_of_no_documents_and_a_very_long_one(spark):
     assert sorted(tuple(r) for r in got.select("lang", "source", "part", "item", "value", "rank").collect()) == audit_brute(rows, 1, 50)
 
 
+def test_stripes_are_merged_across_batches():
+    rng = random.Random(7)
+    rows = [(lang, term, rng.randint(1, 3), [rng.choice("xyz")] if k % 2 else ["x", "z"], [k + 1] if k % 2 else [1, k]) for lang in ("de", "en") for term in ("", "a", "b") for k in range(rng.randint(1, 9))]
+    want = {}
+    for lang, term, df, sources, counts in rows:
+        total, by = want.setdefault((lang, term), [0, Counter()])
+        want[lang, term][0] = total + df
+        by.update(dict(zip(sources, counts, strict=True)))
+    whole = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), S._STRIPE, strict=True)], schema=S._STRIPE)
+    for size in (1, 2, 5, 1000):
+        got = [r for b in S._merged(iter([whole.slice(k, size) for k in range(0, len(rows), size)])) for r in b.to_pylist()]
+        assert [(r["lang"], r["term"]) for r in got] == list(want)
+        assert all(want[r["lang"], r["term"]] == [r["df"], dict(zip(r["sources"], r["counts"], strict=True))] for r in got)
+
+
 def test_shares_of_large_counts_are_exact():
     counts = [0, 1, 10**12, 9 * 10**14, 3]
     totals = sum(counts)
