@@ -4,10 +4,47 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
+_open: list[Scratch] = []
+
+
+class Scratch:
+    """Staged copies of one owner."""
+
+    def __init__(self):
+        self.copies: list[DataFrame] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave this copy to the owner outside."""
+        self.copies = [c for c in self.copies if c is not df]
+        if len(_open) > 1 and hasattr(df, "_staged_at"):
+            _open[-2].copies.append(df)
+        return df
+
+
+@contextmanager
+def scratch():
+    """Owns what is staged inside: at the end the copies are deleted, but for those kept.
+
+    To be held open until the result that reads them is written::
+
+        with scratch():
+            queries["op6_packing"](spark, folder).write.parquet(out)
+
+    Without an owner copies stay until the shared folder is cleared, since a
+    frame that is returned still reads them.
+    """
+    own = Scratch()
+    _open.append(own)
+    try:
+        yield own
+    finally:
+        _open.remove(own)
+        discard(*own.copies)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +71,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    if _open:
+        _open[-1].copies.append(out)
     return out
 
 
