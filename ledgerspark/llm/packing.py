@@ -229,15 +229,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     return rows.select(F.col("_id").alias(id_col), "start", "length", "doc_tokens", "place.sequence_id", "place.offset", "ids")
 
 
-def _packed_groups(path: str, window: int, end_id: int):
-    """Pieces of rows that come sorted by (group, order), each group packed for itself."""
+def _packed_groups(path: str, window: int, end_id: int, most: int | None):
+    """Pieces of rows that come sorted by (group, order), each group packed for itself, or each stretch of about ``most`` ids in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end = ByteBpe(path), np.array([end_id], "<u4")
         names = ["_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-        now, rows, kind = None, [], None
+        now, rows, kind, held, done = None, [], None, 0, 0
 
-        def close() -> pa.RecordBatch:
+        def close() -> tuple[pa.RecordBatch, int]:
             counts: dict[int, int] = {}
             nth = []
             for r in rows:
@@ -250,36 +250,40 @@ def _packed_groups(path: str, window: int, end_id: int):
             rank = np.empty(len(first), np.int64)
             rank[np.argsort(first)] = np.arange(len(first))
             ids, start, length, tokens, raw = zip(*rows, strict=True)
-            columns = [pa.array(ids, kind), *(pa.array(c, pa.int64()) for c in (start, length, tokens, (now << _GROUP_BITS) + rank[which], offset)), pa.array(raw, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=names)
+            columns = [pa.array(ids, kind), *(pa.array(c, pa.int64()) for c in (start, length, tokens, (now << _GROUP_BITS) + done + rank[which], offset)), pa.array(raw, pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=names), len(first)
 
         for batch in batches:
             kind = batch.column(0).type
             for lo in range(0, batch.num_rows, 64):
                 for key, text, group in zip(*(batch.column(c).slice(lo, 64).to_pylist() for c in range(3)), strict=True):
-                    if rows and group != now:
-                        yield close()
-                        rows = []
+                    if rows and (group != now or most and held >= most):
+                        made, windows = close()
+                        yield made
+                        rows, held, done = [], 0, done + windows
+                    done = done if group == now else 0
                     now = group
                     ids = np.concatenate([bpe.ids(text), end]) if text else end
                     for s in range(0, len(ids), window):
                         raw = ids[s : s + window].tobytes()
                         rows.append((key, s, len(raw) // 4, len(ids), raw))
+                    held += len(ids)
         if rows:
-            yield close()
+            yield close()[0]
 
     return run
 
 
-def pack_in_order(docs: DataFrame, tokenizer_path: str, group_col: str, order_cols: list[str], id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0) -> DataFrame:
+def pack_in_order(docs: DataFrame, tokenizer_path: str, group_col: str, order_cols: list[str], id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end_id: int = 0, group_ids: int | None = None) -> DataFrame:
     """As ``pack_documents``, but each group of rows is packed for itself and sequence ids follow the groups' numbers.
 
     Groups are whole numbers from 0, NULL none, of so many bytes as one task may
-    hold.  A sequence id is the group's number above _GROUP_BITS bits, and below
+    hold; with ``group_ids``, of any size: in their order, rows of so many ids
+    are packed together.  A sequence id is the group's number above _GROUP_BITS bits, and below
     them the window's place by the piece in it that comes first in the order.
     """
     src = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(group_col).cast("long").alias("_group"), *(F.col(c).alias(f"_by{k}") for k, c in enumerate(order_cols)))
     kind = src.schema["_id"].dataType.simpleString()
     dealt = src.repartition("_group").sortWithinPartitions("_group", *(f"_by{k}" for k in range(len(order_cols))))
-    out = dealt.select("_id", "_text", "_group").mapInArrow(_packed_groups(tokenizer_path, window, end_id), f"_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+    out = dealt.select("_id", "_text", "_group").mapInArrow(_packed_groups(tokenizer_path, window, end_id, group_ids), f"_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
     return out.withColumnRenamed("_id", id_col)

@@ -65,36 +65,63 @@ def test_windows_follow_the_mix(spark, tmp_path, monkeypatch):
     weights, block = {"src0": 2, "src1": 3, "src2": 3}, 1 << 12
     monkeypatch.setattr(P, "TARGETS", weights)
     monkeypatch.setattr(P, "BLOCK_BYTES", block)
-    monkeypatch.setattr(P, "GROUP_SLOTS", 4)
+    monkeypatch.setattr(P, "GROUP_IDS", 1 << 12)
     mixed = P.mixing.mix_sources(docs, weights, block_bytes=block).collect()
     place = {r["doc_id"]: (r["slot"], r["block_offset"]) for r in mixed}
-    # stage results are read as files, in whatever order: here the reverse of the mix in files of many sizes
-    docs.repartition(7).sortWithinPartitions(F.desc("doc_id")).write.parquet(str(tmp_path / "mixed"))
-    got = P.documents_are_packed(spark, spark.read.parquet(str(tmp_path / "mixed")), SF).collect()
-    first, owner, held = {}, {}, {}
+    source, size = {i: s for i, _, s in rows}, {i: len(t) + 1 for i, t, _ in rows}
+    last = min(r["slot"] for r in mixed if not r["balanced"])
+
+    def packed(step, to):
+        step(spark, docs, SF).write.parquet(f"{tmp_path}/{to}")
+        return P.documents_are_packed(spark, spark.read.parquet(f"{tmp_path}/{to}"), SF).collect()
+
+    got = packed(P.sources_are_mixed, "mixed")
+    owner, held = {}, {}
     for r in got:
-        w = r["sequence_id"]
-        assert w >> 24 == place[r["doc_id"]][0] // 4
-        first[w] = min(first.get(w, (1 << 60, 0)), place[r["doc_id"]])
-        owner.setdefault(w, set()).add((r["offset"], r["length"]))
-        held.setdefault(w >> 24, set()).add(r["doc_id"])
-    in_order = [first[w] for w in sorted(first)]
-    assert in_order == sorted(in_order)  # windows follow their earliest documents
+        owner.setdefault(r["sequence_id"], set()).add((r["offset"], r["length"]))
+        held.setdefault(r["sequence_id"], set()).add(r["doc_id"])
     for parts in owner.values():  # no window is made of two
         spans = sorted(parts)
         assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and sum(n for _, n in spans) <= 1024
-    # while all sources last, the windows up to a group keep each source to its weight but for a block and a document
-    source, size = {i: s for i, _, s in rows}, {i: len(t) + 1 for i, t, _ in rows}
-    last = min(r["slot"] for r in mixed if not r["balanced"])
-    seen, checked = dict.fromkeys(weights, 0), 0
-    for g in sorted(g for g in held if g < last // 4):
-        for i in held[g]:
+
+    def ordered(got):
+        """Whether windows follow the mix, but for the documents that are packed with them."""
+        first = {}
+        for r in got:
+            first[r["sequence_id"]] = min(first.get(r["sequence_id"], (1 << 60, 0)), place[r["doc_id"]])
+        firsts = [first[w] for w in sorted(first)]
+        ahead = 8  # windows of a stretch
+        return all(firsts[k] < firsts[k + 2 * ahead] for k in range(len(firsts) - 2 * ahead))
+
+    assert ordered(got)
+    # while all sources last, the windows up to one keep each source to its weight but for a stretch
+    seen, total, checked, done = dict.fromkeys(weights, 0), 0, 0, set()
+    for w in sorted(held):
+        for i in held[w] - done:
+            done.add(i)
             seen[source[i]] += size[i]
+        if max(place[i][0] for i in held[w]) >= last:
+            break
         total, checked = sum(seen.values()), checked + 1
-        assert all(abs(seen[s] - total * k / 8) <= block + max(size.values()) for s, k in weights.items())
-    assert checked > 20 and total > 10 * (block + max(size.values()))
-    # what the weights are shows: unmixed, the hot source would hold two thirds
-    assert seen["src0"] < 0.35 * total
+        assert all(abs(seen[s] - total * k / 8) <= block + 2 * max(size.values()) + 4 * (1 << 12) for s, k in weights.items())
+    assert checked > 20 and seen["src0"] < 0.35 * total
+    # without the mixing stage neither holds: the order is what that stage hands on
+    assert not ordered(packed(lambda spark, docs, sf: docs.repartition(3), "unmixed"))
+
+
+def test_a_run_leaves_no_copies(spark, tmp_path):
+    """Only what the result reads is left of the stages' copies, and nothing once its owner ends."""
+    import pathlib
+
+    from ledgerspark.operators.lineage import scratch, shared_dir
+
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file://")) / "staged"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with scratch():
+        out = P.run(spark, SF)
+        assert [p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before] == ["mix_sources"]
+        out.write.parquet(str(tmp_path / "out"))
+    assert set(folder.iterdir()) == before and spark.read.parquet(str(tmp_path / "out")).count() > 0
 
 
 def test_stages_keep_the_columns(spark):
