@@ -9,15 +9,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerspark.llm import exact_dedup, mixing, ngram_join, packing, toxicity
 from ledgerspark.llm.queries import BLOCK_BYTES, TARGETS
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators.lineage import discard, scratch, stage
 
-#: Slots of the mix that are packed together: about a megabyte of text, some 250 windows.
-GROUP_SLOTS = 16
+#: Ids that are packed together: 256 windows, about a megabyte of text.
+GROUP_IDS = 1 << 18
 #: A classifier's scores can't be expressed in SQL; tests hold the stages against plain loops.
 ORACLE_SQL = None
 
@@ -37,23 +38,29 @@ def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return ngram_join.drop_near_duplicates(docs)
 
 
-def _mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES)
+def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order in which sources keep to their target weights: that of files by number, and of rows in a file."""
+    mixed = mixing.mix_sources(docs, TARGETS, block_bytes=BLOCK_BYTES)
+    return mixing.in_mixed_order(mixed, docs.columns)
 
 
-def sources_are_mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which sources keep to their target weights."""
-    return mixing.in_mixed_order(_mixed(docs), docs.columns)
+def _as_they_stand(docs: DataFrame) -> DataFrame:
+    """The rows with the number of their file and their place in it; of a frame that isn't files, of their partition."""
+    try:
+        docs.select("_metadata.file_name")  # raises where there are no files
+    except AnalysisException:
+        return docs.select("*", F.spark_partition_id().cast("long").alias("__part"), F.monotonically_increasing_id().alias("__row"))
+    part = F.coalesce(F.expr("try_cast(regexp_extract(_metadata.file_name, 'part-([0-9]+)', 1) AS bigint)"), F.lit(0).cast("long"))
+    return docs.select("*", part.alias("__part"), F.col("_metadata.row_index").alias("__row"))
 
 
 def documents_are_packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token streams in windows of 1024 ids, packed by ranges of slots and numbered in their order.
+    """Pieces of token streams in windows of 1024 ids, numbered in the order in which the mixing stage has left the documents.
 
-    Files are not read in the order in which they were written, so the slots,
-    which depend on the rows alone, are computed again.
+    Stretches of GROUP_IDS ids are packed together, so a window's documents
+    stand near each other in the mix.
     """
-    ranged = _mixed(docs).withColumn("slots", F.floor(F.col("slot") / GROUP_SLOTS))
-    return packing.pack_in_order(ranged, public_tokenizers.path("byte_bpe_50k.json"), "slots", ["slot", "block_offset"])
+    return packing.pack_in_order(_as_they_stand(docs), public_tokenizers.path("byte_bpe_50k.json"), "__part", ["__row"], group_ids=GROUP_IDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -66,9 +73,12 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; of the other stages' copies only the one that it reads is left."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, step) in enumerate(STAGES):
-        docs = step(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage(docs, name)
-    return docs
+        if k == len(STAGES) - 1:
+            return step(spark, docs, sf_dir)
+        with scratch() as own:
+            done = own.keep(stage(step(spark, docs, sf_dir), name))
+        discard(docs)
+        docs = done
