@@ -61,42 +61,58 @@ def template_tree(paths: DataFrame) -> DataFrame:
     are merged into one branch ``~`` if their labelled share of bad rows differs
     from their parent's by less than CLOSE standard errors, on their host and
     over the same segments of all hosts; labels that are not there part nothing.
-    A path that is alone in its
-    branch on all hosts takes its further segments at once, as each level would.
+    Where all paths of a branch on all hosts go on alike, the segments that
+    they share are taken at once, and a path that is alone in its branch on all hosts
+    takes all its further segments: so there are as many rounds as forks on a path, however
+    long it is.  What all hosts say of a branch is a staged table, so that a
+    join at a branch of very many hosts can be split.
     """
     seg = F.split(F.substring("path", 2, 1 << 30), "/")
-    tree = paths.withColumns({"segs": seg, "template": F.lit("")})
-    done, d = [], 0
+    tree = paths.withColumns({"segs": seg, "template": F.lit(""), "at": F.lit(0)})
+    done = []
     while True:
-        tree = tree.withColumn("seg", F.get("segs", F.lit(d)))
+        tree = tree.withColumn("seg", F.get("segs", F.col("at")))
+        rest = F.slice("segs", F.col("at") + 1, F.size("segs"))
         labelled = F.col("bad") + F.col("good")
-        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), F.sum("bad").alias("b"), F.sum(labelled).alias("l"))
+        ended = F.concat(F.array_join(rest, "/"), F.lit("/"))  # each segment has an end, so that between two paths in order all share what these share
+        values = tree.where(F.col("seg").isNotNull()).groupBy("host", "template", "seg").agg(F.count(F.lit(1)).alias("paths"), F.sum("bad").alias("b"), F.sum(labelled).alias("l"), F.min(ended).alias("lo"), F.max(ended).alias("hi"))
         values = stage(values, "segments")
         branch = values.groupBy("host", "template").agg(F.count(F.lit(1)).alias("kinds"), F.sum("paths").alias("below"), F.sum("b").alias("pb"), F.sum("l").alias("pl"))
         # the same branches and segments on all hosts: narrow rows, one a template or segment of one
-        named = values.groupBy("template", "seg").agg(F.sum("paths").alias("all_paths"), F.sum("b").alias("ab"), F.sum("l").alias("al"))
+        named = values.groupBy("template", "seg").agg(F.sum("paths").alias("all_paths"), F.sum("b").alias("ab"), F.sum("l").alias("al"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        named = stage(named.select("template", "seg", "all_paths", "ab", "al", _shared("lo", "hi").alias("shared")), "named")
         pooled = named.groupBy("template").agg(F.count(F.lit(1)).alias("all_kinds"), F.sum("all_paths").alias("all_below"), F.sum("ab").alias("apb"), F.sum("al").alias("apl"))
+        pooled = stage(pooled, "pooled")
         branch = stage(branch.join(pooled, "template"), "branches")
         # SALTS rows a branch, of which Catalyst's estimate does not know: never sent to all tasks
         salted = branch.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
-        nodes = values.withColumn("salt", F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).join(salted, ["host", "template", "salt"]).join(named, ["template", "seg"])
+        nodes = values.drop("lo", "hi").withColumn("salt", F.pmod(F.xxhash64("seg"), F.lit(SALTS)).cast("int")).join(salted, ["host", "template", "salt"]).join(named, ["template", "seg"])
         usual = (F.col("all_kinds") - 1) / F.col("all_below")
         fresh = (F.col("kinds") - 1 + POOL_PATHS * usual) / (F.col("below") - 1 + POOL_PATHS)
         like = F.coalesce(_close(F.col("b"), F.col("l"), F.col("pb"), F.col("pl")), F.lit(True)) & F.coalesce(_close(F.col("ab"), F.col("al"), F.col("apb"), F.col("apl")), F.lit(True))
         step = F.when(fresh >= MIN_VARIETY, F.lit(WILD)).when(like & (F.col("kinds") > 1), F.lit(POOLED)).otherwise(F.col("seg"))
-        nodes = nodes.select("host", "template", "seg", step.alias("step"), (F.col("all_below") == 1).alias("alone"))
+        far = F.when(F.col("all_kinds") == 1, F.col("shared")).otherwise(1)
+        nodes = nodes.select("host", "template", "seg", step.alias("step"), (F.col("all_below") == 1).alias("alone"), far.alias("far"))
         tree = tree.join(nodes, ["host", "template", "seg"], "left")
-        step = F.when(F.col("alone"), F.array_join(F.slice("segs", d + 1, F.size("segs")), "/")).otherwise(F.col("step"))
+        step = F.when(F.col("alone"), F.array_join(rest, "/")).when(F.col("far") > 1, F.array_join(F.slice("segs", F.col("at") + 1, F.col("far")), "/")).otherwise(F.col("step"))
         tree = tree.withColumn("template", F.when(F.col("step").isNotNull(), F.concat("template", F.lit("/"), step)).otherwise(F.col("template")))
-        tree = tree.withColumn("open", ~F.coalesce("alone", F.lit(True)) & (F.size("segs") > d + 1)).drop("seg", "step", "alone")
+        tree = tree.withColumn("at", F.col("at") + F.coalesce("far", F.lit(1)))
+        tree = tree.withColumn("open", ~F.coalesce("alone", F.lit(True)) & (F.size("segs") > F.col("at"))).drop("seg", "step", "alone", "far")
         tree = stage(tree, "templates")  # read twice by the next level
-        discard(values, branch)
-        done.append(tree.where(~F.col("open")).drop("segs", "open"))
-        tree, d = tree.where("open").drop("open"), d + 1
+        discard(values, named, pooled, branch)
+        done.append(tree.where(~F.col("open")).drop("segs", "open", "at"))
+        tree = tree.where("open").drop("open")
         if tree.isEmpty():
             return reduce(DataFrame.unionByName, done)
 
 
+def _shared(lo: str, hi: str) -> Column:
+    """How many segments two ended paths begin with alike."""
+    x, y = F.split(lo, "/"), F.split(hi, "/")
+    differ = F.array_position(F.zip_with(x, y, lambda a, b: a.eqNullSafe(b)), False)
+    return F.least(F.when(differ > 0, differ - 1).otherwise(F.size(x)), F.size(x) - 1, F.size(y) - 1).cast("int")
+
+
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per input row: id, host, path, rule, verdict, template, purity.
 
@@ -119,7 +135,8 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
     )
     tree = template_tree(stage(counted, "paths"))
     own = tree.groupBy("host", "template").agg(F.sum("bad").alias("ob"), F.sum(F.col("bad") + F.col("good")).alias("ol"))
-    everywhere = own.groupBy("template").agg(F.sum("ob").alias("tb"), F.sum("ol").alias("tl"))
+    own = stage(own, "templates-own")
+    everywhere = stage(own.groupBy("template").agg(F.sum("ob").alias("tb"), F.sum("ol").alias("tl")), "templates-all")
     overall = everywhere.agg(F.sum("tb").alias("ab"), F.sum("tl").alias("al"))
     prior = F.coalesce(F.try_divide(F.col("ab").cast("double"), F.col("al")), F.lit(0.0))
     scored = own.join(everywhere, "template").crossJoin(F.broadcast(overall))

@@ -260,6 +260,75 @@ def test_url_templates_learn_over_hosts(spark):
     assert {got[f"/news/{200 + k}"] for k in range(8)} == {("/news/*", "allow", None)}
 
 
+def tree_brute(rows):
+    """Templates of (host, path, bad, good) by recursion over the branches, all hosts of one at once."""
+    out = {}
+
+    def close(b, n, pb, pn):
+        if not n or not pn:
+            return True
+        p = pb / pn
+        return abs(b / n - p) <= 1.96 * math.sqrt(p * (1 - p) * (1 / n + 1 / pn))
+
+    def grow(template, members, depth):
+        kids = {}
+        for host, path, segs, bad, good in members:
+            if len(segs) <= depth:
+                out[host, path] = template
+            else:
+                kids.setdefault(host, {}).setdefault(segs[depth], []).append((host, path, segs, bad, good))
+        everywhere = {}
+        for by in kids.values():
+            for seg, ms in by.items():
+                everywhere.setdefault(seg, []).extend(ms)
+        total = [m for ms in everywhere.values() for m in ms]
+        if len(total) == 1:
+            host, path, segs, _, _ = total[0]
+            out[host, path] = template + "/" + "/".join(segs[depth:])
+            return
+        count = lambda ms: (sum(m[3] for m in ms), sum(m[3] + m[4] for m in ms))
+        after = {}
+        for by in kids.values():
+            mine = [m for ms in by.values() for m in ms]
+            fresh = (len(by) - 1 + 4 * ((len(everywhere) - 1) / len(total))) / (len(mine) - 1 + 4)
+            for seg, ms in by.items():
+                like = close(*count(ms), *count(mine)) and close(*count(everywhere[seg]), *count(total))
+                step = "*" if fresh >= 0.3 else "~" if like and len(by) > 1 else seg
+                after.setdefault(f"{template}/{step}", []).extend(ms)
+        for t, ms in after.items():
+            grow(t, ms, depth + 1)
+
+    grow("", [(h, p, p[1:].split("/"), b, g) for h, p, b, g in rows], 0)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_url_trees_equal_recursion(spark, seed):
+    """Random trees over several hosts: shared runs of segments, ends within them, empty segments, labels of both kinds."""
+    rng = random.Random(seed)
+    run = "/".join(f"r{k}" for k in range(9))
+    heads = ["", "a", "a/b", f"a/{run}", f"{run}/x", f"{run}-1", "deep/" + "/".join("ab" for _ in range(7))]
+    rows = {}
+    for _ in range(120):
+        host, head = rng.choice(["h1", "h2", "h3", ""]), rng.choice(heads if seed > 1 else heads[3:6])
+        tail = "/".join(rng.choice(["p", "q", "", str(rng.randrange(40))]) for _ in range(rng.randrange(4)))
+        cut = head.split("/")[: rng.randint(1, 12)]
+        path = rng.choice(["/" + "/".join([*cut, tail]), "/" + "/".join(cut), ""])
+        rows[host, path] = (rng.randrange(3), rng.randrange(3)) if head.startswith("a") else (0, 0)
+    rows = [(h, p, b, g) for (h, p), (b, g) in rows.items()]
+    got = U.template_tree(spark.createDataFrame(rows, "host string, path string, bad long, good long")).collect()
+    assert {(r["host"], r["path"]): r["template"] for r in got} == tree_brute(rows) and len(got) == len(rows)
+
+
+def test_long_shared_paths_take_few_rounds(spark, monkeypatch):
+    rounds, stage = [], U.stage
+    monkeypatch.setattr(U, "stage", lambda df, label: rounds.append(label) or stage(df, label))
+    deep = "http://h.com/" + "trap/" * 300
+    got = {r["page_id"]: r["template"] for r in U.judge_urls(spark.createDataFrame([(1, deep + "x"), (2, deep + "y"), (3, deep + "y/z")], "page_id long, url string"), RULES).collect()}
+    assert len(got) == 3 and all(t.startswith("/trap" * 300) for t in got.values())
+    assert rounds.count("templates") <= 4
+
+
 def test_urls_of_odd_tables(spark):
     """Clashing column names, NULL ids, repeated rows and a very long url."""
     long = "http://h.com/" + "a" * 200_000
