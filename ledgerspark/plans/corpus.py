@@ -163,6 +163,20 @@ def _(t):
     return _loops(t, _findings(t).withColumns({"severity": F.lit("high"), "primary_file": F.substring_index("folder", "/", 2)}))
 
 
+# findings of every event: module k is named by 2 k + 1 of them in each of 1000 pages, in three wordings, so that loops of all tiers come up at any size
+_MODULES = "(SELECT job_id, severity, primary_file, problem_text, reviewed_at FROM (SELECT event_id AS job_id, 'high' AS severity, concat('src/m', CAST(CAST(floor(sqrt(event_id % 1000)) AS INT) AS STRING), '/p', CAST(event_id // 1000 AS STRING), '.py') AS primary_file, concat('slow query in module m', CAST(CAST(floor(sqrt(event_id % 1000)) AS INT) AS STRING), ' for page ', CAST(event_id % 3 AS STRING)) AS problem_text FROM events) z)"
+
+
+@query("u12_detect_loops_tiers", f"WITH RECURSIVE {_COLLAPSE.replace(_F2, _recent(_MODULES))}, {_RUNS}, {_CYCLES} {_LOOPS}")
+def _(t):
+    module = F.floor(F.sqrt(F.col("event_id") % 1000)).cast("string")
+    rows = t("events").select(
+        F.col("event_id").alias("job_id"), F.lit("high").alias("severity"), F.concat(F.lit("src/m"), module, F.lit("/p"), F.floor(F.col("event_id") / 1000).cast("string"), F.lit(".py")).alias("primary_file"),
+        F.concat(F.lit("slow query in module m"), module, F.lit(" for page "), (F.col("event_id") % 3).cast("string")).alias("problem_text"), F.col("ts").cast("timestamp").alias("reviewed_at"),
+    )
+    return _loops(t, rows)
+
+
 _MATCHES = f"""b AS (SELECT item_id, concat('src', CAST(item_id % 500 AS STRING)) AS file, {_TOKENS} AS tok FROM benchmark)
 SELECT DISTINCT p.id AS prompt_id, md5(CAST(b.item_id AS STRING)) AS content_hash FROM p JOIN b ON b.file = p.file OR
  CASE WHEN len(p.tok) = 0 OR len(b.tok) = 0 THEN len(p.tok) = len(b.tok) ELSE len(list_intersect(p.tok, b.tok))::DOUBLE / len(list_distinct(list_concat(p.tok, b.tok))) >= 0.5 END"""

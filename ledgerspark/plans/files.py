@@ -151,6 +151,33 @@ def _(t):
     return got.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("input_tokens").alias("input_tokens"))
 
 
+_SESSION = "concat('u', CAST(user_id % 5 AS STRING), '-', CAST(CAST(ts AS DATE) AS STRING))"
+
+
+@query("s08_chat_sessions", f"""
+SELECT {_SESSION} AS session_id, count(*) AS n, sum(event_id) AS input_tokens, epoch_us(date_trunc('second', min(ts))) AS first_us FROM events WHERE event_id % 5 <> 0 AND ts >= TIMESTAMP '2024-01-15' GROUP BY 1""")
+def _(t):
+    """Session files by name; those of the first half of the month were written long ago and are not read again."""
+    m = F.struct(F.date_format("ts", _ISO).alias("timestamp"), F.when(F.col("event_id") % 5 != 0, F.struct(F.col("event_id").alias("input"))).alias("tokens"))
+    g = t("events").groupBy(F.expr(_SESSION).alias("session")).agg(F.collect_list(m).alias("messages"))
+    path = _folder(g, "sessions")
+    g.select("session", F.to_json(F.struct("messages")).alias("value")).write.partitionBy("session").text(path)
+    spark = t.spark
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p(f"{path}-named"))
+    for folder in fs.listStatus(p(path)):  # five sessions a day
+        name = folder.getPath().getName()
+        if name.startswith("session="):
+            part = next(s.getPath() for s in fs.listStatus(folder.getPath()) if s.getPath().getName().startswith("part-"))
+            to = p(f"{path}-named/session-{name[8:]}.json")
+            fs.rename(part, to)
+            if name[-10:] < "2024-01-15":
+                fs.setTimes(to, 1_577_836_800_000, -1)
+    got = logs.read_chat_logs(spark, f"{path}-named", newer_than="2021-01-01 00:00:00")
+    return got.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.sum("input_tokens").alias("input_tokens"), micros(F.min("ts")).alias("first_us"))
+
+
 def _turn_lines(t) -> DataFrame:
     thread = F.concat(F.substring(F.md5(F.col("user_id").cast("string")), 1, 8), F.lit("-0000-0000-0000-000000000000"))
     k = F.col("event_id")

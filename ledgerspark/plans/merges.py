@@ -139,9 +139,9 @@ def _part(t, where: str):
     return u.groupBy("project", "model").agg(F.sum("total_tokens").alias("tokens"), F.sum("cost").alias("cost"), F.min("event_id").alias("lo"), F.max("event_id").alias("hi"))
 
 
-@query("u09_additive_merge", _PART.format(w="event_id <> 17"))
+@query("u09_additive_merge", _PART.format(w="true"))
 def _(t):
-    both = M.additive_merge(_part(t, "event_id < 300 AND event_id <> 17"), _part(t, "event_id >= 300"), ["project", "model"], ["tokens"], low=["lo"], high=["hi"], nullable=["cost"])
+    both = M.additive_merge(_part(t, "event_id < 300"), _part(t, "event_id >= 300"), ["project", "model"], ["tokens"], low=["lo"], high=["hi"], nullable=["cost"])
     return both.withColumn("cost", F.round("cost", 6))
 
 

@@ -78,19 +78,16 @@ def _(t):
 @query("x04_streaming_blocks", """
 SELECT epoch_us(date_trunc('day', ts) + to_hours(CAST(hour(ts) // 5 * 5 AS INT))) AS block_us, sum(total_tokens) AS tokens, round(sum(cost), 6) AS cost, count(*) AS n FROM usage GROUP BY 1""")
 def _(t):
-    src, out, marks = (_folder(t, x) for x in ("src", "out", "marks"))
+    """The later half of time comes first, so that most of the earlier one is late."""
+    src, table, marks = (_folder(t, x) for x in ("src", "blocks", "marks"))
     rows = t("usage").select(F.col("ts").cast("timestamp").alias("ts"), "total_tokens", "cost")
-    rows.repartition(4).write.parquet(src)
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
-
-    def keep(df, batch: int) -> None:
-        df.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{out}/b={batch}")
-
-    _run(drains.usage_blocks(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", marks).trigger(availableNow=True).start())
-    from ledgerspark.operators.gitlog import last_per_key
-
-    last = last_per_key(t.spark.read.parquet(f"{out}/b=*"), ["block_start"], ["batch"])
-    return last.select(micros("block_start").alias("block_us"), "tokens", F.round("cost", 6).alias("cost"), "n")
+    half = F.broadcast(rows.agg(F.expr("percentile_approx(unix_micros(ts), 0.5)").alias("half")))
+    halves = rows.crossJoin(half).withColumn("old", F.unix_micros("ts") < F.col("half")).drop("half")
+    for old in (False, True):
+        halves.where(F.col("old") == old).drop("old").repartition(2).write.mode("append").parquet(src)
+        stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(src)
+        _run(drains.drain_blocks(stream, table, marks, late_hours=12.0))
+    return drains.blocks_of(t.spark, table).select(micros("block_start").alias("block_us"), "tokens", F.round("cost", 6).alias("cost"), "n")
 
 
 @query("x05_log_tail", """

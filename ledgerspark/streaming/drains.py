@@ -82,8 +82,61 @@ def usage_blocks(stream: DataFrame, at: str = "ts", late: str | None = None) ->
     A watermark, where given, bounds the state to blocks that may still change.
     """
     s = stream.withWatermark(at, late) if late else stream
-    start = F.date_trunc("day", F.col(at)) + F.make_dt_interval(F.lit(0), (F.floor(F.hour(at) / 5) * 5).cast("int"))
-    return s.groupBy(start.alias("block_start")).agg(F.sum("total_tokens").alias("tokens"), F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("n"))
+    return s.groupBy(block_of(at).alias("block_start")).agg(F.sum("total_tokens").alias("tokens"), F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("n"))
+
+
+BLOCKS = "block_start timestamp, late boolean, tokens bigint, cost double, n bigint"
+
+
+def block_of(at: str):
+    """Start of the 5-hour calendar block (0, 5, 10, 15, 20 h)."""
+    return F.date_trunc("day", F.col(at)) + F.make_dt_interval(F.lit(0), (F.floor(F.hour(at) / 5) * 5).cast("int"))
+
+
+def drain_blocks(stream: DataFrame, table: str, checkpoint: str, at: str = "ts", late_hours: float = 24.0, keep_hours: float = KEEP_HOURS):
+    """Tokens and cost by block in a stored table, to which each batch adds its own sums; a query with an available-now trigger.
+
+    The stream keeps no state: what was is in the table, in parts that are added up
+    when they are merged by size.  The watermark, the newest time seen less
+    ``late_hours``, stands in the table's version beside the number of the batch, so
+    a batch that is run again adds nothing.  Rows behind it are never lost:
+    they go to rows of their own, marked late, which ``blocks_of`` adds and
+    ``late_corrections`` lists.  Rows without a time are a block without a start.
+    """
+    micros = F.unix_micros(at)
+
+    def add(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        version = sinks.version_of(spark, table)
+        notes = version.notes if version else {}
+        if batch <= notes.get("batch", -1):
+            return
+        mark = notes.get("watermark")
+        late = F.lit(False) if mark is None else F.coalesce(micros < mark, F.lit(False))
+        sums = rows.groupBy(block_of(at).alias("block_start"), late.alias("late")).agg(F.sum("total_tokens").alias("tokens"), F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("n"), F.max(micros).alias("newest"))
+        sums = stage(sums, "blocks")
+        newest = sums.agg(F.max("newest")).first()[0]
+        seen = [m for m in (mark, None if newest is None else newest - int(late_hours * 3_600_000_000)) if m is not None]
+        sinks.append_table(S.conform(sums, BLOCKS), table, {"batch": batch, "watermark": max(seen, default=None)})
+        discard(sums)
+        sinks.merge_tiers(spark, table, BLOCKS, combine=lambda parts: _blocks_added(parts, ["block_start", "late"]))
+        sinks.vacuum_table(spark, table, keep_hours)
+
+    return stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _blocks_added(parts: DataFrame, keys: list[str]) -> DataFrame:
+    return parts.groupBy(*keys).agg(F.sum("tokens").alias("tokens"), F.sum("cost").alias("cost"), F.sum("n").alias("n"))
+
+
+def blocks_of(spark: SparkSession, table: str) -> DataFrame:
+    """Tokens, cost and rows by block, late ones included."""
+    return _blocks_added(sinks.read_table(spark, table, BLOCKS), ["block_start"])
+
+
+def late_corrections(spark: SparkSession, table: str) -> DataFrame:
+    """What late rows have added to blocks."""
+    return _blocks_added(sinks.read_table(spark, table, BLOCKS).where("late"), ["block_start"])
 
 
 #: What is known of a log file: its first line, how many of its lines are counted, and a hash of these.

@@ -730,6 +730,32 @@ def test_log_tail_counts_each_line_once(spark, tmp_path):
     assert [x.name for x in (tmp_path / "rollup-tailed").iterdir()] == [version.notes["tailed"]]
 
 
+def test_blocks_without_state_count_late_rows(spark, tmp_path):
+    """Ten batches: no state in the stream, few parts in the table; rows behind the watermark are corrections, none is lost."""
+    src, table, mark = tmp_path / "src", f"file://{tmp_path}/blocks", f"file://{tmp_path}/mark"
+    src.mkdir()
+    ddl = "ts timestamp, total_tokens long, cost double"
+    times = [T(2024, 1, 1 + d, 6 * (d % 4), 30) for d in range(9)]
+    batches = [[(t, 10, 1.0), (t, 5, 0.5)] for t in times] + [[(T(2024, 1, 1, 1), 7, 2.0), (times[8], 1, 0.25), (None, 3, None)]]
+    want, late = {}, {}
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(f"file://{src}")
+        q = drains.drain_blocks(spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(f"file://{src}"), table, mark, late_hours=24.0, keep_hours=0.0)
+        q.awaitTermination()
+        assert q.exception() is None and all(not p.stateOperators for p in q.recentProgress)
+        for t, tokens, _ in rows:
+            block = t and t.replace(hour=t.hour // 5 * 5, minute=0)
+            want[block] = want.get(block, 0) + tokens
+            if k == 9 and t == T(2024, 1, 1, 1):
+                late[block] = tokens
+        assert len(sinks.version_of(spark, table).parts) <= 6
+    assert {r["block_start"]: r["tokens"] for r in drains.blocks_of(spark, table).collect()} == want
+    assert {r["block_start"]: r["tokens"] for r in drains.late_corrections(spark, table).collect()} == late
+    again = drains.drain_blocks(spark.readStream.schema(ddl).parquet(f"file://{src}"), table, mark, keep_hours=0.0)
+    again.awaitTermination()
+    assert sum(r["n"] for r in drains.blocks_of(spark, table).collect()) == 21
+
+
 def test_lines_have_one_number_however_files_are_cut(spark, tmp_path):
     from ledgerspark.sources.lines import placed_lines
 
