@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import any_regex
 from ledgerspark.functions.identifiers import confidential
+from ledgerspark.operators.lineage import discard, stage
 from ledgerspark.schemas import conform, empty
 
 
@@ -37,11 +38,12 @@ FAN = 4
 
 @dataclass(frozen=True)
 class Part:
-    """A folder of rows: its name, their number, and the names of the rules that hold for them."""
+    """A folder of rows: its name, their number, the names of the rules that hold for them, and the bucket of their keys, if any."""
 
     name: str
     rows: int
     rules: tuple[str, ...] = ()
+    bucket: int | None = None
 
 
 @dataclass(frozen=True)
@@ -83,7 +85,7 @@ def _load(spark: SparkSession, path: str, number: int) -> Version | None:
         body = json.loads(text)
     except ValueError:
         return None
-    parts = (Part(x["name"], x["rows"], tuple(x["rules"])) for x in body["parts"])
+    parts = (Part(x["name"], x["rows"], tuple(x["rules"]), x["bucket"]) for x in body["parts"])
     return Version(number, tuple(parts), body["rows"], body["notes"])
 
 
@@ -111,7 +113,7 @@ def _publish(spark: SparkSession, path: str, old: Version | None, parts: list[Pa
         if age < STOPPED_MINUTES or _load(spark, path, number) is not None:
             raise GateError(f"{path}: another writer has made version {number}")
         fs.delete(target, False)
-    body = {"parts": [{"name": p.name, "rows": p.rows, "rules": list(p.rules)} for p in parts], "rows": rows, "notes": notes}
+    body = {"parts": [{"name": p.name, "rows": p.rows, "rules": list(p.rules), "bucket": p.bucket} for p in parts], "rows": rows, "notes": notes}
     try:
         out = fs.create(target, False)
     except Py4JJavaError as e:
@@ -139,10 +141,10 @@ def _drop_part(spark: SparkSession, path: str, part: Part) -> None:
     fs.delete(p, True)
 
 
-def _write_part(df: DataFrame, path: str, rules: Sequence[str] = ()) -> Part:
+def _write_part(df: DataFrame, path: str, rules: Sequence[str] = (), bucket: int | None = None) -> Part:
     name = f"part-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(f"{path}/{name}")
-    return Part(name, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}").count(), tuple(rules))
+    return Part(name, df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}").count(), tuple(rules), bucket)
 
 
 def write_table(df: DataFrame, path: str, allow_shrink: bool = True, notes: dict | None = None, rules: Sequence[str] = ()) -> int:
@@ -191,17 +193,18 @@ def migrate_table(spark: SparkSession, path: str, ddl: str, rules: Sequence[Rule
     lack the same ones become one part.  The columns are those of ``ddl``.
     """
     old = version_of(spark, path)
-    lacking: dict[tuple[str, ...], list[Part]] = {}
+    lacking: dict[tuple[tuple[str, ...], int | None], list[Part]] = {}
+    kept, written = [], 0
     for part in old.parts if old else ():
-        lacking.setdefault(tuple(r.name for r in rules if r.name not in part.rules), []).append(part)
-    kept, written = lacking.pop((), []), 0
+        missing = tuple(r.name for r in rules if r.name not in part.rules)
+        (lacking.setdefault((missing, part.bucket), []) if missing else kept).append(part)
     if not lacking:
         return 0
-    for missing, parts in lacking.items():
+    for (missing, bucket), parts in lacking.items():
         rows = read_parts(spark, path, parts, ddl)
         for rule in rules:
             rows = rule.change(rows) if rule.name in missing else rows
-        kept.append(_write_part(rows, path, [*_common_rules(parts), *missing]))
+        kept.append(_write_part(rows, path, [*_common_rules(parts), *missing], bucket))
         written += kept[-1].rows
     _publish(spark, path, old, kept, sum(p.rows for p in kept), old.notes)
     return written
@@ -244,7 +247,7 @@ def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN, combin
     O(N log N) rows, and less than ``fan`` parts stay in each tier.
     """
     old = version_of(spark, path)
-    plan = merge_plan(old.parts, fan) if old else []
+    plan = merge_plan([p for p in old.parts if p.bucket is None], fan) if old else []  # buckets stay as they are
     if not plan:
         return 0
     merged = [_write_part(combine(read_parts(spark, path, g, ddl)), path, _common_rules(g)) for g in plan]
@@ -254,6 +257,39 @@ def merge_tiers(spark: SparkSession, path: str, ddl: str, fan: int = FAN, combin
     return sum(p.rows for p in merged)
 
 
+def upsert_table(rows: DataFrame, path: str, ddl: str, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64) -> int:
+    """Merge rows into a table that is kept in buckets of its keys' hash; returns the rows written.
+
+    ``merge`` makes the stored rows of old and new ones, which share their keys'
+    buckets; it may drop rows, but not change keys.  Only buckets that new rows fall into are read and written, the
+    others stay in the next version as they are; all that is touched is one job.
+    NULL keys have a bucket as well; what they match is for ``merge`` to say.  A table without buckets, or with another number
+    of them, is put into buckets by the first upsert.
+    """
+    spark = rows.sparkSession
+    old = version_of(spark, path)
+    where = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = stage(conform(rows, ddl), "upsert")
+    same = old is not None and old.notes.get("buckets") == buckets and old.notes.get("keys") == list(keys)
+    touched = {r["b"] for r in new.select(where.alias("b")).distinct().collect()}  # `buckets` numbers at most
+    if same and not touched:
+        discard(new)
+        return 0
+    parts = old.parts if old else ()
+    read = [p for p in parts if not same or p.bucket in touched]
+    merged = conform(merge(read_parts(spark, path, read, ddl), new), ddl).withColumn("__bucket", where)
+    name = f"part-{uuid.uuid4().hex}"
+    merged.repartition("__bucket").write.option("compression", "zstd").partitionBy("__bucket").parquet(f"{path}/{name}")
+    back = spark.read.schema(f"{ddl}, __bucket int").parquet(f"{path}/{name}")
+    sizes = {r["__bucket"]: r["count"] for r in back.groupBy("__bucket").count().collect()}
+    made = [Part(f"{name}/__bucket={b}", n, tuple(_common_rules(read)) if read else (), b) for b, n in sorted(sizes.items())]
+    kept = [p for p in parts if p not in read]
+    notes = {**(old.notes if old else {}), "buckets": buckets, "keys": list(keys)}
+    _publish(spark, path, old, kept + made, sum(p.rows for p in kept + made), notes)
+    discard(new)
+    return sum(sizes.values())
+
+
 def compact_table(spark: SparkSession, path: str, ddl: str, parts: int = 32) -> bool:
     """Write a table of more than ``parts`` parts as one; to be called by hand, drains call ``merge_tiers``."""
     old = version_of(spark, path)
@@ -278,13 +314,15 @@ def vacuum_table(spark: SparkSession, path: str, keep_hours: float = 0.0) -> int
     numbers = sorted(n for n in files if n <= newest.number)
     kept = [n for n, after in zip(numbers, numbers[1:], strict=False) if keep_hours and files[after].getModificationTime() > until] + [newest.number]
     needed = {p.name for n in kept for p in ((_load(spark, path, n) or newest).parts)} | {f"version-{n:012d}" for n in kept}
+    shared = {n.partition("/")[0] for n in needed if "/" in n}  # folders of buckets, some of which may be needed
     fs, p = _fs(spark, path)
+    found = [(s.getPath().getName(), s) for s in fs.listStatus(p)]
+    found += [(f"{name}/{s.getPath().getName()}", s) for name, folder in found if name in shared for s in fs.listStatus(folder.getPath()) if "=" in s.getPath().getName()]
     gone = 0
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
+    for name, status in found:
         m = _VERSION.match(name)
         old = (int(m[1]) < newest.number) if m else (not keep_hours or status.getModificationTime() <= until)
-        if name not in needed and old:
+        if name not in needed and name not in shared and old:
             fs.delete(status.getPath(), True)
             gone += 1
     return gone

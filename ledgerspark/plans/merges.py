@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerspark import schemas as S
 from ledgerspark.operators import merges as M
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators import sinks
+from ledgerspark.operators.lineage import shared_dir, stage
 from ledgerspark.plans.registry import query
 from ledgerspark.sources.logs import parse_events
 
@@ -120,6 +123,16 @@ def _(t):
     return M.replace_by_key(_hist(t, "event_id < 6000", 1), _hist(t, "event_id >= 4000", 2), ["project", "date"])
 
 
+@query("u07_stored_history", f"WITH o AS ({_HIST.format(n=1, w='event_id < 6000')}), n AS ({_HIST.format(n=2, w='event_id >= 4000')}) SELECT * FROM n UNION ALL SELECT * FROM o WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.project = o.project AND n.date = o.date)")
+def _(t):
+    """The history as a stored table in buckets, into which the newer rows are merged."""
+    path, ddl = f"{shared_dir(t.spark)}/derived/history-{uuid.uuid4().hex}", "project string, date date, cost double, origin int"
+    keys = ["project", "date"]
+    for where, origin in (("event_id < 6000", 1), ("event_id >= 4000", 2)):
+        sinks.upsert_table(_hist(t, where, origin), path, ddl, keys, lambda old, new: M.replace_by_key(old, new, keys), buckets=8)
+    return sinks.read_table(t.spark, path, ddl)
+
+
 @query("u08_upsert_chat_rollups", "SELECT user_id, count(*) AS n_messages, sum(input_tokens + output_tokens + cache_read_tokens) AS tokens FROM usage GROUP BY user_id")
 def _(t):
     from ledgerspark.operators.usage import chat_rollup
@@ -145,6 +158,16 @@ def _(t):
     return both.withColumn("cost", F.round("cost", 6))
 
 
+@query("u09_stored_rollup", _PART.format(w="true"))
+def _(t):
+    """The rollup as a stored table in buckets, to which three batches are added."""
+    path, ddl = f"{shared_dir(t.spark)}/derived/rollup-{uuid.uuid4().hex}", "project string, model string, tokens bigint, cost double, lo bigint, hi bigint"
+    add = lambda old, new: M.additive_merge(old, new, ["project", "model"], ["tokens"], low=["lo"], high=["hi"], nullable=["cost"])
+    for where in ("event_id < 300", "event_id >= 300 AND event_id < 700", "event_id >= 700"):
+        sinks.upsert_table(_part(t, where), path, ddl, ["project", "model"], add, buckets=8)
+    return sinks.read_table(t.spark, path, ddl).withColumn("cost", F.round("cost", 6))
+
+
 @query("u10_blocklist", """
 SELECT md5(CAST(o_orderkey AS STRING)) AS content_hash, 'block' AS tier FROM orders WHERE o_orderkey % 2 = 0 AND (o_orderkey % 3 <> 0 OR o_orderkey % 6 = 0)""")
 def _(t):

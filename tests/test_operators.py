@@ -756,6 +756,41 @@ def test_blocks_without_state_count_late_rows(spark, tmp_path):
     assert sum(r["n"] for r in drains.blocks_of(spark, table).collect()) == 21
 
 
+def test_upserts_write_only_touched_buckets(spark, tmp_path):
+    """One key on 64 buckets: one bucket is read and written; the others need not even be there. A NULL key, deletes, other numbers of buckets."""
+    import shutil
+
+    path, ddl = f"file://{tmp_path}/t", "k long, v string"
+    frame = lambda rows: spark.createDataFrame(rows, ddl)
+    put = lambda rows, **more: sinks.upsert_table(frame(rows), path, ddl, ["k"], lambda old, new: M.replace_by_key(old, new, ["k"]), **more)
+    stored = lambda: sorted(((r["k"], r["v"]) for r in sinks.read_table(spark, path, ddl).collect()), key=str)
+    want = {k: "old" for k in [*range(1000), None]}
+    assert put([(k, "old") for k in want]) == 1001
+    before = sinks.version_of(spark, path)
+    assert {p.bucket for p in before.parts} == set(range(64)) and before.rows == 1001
+    bucket = one(spark, F.pmod(F.xxhash64(F.lit(7).cast("long")), F.lit(64)))
+    part = {p.bucket: p for p in before.parts}
+    aside = [p for b, p in part.items() if b != bucket]
+    for p in aside:
+        shutil.move(f"{tmp_path}/t/{p.name}", f"{tmp_path}/aside-{p.bucket}")
+    assert put([(7, "new")]) == part[bucket].rows
+    for p in aside:
+        shutil.move(f"{tmp_path}/aside-{p.bucket}", f"{tmp_path}/t/{p.name}")
+    want[7] = "new"
+    assert stored() == sorted(want.items(), key=str) and set(aside) < set(sinks.version_of(spark, path).parts)
+    assert put([(2000, "more")]) < 100
+    want[2000] = "more"
+    assert put([]) == 0 and stored() == sorted(want.items(), key=str) and sinks.version_of(spark, path).rows == len(want)
+    sinks.vacuum_table(spark, path)
+    assert stored() == sorted(want.items(), key=str) and not (tmp_path / "t" / part[bucket].name).exists()
+    gone = sinks.upsert_table(frame([(3, "x")]), path, ddl, ["k"], lambda old, new: old.join(new, "k", "left_anti"))
+    want.pop(3)
+    assert gone < 100 and stored() == sorted(want.items(), key=str)
+    assert put([(1, "again")], buckets=4) == len(want) and len(sinks.version_of(spark, path).parts) == 4
+    want[1] = "again"
+    assert stored() == sorted(want.items(), key=str)
+
+
 def test_lines_have_one_number_however_files_are_cut(spark, tmp_path):
     from ledgerspark.sources.lines import placed_lines
 
