@@ -24,6 +24,8 @@ TOXIC_WEIGHT, RIDGE = 3.0, 0.3
 #: Partitions of the labelled sample: as bounded as its rows are.
 _PARTS = 8
 _CHUNK = 2_000_000
+#: Entries of lists that a task works on at a time.
+_PIECE = 1 << 19
 
 
 def _fold() -> np.ndarray:
@@ -89,12 +91,12 @@ def _listed(bits: int):
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Labels, sizes of the lists and the lists in a row, of about _CHUNK entries at a time."""
+    """Labels, sizes of the lists and the lists in a row, of about _PIECE entries at a time."""
     for batch in batches:
         ends = np.cumsum([b.as_buffer().size // 4 for b in batch.column(1)])
         lo = 0
         while lo < batch.num_rows:
-            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _CHUNK, "right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _PIECE, "right")))
             part = batch.slice(lo, hi - lo)
             lists = [np.frombuffer(b, "<i4") for b in part.column(1).to_pylist()]
             yield np.array(part.column(0).to_pylist(), np.float64), np.array([len(x) for x in lists], np.int64), np.concatenate(lists)
@@ -147,7 +149,7 @@ def _gradient(shared, toxic_weight: float):
             slope += np.bincount(cols, np.repeat(off, sizes), minlength=len(weights))
             loss += float((heavy * (np.logaddexp(0, z) - y * z)).sum())
             rest += float(off.sum())
-        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([rest]), pa.array([slope.astype("<f8").tobytes()], pa.binary())], names=["loss", "off", "slope"])
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([rest]), pa.array([slope.astype("<f4").tobytes()], pa.binary())], names=["loss", "off", "slope"])
 
     return run
 
@@ -165,7 +167,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def minimise(evaluate, start: np.ndarray, rounds: int = 30, memory: int = 6, tolerance: float = 1e-3) -> np.ndarray:
+def minimise(evaluate, start: np.ndarray, rounds: int = 30, memory: int = 4, tolerance: float = 1e-3) -> np.ndarray:
     """L-BFGS with backtracking; ``evaluate`` gives the value and slope at a point."""
     x = start
     value, slope = evaluate(x)
@@ -226,13 +228,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).groupBy("__id", "__toxic").agg(F.min(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     sample = sample.select("text", F.col("__toxic").alias("toxic"), "__id").repartition(_PARTS, "__id").select("text", "toxic")
     lists = stage(sample.mapInArrow(_listed(bits), "toxic long, buckets binary"), "toxic-sample").coalesce(_PARTS)
-    sums = lists.mapInArrow(_counted(bits), "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).toPandas()
+    sums = lists.mapInArrow(_counted(bits), "bucket long, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).toArrow()
     sizes = {r["toxic"]: r["count"] for r in lists.groupBy("toxic").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not toxic:
         share = toxic / (clean + toxic + 1)
         return Model(np.zeros(1 << bits, np.float32), float(np.log(max(share, 1e-9) / (1 - share))))
-    ratio = log_count_ratios(sums["t"].to_numpy(float), sums["c"].to_numpy(float), toxic, clean, prior)
+    ratio = log_count_ratios(sums["t"].to_numpy().astype(float), sums["c"].to_numpy().astype(float), toxic, clean, prior)
     seen = sums["bucket"].to_numpy()
     del sums
     place = np.full(1 << bits, -1, np.int32)
@@ -244,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         rows = lists.mapInArrow(_gradient(shared, toxic_weight), "loss double, off double, slope binary").collect()
         slope, loss = np.zeros(len(seen)), 0.5 * ridge * float(x[:-1] @ x[:-1])
         for r in rows:
-            slope += np.frombuffer(r["slope"], "<f8")
+            slope += np.frombuffer(r["slope"], "<f4")
             loss += r["loss"]
         shared.destroy()
         return loss, np.append(slope * ratio + ridge * x[:-1], sum(r["off"] for r in rows))
