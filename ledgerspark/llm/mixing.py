@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerspark.operators.lineage import discard, stage
+
 #: The pool of sources that have no weight of their own.
 REST = "*"
 #: Bound on the (pool, bucket) pairs of which the running sums are broadcast.
 _BROADCAST_BUCKETS = 100_000
+#: Rows of a pool that one task should sort; an id with more is dealt into several buckets.
+BUCKET_ROWS = 200_000
 
 
 def pfair_period(weights: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
@@ -30,7 +34,31 @@ def pfair_period(weights: dict[str, int]) -> list[tuple[str, int, int, int, int]
     return out
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_bytes: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def _keyed(docs: DataFrame, named: Column, id_col: str, text_col: str) -> DataFrame:
+    """The rows with their pool, size and sort key."""
+    return docs.withColumns({
+        "pool": named,
+        "__size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1,
+        "__key": F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))),
+        "__tie": F.crc32(F.coalesce(F.col(text_col), F.lit(""))),
+    })
+
+
+def _crowded_ids(base: DataFrame, sums: DataFrame, bucket_rows: int) -> DataFrame | None:
+    """(__p, __hot, parts) of each pool's ids that more than ``bucket_rows`` rows share; None where no bucket is that full.
+
+    Only rows of full buckets are counted by id, and the partial counts of an
+    id meet as one row a task.
+    """
+    full = sums.where(F.col("__n") > 4 * bucket_rows).select(F.col("pool").alias("__p"), F.col("__bucket").alias("__b"))
+    if full.isEmpty():
+        return None
+    inside = base.join(full, (F.col("pool") == F.col("__p")) & (F.col("__bucket") == F.col("__b")), "left_semi")
+    counts = inside.groupBy(F.col("pool").alias("__p"), F.col("__key").alias("__hot")).count().where(F.col("count") > bucket_rows)
+    return stage(counts.select("__p", "__hot", F.ceil(F.col("count") * 2 / bucket_rows).cast("long").alias("__parts")), "crowded-ids")
+
+
+def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_bytes: int = 1 << 16, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """All rows with pool, block, slot, release, deadline, block_offset and balanced.
 
     A pool is a weighted source; sources without a weight, NULL among them,
@@ -42,7 +70,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     slot at which the first pool runs out are ``balanced``: every prefix of them
     keeps each pool less than one block from its weight.  No row is dropped or
     repeated: what is left of longer pools follows in the same order.  NULL
-    texts count 1 byte; rows that agree in id and text have any order.  Input
+    texts count 1 byte; rows that agree in id and text have any order.  Rows of
+    an id (NULL is one) that very many rows share stand behind the others of
+    their bucket, in any order: they are numbered and dealt into parts of about
+    half of ``bucket_rows``, so that no task sorts one id's rows.  Input
     columns with the names of added ones are replaced.  Weights and ``rest`` are
     whole numbers from 1; others raise ValueError.
     """
@@ -51,28 +82,36 @@ def mix_sources(docs: DataFrame, weights: dict[str, int], rest: int = 1, block_b
     added = ["pool", "block", "slot", "release", "deadline", "block_offset", "balanced"]
     docs = docs.drop(*added)
     named = F.col(source_col).isin(*weights) if weights else F.lit(False)
-    base = docs.withColumns({
-        "pool": F.when(named, F.col(source_col)).otherwise(F.lit(REST)),
-        "__size": F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1,
-        "__key": F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("null"))),
-        "__tie": F.crc32(F.coalesce(F.col(text_col), F.lit(""))),
-    })
+    pool = F.when(named, F.col(source_col)).otherwise(F.lit(REST))
+    base = _keyed(docs, pool, id_col, text_col)
     # one row per pool: as many as there are weights, and one
     totals = {r["pool"]: (r["bytes"], r["n"]) for r in base.groupBy("pool").agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()}
     shares = {p: w for p, w in (weights | {REST: rest}).items() if p in totals}
     n = sum(x[1] for x in totals.values())
     digits = 2
-    while 16**digits * 200_000 < n:
+    while 16**digits * bucket_rows < n:
         digits += 1
-    base = base.withColumn("__bucket", F.substring("__key", 1, digits))
+    bucket, order = F.substring("__key", 1, digits), ["__key", id_col, "__size", "__tie"]
+    base = base.withColumn("__bucket", bucket)
 
     # running sums in two levels, so that no pool is sorted in one task
-    sums = base.groupBy("pool", "__bucket").agg(F.sum("__size").alias("__bytes"))
+    in_bucket = [F.sum("__size").alias("__bytes"), F.count(F.lit(1)).alias("__n")]
+    sums = stage(base.groupBy("pool", "__bucket").agg(*in_bucket), "bucket-sums")
+    crowded = _crowded_ids(base, sums, bucket_rows)
+    if crowded is not None:
+        discard(sums)
+        # a written number, so that a row keeps its part when a task is run again
+        numbered = stage(docs.withColumn("__no", F.monotonically_increasing_id()), "numbered")
+        part = F.lpad(F.pmod(F.xxhash64("__no"), F.col("__parts")).cast("string"), 12, "0")
+        base = _keyed(numbered, pool, id_col, text_col).join(crowded, (F.col("pool") == F.col("__p")) & (F.col("__key") == F.col("__hot")), "left")
+        base = base.withColumn("__bucket", F.concat(bucket, F.coalesce(F.concat(F.lit(":"), F.col("__key"), part), F.lit(""))))
+        order.append("__no")
+        sums = stage(base.groupBy("pool", "__bucket").agg(*in_bucket), "bucket-sums")
     ahead = Window.partitionBy("pool").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("pool").alias("__pool"), F.col("__bucket").alias("__b"), F.coalesce(F.sum("__bytes").over(ahead), F.lit(0)).alias("__start"))
-    if 16**digits * (len(weights) + 1) <= _BROADCAST_BUCKETS:
+    if crowded is None and 16**digits * (len(weights) + 1) <= _BROADCAST_BUCKETS:
         starts = F.broadcast(starts)
-    inside = Window.partitionBy("pool", "__bucket").orderBy("__key", id_col, "__size", "__tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("pool", "__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = base.withColumn("__upto", F.sum("__size").over(inside))
     rows = rows.join(starts, (F.col("pool") == F.col("__pool")) & (F.col("__bucket") == F.col("__b")))
     rows = rows.withColumn("__before", F.col("__start") + F.col("__upto") - F.col("__size"))

@@ -119,6 +119,29 @@ def test_mixing_against_plain_loop(spark):
             M.mix_sources(docs_of(spark, rows), odd)
 
 
+def test_mixing_deals_a_crowded_id_into_parts(spark):
+    """A third of the rows without an id, many of one id and text: every byte of a pool's stream is still given to one row."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, "same" if i % 2 else f"t {i} " * (i % 5), "s0" if i % 4 else "s1", "x", 1, 2) for i in range(3000)]
+    docs = docs_of(spark, rows).repartition(5)
+    got = M.mix_sources(docs, {"s0": 2, "s1": 1}, block_bytes=500, bucket_rows=100).collect()
+    assert sorted(map(repr, ((r["doc_id"], r["text"], r["source"]) for r in got))) == sorted(map(repr, (r[:3] for r in rows)))
+    for pool in ("s0", "s1"):
+        stream = sorted((r["block"] * 500 + r["block_offset"], len(r["text"]) + 1) for r in got if r["pool"] == pool)
+        at = 0
+        for before, size in stream:
+            assert before == at
+            at += size
+    keyed = M._keyed(docs, F.col("source"), "doc_id", "text").withColumn("__bucket", F.substring("__key", 1, 2))
+    sums = keyed.groupBy("pool", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    crowded = {(r["__p"], r["__hot"]): r["__parts"] for r in M._crowded_ids(keyed, sums, 100).collect()}
+    md5 = {k: hashlib.md5(k.encode()).hexdigest() for k in ("null", "7")}
+    assert crowded == {("s0", md5["null"]): 15, ("s0", md5["7"]): 15} | {("s1", md5[k]): 5 for k in md5 if ("s1", md5[k]) in crowded}
+    # without crowded ids the order is that of the plain loop, however small buckets are
+    plain = docs_of(spark, some_docs())
+    few, many = (M.mix_sources(plain, {"hot": 2}, block_bytes=500, bucket_rows=n) for n in (200, 10**6))
+    assert sorted(map(repr, few.collect())) == sorted(map(repr, many.collect()))
+
+
 def test_mixed_order_keeps_all_rows(spark):
     rows = some_docs(100)
     mixed = M.mix_sources(docs_of(spark, rows), {"hot": 1}, block_bytes=100)
