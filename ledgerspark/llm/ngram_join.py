@@ -77,7 +77,13 @@ def prefix_size(size: int, percent: int) -> int:
 
 
 def _sets(n: int, percent: int, ranges: int):
-    """For each document its set's key and size; and, by range of tokens, the prefixes' postings."""
+    """For each document its set's key and size; and the prefixes' postings, by range of tokens.
+
+    A token that more than LIST_SETS sets of one batch hold is frequent,
+    whatever other batches say: LIST_SETS + 1 of its postings go to its range,
+    as proof, and the rest has no range.  So what a range gets of a token grows
+    with the number of batches, not with that of the sets that hold it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, shift = WordHashes(), np.uint64(64 - max(1, (ranges - 1).bit_length()))
@@ -102,7 +108,12 @@ def _sets(n: int, percent: int, ranges: int):
             for k, (ts, ks, cs) in enumerate(post):
                 if not ts:
                     continue
-                t, owner, size = np.concatenate(ts), np.concatenate(ks), np.concatenate(cs)
+                t, owner, size, start, held = _runs(np.concatenate(ts), np.concatenate(ks), np.concatenate(cs))
+                over = np.arange(len(t)) - np.repeat(start, held) > LIST_SETS
+                if over.any():
+                    for column, value in zip(columns, (k, *[None] * 5, t[over].tobytes(), owner[over].tobytes(), size[over].tobytes()), strict=True):
+                        column.append(value)
+                    t, owner, size = t[~over], owner[~over], size[~over]
                 # a prefix keeps the smallest numbers of its order: ranges are dealt by the other bits
                 where = (t * np.uint64(0xFF51AFD7ED558CCD)) >> shift
                 by = np.argsort(where, kind="stable")
@@ -130,6 +141,14 @@ def _runs(tokens: np.ndarray, owners: np.ndarray, sizes: np.ndarray) -> tuple[np
     return tokens, owners, sizes, start, np.diff(np.append(start, len(tokens)))
 
 
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The postings that have no range, one a row."""
+    for batch in batches:
+        for order, *raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            t, o, n = (np.frombuffer(r, kind) for r, kind in zip(raw, (np.int64, np.int64, np.uint32), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(t), order, np.int32)), pa.array(t), pa.array(o), pa.array(n.astype(np.int64))], names=["ord", "token", "a", "a_size"])
+
+
 def _met(percent: int):
     """Pairs of sets that share tokens of short lists, with how many; postings of frequent tokens.
 
@@ -282,24 +301,29 @@ def _linked(percent: int):
 def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """One row per input row: id, text_hash, size, group (NULL for empty sets) and component_id; see ``ngram_groups``."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash"))
-    n_docs = docs.count()
+    about = F.floor(F.octet_length("text") / 6)  # words; only the ranges' size depends on it
+    prefix = F.least(about, about - F.ceil(about * percent / 100) + _spare(about))
+    expected = (src.agg(F.sum(prefix)).first()[0] or 0) * len(ORDERS)
     ranges = 32
-    expected = n_docs * prefix_size(600, percent) * len(ORDERS)  # for texts of about 600 words; only the ranges' size depends on it
     while ranges * RANGE_POSTINGS < expected:
         ranges *= 2
     schema = "ord int, range long, id long, text_hash long, key long, size long, tokens binary, owners binary, sizes binary"
     made = stage(src.mapInArrow(_sets(words, percent, ranges), schema), "shingles")
     members = stage(made.where(F.col("ord").isNull()).select("id", "text_hash", "key", "size"), "members")
-    dealt = made.where(F.col("ord").isNotNull()).select("ord", "range", "tokens", "owners", "sizes")
+    dealt = made.where(F.col("range").isNotNull()).select("ord", "range", "tokens", "owners", "sizes")
     place = (F.col("ord") * ranges + F.col("range")).cast("int")  # a task for each range of each order
     dealt = dealt.repartitionById(len(ORDERS) * ranges, place).sortWithinPartitions("ord", "range")
     met = stage(dealt.mapInArrow(_met(percent), "ord int, a long, b long, shared long, token long, a_size long, b_size long"), "met")
+    # a posting may come from its range and from batches beside it, or from several batches: each counts once
+    beside = made.where(F.col("ord").isNotNull() & F.col("range").isNull()).select("ord", "tokens", "owners", "sizes")
+    beside = beside.mapInArrow(_common, "ord int, token long, a long, a_size long")
+    frequent = met.where(F.col("token").isNotNull()).select("ord", "token", "a", "a_size")
+    frequent = stage(frequent.unionByName(beside).distinct(), "common")
     discard(made)
 
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("first")
     sizes = members.where(F.col("size") > 0).groupBy("key").agg(F.max("size").alias("size"), first)
     sizes = stage(sizes.select("key", "size", F.col("first.id").alias("least"), F.col("first.text_hash").alias("of")), "sets")
-    frequent = met.where(F.col("token").isNotNull())
     held_by = [F.count_if(F.col("ord") == k).alias(f"f{k}") for k in range(len(ORDERS))]
     counts = stage(frequent.groupBy("a").agg(F.max("a_size").alias("size"), *held_by), "frequent")
 
@@ -325,7 +349,7 @@ def _grouped(docs: DataFrame, words: int, percent: int, id_col: str, text_col: s
     heads = stage(hot.groupBy("token").agg(F.min("a").alias("head")), "heads")  # a table of its own: the join may split a hot token
     stars = hot.join(heads, "token").where(F.col("a") != F.col("head")).select("a", F.col("head").alias("b")).distinct()
     families = stage(connected_components(edges.union(stars), "a", "b"), "families")
-    discard(met, counts, heads)
+    discard(met, frequent, counts, heads)
 
     # each set of a family once, with its tokens; large families in pairs of blocks of like sizes
     held = families.join(sizes, F.col("node") == F.col("key")).select(F.col("component").alias("family"), "key", "least", "of", "size")
@@ -371,6 +395,8 @@ def ngram_groups(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str
     2. Under each of several global token orders a set's prefix is cut so long
        that two similar sets must share ``spare`` of its tokens.  Postings meet
        by token range; lists of at most LIST_SETS sets are paired and counted.
+       Of a token that is frequent within a batch only LIST_SETS + 1 postings
+       go there, so no task holds all sets of one token.
     3. A pair stays a candidate only if, under every order, the tokens it shares
        and the frequent ones that it might share reach that number.
     4. Sets so full of frequent tokens that they could reach it by these alone,
