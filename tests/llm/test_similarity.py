@@ -7,7 +7,6 @@ import re
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import pytest
 
 from ledgerspark.llm import html_text as H
@@ -77,54 +76,6 @@ def test_ngram_groups_against_brute_force(spark, monkeypatch, case):
     assert len(set(comp)) < len(comp) - 5
 
 
-def test_a_token_that_all_sets_hold_is_not_sent_to_its_range():
-    """Of 500 sets that share a passage each range gets nine postings of a shared token a batch; none is lost, none is named twice."""
-    passage = [f"p{k}" for k in range(30)]
-    texts = [" ".join([*passage, *(f"w{i}-{k}" for k in range(10))]) for i in range(500)] * 2  # the second half are copies
-    whole = pa.RecordBatch.from_pydict({"id": list(range(1000)), "text": texts, "text_hash": [0] * 1000})
-    batches = [whole.slice(0, 300), whole.slice(300, 400), whole.slice(700)]
-    rows = [r for out in J._sets(3, 90, 32)(iter(batches)) for r in out.to_pylist()]
-    ranges, beside = {}, []
-    for r in (r for r in rows if r["ord"] is not None):
-        t, o, n = (np.frombuffer(r[c], kind) for c, kind in (("tokens", np.uint64), ("owners", np.uint64), ("sizes", np.uint32)))
-        if r["range"] is None:
-            beside += zip([r["ord"]] * len(t), t.tolist(), o.tolist(), strict=True)
-        else:
-            ranges.setdefault((r["ord"], r["range"]), []).append((t, o, n))
-    met = []
-    for (k, _), parts in ranges.items():
-        t, o, _, start, held = J._runs(*map(np.concatenate, zip(*parts, strict=True)))
-        assert held.max() <= 3 * (J.LIST_SETS + 1)
-        met += zip([k] * len(t), t.tolist(), o.tolist(), strict=True)
-    want = set()
-    for text in texts:
-        tokens = J.shingles(text, J.WordHashes(), 3)
-        for k, m in enumerate(J.ORDERS):
-            want |= {(k, x, J._key(tokens)) for x in sorted((tokens * np.uint64(m)).tolist())[: J.prefix_size(len(tokens), 90)]}
-    assert set(met) | set(beside) == want
-    flat = [tuple(r.values()) for out in J._common(iter([pa.RecordBatch.from_pylist([{c: r[c] for c in ("ord", "tokens", "owners", "sizes")} for r in rows if r["ord"] is not None and r["range"] is None])])) for r in out.to_pylist()]
-    assert [(k, t % 2**64, o) for k, t, o, _ in flat] == beside and {n for *_, n in flat} == {38}
-
-
-@pytest.mark.parametrize("batch", [7, 50])
-def test_ngram_groups_in_small_batches(spark, batch):
-    """Copies and near copies of a text in many batches, with a passage in all texts: as by brute force."""
-    rng = random.Random(batch)
-    passage = " ".join(f"p{k}" for k in range(25))
-    texts = [f"{passage} {t}" for t in near_copies(rng, 12, 4, (5, 80), 0.01) + near_copies(rng, 1, 60, (60, 80), 0.01)]
-    texts += [texts[0]] * 40 + [passage] * 5
-    rng.shuffle(texts)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-    try:
-        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.ngram_groups(df).collect()}
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
-    sizes, comp = ngram_brute(texts)
-    assert got == {i: (s, c) for i, (s, c) in enumerate(zip(sizes, comp))}
-
-
 def test_ngram_groups_of_odd_tables(spark):
     schema = "doc_id long, text string"
     assert J.ngram_groups(spark.createDataFrame([], schema)).collect() == []
