@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import bucket, jaccard, period, ratio, sum0, token_set
@@ -25,11 +25,38 @@ def session_commits(sessions: DataFrame, commits: DataFrame, bucket_days: int =
     return c.join(s, on).drop("__b", "__cb", "__p")
 
 
+#: Widths in days of the blocks by which counts are summed.
+WIDTHS = (1, 32, 1024)
+
+
+def _blocks_of(a: Column, b: Column, widths: tuple[int, ...] = WIDTHS) -> Column:
+    """The days from number a to b as an array of (w, k), block k of w days: whole blocks inside, narrower ones at the ends."""
+    w, *wider = widths
+    none = F.array().cast("array<struct<w:int,k:bigint>>")
+    each = lambda lo, hi: F.when(lo <= hi, F.transform(F.sequence(lo, hi), lambda k: F.struct(F.lit(w).alias("w"), k.alias("k")))).otherwise(none)
+    if not wider:
+        return each(a, b)
+    step = wider[0] // w
+    lo, hi = F.ceil(a / step), F.floor((b + 1) / step) - 1
+    return F.when(lo <= hi, F.concat(each(a, lo * step - 1), _blocks_of(lo, hi, tuple(wider)), each((hi + 1) * step, b))).otherwise(each(a, b))
+
+
 def findings_per_session(sessions: DataFrame, commits: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Reviews of the commits in each session of positive length; sessions without any are left out."""
-    linked = session_commits(sessions.where(F.col("duration_min") > 0), commits.select("project", "date", "commit_sha").distinct())
-    r = reviews.select("review_id", F.col("commit_sha").alias("__sha"))
-    out = linked.join(r, F.col("commit_sha") == F.col("__sha"), "left").groupBy("session_id", "duration_min").agg(F.count("review_id").alias("n_findings"))
+    """Reviews of the commits in each session of positive length; sessions without any are left out.
+
+    A commit counts once a day, so a session's number is the sum of its days'
+    numbers.  These are counted first, by project and block of days; a session
+    meets the few blocks that it consists of, and never a commit.
+    """
+    number = lambda d: F.datediff(F.col(d), F.lit("1970-01-01").cast("date")).cast("long")
+    r = reviews.groupBy(F.col("commit_sha").alias("__sha")).agg(F.count("review_id").alias("n"))
+    c = commits.select("project", "date", "commit_sha").distinct()
+    days = c.join(r, F.col("commit_sha") == F.col("__sha")).groupBy("project", number("date").alias("d")).agg(F.sum("n").alias("n"))
+    of = F.array(*(F.struct(F.lit(w).alias("w"), F.floor(F.col("d") / w).alias("k")) for w in WIDTHS))
+    blocks = days.select("project", F.inline(of), "n").groupBy("project", "w", "k").agg(F.sum("n").alias("n"))
+    s = sessions.where((F.col("duration_min") > 0) & (F.col("end_date") >= F.col("start_date")))
+    s = s.select("session_id", "duration_min", "project", F.inline(_blocks_of(number("start_date"), number("end_date"))))
+    out = s.join(blocks, ["project", "w", "k"]).groupBy("session_id", "duration_min").agg(F.sum("n").alias("n_findings"))
     return out.where(F.col("n_findings") > 0).select("session_id", F.round(F.col("duration_min") / 60, 3).alias("hours"), "n_findings")
 
 

@@ -32,6 +32,22 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first()["x"]
 
 
+def shuffled(spark, call):
+    """What ``call`` gives, and the rows and bytes that its stages shuffled."""
+    sc, jvm = spark.sparkContext, spark.sparkContext._jvm
+    store, none = sc._jsc.sc().statusStore(), jvm.java.util.ArrayList()
+
+    def stages():
+        found = store.stageList(none, False, False, sc._gateway.new_array(jvm.double, 0), none)
+        return {found.apply(i).stageId(): found.apply(i) for i in range(found.size())}
+
+    before = set(stages())
+    out = call()
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    new = [s for k, s in stages().items() if k not in before]
+    return out, sum(s.shuffleWriteRecords() for s in new), sum(s.shuffleWriteBytes() for s in new)
+
+
 @pytest.mark.parametrize(
     ("raw", "want"),
     [
@@ -828,3 +844,40 @@ def test_blocklist(spark):
     p = spark.createDataFrame([(1, "fix the broken parser now", ["x.py"]), (2, "", None), (3, "nothing alike", None)], "prompt_id long, text string, files array<string>")
     b = spark.createDataFrame([("h1", "x.py", "unrelated words"), ("h2", "y.py", "broken parser fix"), ("h3", "z.py", "the of")], "content_hash string, primary_file string, summary string")
     assert sorted(map(tuple, J.blocklist_matches(p, b).collect())) == [(1, "h1"), (1, "h2"), (2, "h3")]
+
+
+SESSION = "session_id string, duration_min double, project string, start_date date, end_date date"
+
+
+def test_findings_of_long_sessions(spark):
+    """Sessions of a day to centuries, before 1970 too, repeated and without ends, against plain loops."""
+    rng = random.Random(5)
+    day = lambda n: D(1970, 1, 1) + dt.timedelta(days=n)
+    sessions = []
+    for k in range(60):
+        a = rng.randint(-1500, 2500)
+        sessions.append((f"s{k % 50}", float(rng.choice([0, 30, 60])), rng.choice(["p", "q", None]), day(a), day(a + rng.choice([0, 1, 31, 32, 33, 63, 1023, 1024, 2100, 90000]))))
+    sessions += [("none", 5.0, "p", None, day(3)), ("open", 5.0, "p", day(3), None), ("turned", 5.0, "p", day(9), day(3)), ("ever", 5.0, "p", D(1, 1, 1), D(9999, 12, 31))]
+    commits = [(rng.choice(["p", "q", None]), rng.choice([None, *map(day, range(-1500, 2600, 9))]), f"c{rng.randint(0, 40)}") for _ in range(700)]
+    reviews = [(k if k % 7 else None, f"c{rng.randint(0, 60)}") for k in range(90)]
+    want = {}
+    for s, minutes, p, a, b in sessions:
+        if minutes > 0 and a and b:
+            n = sum(1 for q, d, c in set(commits) if p and q == p and d and a <= d <= b for i, h in reviews if i is not None and h == c)
+            want[s, round(minutes / 60, 3)] = want.get((s, round(minutes / 60, 3)), 0) + n
+    frames = spark.createDataFrame(sessions, SESSION), spark.createDataFrame(commits, "project string, date date, commit_sha string"), spark.createDataFrame(reviews, "review_id long, commit_sha string")
+    assert {(r[0], r[1]): r[2] for r in J.findings_per_session(*frames).collect()} == {k: n for k, n in want.items() if n}
+
+
+def test_findings_of_a_busy_day_are_not_paired(spark):
+    """400 sessions and 400 commits of one project and day: 160,000 pairs."""
+    sessions = spark.range(400).selectExpr("concat('s', id) AS session_id", "5D AS duration_min", "'p' AS project", "DATE'2024-01-01' AS start_date", "DATE'2024-01-02' AS end_date")
+    commits = spark.range(400).selectExpr("'p' AS project", "DATE'2024-01-02' AS date", "concat('c', id) AS commit_sha")
+    reviews = spark.range(400).selectExpr("id AS review_id", "concat('c', id) AS commit_sha")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of size
+    try:
+        got, records, _ = shuffled(spark, lambda: J.findings_per_session(sessions, commits, reviews).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(got) == 400 and {r["n_findings"] for r in got} == {400}
+    assert records < 10_000
