@@ -881,3 +881,10 @@ def test_findings_of_a_busy_day_are_not_paired(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(got) == 400 and {r["n_findings"] for r in got} == {400}
     assert records < 10_000
+
+
+def test_findings_by_length_reads_sessions_once(spark):
+    sessions = spark.range(5000).repartition(3, "id").selectExpr("id % 12 + 0.5D AS hours", "id % 7 AS n_findings")
+    got, records, _ = shuffled(spark, lambda: J.findings_by_length(sessions).collect())
+    assert {(r["length"], r["n_sessions"]) for r in got} == {("<1", 417), ("1-3", 834), ("3-8", 2085), (">8", 1664)} and {r["median_findings"] for r in got} == {3.0}
+    assert records < 6000
