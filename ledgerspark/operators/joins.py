@@ -139,25 +139,41 @@ def blocklist_matches(prompts: DataFrame, blocklist: DataFrame, limit: float = 0
     """(prompt_id, content_hash) where a file is blocked or the texts' token Jaccard reaches ``limit``.
 
     Prompts have ``files`` and ``text``, the blocklist ``primary_file`` and
-    ``summary``.  Candidates share a token of their prefixes in one global token
-    order (rarest first in the blocklist), so no prompt meets every entry.  Texts
-    without tokens are equal: they have the empty token.
+    ``summary``.  Equal token sets are compared once, and only sets of a size that
+    the blocklist's sizes allow.  Candidates share a token of their prefixes in one
+    global token order (rarest first in the blocklist), so no prompt meets every
+    entry; of a prompt's tokens only those that the blocklist has are sorted, one narrow
+    row each.  Texts without tokens are equal: they have the empty token.
     """
-    p = prompts.select("prompt_id", "files", token_set("text").alias("pt"))
-    b = blocklist.select("content_hash", "primary_file", token_set("summary").alias("bt"))
-    by_file = p.select("prompt_id", F.explode("files").alias("primary_file")).join(b.select("content_hash", "primary_file"), "primary_file")
-    tokens_of = lambda x, c: x.withColumn("tok", F.explode(F.when(F.size(c) == 0, F.array(F.lit(""))).otherwise(F.col(c))))
-    b2, p2 = tokens_of(b, "bt"), tokens_of(p, "pt")
-    df = b2.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
-    keep = lambda n: n - F.ceil(F.lit(limit) * n) + 1
-
-    def prefix(x: DataFrame, key: str, tokens: str) -> DataFrame:
-        ranked = x.join(df, "tok", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-        place = F.row_number().over(Window.partitionBy(key).orderBy("df", "tok"))
-        return ranked.withColumn("__i", place).where(F.col("__i") <= keep(F.size(tokens))).select(key, "tok")
-
-    cand = prefix(p2, "prompt_id", "pt").join(prefix(b2, "content_hash", "bt"), "tok").select("prompt_id", "content_hash").distinct()
-    sim = cand.join(p.select("prompt_id", "pt"), "prompt_id").join(b.select("content_hash", "bt"), "content_hash").where(jaccard("pt", "bt") >= limit)
+    by_file = prompts.select("prompt_id", F.explode("files").alias("primary_file")).join(blocklist.select("content_hash", "primary_file"), "primary_file")
+    least = lambda n: F.ceil(F.lit(limit) * n - 1e-9)  # noqa: E731 - what a set of n tokens must share at least
+
+    def sets(x: DataFrame, key: str, text: str) -> DataFrame:
+        t = x.select(key, token_set(text).alias("tok")).where(F.col("tok").isNotNull())
+        return t.select(key, "tok", F.size("tok").alias("n"), F.md5(F.concat_ws(" ", F.array_sort("tok"))).alias("set"))
+
+    def words(x: DataFrame) -> DataFrame:
+        return x.select("set", "n", F.explode(F.when(F.col("n") == 0, F.array(F.lit(""))).otherwise(F.col("tok"))).alias("t"))
+
+    b = stage(sets(blocklist, "content_hash", "summary"), "blocklist-sets")
+    sizes = F.broadcast(b.agg(F.min("n").alias("lo"), F.max("n").alias("hi")))
+    p = sets(prompts, "prompt_id", "text").crossJoin(sizes).where((F.col("n") >= least(F.col("lo"))) & (least(F.col("n")) <= F.col("hi")))
+    p = stage(p.drop("lo", "hi"), "prompt-sets")
+    ps, bs = p.drop("prompt_id").dropDuplicates(["set"]), b.drop("content_hash").dropDuplicates(["set"])
+    df = words(bs).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
+
+    def prefix(x: DataFrame) -> DataFrame:
+        own = Window.partitionBy("set")
+        known = words(x).join(df, "t").withColumn("known", F.count(F.lit(1)).over(own))
+        unknown = F.greatest(F.lit(1), F.col("n")) - F.col("known")  # come first: none has them
+        known = known.withColumn("i", unknown + F.row_number().over(own.orderBy("df", "t")))
+        return known.where((F.col("i") <= F.col("n") - least(F.col("n")) + 1) & (F.col("known") >= least(F.col("n")))).select("set", "n", "t")
+
+    entry = lambda x, *more: x.select(F.col("set").alias("entry"), F.col("n").alias("m"), *more)
+    near = (F.col("n") >= least(F.col("m"))) & (F.col("m") >= least(F.col("n")))
+    cand = prefix(ps).join(entry(prefix(bs), "t"), "t").where(near).select("set", "entry").distinct()
+    sim = cand.join(ps.select("set", "tok"), "set").join(entry(bs, F.col("tok").alias("of")).drop("m"), "entry").where(jaccard("tok", "of") >= limit)
+    sim = sim.select("set", "entry").join(p.select("prompt_id", "set"), "set").join(b.select("content_hash", F.col("set").alias("entry")), "entry")
     return by_file.select("prompt_id", "content_hash").unionByName(sim.select("prompt_id", "content_hash")).distinct()
 
 
