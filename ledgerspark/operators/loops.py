@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,102 +24,172 @@ def tier_of(cycles: Column) -> Column:
     return out
 
 
-#: A prefix token that more than HOT nodes of one group have is hot; its nodes are compared with PIVOTS of them, and the rest in blocks of about BLOCK.
-HOT, PIVOTS, BLOCK = 64, 4, 512
+#: Groups of at most HOT nodes are paired by a join, larger ones compared in blocks of BLOCK nodes of up to WORDS words each, or of fewer and larger ones.
+#: A family of more than HOT nodes of a block is known to other blocks by PIVOTS of its nodes.
+HOT, PIVOTS, BLOCK, WORDS = 64, 4, 16_384, 128
 
 
 def similar_edges(nodes: DataFrame, group: list[str], limit: float, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that tie the same nodes together as all pairs in one group whose token sets ``tok`` reach the Jaccard limit.
 
-    Each set is known by the tokens of its prefix only, the rarest first in one
-    global order; two similar sets share one of them.  Nodes that share a token
-    of few nodes are paired.  Where a token is hot, its nodes are compared with
-    a few pivots: near copies become stars, with rows in proportion to their
-    number.  Only what stars leave apart is compared further, block by block, and a
-    pair of blocks gives no more edges than it ties components.
+    No token is a key of a shuffle, and no pair carries its sets: a set travels
+    once for each pair of blocks that it belongs to.  Blocks follow the sizes of
+    sets, so that only those of like sizes meet.  What is similar within a block is tied first, and
+    large families by a few of their nodes; only what that leaves apart is compared between
+    blocks, and a pair of blocks gives no more edges than it ties components.
+    Tokens hold no spaces.
     """
-    n = stage(nodes.select(*group, "node", "tok", F.size("tok").alias("n")).where(F.col("n") > 0), "token-sets")
-    words = n.select("node", "n", *group, F.explode("tok").alias("t"))
-    df = words.groupBy("t").agg(F.count(F.lit(1)).alias("df"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "t"))
-    prefix = words.join(df, "t").withColumn("i", place).where(F.col("i") <= F.col("n") - F.ceil(F.lit(limit) * F.col("n")) + 1)
-    keys = [*group, "t"]
-    prefix = stage(prefix.select(*keys, "node", "n"), "prefixes")
-    full = stage(prefix.groupBy(*keys).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > hot), "hot-tokens")
-    cold = prefix if full.isEmpty() else prefix.join(full, keys, "left_anti")
-    left = cold.select(*keys, F.col("node").alias("a"), F.col("n").alias("na"))
-    right = cold.select(*keys, F.col("node").alias("b"), F.col("n").alias("nb"))
-    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(limit) * F.greatest("na", "nb"))
-    pairs = _verified(left.join(right, keys).where(near).select("a", "b").distinct(), n, limit)
-    if full.isEmpty():
+    n = nodes.select(*group, "node", F.array_join("tok", " ").alias("words"), F.size("tok").alias("n")).where(F.col("n") > 0)
+    n = stage(n, "token-sets")
+    sizes = stage(n.groupBy(*group, "n").agg(F.count(F.lit(1)).alias("s")), "set-sizes")
+    large = sizes.groupBy(*group).agg(F.sum("s").alias("m")).where(F.col("m") > hot).select(*group)
+    pairs = _paired(n.join(large, group, "left_anti"), group, limit)
+    if large.isEmpty():
         return pairs
-    crowd = stage(prefix.join(full, keys), "crowds")
-    chosen = crowd.groupBy(*keys).agg(F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS)))).alias("p"))
-    stars = crowd.join(chosen.select(*keys, F.explode("p").alias("b")), keys).where("node <> b").select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-    stars = stage(_verified(stars, n, limit), "stars")
-    return pairs.unionByName(stars).unionByName(_between_stars(crowd, stars, n, keys, limit, block))
+    rows = stage(_placed(n.join(large, group, "left_semi"), sizes, group, block).withColumn("component", F.col("node")), "blocks")
+    own = _tied(rows.withColumns({"pair": _name(group, F.col("block")), "side": F.lit(0)}), limit)
+    stars = stage(own, "stars").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    several = rows.groupBy(*group).agg(F.max("block").alias("hi"), F.min("block").alias("lo")).where("lo < hi").select(*group)
+    if several.isEmpty():
+        return pairs.unionByName(stars)
+    rows = rows.drop("component").join(several, group, "left_semi").join(connected_components(stars, "a", "b"), "node", "left")
+    rows = stage(rows.withColumn("component", F.coalesce("component", "node")), "members")
+    families = stage(_between(_pivots(rows, hot), group, limit), "families")
+    over = connected_components(families.select("a", "b"), "a", "b").select(F.col("node").alias("component"), F.col("component").alias("top"))
+    rows = rows.join(over, "component", "left").withColumn("component", F.coalesce("top", "component")).drop("top")
+    stars = stars.unionByName(families.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return pairs.unionByName(stars).unionByName(_between_stars(rows, group, limit))
+
+
+def _paired(sets: DataFrame, group: list[str], limit: float) -> DataFrame:
+    """Edges within groups of few nodes, of all pairs."""
+    left = sets.select(*group, F.col("node").alias("a"), F.col("n").alias("na"), F.col("words").alias("wa"))
+    right = sets.select(*group, F.col("node").alias("b"), F.col("n").alias("nb"), F.col("words").alias("wb"))
+    near = (F.col("a") < F.col("b")) & (F.least("na", "nb") >= F.lit(limit) * F.greatest("na", "nb"))
+    return left.hint("merge").join(right, group).where(near).where(jaccard(F.split("wa", " "), F.split("wb", " ")) >= limit).select("a", "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, limit: float) -> DataFrame:
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("tok").alias("ta")), "a").join(sets.select(F.col("node").alias("b"), F.col("tok").alias("tb")), "b")
-    return both.where(jaccard("ta", "tb") >= limit).select("a", "b")
+def _name(group: list[str], *parts: Column) -> Column:
+    return F.concat_ws("\x1f", *(F.col(g).cast("string") for g in group), *(p.cast("string") for p in parts))
 
 
-def _between_stars(crowd: DataFrame, stars: DataFrame, sets: DataFrame, keys: list[str], limit: float, block: int) -> DataFrame:
-    """Edges between nodes of one hot token that the stars have not tied.
+def _placed(sets: DataFrame, sizes: DataFrame, group: list[str], block: int) -> DataFrame:
+    """The sets with the number of their block: by size, and of equal sizes by a hash.
 
-    Components of more than ``block`` nodes have blocks of their own, smaller
-    ones share some.  Two blocks are compared unless both are of one component.
+    What smaller sets fill is a running sum over the distinct sizes of a group.
     """
-    tied = connected_components(stars, "a", "b")
-    members = crowd.join(tied, "node", "left").select(*keys, "node", F.coalesce("component", "node").alias("component"))
-    members = stage(members, "members")
-    sizes = members.groupBy(*keys, "component").agg(F.count(F.lit(1)).alias("s"))
-    small = F.sum(F.when(F.col("s") <= block, F.col("s")).otherwise(0))
-    apart = sizes.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), small.alias("small")).where(F.col("k") > 1).drop("k")
-    share = lambda rows, of: F.pmod(F.xxhash64(of), F.greatest(F.lit(1), F.ceil(rows / F.lit(block)))).cast("string")
-    name = F.when(F.col("s") > block, F.concat_ws("/", "component", share(F.col("s"), "node"))).otherwise(share(F.col("small"), "component"))
-    placed = stage(members.join(sizes, [*keys, "component"]).join(apart, keys).select(*keys, "node", "component", name.alias("block")), "blocks")
-    blocks = placed.groupBy(*keys, "block").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    x, y = blocks.alias("x"), blocks.select(*keys, F.col("block").alias("other"), F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-    one = (F.col("lo") == F.col("hi")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo") == F.col("lo2"))
-    met = x.join(y, keys).where((F.col("block") <= F.col("other")) & ~one).select(*keys, F.array_distinct(F.array("block", "other")).alias("both"))
-    met = met.withColumn("pair", F.concat_ws("\x1f", *(F.col(k).cast("string") for k in keys), F.array_join("both", "\x1e")))
-    need = met.select(*keys, "pair", F.size("both").alias("sides"), F.posexplode("both").alias("side", "block"))
-    rows = placed.join(need, [*keys, "block"]).select("node", "component", "pair", "side", "sides").join(sets.select("node", "tok"), "node")
-    return rows.groupBy("pair").applyInPandas(_tying(limit), "a string, b string")
+    weight = F.greatest(F.col("n"), F.lit(WORDS)).cast("long")
+    before = Window.partitionBy(*group).orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*group, "n", "s", F.coalesce(F.sum(F.col("s") * weight).over(before), F.lit(0)).alias("before"))
+    place = F.floor((F.col("before") + weight * F.pmod(F.xxhash64("node"), F.col("s"))) / F.lit(WORDS * block))
+    return sets.join(sizes, [*group, "n"]).select(*group, "node", "n", "words", place.alias("block"))
+
+
+def _pivots(rows: DataFrame, hot: int) -> DataFrame:
+    """A few rows of each component of more than ``hot`` nodes."""
+    few = F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS))))
+    families = rows.groupBy("component").agg(F.count(F.lit(1)).alias("m"), few.alias("p")).where(F.col("m") > hot)
+    return rows.join(families.select(F.explode("p").alias("node")), "node", "left_semi")
+
+
+def _between_stars(rows: DataFrame, group: list[str], limit: float) -> DataFrame:
+    """Edges between the blocks of a group that the stars have not tied."""
+    return stage(_between(rows, group, limit), "between").select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+
+def _between(rows: DataFrame, group: list[str], limit: float) -> DataFrame:
+    """Edges (x, y) between blocks of like sizes, and the components (a, b) that they tie; blocks that are both of one component are not compared."""
+    ends = rows.groupBy(*group, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("component").alias("first"), F.max("component").alias("last"))
+    ends = stage(ends, "ends")
+    other = ends.select(*group, *(F.col(c).alias(f"{c}2") for c in ("block", "lo", "hi", "first", "last")))
+    near = (F.col("block") < F.col("block2")) & (F.col("hi") >= F.lit(limit) * F.col("lo2")) & (F.col("hi2") >= F.lit(limit) * F.col("lo"))
+    one = (F.col("first") == F.col("last")) & (F.col("first2") == F.col("last2")) & (F.col("first") == F.col("first2"))
+    met = ends.join(other, group).where(near & ~one).withColumn("pair", _name(group, F.col("block"), F.col("block2")))
+    need = met.select(*group, "pair", F.posexplode(F.array("block", "block2")).alias("side", "block"))
+    return _tied(rows.join(need, [*group, "block"]), limit)
+
+
+def _tied(rows: DataFrame, limit: float) -> DataFrame:
+    """Edges (x, y) within each ``pair`` of one block or two, and the components (a, b) that they tie."""
+    return rows.select("pair", "side", "node", "component", "n", "words").groupBy("pair").applyInArrow(_tying(limit), "x string, y string, a string, b string")
+
+
+#: Numbers of a stripe's matrix.
+_CELLS = 1 << 20
 
 
 def _tying(limit: float):
-    """Edges that tie components of two blocks, or of one: one edge at most for each tie."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("node", ignore_index=True)
-        sizes = rows["tok"].map(len).to_numpy()
-        where = pd.Series(np.repeat(np.arange(len(rows)), sizes)).groupby(np.concatenate(rows["tok"].to_numpy())).agg(list)
-        postings = {t: np.array(p) for t, p in where.items()}
-        side, node, top = rows["side"].to_numpy(), rows["node"].to_numpy(), {c: c for c in rows["component"]}
-
-        def find(c):
-            while top[c] != c:
-                top[c] = top[top[c]]
-                c = top[c]
-            return c
-
-        component, edges = rows["component"].to_numpy(), []
-        two = rows["sides"].iloc[0] == 2
-        for i in range(len(rows)):
-            if two and side[i]:
-                continue
-            shared = np.bincount(np.concatenate([postings[t] for t in rows["tok"].iat[i]]), minlength=len(rows))
-            close = shared / (sizes[i] + sizes - shared) >= limit
-            close &= (side == 1) if two else (np.arange(len(rows)) > i)
-            for j in np.flatnonzero(close):
-                a, b = find(component[i]), find(component[j])
-                if a != b:
-                    top[a] = b
-                    edges.append((node[i], node[j]))
-        return pd.DataFrame(edges, columns=["a", "b"])
+    """Edges that tie components of two blocks, or of one: one edge at most for each tie.
+
+    Sets are counted into few columns, of which the frequent tokens have one each:
+    products of such rows are no less than what two sets share, and only where
+    they reach the limit are the tokens themselves compared.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("n", "ascending"), ("component", "ascending")])
+        words = pc.split_pattern(table["words"].combine_chunks(), " ")
+        flat = words.flatten().dictionary_encode().indices.to_numpy()
+        ends = words.offsets.to_numpy() - words.offsets[0].as_py()
+        side, n = table["side"].to_numpy(), np.diff(ends).astype(np.int64)
+        node, component = table["node"].combine_chunks(), table["component"].combine_chunks()
+        label = component.dictionary_encode().indices.to_numpy().copy()
+        df = np.bincount(flat)
+        rank = np.empty(len(df), np.int64)
+        rank[np.argsort(-df, kind="stable")] = np.arange(len(df))
+        place, mark = rank[flat], np.zeros(len(df), bool)
+        share = np.float32(limit / (1 + limit))
+
+        def matrix(lo, hi, width):
+            half = width // 2
+            p = place[ends[lo] : ends[hi]]
+            at = np.repeat(np.arange(hi - lo) * width, n[lo:hi]) + np.where(p < half, p, half + p % half)
+            return np.bincount(at, minlength=(hi - lo) * width).reshape(hi - lo, width).astype(np.float32)
+
+        def columns(most):
+            return 1 << max(8, int(4 * most - 1).bit_length())
+
+        stripes, lo = [], 0
+        while lo < len(n):
+            hi = lo + 1  # sets of one side; the last of them has the most columns
+            while hi < len(n) and side[hi] == side[lo] and (hi + 1 - lo) * columns(n[hi]) <= _CELLS:
+                hi += 1
+            stripes.append((lo, hi))
+            lo = hi
+        two, edges = side[-1] != side[0], []
+        for lo, hi in stripes:
+            x, width = None, columns(n[hi - 1])
+            for lo2, hi2 in [(lo, hi), *(t for t in stripes if t[0] != lo)]:  # families of its own first
+                # the larger sets, of equal ones those that stand later, look for the smaller
+                if n[hi2 - 1] > n[hi - 1] or (n[hi2 - 1] == n[hi - 1] and lo2 > lo) or n[hi2 - 1] < limit * n[lo] or (two and side[lo] == side[lo2]):
+                    continue
+                if (label[lo:hi] == label[lo]).all() and (label[lo2:hi2] == label[lo]).all():
+                    continue
+                x = matrix(lo, hi, width) if x is None else x
+                y = x if lo2 == lo else matrix(lo2, hi2, width)
+                bound = share * n[lo:hi].astype(np.float32)[:, None] + share * n[lo2:hi2].astype(np.float32)[None, :]
+                close = x @ y.T >= bound - np.float32(0.01)
+                if lo2 == lo:
+                    close &= np.tri(hi - lo, k=-1, dtype=bool)
+                for i in np.flatnonzero(close.any(axis=1)):
+                    a = lo + i
+                    other = lo2 + np.flatnonzero(close[i] & (label[lo2:hi2] != label[a]))
+                    if not len(other):
+                        continue
+                    own, few = flat[ends[a] : ends[a + 1]], 16
+                    mark[own] = True
+                    while len(other):  # some at a time: what the first ones tie need not be compared
+                        now, other = other[:few], other[few:]
+                        shared = np.add.reduceat(mark[np.concatenate([flat[ends[b] : ends[b + 1]] for b in now])].astype(np.int64), np.concatenate(([0], np.cumsum(n[now])[:-1])))
+                        for b in now[shared / (n[a] + n[now] - shared) >= limit]:
+                            if label[a] != label[b]:
+                                label[label == label[b]] = label[a]
+                                edges.append((a, b))
+                        other, few = other[label[other] != label[a]], 2 * few
+                    mark[own] = False
+        a, b = (pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1))
+        columns_ = {"x": node.take(a), "y": node.take(b), "a": component.take(a), "b": component.take(b)}
+        return pa.table({c: v.cast(pa.string()) for c, v in columns_.items()})
 
     return run
 
@@ -130,20 +201,21 @@ def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
     reach the limit; the component takes the hash seen first (then the smallest).
     Hashes name severity and file, so a component never leaves its group.
     """
-    f = stage(findings.withColumn("tok", F.array_sort(token_set(F.coalesce("problem_text", F.lit(""))))), "findings")
+    f = stage(findings.withColumn("words", F.array_join(F.array_sort(token_set(F.coalesce("problem_text", F.lit("")))), " ")), "findings")
     group = ["severity", "primary_file"]
     g = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in group]
     # equal token sets of a group are one node; a hash and the nodes of its texts are tied as well
-    node = F.md5(F.concat_ws("\x1f", F.coalesce("severity", F.lit("")), F.coalesce("primary_file", F.lit("")), F.concat_ws(" ", "tok")))
-    keyed = f.select(*g, "tok", F.concat(F.lit("n"), node).alias("node"), F.concat(F.lit("h"), "content_hash").alias("h"))
-    nodes = keyed.groupBy(*group, "node").agg(F.first("tok").alias("tok"))  # a node names its tokens
+    node = F.md5(F.concat_ws("\x1f", F.coalesce("severity", F.lit("")), F.coalesce("primary_file", F.lit("")), "words"))
+    keyed = f.select(*g, "words", F.concat(F.lit("n"), node).alias("node"), F.concat(F.lit("h"), "content_hash").alias("h"))
+    nodes = keyed.where("words <> ''").groupBy(*group, "node").agg(F.split(F.first("words"), " ").alias("tok"))  # a node names its tokens
     edges = similar_edges(nodes, group, limit).unionByName(keyed.select(F.col("node").alias("a"), F.col("h").alias("b")).distinct())
     comp = connected_components(edges, "a", "b").where(F.col("node").startswith("h"))
     seen = f.groupBy("content_hash").agg(F.min("reviewed_at").alias("at"))
-    named = comp.select(F.substring("node", 2, 64).alias("content_hash"), "component").join(seen, "content_hash")
+    named = comp.select(F.substring("node", 2, 64).alias("content_hash"), "component").hint("merge").join(seen, "content_hash")
+    # staged copies are small as files, not as rows: none of these is to be broadcast
     first = named.groupBy("component").agg(F.min(F.struct("at", "content_hash")).alias("m")).select("component", F.col("m.content_hash").alias("__hash"))
-    final = named.join(first, "component").select("content_hash", "__hash")
-    return f.drop("tok").join(final, "content_hash").withColumn("content_hash", F.col("__hash")).drop("__hash")
+    final = named.hint("merge").join(first, "component").select("content_hash", "__hash")
+    return f.drop("words").hint("merge").join(final, "content_hash").withColumn("content_hash", F.col("__hash")).drop("__hash")
 
 
 #: Microseconds of the spans by which runs are summed.
@@ -178,12 +250,13 @@ def _fixes_of(spans: DataFrame, runs: DataFrame) -> DataFrame:
     """The distinct shas of runs within each (content_hash, a, b), in byte order and joined by commas.
 
     A span is cut into the whole days in it, the whole hours before and after
-    these, and the hours of its two ends.  Days and hours meet their distinct
+    these, and the hours of its two ends; what lies beyond the first and last run is left out.  Days and hours meet their distinct
     shas; only the hours at the ends meet single runs.
     """
     t = F.unix_micros("started_at")
     r = runs.where(F.col("commit_sha").isNotNull()).select(t.alias("t"), F.floor(t / DAY).alias("d"), F.floor(t / HOUR).alias("h"), "commit_sha")
-    g = spans.select("content_hash", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"))
+    ends = F.broadcast(r.agg(F.min("t").alias("first"), F.max("t").alias("last")))  # no span need reach beyond the runs
+    g = spans.crossJoin(ends).select("content_hash", F.greatest(F.unix_micros("a"), "first").alias("a"), F.least(F.unix_micros("b"), "last").alias("b")).where("a <= b")
     g = g.withColumns({"ha": F.floor(F.col("a") / HOUR), "hb": F.floor(F.col("b") / HOUR)})
     g = g.withColumns({"d1": F.ceil((F.col("ha") + 1) / 24), "d2": F.floor(F.col("hb") / 24) - 1})  # the whole days
     none, days = F.array().cast("array<bigint>"), F.col("d1") <= F.col("d2")

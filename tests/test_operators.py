@@ -306,6 +306,27 @@ def test_many_near_copies_give_few_rows(spark, monkeypatch):
     assert edges.select(F.explode(F.array("a", "b")).alias("x")).distinct().count() == n
 
 
+def test_unlike_sets_with_common_words_are_not_paired(spark, monkeypatch):
+    """2,000 sets of 30 of 150 words each, and 40 copies with a word changed: few rows a set are staged, all links are kept."""
+    rng = random.Random(8)
+    sets = [sorted(rng.sample([f"w{k}" for k in range(150)], 30)) for _ in range(2000)]
+    sets += [sorted([*s[1:], f"x{k}"]) for k, s in enumerate(sets[:40])]
+    rows = [("g", f"n{k}", s) for k, s in enumerate(sets)]
+    staged, keep = [], L.stage
+
+    def counted(df, label):
+        out = keep(df, label)
+        staged.append(out.count())
+        return out
+
+    monkeypatch.setattr(L, "stage", counted)
+    got = L.similar_edges(spark.createDataFrame(rows, "g string, node string, tok array<string>"), ["g"], 0.6, block=400).collect()
+    assert sum(staged) < 5 * len(rows)
+    assert {frozenset(r) for r in got} >= {frozenset((f"n{k}", f"n{2000 + k}")) for k in range(40)}
+    apart = [frozenset((a[1], b[1])) for a in rows for b in rows if a[1] < b[1] and len(set(a[2]) & set(b[2])) >= 0.375 * 60]
+    assert {frozenset(r) for r in got} == set(apart)
+
+
 def test_clean_projects(spark):
     names = ["cash-book", "Cash-BOOK-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
     clean = lambda xs, column="name": I.clean_projects(spark.createDataFrame([(n, 1) for n in xs], f"{column} string, n int"), "name", (("cash-book", "ledger"), ("p11", "p10")))
