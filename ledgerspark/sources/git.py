@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import sum0
-from ledgerspark.sources.lines import placed_lines
+from ledgerspark.sources.lines import few, placed_lines
 
 
 def read_dumps(spark: SparkSession, path: str) -> DataFrame:
@@ -35,7 +35,7 @@ def under_headers(lines: DataFrame) -> DataFrame:
     blocks = lines.withColumn("head", F.when(head, made)).groupBy("file", "block").agg(F.max_by("head", F.when(head, F.col("n"))).alias("last"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = blocks.select(F.col("file").alias("__f"), F.col("block").alias("__b"), F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    rows = rows.join(carried, (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
+    rows = rows.join(few(carried), (F.col("file") == F.col("__f")) & (F.col("block") == F.col("__b")))
     rows = rows.withColumn("of", F.coalesce("own", "carried")).where(F.col("of").isNotNull())
     return rows.select("project", "of.*", "line")
 

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ledgerspark.operators.lineage import stage
 
 
+#: Frames of one row for each split or file are sent to the lines up to this many rows.
+SPLITS = 1 << 16
+
+
+def few(df: DataFrame) -> DataFrame:
+    """A frame of one row for each split or file, to be sent to the lines: they then stay where they were read, however few files there are."""
+    df = stage(df, "splits")
+    return F.broadcast(df) if df.count() <= SPLITS else df
+
+
 def placed_lines(spark: SparkSession, paths: str | list[str], line_sep: str | None = None) -> DataFrame:
     """(value, file, name, size, block, line): each line of the files, numbered from 1 in its file.
 
@@ -25,4 +35,4 @@ def placed_lines(spark: SparkSession, paths: str | list[str], line_sep: str | No
     blocks = raw.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return raw.join(blocks, ["file", "block"]).select("value", "file", "name", "size", "block", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"))
+    return raw.join(few(blocks), ["file", "block"]).select("value", "file", "name", "size", "block", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"))

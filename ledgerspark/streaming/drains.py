@@ -12,7 +12,7 @@ from ledgerspark import schemas as S
 from ledgerspark.operators import merges as M
 from ledgerspark.operators import sinks
 from ledgerspark.operators.lineage import discard, stage
-from ledgerspark.sources.lines import placed_lines
+from ledgerspark.sources.lines import few, placed_lines
 from ledgerspark.sources.logs import EVENT_FILES, parse_events, parse_turns
 
 #: The stored tables: name -> (schema, the rows of staged events that are not stored, what holds for all stored rows)
@@ -193,7 +193,7 @@ def _tailed_lines(spark: SparkSession, paths: list[str], unfinished: bool) -> Da
     if not unfinished:
         ends = placed.groupBy("file").agg(F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("line").alias("last"), F.max("size").alias("size"))
         open_ = ends.where(F.col("bytes") > F.col("size")).select("file", F.col("last").alias("line"))
-        placed = placed.join(open_, ["file", "line"], "left_anti")
+        placed = placed.join(few(open_), ["file", "line"], "left_anti")
     return stage(placed.select(F.col("file").alias("path"), "line", "value", F.xxhash64("line", "value").alias("h")), "tailed-lines")
 
 
@@ -203,9 +203,9 @@ def _uncounted(lines: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame
     heads = lines.where("line = 1").select("path", F.col("h").alias("head"))
     maybe = known.where("lines > 0").select("head", F.col("lines").alias("n"), "content").distinct().join(heads, "head").select("path", "n", "content")
     within = F.col("line") <= F.col("n")
-    same = lines.join(maybe, "path").groupBy("path", "n", "content").agg(total(within).alias("sum"), F.count_if(within).alias("have"))
+    same = lines.join(few(maybe), "path").groupBy("path", "n", "content").agg(total(within).alias("sum"), F.count_if(within).alias("have"))
     counted = same.where((F.col("sum") == F.col("content")) & (F.col("have") == F.col("n"))).groupBy("path").agg(F.max("n").alias("done"))
-    new = lines.join(counted, "path", "left").where(F.col("line") > F.coalesce("done", F.lit(0)))
+    new = lines.join(few(counted), "path", "left").where(F.col("line") > F.coalesce("done", F.lit(0)))
     seen = lines.groupBy("path").agg(F.max(F.when(F.col("line") == 1, F.col("h"))).alias("head"), F.max("line").alias("lines"), total(F.lit(True)).alias("content"))
     return new, seen
 

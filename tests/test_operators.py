@@ -306,6 +306,17 @@ def test_many_near_copies_give_few_rows(spark, monkeypatch):
     assert edges.select(F.explode(F.array("a", "b")).alias("x")).distinct().count() == n
 
 
+def test_lines_are_not_shuffled_to_their_splits(spark, tmp_path):
+    """Numbers of lines come from frames of one row a split, which are sent to the lines."""
+    from ledgerspark.sources.lines import placed_lines
+
+    spark.createDataFrame([(f"l{k}",) for k in range(200)], "value string").coalesce(1).write.text(str(tmp_path / "t"))
+    lines = placed_lines(spark, str(tmp_path / "t"))
+    assert [r["line"] for r in lines.orderBy("line").collect()] == list(range(1, 201))
+    plan = lines._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_unlike_sets_with_common_words_are_not_paired(spark, monkeypatch):
     """2,000 sets of 30 of 150 words each, and 40 copies with a word changed: few rows a set are staged, all links are kept."""
     rng = random.Random(8)
