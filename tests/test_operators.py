@@ -141,6 +141,19 @@ def test_append_sessions_is_idempotent_and_last_wins(spark):
     assert M.append_sessions(shortened, e, "2024-01-03 00:00:00").count() == 2
 
 
+def test_events_are_parsed_once_and_new_rows_read_twice_are_staged(spark):
+    e = events(spark, [STOP, {"event_type": "cost_emitted", "project": "shop", "date": "2024-01-01", "source": "a"}, {"event_type": "git_commit", "project": "shop", "hash": "h1"}])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    now, parse = "2024-01-02 00:00:00", "from_json("
+    for rows in (M.sessions_from_events, M.costs_from_events, M.commits_from_events):
+        text = plan(rows(e, now))
+        assert rows(e, now).count() == 1 and text.count(parse) == 1
+        assert text.count("left-over") <= plan(e.select(I.canonical_project("payload.project"))).count("left-over")  # one canonical name
+    for append, ddl in ((M.append_sessions, S.SESSIONS), (M.append_costs, S.COSTS), (M.append_commits, S.COMMITS)):
+        out = append(S.empty(spark, ddl), e, now)
+        assert out.count() == 1 and parse not in plan(out)
+
+
 def test_appends_do_not_depend_on_order(spark):
     cost = [{"event_type": "cost_emitted", "project": "shop", "date": "2024-01-01", "source": s, "daily_cost_usd": v} for s, v in (("a", 1.0), ("b", 2.0), ("a", 3.0), (None, 9.0))]
     a = M.append_costs(S.empty(spark, S.COSTS), events(spark, cost), "2024-01-02 00:00:00")
