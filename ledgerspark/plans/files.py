@@ -145,7 +145,8 @@ SELECT CASE WHEN user_id % 4 = 0 THEN 'unknown' ELSE event_type END AS model, co
 def _(t):
     m = F.struct(F.date_format("ts", _ISO).alias("timestamp"), F.when(F.col("user_id") % 4 != 0, F.col("event_type")).alias("model"), F.when(F.col("event_id") % 5 != 0, F.struct(F.col("event_id").alias("input"))).alias("tokens"))
     rows = t("events")
-    g = rows.groupBy(F.pmod("user_id", F.lit(20)).alias("user_id"), chunk_of(rows, "event_id")).agg(F.collect_list(m).alias("messages"))
+    # a chunk is dealt to 20 users, so that a file of one user's share of it holds about as many messages as a chunk elsewhere holds rows
+    g = rows.groupBy(F.pmod("user_id", F.lit(20)).alias("user_id"), chunk_of(rows, "event_id", rows=20 * 2000)).agg(F.collect_list(m).alias("messages"))
     body = F.when(F.col("user_id") % 2 == 0, F.to_json("messages")).otherwise(F.to_json(F.struct("messages")))
     got = logs.read_chat_logs(t.spark, _documents(g.select(body.alias("value")), "chat"))
     return got.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.sum("input_tokens").alias("input_tokens"))

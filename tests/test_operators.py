@@ -141,6 +141,16 @@ def test_append_sessions_is_idempotent_and_last_wins(spark):
     assert M.append_sessions(shortened, e, "2024-01-03 00:00:00").count() == 2
 
 
+def test_chat_files_hold_many_messages(spark, monkeypatch):
+    from ledgerspark.plans import files
+
+    made, plain = [], files._documents
+    monkeypatch.setattr(files, "_documents", lambda df, name: made.append(df.count()) or plain(df, name))
+    sf = "/root/testdata/sf0.01"
+    assert registry.queries()["s08_chat_logs"](spark, sf).agg(F.sum("n")).first()[0] == 8000
+    assert made == [20]  # 10,000 events of 20 users: no more files than users below 40,000 rows
+
+
 def test_events_are_parsed_once_and_new_rows_read_twice_are_staged(spark):
     e = events(spark, [STOP, {"event_type": "cost_emitted", "project": "shop", "date": "2024-01-01", "source": "a"}, {"event_type": "git_commit", "project": "shop", "hash": "h1"}])
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
