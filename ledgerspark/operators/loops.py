@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerspark.functions.columns import finding_hash, jaccard, token_set
 from ledgerspark.operators.graph import connected_components
-from ledgerspark.operators.lineage import stage
+from ledgerspark.operators.lineage import discard, stage
 
 #: Kinds of agents whose runs count as fixes, and the tiers' least cycles.
 FIXERS = ("fixer", "quick-fix", "r-debugger", "claude-code")
@@ -33,32 +35,34 @@ def similar_edges(nodes: DataFrame, group: list[str], limit: float, hot: int = H
     """Edges (a, b) that tie the same nodes together as all pairs in one group whose token sets ``tok`` reach the Jaccard limit.
 
     No token is a key of a shuffle, and no pair carries its sets: a set travels
-    once for each pair of blocks that it belongs to.  Blocks follow the sizes of
-    sets, so that only those of like sizes meet.  What is similar within a block is tied first, and
-    large families by a few of their nodes; only what that leaves apart is compared between
-    blocks, and a pair of blocks gives no more edges than it ties components.
+    once to its block.  Blocks follow the sizes of sets, so that only those of like
+    sizes meet.  What is similar within a block is tied first, and large
+    families by a few of their nodes; what that leaves apart is compared between
+    blocks by sketches of a few bits a token, and only sets whose sketches allow the limit are read again.
     Tokens hold no spaces.
     """
     n = nodes.select(*group, "node", F.array_join("tok", " ").alias("words"), F.size("tok").alias("n")).where(F.col("n") > 0)
     n = stage(n, "token-sets")
     sizes = stage(n.groupBy(*group, "n").agg(F.count(F.lit(1)).alias("s")), "set-sizes")
     large = sizes.groupBy(*group).agg(F.sum("s").alias("m")).where(F.col("m") > hot).select(*group)
-    pairs = _paired(n.join(large, group, "left_anti"), group, limit)
+    pairs = stage(_paired(n.join(large, group, "left_anti"), group, limit), "pairs")
     if large.isEmpty():
+        discard(n)
         return pairs
-    rows = stage(_placed(n.join(large, group, "left_semi"), sizes, group, block).withColumn("component", F.col("node")), "blocks")
+    rows = _placed(n.join(large, group, "left_semi"), sizes, group, block)
+    rows = stage(rows.withColumns({"id": F.monotonically_increasing_id(), "component": F.col("node")}), "blocks")
+    discard(n)
     own = _tied(rows.withColumns({"pair": _name(group, F.col("block")), "side": F.lit(0)}), limit)
     stars = stage(own, "stars").select(F.col("x").alias("a"), F.col("y").alias("b"))
     several = rows.groupBy(*group).agg(F.max("block").alias("hi"), F.min("block").alias("lo")).where("lo < hi").select(*group)
+    several = stage(several, "several")  # few rows, as a table that is seen to be small
     if several.isEmpty():
         return pairs.unionByName(stars)
-    rows = rows.drop("component").join(several, group, "left_semi").join(connected_components(stars, "a", "b"), "node", "left")
-    rows = stage(rows.withColumn("component", F.coalesce("component", "node")), "members")
-    families = stage(_between(_pivots(rows, hot), group, limit), "families")
-    over = connected_components(families.select("a", "b"), "a", "b").select(F.col("node").alias("component"), F.col("component").alias("top"))
-    rows = rows.join(over, "component", "left").withColumn("component", F.coalesce("top", "component")).drop("top")
-    stars = stars.unionByName(families.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return pairs.unionByName(stars).unionByName(_between_stars(rows, group, limit))
+    members, component = rows.join(several, group, "left_semi"), connected_components(stars, "a", "b")
+    few = stage(_pivots(members.select("node"), component, hot), "pivots")
+    families, _ = _between(members.join(few, "node", "left_semi"), component, rows, group, limit)
+    stars = stars.unionByName(families)
+    return pairs.unionByName(stars).unionByName(_between_stars(members, stars, rows, group, limit))
 
 
 def _paired(sets: DataFrame, group: list[str], limit: float) -> DataFrame:
@@ -85,28 +89,156 @@ def _placed(sets: DataFrame, sizes: DataFrame, group: list[str], block: int) ->
     return sets.join(sizes, [*group, "n"]).select(*group, "node", "n", "words", place.alias("block"))
 
 
-def _pivots(rows: DataFrame, hot: int) -> DataFrame:
-    """A few rows of each component of more than ``hot`` nodes."""
+def _sketched(sets: DataFrame, group: list[str]) -> DataFrame:
+    """The sets without their words, with a sketch: a bit for each hash of a word, in two to four columns a word."""
+    kinds = dict(sets.dtypes)
+    keep = [*group, "block", "id", "node", "n"]
+
+    def run(batches):
+        for batch in batches:
+            words = pc.split_pattern(batch.column("words"), " ")
+            ends, flat = words.offsets.to_numpy() - words.offsets[0].as_py(), words.flatten().dictionary_encode()
+            hashes = np.fromiter((zlib.crc32(w.encode()) for w in flat.dictionary.to_pylist()), np.int64, len(flat.dictionary))
+            width = _columns(np.diff(ends))
+            bits = np.zeros(width.sum(), np.uint8)
+            at, each = np.cumsum(width) - width, np.diff(ends)
+            bits[np.repeat(at, each) + (hashes[flat.indices.to_numpy()] & np.repeat(width - 1, each))] = 1
+            places = np.append(at, width.sum()) // 8
+            sketch = pa.BinaryArray.from_buffers(pa.binary(), len(width), [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(np.packbits(bits, bitorder="little"))])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), sketch], [*keep, "sketch"])
+
+    return sets.select(*keep, "words").mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in keep) + ", sketch binary")
+
+
+def _columns(n: np.ndarray) -> np.ndarray:
+    """Bits of the sketch of n words: the power of two that is at least 2 n, and 64."""
+    return 1 << np.maximum(6, np.ceil(np.log2(2 * np.maximum(n, 1)))).astype(np.int64)
+
+
+def _pivots(nodes: DataFrame, component: DataFrame, hot: int) -> DataFrame:
+    """A few of the nodes of each component of more than ``hot`` nodes."""
     few = F.array_distinct(F.array(*(F.min_by("node", F.xxhash64("node", F.lit(k))) for k in range(PIVOTS))))
-    families = rows.groupBy("component").agg(F.count(F.lit(1)).alias("m"), few.alias("p")).where(F.col("m") > hot)
-    return rows.join(families.select(F.explode("p").alias("node")), "node", "left_semi")
+    families = nodes.join(component, "node").groupBy("component").agg(F.count(F.lit(1)).alias("m"), few.alias("p"))
+    return families.where(F.col("m") > hot).select(F.explode("p").alias("node"))
+
 
+def _between_stars(members: DataFrame, stars: DataFrame, rows: DataFrame, group: list[str], limit: float) -> DataFrame:
+    """Edges between the blocks of a group that the stars have not tied.
+
+    Pairs of blocks of which sketches left too many pairs of sets are compared
+    by their words, with what the others have tied.
+    """
+    edges, cut = _between(members, connected_components(stars, "a", "b"), rows, group, limit)
+    if cut.isEmpty():
+        return edges
+    component = connected_components(stars.unionByName(edges), "a", "b").withColumnRenamed("component", "top")
+    whole = rows.join(cut, [*group, "block"]).join(component, "node", "left").withColumn("component", F.coalesce("top", "component"))
+    rest = stage(_tied(whole, limit), "between")
+    return edges.unionByName(rest.select(F.col("x").alias("a"), F.col("y").alias("b")))
 
-def _between_stars(rows: DataFrame, group: list[str], limit: float) -> DataFrame:
-    """Edges between the blocks of a group that the stars have not tied."""
-    return stage(_between(rows, group, limit), "between").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
+def _between(sets: DataFrame, component: DataFrame, rows: DataFrame, group: list[str], limit: float) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) between blocks of like sizes, and the sides of those pairs of blocks that may have more.
 
-def _between(rows: DataFrame, group: list[str], limit: float) -> DataFrame:
-    """Edges (x, y) between blocks of like sizes, and the components (a, b) that they tie; blocks that are both of one component are not compared."""
-    ends = rows.groupBy(*group, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("component").alias("first"), F.max("component").alias("last"))
+    Blocks that are both of one component are not compared.
+    """
+    known = stage(_sketched(sets, group).join(component.withColumnRenamed("component", "family"), "node", "left"), "members")
+    top = F.coalesce("family", "node")
+    ends = known.groupBy(*group, "block").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(top).alias("first"), F.max(top).alias("last"))
     ends = stage(ends, "ends")
     other = ends.select(*group, *(F.col(c).alias(f"{c}2") for c in ("block", "lo", "hi", "first", "last")))
     near = (F.col("block") < F.col("block2")) & (F.col("hi") >= F.lit(limit) * F.col("lo2")) & (F.col("hi2") >= F.lit(limit) * F.col("lo"))
     one = (F.col("first") == F.col("last")) & (F.col("first2") == F.col("last2")) & (F.col("first") == F.col("first2"))
     met = ends.join(other, group).where(near & ~one).withColumn("pair", _name(group, F.col("block"), F.col("block2")))
-    need = met.select(*group, "pair", F.posexplode(F.array("block", "block2")).alias("side", "block"))
-    return _tied(rows.join(need, [*group, "block"]), limit)
+    need = stage(met.select(*group, "pair", F.posexplode(F.array("block", "block2")).alias("side", "block")), "sides")
+    sides = known.join(need, [*group, "block"]).select("pair", "side", "id", "n", "family", "sketch")
+    found = stage(sides.groupBy("pair").applyInArrow(_meeting(limit), "pair string, x long, y long"), "candidates")
+    candidates = found.where(F.col("x").isNotNull())
+    wanted = stage(candidates.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "wanted")
+    again = stage(rows.join(wanted, "id", "left_semi").select("id", "node", "words"), "read-again")
+    left, right = (again.select(F.col("id").alias(k), F.col("node").alias(f"node_{k}"), F.col("words").alias(f"words_{k}")) for k in "xy")
+    alike = jaccard(F.split("words_x", " "), F.split("words_y", " ")) >= limit
+    edges = candidates.join(left.hint("merge"), "x").join(right.hint("merge"), "y").where(alike).select(F.col("node_x").alias("a"), F.col("node_y").alias("b"))
+    edges = stage(edges, "between")
+    discard(ends, known, wanted, again)
+    return edges, need.join(found.where(F.col("x").isNull()).select("pair"), "pair", "left_semi")
+
+
+#: Pairs of sets of two components that are read again, at most.
+PROBES = 4
+
+
+def _meeting(limit: float):
+    """Pairs (x, y) of sets of two blocks whose sketches allow the limit, a few for each two components; and a row of NULLs where there are more.
+
+    Columns that only one of two sketches has are tokens that only one of the
+    sets has, and sets that reach the limit have few of these.  No more sets are named than the blocks hold.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("side", "ascending"), ("n", "ascending")])
+        side, n, ids = (table[c].to_numpy() for c in ("side", "n", "id"))
+        family = table["family"].combine_chunks().dictionary_encode().indices
+        label = pc.fill_null(family, -1).to_numpy().astype(np.int64)
+        label = np.where(label < 0, len(n) + np.arange(len(n)), label)  # sets of no family are their own
+        sketch = table["sketch"].combine_chunks()
+        sketch = sketch.chunk(0) if isinstance(sketch, pa.ChunkedArray) else sketch
+        width, places = _columns(n), np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset : sketch.offset + len(n) + 1]
+        data = np.frombuffer(sketch.buffers()[2], np.uint8)
+        odd = (1 - limit) / (1 + limit)
+
+        def matrix(lo, hi, columns):
+            x = data[places[lo] : places[hi]].reshape(hi - lo, -1)
+            while x.shape[1] * 8 > columns:
+                x = x[:, : x.shape[1] // 2] | x[:, x.shape[1] // 2 :]
+            return np.unpackbits(x, axis=1, bitorder="little").astype(np.float32)
+
+        def few(found):
+            """Of each two components those of the fewest odd columns."""
+            a, b, far = found
+            one, two = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+            order = np.lexsort((far, two, one))
+            new = np.ones(len(a), bool)
+            new[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
+            take = np.sort(order[np.arange(len(a)) - begin < PROBES])
+            return a[take], b[take], far[take]
+
+        stripes, lo = [], 0
+        while lo < len(n):
+            hi = lo + 1  # sets of one side and one width
+            while hi < len(n) and side[hi] == side[lo] and width[hi] == width[lo] and (hi + 1 - lo) * width[lo] <= _CELLS:
+                hi += 1
+            stripes.append((lo, hi))
+            lo = hi
+        most, cut = max(len(n) // 2, 1), False
+        found = tuple(np.zeros(0, np.int64) for _ in range(3))
+        for lo, hi in (t for t in stripes if side[t[0]] == side[0]):
+            for lo2, hi2 in (t for t in stripes if side[t[0]] != side[0]):
+                if n[hi - 1] < limit * n[lo2] or n[hi2 - 1] < limit * n[lo]:
+                    continue
+                if (label[lo:hi] == label[lo]).all() and (label[lo2:hi2] == label[lo]).all():
+                    continue
+                columns = min(width[lo], width[lo2])
+                x, y = matrix(lo, hi, columns), matrix(lo2, hi2, columns)
+                far = x.sum(axis=1)[:, None] + y.sum(axis=1)[None, :] - 2 * (x @ y.T)
+                may = np.float32(odd) * (n[lo:hi].astype(np.float32)[:, None] + n[lo2:hi2].astype(np.float32)[None, :])
+                i, j = np.nonzero(far <= may + np.float32(0.01))
+                apart = label[lo + i] != label[lo2 + j]
+                i, j = i[apart], j[apart]
+                if not len(i):
+                    continue
+                found = tuple(np.concatenate(c) for c in zip(found, (lo + i, lo2 + j, far[i, j].astype(np.int64)), strict=True))
+                fewer = few(found)
+                cut |= len(fewer[0]) < len(found[0]) or len(fewer[0]) > most
+                found = tuple(c[:most] for c in fewer)
+        name = table["pair"][0].as_py()
+        x, y = (pa.array(ids[c], pa.int64()) for c in found[:2])
+        if cut:
+            x, y = (pa.concat_arrays([c, pa.nulls(1, pa.int64())]) for c in (x, y))
+        return pa.table({"pair": pa.array([name] * len(x), pa.string()), "x": x, "y": y})
+
+    return run
 
 
 def _tied(rows: DataFrame, limit: float) -> DataFrame:
@@ -194,28 +326,37 @@ def _tying(limit: float):
     return run
 
 
-def collapse(findings: DataFrame, limit: float = 0.6) -> DataFrame:
-    """The findings with ``content_hash`` replaced by its component's.
+def collapse(findings: DataFrame, limit: float = 0.6, keep: list[str] | None = None) -> DataFrame:
+    """The findings with ``content_hash`` replaced by its component's; of their columns those named, or all.
 
     Within (severity, primary_file) hashes are tied where any of their texts
     reach the limit; the component takes the hash seen first (then the smallest).
     Hashes name severity and file, so a component never leaves its group.
     """
-    f = stage(findings.withColumn("words", F.array_join(F.array_sort(token_set(F.coalesce("problem_text", F.lit("")))), " ")), "findings")
+    keep = list(dict.fromkeys(["content_hash", *(c for c in findings.columns if keep is None or c in keep)]))
     group = ["severity", "primary_file"]
+    own = list(dict.fromkeys([*keep, *group, "reviewed_at"]))
+    f = stage(findings.select(*own, F.array_join(F.array_sort(token_set(F.coalesce("problem_text", F.lit("")))), " ").alias("words")), "findings")
     g = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in group]
-    # equal token sets of a group are one node; a hash and the nodes of its texts are tied as well
+    # equal token sets of a group are one node
     node = F.md5(F.concat_ws("\x1f", F.coalesce("severity", F.lit("")), F.coalesce("primary_file", F.lit("")), "words"))
-    keyed = f.select(*g, "words", F.concat(F.lit("n"), node).alias("node"), F.concat(F.lit("h"), "content_hash").alias("h"))
+    keyed = f.select(*g, "words", node.alias("node"), F.col("content_hash").alias("h"))
     nodes = keyed.where("words <> ''").groupBy(*group, "node").agg(F.split(F.first("words"), " ").alias("tok"))  # a node names its tokens
-    edges = similar_edges(nodes, group, limit).unionByName(keyed.select(F.col("node").alias("a"), F.col("h").alias("b")).distinct())
-    comp = connected_components(edges, "a", "b").where(F.col("node").startswith("h"))
+    # a node stands for the smallest of its hashes, which it ties to the others: only hashes that something ties take part in the rounds
+    names = stage(keyed.select("node", "h").distinct(), "names")
+    least = stage(names.groupBy("node").agg(F.min("h").alias("m"), F.max("h").alias("__last")), "least")
+    of = lambda k: least.select(F.col("node").alias(k), F.col("m").alias(f"h{k}")).hint("merge")
+    near = similar_edges(nodes, group, limit).join(of("a"), "a").join(of("b"), "b").select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    several = least.where(F.col("m") < F.col("__last")).select("node", "m")
+    same = names.hint("merge").join(several, "node").where(F.col("h") != F.col("m")).select(F.col("h").alias("a"), F.col("m").alias("b"))
+    comp = connected_components(near.unionByName(same), "a", "b")
     seen = f.groupBy("content_hash").agg(F.min("reviewed_at").alias("at"))
-    named = comp.select(F.substring("node", 2, 64).alias("content_hash"), "component").hint("merge").join(seen, "content_hash")
+    named = comp.select(F.col("node").alias("content_hash"), "component").hint("merge").join(seen, "content_hash")
     # staged copies are small as files, not as rows: none of these is to be broadcast
     first = named.groupBy("component").agg(F.min(F.struct("at", "content_hash")).alias("m")).select("component", F.col("m.content_hash").alias("__hash"))
     final = named.hint("merge").join(first, "component").select("content_hash", "__hash")
-    return f.drop("words").hint("merge").join(final, "content_hash").withColumn("content_hash", F.col("__hash")).drop("__hash")
+    out = f.select(*keep).hint("merge").join(final, "content_hash", "left")
+    return out.select(*(F.coalesce("__hash", "content_hash").alias(c) if c == "content_hash" else F.col(c) for c in keep))
 
 
 #: Microseconds of the spans by which runs are summed.
@@ -311,10 +452,11 @@ def detect_loops(findings: DataFrame, runs: DataFrame | None, limit: float = 0.6
     """
     last = F.broadcast(findings.agg(F.max("reviewed_at").alias("__last")))
     recent = findings.crossJoin(last).where(F.col("reviewed_at") >= F.col("__last") - F.make_dt_interval(F.lit(window_days))).drop("__last")
-    f = collapse(recent.withColumn("content_hash", finding_hash("severity", "primary_file", "problem_text")), limit)
+    recent = recent.withColumns({"content_hash": finding_hash("severity", "primary_file", "problem_text"), "summary": F.substring("problem_text", 1, 80)})
+    f = collapse(recent, limit, ["reviewed_at", order, "severity", "primary_file", "summary"])
     often = f.groupBy("content_hash").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > TIERS[-1][0]).select("content_hash")
     c = cycles(f.join(often, "content_hash", "left_semi"), runs, order, least=TIERS[-1][0])
-    head = F.min(F.struct("reviewed_at", order, "severity", "primary_file", F.substring("problem_text", 1, 80).alias("summary"))).alias("m")
+    head = F.min(F.struct("reviewed_at", order, "severity", "primary_file", "summary")).alias("m")
     g = f.join(c.select("content_hash"), "content_hash", "left_semi").groupBy("content_hash").agg(head, F.min("reviewed_at").alias("first_seen"), F.max("reviewed_at").alias("last_seen"))
     acks = {"ack_by": "string", "ack_at": "timestamp", "ack_reason": "string", "ack_until": "timestamp"}
     return g.join(c, "content_hash").select(

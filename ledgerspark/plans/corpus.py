@@ -101,12 +101,12 @@ def _findings(t, file: str = "project"):
 
 @query("u13_near_duplicate_collapse", f"WITH RECURSIVE {_COLLAPSE} SELECT job_id, content_hash FROM col")
 def _(t):
-    return L.collapse(_findings(t)).select("job_id", "content_hash")
+    return L.collapse(_findings(t), keep=["job_id"]).select("job_id", "content_hash")
 
 
 @query("u13_near_duplicate_collapse_all", f"WITH RECURSIVE {_COLLAPSE_ALL} SELECT job_id, content_hash FROM col")
 def _(t):
-    return L.collapse(_findings(t, "primary_file")).select("job_id", "content_hash")
+    return L.collapse(_findings(t, "primary_file"), keep=["job_id"]).select("job_id", "content_hash")
 
 
 _RUNS = "runs AS (SELECT ts AS started_at, concat('c', CAST(event_id % 50 AS STRING)) AS commit_sha, value AS cost FROM events WHERE event_type IN ('error', 'purchase'))"
@@ -125,12 +125,12 @@ _ANY = _CYCLES.replace(" HAVING count(DISTINCT i) >= 3", "")
 
 @query("j13_fix_cycles", f"WITH RECURSIVE {_COLLAPSE}, {_RUNS}, {_ANY} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
 def _(t):
-    return L.cycles(L.collapse(_findings(t)), _runs(t))
+    return L.cycles(L.collapse(_findings(t), keep=["job_id", "reviewed_at"]), _runs(t))
 
 
 @query("j13_fix_cycles_all", f"WITH RECURSIVE {_COLLAPSE_ALL}, {_RUNS}, {_ANY} SELECT content_hash, cycles, fix_commit_shas, wasted AS estimated_wasted_usd FROM cy")
 def _(t):
-    return L.cycles(L.collapse(_findings(t, "primary_file")), _runs(t))
+    return L.cycles(L.collapse(_findings(t, "primary_file"), keep=["job_id", "reviewed_at"]), _runs(t))
 
 
 # findings spread over 60 days, so that the window of 30 holds half of them at any size

@@ -361,6 +361,41 @@ def test_unlike_sets_with_common_words_are_not_paired(spark, monkeypatch):
     assert {frozenset(r) for r in got} == set(apart)
 
 
+def test_words_travel_once_to_their_block(spark, monkeypatch):
+    """600 unlike sets in several blocks and 30 copies with a word changed and four more: blocks meet by sketches, all links are kept."""
+    rng = random.Random(5)
+    sets = [sorted(rng.sample([f"w{k}" for k in range(4000)], rng.randint(30, 60))) for _ in range(600)]
+    sets += [sorted([*s[1:], f"x{k}", *(f"y{k}_{j}" for j in range(4))]) for k, s in enumerate(sets[:30])]
+    rows = [("g", f"n{k}", s) for k, s in enumerate(sets)]
+    read, tied = [], L._tied
+
+    def counted(whole, limit):
+        read.append(whole.count())
+        return tied(whole, limit)
+
+    monkeypatch.setattr(L, "_tied", counted)
+    got = L.similar_edges(spark.createDataFrame(rows, "g string, node string, tok array<string>"), ["g"], 0.6, block=100).collect()
+    assert {frozenset(r) for r in got} == {frozenset((f"n{k}", f"n{600 + k}")) for k in range(30)}
+    assert sum(read) == len(rows)
+
+
+def test_sets_that_sketches_cannot_part_are_compared_whole(spark, monkeypatch):
+    """400 sets just below the limit and ten pairs above it: pairs of blocks with too many such pairs go by their words, no link is lost or made."""
+    core = [f"c{k}" for k in range(29)]
+    sets = [[*core, *(f"o{k}_{j}" for j in range(11))] for k in range(400)]
+    sets += [[*core, *(f"o{k}_{j}" for j in range(5)), *(f"p{k}_{j}" for j in range(7))] for k in range(10)]  # 34 of 47
+    rows = [("g", f"n{k}", sorted(s)) for k, s in enumerate(sets)]
+    read, tied = [], L._tied
+
+    def counted(whole, limit):
+        read.append(whole.count())
+        return tied(whole, limit)
+
+    monkeypatch.setattr(L, "_tied", counted)
+    got = L.similar_edges(spark.createDataFrame(rows, "g string, node string, tok array<string>"), ["g"], 0.6, block=100).collect()
+    assert len(read) == 2 and {frozenset(r) for r in got} == {frozenset((f"n{k}", f"n{400 + k}")) for k in range(10)}
+
+
 def test_clean_projects(spark):
     names = ["cash-book", "Cash-BOOK-feat-x", "shop-fix-9", "p3", "P3-docs-y", "p11", "p11-feat-a", "Mixed", None, "shop-feature"]
     clean = lambda xs, column="name": I.clean_projects(spark.createDataFrame([(n, 1) for n in xs], f"{column} string, n int"), "name", (("cash-book", "ledger"), ("p11", "p10")))
