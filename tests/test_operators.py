@@ -92,6 +92,32 @@ def test_interval_join(spark):
     assert got == [(1, "c1"), (1, "c2"), (3, "c4")]
 
 
+def test_commits_of_a_busy_day_are_dealt_over_tasks(spark, monkeypatch):
+    """300 sessions and 200 commits of one project and day, some of them twice, beside a quiet day: no task makes it all, no pair is lost or doubled."""
+    monkeypatch.setattr(J, "SIDE", 32, raising=False)
+    sessions = spark.createDataFrame([(i % 290, "p", D(2024, 1, 1), D(2024, 1, 2 + i % 2)) for i in range(300)], "session_id long, project string, start_date date, end_date date")
+    commits = spark.createDataFrame([(f"c{k % 198}", "p", D(2024, 1, 2 if k < 200 else 3)) for k in range(205)], "hash string, project string, date date")
+    made = J.session_commits(sessions, commits).select("session_id", "hash", "date", F.spark_partition_id().alias("task")).collect()
+    want = [(i % 290, f"c{k % 198}", D(2024, 1, 2 if k < 200 else 3)) for i in range(300) for k in range(205) if k < 200 or i % 2]
+    assert sorted((r["session_id"], r["hash"], r["date"]) for r in made) == sorted(want)
+    tasks = [r["task"] for r in made]
+    assert max(map(tasks.count, set(tasks))) < len(want) / 4
+
+
+def test_sessions_without_an_end_of_days(spark):
+    """A session of all dates has rows for the days between the first and the last commit only; no commits, no rows."""
+    s = spark.createDataFrame([(1, "a", D(1, 1, 1), D(9999, 12, 31)), (2, "a", D(9999, 1, 1), D(9999, 12, 31)), (3, "b", D(2024, 1, 2), D(9999, 12, 31))], "session_id long, project string, start_date date, end_date date")
+    c = spark.createDataFrame([("c1", "a", D(2024, 1, 1)), ("c2", "a", D(2024, 1, 3)), ("c3", "b", D(2024, 1, 1)), ("c4", "b", D(2024, 1, 3)), ("c5", "a", None)], "hash string, project string, date date")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables of size
+    try:
+        got, records, _ = shuffled(spark, lambda: J.session_commits(s, c).select("session_id", "hash").collect())
+        none = J.session_commits(s, c.where("false")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, got)) == [(1, "c1"), (1, "c2"), (3, "c4")] and none == []
+    assert records < 100
+
+
 def test_attribution_drops_sessions_without_minutes(spark):
     s = spark.createDataFrame([(D(2024, 1, 1), "a", 30.0), (D(2024, 1, 1), "b", None), (D(2024, 1, 1), None, 10.0), (D(2024, 1, 2), "a", 0.0)], "date date, project string, duration_min double")
     d = spark.createDataFrame([(D(2024, 1, 1), 8.0), (D(2024, 1, 2), 5.0)], "date date, cost double")
